@@ -108,3 +108,89 @@ def q_candidate_totals(spark, d):
 @register("county_totals", SB.COUNTY_TOTALS)
 def q_county_totals(spark, d):
     return county_totals(S.line_results(spark, d), "SMALL")
+
+
+# -- C3/C4: people ---------------------------------------------------------
+
+from . import people as P  # noqa: E402
+from . import sql_people as SP  # noqa: E402
+from ..functions.text import canonical_prefix  # noqa: E402
+from ..operators.latest import latest_per_key  # noqa: E402
+
+NEST_MAX = 10_000
+
+
+@register("union_tagged_sources", SP.UNION_TAGGED)
+def q_union_tagged_sources(spark, d):
+    return P.union_tagged(S.profile_sources(spark, d), "absenteeDataYear")
+
+
+@register("latest_profiles", SP.LATEST_PROFILES)
+def q_latest_profiles(spark, d):
+    return P.latest_profiles(q_union_tagged_sources(spark, d))
+
+
+@register("latest_with_ties", SP.LATEST_WITH_TIES)
+def q_latest_with_ties(spark, d):
+    li = S.table(spark, d, "lineitem")
+    t = li.select(F.col("l_suppkey").alias("id"), F.to_date("l_shipdate").alias("shipped"),
+                  "l_returnflag", "l_linestatus")
+    return latest_per_key(t, "id", "shipped")
+
+
+@register("normalise_flags", SP.NORMALISE_FLAGS)
+def q_normalise_flags(spark, d):
+    return P.normalise_history_old(S.history_old_layout(spark, d))
+
+
+@register("canonical_names", SP.CANONICAL_NAMES)
+def q_canonical_names(spark, d):
+    n = S.table(spark, d, "nation")
+    return n.select("n_nationkey",
+                    canonical_prefix(F.upper("n_name"), [("NATION_1", "NATION ONE")]).alias("county"),
+                    F.initcap("n_name").alias("title"))
+
+
+@register("nested_history", SP.nested_history(NEST_MAX))
+def q_nested_history(spark, d):
+    out = P.nested_history(S.profiles(spark, d), S.history(spark, d), spread_col="rowId",
+                           max_per_row=NEST_MAX)
+    return out.withColumn("voterHistory", json_text("voterHistory"))
+
+
+@register("last_seen", SP.LAST_SEEN)
+def q_last_seen(spark, d):
+    return P.with_last_voted(S.profiles(spark, d), S.history(spark, d))
+
+
+@register("street_directory", SP.street_directory(NEST_MAX))
+def q_street_directory(spark, d):
+    out = P.street_directory(S.profiles(spark, d), S.history(spark, d), keys=("countyCurrent", "city"),
+                             max_per_row=NEST_MAX)
+    return out.withColumn("voters", json_text("voters"))
+
+
+@register("participation_summary", SP.PARTICIPATION)
+def q_participation_summary(spark, d):
+    return P.participation_summary(S.profiles(spark, d), S.history(spark, d))
+
+
+@register("mean_participation", SP.MEAN_PARTICIPATION)
+def q_mean_participation(spark, d):
+    return P.mean_participation(q_participation_summary(spark, d))
+
+
+@register("recent_voters", SP.RECENT_VOTERS)
+def q_recent_voters(spark, d):
+    return P.recent_voters(q_participation_summary(spark, d), "2000-01-01")
+
+
+@register("election_catalogue", SP.ELECTION_CATALOGUE)
+def q_election_catalogue(spark, d):
+    return P.election_catalogue(S.history(spark, d), S.election_codes(spark, d))
+
+
+@register("profile_search", SP.PROFILE_SEARCH)
+def q_profile_search(spark, d):
+    return P.find_profile(S.profiles(spark, d),
+                          {"firstName": "Customer", "city": "BUILDING", "countyCurrent": "NATION_3"})

@@ -81,3 +81,70 @@ def line_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = li.join(p, li.l_partkey == p.p_partkey, "inner")
     return j.select(F.col("p_type").alias("race"), F.col("l_returnflag").alias("county"),
                     F.col("p_name").alias("candidate"), F.col("l_quantity").cast("long").alias("votes"))
+
+
+# -- people ----------------------------------------------------------------
+
+PRIORITY_BY_STATUS = (("F", 2022.0), ("O", 2023.0), ("P", 2024.1))
+
+
+def profile_sources(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, float]]:
+    """Orders split by status into three yearly 'profile files'; the newest
+    lacks the price column (schema drift between years)."""
+    o = table(spark, sf_dir, "orders")
+    out = []
+    for status, prio in PRIORITY_BY_STATUS:
+        cols = [F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("City")]
+        if status != "P":
+            cols.append(F.col("o_totalprice").alias("totalprice"))
+        out.append((o.filter(F.col("o_orderstatus") == status).select(*cols), prio))
+    return out
+
+
+def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
+    return j.select(F.col("c_custkey").alias("id"),
+                    F.substring_index("c_name", "#", 1).alias("firstName"),
+                    F.substring_index("c_name", "#", -1).alias("lastName"),
+                    F.col("n_name").alias("countyCurrent"),
+                    F.col("c_mktsegment").alias("city"))
+
+
+def history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    code = F.substring("o_orderpriority", 1, 1)
+    return o.select(
+        F.col("o_orderkey").alias("rowId"),
+        F.col("o_custkey").alias("id"),
+        F.col("o_orderpriority").alias("county"),
+        F.to_date("o_orderdate").alias("election"),
+        code.cast("int").alias("electionTypeCode"),
+        F.when(code == "1", "D").when(code == "2", "R").when(code == "3", "NP").otherwise("").alias("party"),
+        (F.col("o_totalprice") < 100000).alias("absentee"),
+        (F.col("o_totalprice") > 400000).alias("provisional"),
+        (F.col("o_orderpriority") == "5-LOW").alias("supplemental"),
+    )
+
+
+def history_old_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7a-shaped rows (text flags Y/N/blank) from lineitem."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_linenumber").alias("County Number"),
+        F.col("l_orderkey").cast("int").alias("Registration Number"),
+        F.to_date("l_shipdate").alias("Election Date"),
+        F.col("l_linenumber").alias("Election Type"),
+        F.when(F.col("l_returnflag") == "N", "D").when(F.col("l_returnflag") == "R", "R")
+        .when(F.col("l_returnflag") == "A", "NP").alias("Party"),
+        F.when(F.col("l_returnflag") == "R", "Y").when(F.col("l_returnflag") == "A", "N").alias("Absentee"),
+        F.when(F.col("l_linestatus") == "O", "Y").otherwise("N").alias("Provisional"),
+        F.when(F.col("l_discount") > 0.08, "Y").when(F.col("l_discount") < 0.02, " ").otherwise("N")
+        .alias("Supplemental"),
+    )
+
+
+def election_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = table(spark, sf_dir, "region")
+    return r.select(F.col("r_regionkey").alias("electionType"), F.col("r_name").alias("electionTypeName"))
