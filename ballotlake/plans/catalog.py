@@ -194,3 +194,35 @@ def q_election_catalogue(spark, d):
 def q_profile_search(spark, d):
     return P.find_profile(S.profiles(spark, d),
                           {"firstName": "Customer", "city": "BUILDING", "countyCurrent": "NATION_3"})
+
+
+# -- C5: name resolution ---------------------------------------------------
+
+from . import sql_names as SN  # noqa: E402
+from ..operators import matching as M  # noqa: E402
+
+
+@register("best_match", SN.BEST_MATCH)
+def q_best_match(spark, d):
+    n = S.match_names(spark, d).withColumn("county", F.upper("county"))
+    return M.best_match(n, S.match_labels(spark, d), ["county"], "name", "precinctName", "precinct")
+
+
+def _resolved(spark, d):
+    return M.resolve_names(S.match_names(spark, d), S.match_labels(spark, d),
+                           S.match_overrides(spark, d), S.match_rules(spark))
+
+
+@register("match_rules", SN.MATCH_RULES)
+def q_match_rules(spark, d):
+    return _resolved(spark, d)
+
+
+@register("match_review", SN.MATCH_REVIEW)
+def q_match_review(spark, d):
+    return M.review_queue(_resolved(spark, d), 95)
+
+
+@register("match_ids", SN.MATCH_IDS)
+def q_match_ids(spark, d):
+    return M.resolve_ids(S.id_names(spark, d), S.id_labels(spark, d))

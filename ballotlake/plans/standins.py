@@ -148,3 +148,46 @@ def history_old_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def election_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region")
     return r.select(F.col("r_regionkey").alias("electionType"), F.col("r_name").alias("electionTypeName"))
+
+
+# -- names -----------------------------------------------------------------
+
+MATCH_RULES = (("SMALL", "first_token", ""), ("MEDIUM", "first_token", "C"))
+
+
+def match_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Free-text names: part name + brand, blocked by part type."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_type").alias("county"),
+                    F.concat_ws(" ", "p_name", "p_brand").alias("name"))
+
+
+def match_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map labels: distinct part names; id = upper first word."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.upper("p_type").alias("county"),
+                    F.upper(F.substring_index("p_name", " ", 1)).alias("precinct"),
+                    F.col("p_name").alias("precinctName")).distinct()
+
+
+def match_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part").filter(F.col("p_size") == 50)
+    return p.select(F.upper("p_type").alias("county"),
+                    F.concat(F.lit("OVR"), F.col("p_partkey").cast("string")).alias("precinct"),
+                    F.col("p_name").alias("mapPrecinctName"),
+                    F.concat_ws(" ", "p_name", "p_brand").alias("electionResultsPrecinctName"))
+
+
+def match_rules(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(MATCH_RULES), "county string, rule string, suffix string")
+
+
+def id_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_type").alias("county"), F.upper("p_brand").alias("precinct")).distinct()
+
+
+def id_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_type").alias("county"),
+                    F.concat(F.lit("BRAND#"), F.col("p_size").cast("string")).alias("precinct")).distinct()
