@@ -226,3 +226,43 @@ def q_match_review(spark, d):
 @register("match_ids", SN.MATCH_IDS)
 def q_match_ids(spark, d):
     return M.resolve_ids(S.id_names(spark, d), S.id_labels(spark, d))
+
+
+# -- C6: geography ---------------------------------------------------------
+
+from . import sql_geo as SG  # noqa: E402
+from ..functions.text import composite_id  # noqa: E402
+from ..operators import geometry as G  # noqa: E402
+
+
+@register("ring_centroid", SG.RING_CENTROID)
+def q_ring_centroid(spark, d):
+    c = S.rings(spark, d).select("vec_id", "label", G.ring_centroid("ring").alias("c"))
+    return c.select("vec_id", "label", F.round("c.x", 9).alias("cx"), F.round("c.y", 9).alias("cy"),
+                    F.round("c.area", 9).alias("area"))
+
+
+@register("bbox", SG.BBOX)
+def q_bbox(spark, d):
+    r = S.rings(spark, d).select("label", G.feature_bbox(F.array(F.array("ring"))).alias("bbox"))
+    return G.boxes(r, "label")
+
+
+@register("thin_ring", SG.thin(0.05))
+def q_thin_ring(spark, d):
+    r = S.rings(spark, d).select("vec_id", G.thin_ring("ring", S.THIN_TOLERANCE).alias("thin"))
+    return r.select("vec_id", F.posexplode("thin").alias("pos", "p")).select("vec_id", "pos", "p.x", "p.y")
+
+
+@register("measure_rollup", SG.MEASURE_ROLLUP)
+def q_measure_rollup(spark, d):
+    c = S.table(spark, d, "customer").withColumnRenamed("c_mktsegment", "county")
+    out = G.measure_rollup(c, "county", ["c_acctbal", "c_nationkey"])
+    return out.withColumn("c_acctbal", F.round("c_acctbal", 2))
+
+
+@register("composite_id", SG.COMPOSITE_ID)
+def q_composite_id(spark, d):
+    p = S.table(spark, d, "part")
+    pre = F.when(F.col("p_size") <= 5, F.lit(None)).otherwise(F.col("p_brand"))
+    return p.select("p_partkey", composite_id("p_type", pre).alias("id"))

@@ -191,3 +191,15 @@ def id_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(F.col("p_type").alias("county"),
                     F.concat(F.lit("BRAND#"), F.col("p_size").cast("string")).alias("precinct")).distinct()
+
+
+# -- geography -------------------------------------------------------------
+
+THIN_TOLERANCE = 0.05
+
+
+def rings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ring per embedding: consecutive value pairs are (x, y)."""
+    from ..operators.geometry import points_from_flat
+    e = table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label", points_from_flat("embedding").alias("ring"))
