@@ -14,7 +14,7 @@ def parse_date(c, fmt: str | None = "MM/dd/yyyy", dtype=None) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     if isinstance(dtype, (DateType, TimestampType, TimestampNTZType)) or fmt is None:
         return F.to_date(col)
-    return F.try_to_date(col, F.lit(fmt))
+    return F.try_to_date(col, fmt)
 
 
 def days_from(c, anchor) -> Column:

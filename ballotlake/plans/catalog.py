@@ -266,3 +266,71 @@ def q_composite_id(spark, d):
     p = S.table(spark, d, "part")
     pre = F.when(F.col("p_size") <= 5, F.lit(None)).otherwise(F.col("p_brand"))
     return p.select("p_partkey", composite_id("p_type", pre).alias("id"))
+
+
+# -- C7: feeds and text functions ----------------------------------------
+
+from . import sql_feeds as SF  # noqa: E402
+from ..functions import text as T  # noqa: E402
+from ..functions.flags import code_map  # noqa: E402
+from ..operators import feeds as FD  # noqa: E402
+from ..sources.fixed_width import parse_fixed_width, type_history_old  # noqa: E402
+
+
+@register("fixed_width", SF.FIXED_WIDTH)
+def q_fixed_width(spark, d):
+    return P.normalise_history_old(type_history_old(parse_fixed_width(S.fixed_width_lines(spark, d))))
+
+
+@register("split_keys", SF.SPLIT_KEYS)
+def q_split_keys(spark, d):
+    m = S.region_manifest(spark, d).withColumn("locality", T.strip_first("locality", " County"))
+    return FD.explode_parallel(m, ["names", "keys"], "|", keep=["locality"])
+
+
+@register("keyword_class", SF.KEYWORD_CLASS)
+def q_keyword_class(spark, d):
+    p = S.table(spark, d, "part")
+    return p.select("p_partkey", T.keyword_class("p_name", S.KEYWORDS).alias("party"))
+
+
+@register("first_per_group", SF.FIRST_PER_GROUP)
+def q_first_per_group(spark, d):
+    p = S.table(spark, d, "part").select("p_type", "p_partkey", "p_name")
+    return FD.first_per_group(p, ["p_type"], "p_partkey", F.col("p_name").contains("ring"))
+
+
+@register("detail_or_total", SF.DETAIL_OR_TOTAL)
+def q_detail_or_total(spark, d):
+    li = S.table(spark, d, "lineitem")
+    qty = F.col("l_quantity").cast("long")
+    label = T.normalise_label(code_map("l_returnflag", S.FLAG_MODES, None))
+    per_mode = li.groupBy("l_orderkey", label.alias("mode")).agg(
+        F.sum(F.when(F.col("l_linestatus") == "O", qty).otherwise(F.lit(0).cast("long"))).alias("votes"),
+        F.sum(qty).alias("total"))
+    opt = per_mode.groupBy("l_orderkey").agg(F.collect_list(F.struct("mode", "votes")).alias("modes"),
+                                             F.sum("total").alias("total"))
+    out = opt.select("l_orderkey", F.inline(FD.detail_or_total(F.col("modes"), F.col("total"))))
+    return out.filter(F.col("votes") > 0)
+
+
+@register("json_flatten", SF.JSON_FLATTEN)
+def q_json_flatten(spark, d):
+    e = S.table(spark, d, "events")
+    return e.select("event_id", "event_type", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@register("label_cleanup", SF.LABEL_CLEANUP)
+def q_label_cleanup(spark, d):
+    p = S.table(spark, d, "part")
+    code = (F.when(F.col("p_size") <= 10, "").when(F.col("p_size") <= 20, "REPUBLICAN")
+            .when(F.col("p_size") <= 30, "dem").when(F.col("p_size") <= 40, "LIB"))
+    cand = F.concat(F.col("p_name"), F.when(F.col("p_retailprice") > 1500, " (Dem)").otherwise(""))
+    return p.select(
+        "p_partkey",
+        T.contest_name(F.concat(F.col("p_name"), F.lit(" Special Election Special Election/"), F.col("p_brand")))
+        .alias("contest"),
+        T.underscore_spaces("p_name").alias("slug"),
+        T.first_token(F.upper("p_name"), "C").alias("token"),
+        T.strip_first(F.concat(F.col("p_type"), F.lit(" County")), " County").alias("county"),
+        T.party_from_code(code, cand).alias("party"))

@@ -203,3 +203,38 @@ def rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.geometry import points_from_flat
     e = table(spark, sf_dir, "embeddings")
     return e.select("vec_id", "label", points_from_flat("embedding").alias("ring"))
+
+
+# -- feeds and text functions ---------------------------------------------
+
+KEYWORDS = (("republican", ("RED", "HOT")), ("democratic", ("BLUE", "COLD")))
+FLAG_MODES = {"A": "Absentee by Mail", "N": "Election Day", "R": "Provisional"}
+
+
+def fixed_width_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History lines in the 3/8/8/3/2/1/1/1 layout, written from orders."""
+    o = table(spark, sf_dir, "orders")
+    party = (F.when(F.col("o_orderstatus") == "F", "D ").when(F.col("o_orderstatus") == "O", "NP")
+             .otherwise("  "))
+    line = F.concat(
+        F.lpad(F.substring("o_orderpriority", 1, 1), 3, "0"),
+        F.lpad(F.col("o_custkey").cast("string"), 8, "0"),
+        F.date_format("o_orderdate", "yyyyMMdd"),
+        F.lpad((F.year("o_orderdate") - 1990).cast("string"), 3, "0"),
+        party,
+        F.when(F.col("o_totalprice") < 100000, "Y").otherwise("N"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "Y").otherwise(" "),
+        F.lit("N"))
+    return o.select(line.alias("value"))
+
+
+def region_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per region: locality name plus parallel pipe-delimited lists
+    of its nations' names and keys (bounded by the nation dimension)."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    j = n.join(r, n.n_regionkey == r.r_regionkey, "inner")
+    g = j.groupBy("r_name").agg(F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("ns"))
+    return g.select(F.concat(F.col("r_name"), F.lit(" County")).alias("locality"),
+                    F.concat_ws("|", F.transform("ns", lambda x: x["n_name"])).alias("names"),
+                    F.concat_ws("|", F.transform("ns", lambda x: x["n_nationkey"].cast("string"))).alias("keys"))
