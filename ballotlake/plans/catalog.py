@@ -334,3 +334,25 @@ def q_label_cleanup(spark, d):
         T.first_token(F.upper("p_name"), "C").alias("token"),
         T.strip_first(F.concat(F.col("p_type"), F.lit(" County")), " County").alias("county"),
         T.party_from_code(code, cand).alias("party"))
+
+
+# -- enrichment with an unmatched report (J1/J2/J9) ------------------------
+
+from ..operators.enrich import left_enrich_with_report  # noqa: E402
+
+
+def _enriched(spark, d):
+    s = S.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = (S.table(spark, d, "nation").filter(F.col("n_regionkey") != 4)
+         .select(F.col("n_nationkey").alias("s_nationkey"), "n_name"))
+    return left_enrich_with_report(s, n, ["s_nationkey"])
+
+
+@register("enrich_left_unmatched", SB.ENRICH_LEFT)
+def q_enrich_left_unmatched(spark, d):
+    return _enriched(spark, d)[0].select("s_suppkey", "s_name", "s_nationkey", "n_name")
+
+
+@register("enrich_unmatched_report", SB.ENRICH_UNMATCHED)
+def q_enrich_unmatched_report(spark, d):
+    return _enriched(spark, d)[1]

@@ -117,3 +117,15 @@ WITH r AS ({LINE_RESULTS}) SELECT race, candidate, CAST(sum(votes) AS BIGINT) AS
 
 COUNTY_TOTALS = f"""
 WITH r AS ({LINE_RESULTS}) SELECT county, CAST(sum(votes) AS BIGINT) AS votes FROM r WHERE race = 'SMALL' GROUP BY county"""
+
+ENRICH_LEFT = """
+SELECT s.s_suppkey, s.s_name, s.s_nationkey, n.n_name
+FROM supplier s LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 4) n
+  ON s.s_nationkey = n.n_nationkey
+"""
+
+ENRICH_UNMATCHED = """
+SELECT s.s_suppkey, s.s_name, s.s_nationkey
+FROM supplier s LEFT JOIN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 4) n
+  ON s.s_nationkey = n.n_nationkey WHERE n.n_nationkey IS NULL
+"""
