@@ -24,6 +24,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable.
+
+    Catalyst inlines projected expressions into their uses; an array
+    expression used inside another lambda would then be rebuilt for every
+    element. Binding it through a one-element ``transform`` keeps it a
+    variable."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def points_from_flat(c, dims: int = 2) -> Column:
     """``[x0, y0, x1, y1, ...]`` -> ring of structs (extra dims ignored)."""
     arr = _col(c)
@@ -47,13 +57,20 @@ def multipolygon_from_coords(coords, geom_type) -> Column:
     return F.transform(as_multi, lambda polygon: F.transform(polygon, points_from_pairs))
 
 
-def _cross_terms(ring: Column, fn) -> Column:
-    """``sum_i fn(p_i, p_next)`` over the ring, wrapping around."""
+def _with_next(ring: Column) -> Column:
+    """``[{p: v_i, q: v_(i+1)}]`` with the last vertex paired to the first.
+    The ring is referenced a fixed number of times (never per element), so
+    an inlined ring expression is not re-evaluated for every vertex."""
     n = F.size(ring)
-    return F.aggregate(
-        F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.lit(0.0),
-        lambda acc, i: acc + F.when(n > 0, fn(F.element_at(ring, i),
-                                              F.element_at(ring, F.pmod(i, n) + 1))).otherwise(F.lit(0.0)))
+    rot = F.concat(F.slice(ring, 2, F.greatest(n - 1, F.lit(1))), F.slice(ring, 1, 1))
+    return F.arrays_zip(ring.alias("p"), rot.alias("q"))
+
+
+def _cross_terms(ring: Column, fn) -> Column:
+    """``sum_i fn(p_i, p_next)`` over the ring, wrapping around, folded
+    left to right."""
+    return F.aggregate(_with_next(ring), F.lit(0.0),
+                       lambda acc, e: acc + F.coalesce(fn(e["p"], e["q"]), F.lit(0.0)))
 
 
 def ring_area2(ring) -> Column:
@@ -74,8 +91,14 @@ def ring_moments(ring) -> Column:
 def ring_centroid(ring) -> Column:
     """Area-weighted centre of one ring: struct(x, y, area). A ring with
     zero area (collinear vertices) falls back to the vertex mean."""
-    r = _col(ring)
-    m = ring_moments(r)
+    return let(_col(ring), _ring_centroid)
+
+
+def _ring_centroid(r: Column) -> Column:
+    return let(ring_moments(r), lambda m: _centroid_from(r, m))
+
+
+def _centroid_from(r: Column, m: Column) -> Column:
     n = F.size(r)
     mean_x = F.aggregate(r, F.lit(0.0), lambda a, p: a + p.x) / n
     mean_y = F.aggregate(r, F.lit(0.0), lambda a, p: a + p.y) / n
@@ -140,14 +163,20 @@ def thin_ring(ring, tolerance: float, min_vertices: int = 4) -> Column:
     same cell as its predecessor, always keep the first and last vertex;
     if fewer than ``min_vertices`` remain, keep the ring as it was. Error
     is at most one cell diagonal and shared borders thin identically."""
-    r = _col(ring)
+    return let(_col(ring), lambda r: _thin(r, tolerance, min_vertices))
+
+
+def _thin(r: Column, tolerance: float, min_vertices: int) -> Column:
     n = F.size(r)
     inv = F.lit(float(tolerance))
 
     def cell(p):
         return F.struct(F.floor(p.x / inv), F.floor(p.y / inv))
 
-    kept = F.filter(r, lambda p, i: (i == 0) | (i == n - 1) | (cell(p) != cell(F.element_at(r, i))))
+    prev = F.concat(F.array(F.lit(None).cast(POINT)), F.slice(r, 1, F.greatest(n - 1, F.lit(1))))
+    z = F.arrays_zip(r.alias("p"), prev.alias("q"))
+    kept = F.transform(F.filter(z, lambda e, i: (i == 0) | (i == n - 1) | (cell(e["p"]) != cell(e["q"]))),
+                       lambda e: e["p"])
     return F.when(F.size(kept) < F.least(n, F.lit(min_vertices)), r).otherwise(kept)
 
 

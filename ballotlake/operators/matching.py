@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.similarity import match_score
+from ..functions.similarity import similarity, token_sort
 from ..functions.text import first_token, squeeze_upper
 from ..operators.enrich import first_per_key
 
@@ -25,23 +25,39 @@ UNKNOWN_LABEL = "??"
 
 def best_match(names: DataFrame, labels: DataFrame, block: Sequence[str], name_col: str,
                label_col: str, id_col: str, token_sorted: bool = True,
-               salt_buckets: int = 1) -> DataFrame:
+               salt_buckets: int = 1, pair_partitions: int | None = None) -> DataFrame:
     """For each distinct (block, name): the best-scoring label of the same
     block, its id and the integer score 0..100 (ties: lower label, then id).
-    A name whose block has no label gets a null label and score 0."""
+    A name whose block has no label gets a null label and score 0.
+
+    The distinct names are a small shuffle, which AQE would coalesce into
+    very few partitions although the join multiplies each name by its
+    block's labels; ``pair_partitions`` (default: the cluster's default
+    parallelism) fixes the partition count of the scoring stage instead.
+    The best-label aggregate reuses that partitioning (no extra shuffle).
+    """
     block = list(block)
+    k = pair_partitions or names.sparkSession.sparkContext.defaultParallelism
+    # Normalised and token-sorted text is computed once per name / label,
+    # before the join, so each pair only costs the two distance computations.
     n = (names.select(*block, name_col).filter(F.col(name_col).isNotNull()).distinct()
+         .repartition(k, *block, name_col)
          .withColumn("__q", squeeze_upper(name_col)))
+    n = n.withColumn("__qs", token_sort("__q") if token_sorted else F.col("__q"))
     lab = (labels.select(*block, F.col(label_col).alias("__label"), F.col(id_col).alias("__id"))
            .filter(F.col("__label").isNotNull())
            .withColumn("__l", squeeze_upper("__label")))
+    lab = lab.withColumn("__ls", token_sort("__l") if token_sorted else F.col("__l"))
     keys = block
     if salt_buckets > 1:
         n = n.withColumn("__salt", F.pmod(F.xxhash64(name_col), F.lit(salt_buckets)))
         lab = lab.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<long>")))
         keys = block + ["__salt"]
     pairs = n.join(lab, keys, "left")
-    score = F.when(F.col("__l").isNull(), F.lit(0)).otherwise(match_score("__q", "__l", token_sorted))
+    pair = similarity("__q", "__l")
+    if token_sorted:
+        pair = F.greatest(pair, similarity("__qs", "__ls"))
+    score = F.when(F.col("__l").isNull(), F.lit(0)).otherwise(pair)
     best = (pairs.groupBy(*block, name_col)
             .agg(F.min(F.struct((-score).alias("neg"), F.col("__label").alias("label"),
                                 F.col("__id").alias("id"))).alias("__b")))
