@@ -1,0 +1,12 @@
+"""Incremental landing of new files.
+
+The source system has no streaming; it refreshes by re-running batch jobs
+over everything landed so far and appends new history files into the
+partitioned history dataset. ``land_new_files`` expresses that append as a
+Structured Streaming file source run with ``trigger(availableNow=True)``:
+each run processes only files not seen before (tracked in a checkpoint in
+the cluster's shared ``spark.checkpoint.dir``), appends them to the
+partitioned Parquet dataset exactly once and stops.
+"""
+
+from .landing import land_new_files  # noqa: F401

@@ -1,0 +1,31 @@
+"""File-source stream -> partitioned Parquet append (K3 as a stream)."""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from ..session import ensure_checkpoint_dir
+
+
+def land_new_files(spark: SparkSession, source_dir: str, schema: StructType, dest: str,
+                   transform: Callable[[DataFrame], DataFrame], partition_by: Sequence[str] = ("election",),
+                   name: str = "history", fmt: str = "csv", options: dict | None = None,
+                   max_files_per_trigger: int | None = None) -> None:
+    """Append rows of files newly landed in ``source_dir`` to ``dest``.
+
+    ``transform`` maps a raw micro-batch to the dataset's schema (e.g.
+    ``normalise_history_new``). Blocks until every available file is
+    processed, then returns; rerun it after new files land.
+    """
+    ckpt = os.path.join(ensure_checkpoint_dir(spark), "landing", name)
+    reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = transform(reader.load(source_dir))
+    q = (stream.writeStream.format("parquet").outputMode("append").partitionBy(*partition_by)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start(dest))
+    q.awaitTermination()

@@ -97,3 +97,11 @@ def test_county_collections_split(spark, tmp_path):
     cc = GG.county_collections(f, max_per_row=2).collect()
     assert sum(len(r.features) for r in cc) == 5
     assert {r.CTYNAME for r in cc} == {"FULTON", "COBB"}
+
+
+def test_feature_lines_reader(spark, tmp_path):
+    from ballotlake.sources import read_feature_lines
+    lines = "\n".join(json.dumps(feat("fulton", pid, f"n{pid}", SQUARE, reg=1)) for pid in ("01", "02"))
+    p = write(str(tmp_path / "lines/f.geojsonl"), lines + "\n")
+    f = GG.precinct_features(read_feature_lines(spark, p, PROPS))
+    assert sorted(r.id for r in f.collect()) == ["FULTON##01", "FULTON##02"]

@@ -53,3 +53,11 @@ def test_resolve_ids_threshold(spark):
                                   "county string, precinct string")
     got = {r.absenteePrecinct: r.score for r in resolve_ids(names, labels).collect()}
     assert got == {"SS01": 100}          # SS0 scores 75 (<= 80), QQQQ 0
+
+
+def test_lookup_keeps_leading_zeros(spark, tmp_path):
+    from ballotlake.sources import read_lookup
+    from tests.conftest import write
+    p = write(str(tmp_path / "labels.csv"), "county,precinct,precinctName\nfulton,01A,ALPHA PARK\ncobb,007,X\n")
+    lab = read_lookup(spark, p, "county string, precinct string, precinctName string")
+    assert sorted(r.precinct for r in lab.collect()) == ["007", "01A"]

@@ -1,0 +1,24 @@
+"""Incremental landing: each run appends only new files, once."""
+
+from ballotlake.plans.people import normalise_history_new
+from ballotlake.sources.csv import HISTORY_NEW_SCHEMA
+from ballotlake.streaming import land_new_files
+from tests.conftest import write
+
+HDR = "County Name,Voter Registration Number,Election Date,Election Type,Party,Ballot Style,Absentee,Provisional,Supplemental\n"
+
+
+def test_land_new_files_exactly_once(spark, tmp_path):
+    src, dest = str(tmp_path / "landed"), str(tmp_path / "history.parquet")
+    opts = {"header": "true", "dateFormat": "MM/dd/yyyy", "ignoreTrailingWhiteSpace": "true"}
+    write(src + "/a.csv", HDR + "FULTON,1,05/21/2024,PRIMARY,DEMOCRAT,S1,Y,N,N\n")
+    run = lambda: land_new_files(spark, src, HISTORY_NEW_SCHEMA, dest, normalise_history_new,
+                                 name=f"t{abs(hash(str(tmp_path)))}", options=opts)
+    run()
+    assert spark.read.parquet(dest).count() == 1
+    run()                                          # nothing new: nothing appended
+    assert spark.read.parquet(dest).count() == 1
+    write(src + "/b.csv", HDR + "COBB,2,11/05/2024,GENERAL,REPUBLICAN,S2,N,N,N\n")
+    run()
+    rows = {r.id: r for r in spark.read.parquet(dest).collect()}
+    assert set(rows) == {1, 2} and rows[2].party == "R" and rows[1].absentee is True
