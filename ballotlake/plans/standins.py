@@ -28,8 +28,21 @@ BALLOT_COLS = BallotColumns(county="County", precinct="County Precinct", status=
                             accepted="F", date_format=None)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver table as a DataFrame. Reading Parquet runs a small job to
+    infer the schema from the footers; the DataFrame (a plan, not data) is
+    kept per session and path so that job runs once, like an application
+    that reads a table once and reuses it."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def ballots(spark: SparkSession, sf_dir: str) -> DataFrame:
