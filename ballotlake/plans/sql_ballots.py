@@ -30,9 +30,9 @@ def nested_by_day(level: list[str]) -> str:
     grp = f"GROUP BY {keys}" if level else ""
     return f"""
 WITH f AS ({by_day(level)})
-SELECT {sel}to_json(list({{'DaysFromElection': "DaysFromElection", 'DateDT': "DateDT",
+SELECT {sel}CAST(to_json(list({{'DaysFromElection': "DaysFromElection", 'DateDT': "DateDT",
         'votesToDate': "votesToDate", 'votesOnDate': "votesOnDate"}}
-        ORDER BY "DaysFromElection" NULLS FIRST, "DateDT" NULLS FIRST)) AS "votesByDay"
+        ORDER BY "DaysFromElection" NULLS FIRST, "DateDT" NULLS FIRST)) AS VARCHAR) AS "votesByDay"
 FROM f {grp}"""
 
 
@@ -102,8 +102,8 @@ pr AS (SELECT race, {sel}CAST(sum(democratic) AS BIGINT) AS democratic, CAST(sum
               list({{'mode': mode, 'democratic': democratic, 'republican': republican, 'other': other}}
                    ORDER BY mode NULLS FIRST, democratic NULLS FIRST, republican NULLS FIRST, other NULLS FIRST) AS "resultsByMode"
        FROM bm GROUP BY race, {sel[:-2] if level else 'race'})
-SELECT {sel}to_json(list({{'race': race, 'democratic': democratic, 'republican': republican, 'other': other,
-                          'resultsByMode': "resultsByMode"}} ORDER BY race NULLS FIRST)) AS races
+SELECT {sel}CAST(to_json(list({{'race': race, 'democratic': democratic, 'republican': republican, 'other': other,
+                          'resultsByMode': "resultsByMode"}} ORDER BY race NULLS FIRST)) AS VARCHAR) AS races
 FROM pr {grp}"""
 
 

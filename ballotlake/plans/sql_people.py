@@ -74,9 +74,9 @@ def nested_history(max_per_row: int) -> str:
 WITH h AS ({HISTORY}),
 c AS (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM h WHERE id IS NOT NULL),
 g AS (SELECT id, {parts('n', '"rowId"', max_per_row)} AS part,
-             to_json(list({{'election': election, 'county': county, 'party': party, 'absentee': absentee,
+             CAST(to_json(list({{'election': election, 'county': county, 'party': party, 'absentee': absentee,
                            'provisional': provisional, 'supplemental': supplemental}}
-                          ORDER BY election, county, party, absentee, provisional, supplemental)) AS "voterHistory"
+                          ORDER BY election, county, party, absentee, provisional, supplemental)) AS VARCHAR) AS "voterHistory"
       FROM c GROUP BY ALL)
 SELECT p.*, g.part, g."voterHistory" FROM ({PROFILES}) p LEFT JOIN g ON p.id = g.id
 """
@@ -93,9 +93,9 @@ def street_directory(max_per_row: int) -> str:
 WITH s AS ({LAST_SEEN}),
 c AS (SELECT *, count(*) OVER (PARTITION BY "countyCurrent", city) AS n FROM s)
 SELECT "countyCurrent", city, {parts('n', 'id', max_per_row)} AS part,
-       to_json(list({{'id': id, 'firstName': "firstName", 'lastName': "lastName",
+       CAST(to_json(list({{'id': id, 'firstName': "firstName", 'lastName': "lastName",
                      'electionLastVoted': "electionLastVoted"}}
-                    ORDER BY id, "firstName", "lastName", "electionLastVoted")) AS voters
+                    ORDER BY id, "firstName", "lastName", "electionLastVoted")) AS VARCHAR) AS voters
 FROM c GROUP BY ALL
 """
 
