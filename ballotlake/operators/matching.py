@@ -23,6 +23,15 @@ from ..operators.enrich import first_per_key
 UNKNOWN_LABEL = "??"
 
 
+def _parallelism(spark) -> int:
+    """Cores of the cluster (one wave of tasks); sessions without a
+    SparkContext (Spark Connect) fall back to the shuffle partition count."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def best_match(names: DataFrame, labels: DataFrame, block: Sequence[str], name_col: str,
                label_col: str, id_col: str, token_sorted: bool = True,
                salt_buckets: int = 1, pair_partitions: int | None = None) -> DataFrame:
@@ -37,7 +46,7 @@ def best_match(names: DataFrame, labels: DataFrame, block: Sequence[str], name_c
     The best-label aggregate reuses that partitioning (no extra shuffle).
     """
     block = list(block)
-    k = pair_partitions or names.sparkSession.sparkContext.defaultParallelism
+    k = pair_partitions or _parallelism(names.sparkSession)
     # Normalised and token-sorted text is computed once per name / label,
     # before the join, so each pair only costs the two distance computations.
     n = (names.select(*block, name_col).filter(F.col(name_col).isNotNull()).distinct()
