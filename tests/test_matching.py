@@ -61,3 +61,17 @@ def test_lookup_keeps_leading_zeros(spark, tmp_path):
     p = write(str(tmp_path / "labels.csv"), "county,precinct,precinctName\nfulton,01A,ALPHA PARK\ncobb,007,X\n")
     lab = read_lookup(spark, p, "county string, precinct string, precinctName string")
     assert sorted(r.precinct for r in lab.collect()) == ["007", "01A"]
+
+
+def test_default_rules(spark):
+    from ballotlake.plans.names import default_rules, results_name_map
+    r16 = {(r.county, r.rule, r.suffix) for r in default_rules(spark, "2016").collect()}
+    assert ("CHATHAM", "first_token", "C") in r16 and len(r16) == 3
+    r22 = {(r.county, r.rule) for r in default_rules(spark, "2022").collect()}
+    assert ("RICHMOND", "name_is_id") in r22 and len(r22) == 4
+    labels = spark.createDataFrame([("CHATHAM", "1-01C", "ONE"), ("RICHMOND", "R7", "SEVEN")], LSCHEMA)
+    res = spark.createDataFrame([("Chatham", "1-01 Somewhere"), ("Richmond", "R7")], "county string, precinct string")
+    m, review = results_name_map(res, labels, rules=default_rules(spark, "2018"))
+    got = {r.electionResultsPrecinctName: (r.precinct, r.mapPrecinctName, r.score) for r in m.collect()}
+    assert got["1-01 Somewhere"] == ("1-01C", "ONE", 100)
+    assert got["R7"][0] == "R7" and got["R7"][2] < 95              # 2018: no rule, fuzzy on names
