@@ -14,12 +14,21 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).json(path)
 
 
-def write_single_document(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+SINGLE_DOCUMENT_MAX_ROWS = 200_000
+
+
+def write_single_document(df: DataFrame, path: str, mode: str = "overwrite",
+                          max_rows: int = SINGLE_DOCUMENT_MAX_ROWS) -> None:
     """K1 for small summaries: the whole frame as ONE JSON array text
     (``[{...},{...}]``) in one part file, readable back by
-    ``read_json_array``. Only for outputs bounded by construction (one row
-    per county or precinct); rows are serialised in parallel and only the
-    final text is gathered by one task."""
+    ``read_json_array``. Meant for outputs bounded by construction (one row
+    per county or precinct); the bound is checked first (one count, a
+    single number to the driver) and larger frames are refused -- write
+    them with ``write_json_lines``. Rows are serialised in parallel; only
+    the final text is assembled by one task."""
+    n = df.count()
+    if n > max_rows:
+        raise ValueError(f"{n} rows exceed the single-document bound {max_rows}; use write_json_lines")
     rows = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("j"))
     one = rows.agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
     one.coalesce(1).write.mode(mode).text(path)

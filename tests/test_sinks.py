@@ -49,3 +49,10 @@ def test_json_csv_split(spark, tmp_path):
     with persisted(df) as p:
         assert p.count() == 3 and p.is_cached
     assert not df.is_cached
+
+
+def test_single_document_bound(spark, tmp_path):
+    import pytest
+    df = spark.range(10).toDF("n")
+    with pytest.raises(ValueError):
+        write_single_document(df, str(tmp_path / "big"), max_rows=5)
