@@ -153,11 +153,6 @@ def boxes(df: DataFrame, key: str, bbox_col: str = "bbox", total_key: str = "STA
                     "minX", "minY", "maxX", "maxY")
 
 
-def box_array(df: DataFrame) -> Column:
-    """``[minX, minY, maxX, maxY]`` in that order."""
-    return F.array("minX", "minY", "maxX", "maxY")
-
-
 def thin_ring(ring, tolerance: float, min_vertices: int = 4) -> Column:
     """Grid thinning: snap to cells of ``tolerance``; drop a vertex in the
     same cell as its predecessor, always keep the first and last vertex;

@@ -3,7 +3,7 @@ calls with declared schemas where the layout is known, so no inference
 pass is run and filters/projections reach the scan."""
 
 from .csv import (  # noqa: F401
-    BALLOT_SCHEMA, HISTORY_NEW_SCHEMA, HISTORY_OLD_SCHEMA, PROFILE_SCHEMA, RESULTS_SCHEMA,
+    HISTORY_NEW_SCHEMA, HISTORY_OLD_SCHEMA, PROFILE_SCHEMA, RESULTS_SCHEMA,
     read_ballots, read_history_new, read_history_old, read_lookup, read_profile_sources, read_results,
 )
 from .fixed_width import HISTORY_WIDTHS, parse_fixed_width, read_fixed_width  # noqa: F401

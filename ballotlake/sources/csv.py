@@ -32,7 +32,6 @@ HISTORY_NEW_SCHEMA = StructType([StructField(n, t) for n, t in (
     ("Election Type", StringType()), ("Party", StringType()), ("Ballot Style", StringType()),
     ("Absentee", StringType()), ("Provisional", StringType()), ("Supplemental", StringType()))])
 # ---------------------------------------------------------------------------
-BALLOT_SCHEMA = None  # ballots are read with their header, all strings
 
 
 def read_ballots(spark: SparkSession, paths: str | Sequence[str], skip_statewide: bool = True) -> DataFrame:
