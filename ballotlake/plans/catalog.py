@@ -13,7 +13,7 @@ from .ballots import ballots_all_levels, cleanse_ballots, nested_by_day
 from .results import (candidate_totals, cleanse_results, county_totals, results_by_mode,
                       results_nested)
 from ..operators.levels import by_day_at_level
-from ..operators.nest import json_text
+from ..operators.nest import json_text, nest_bounded
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -238,8 +238,8 @@ from ..operators import geometry as G  # noqa: E402
 @register("ring_centroid", SG.RING_CENTROID)
 def q_ring_centroid(spark, d):
     c = S.rings(spark, d).select("vec_id", "label", G.ring_centroid("ring").alias("c"))
-    return c.select("vec_id", "label", F.round("c.x", 9).alias("cx"), F.round("c.y", 9).alias("cy"),
-                    F.round("c.area", 9).alias("area"))
+    return c.select("vec_id", "label", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"),
+                    F.col("c.area").alias("area"))
 
 
 @register("bbox", SG.BBOX)
@@ -356,3 +356,17 @@ def q_enrich_left_unmatched(spark, d):
 @register("enrich_unmatched_report", SB.ENRICH_UNMATCHED)
 def q_enrich_unmatched_report(spark, d):
     return _enriched(spark, d)[1]
+
+
+@register("feature_centroid", SG.FEATURE_CENTROID)
+def q_feature_centroid(spark, d):
+    f = S.two_ring_features(spark, d).select("vec_id", "label", G.feature_centroid("geometry").alias("c"))
+    return f.select("vec_id", "label", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"))
+
+
+@register("county_collections", SG.county_collections(NEST_MAX))
+def q_county_collections(spark, d):
+    e = S.table(spark, d, "embeddings")
+    f = e.select("vec_id", "label", F.floor(F.size("embedding") / 2).cast("int").alias("vertices"))
+    out = nest_bounded(f, ["label"], ["vec_id", "vertices"], "features", "vec_id", NEST_MAX)
+    return out.withColumn("features", json_text("features"))

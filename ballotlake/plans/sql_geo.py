@@ -23,8 +23,7 @@ WITH m AS (SELECT vec_id, label, {_fold(CROSS)} AS a2,
                   {_fold(f'({P}.x + {Q}.x) * {CROSS}')} AS mx,
                   {_fold(f'({P}.y + {Q}.y) * {CROSS}')} AS my
            FROM ({RINGS}) r)
-SELECT vec_id, label, round(mx / (3.0 * a2), 9) AS cx, round(my / (3.0 * a2), 9) AS cy,
-       round(abs(a2 / 2), 9) AS area
+SELECT vec_id, label, mx / (3.0 * a2) AS cx, my / (3.0 * a2) AS cy, abs(a2 / 2) AS area
 FROM m
 """
 
@@ -68,3 +67,44 @@ SELECT p_partkey,
        CASE WHEN p_size <= 5 THEN upper(p_type) ELSE upper(p_type) || '##' || upper(p_brand) END AS id
 FROM part
 """
+
+
+def _ring_stats(pts_sql: str) -> str:
+    """a2, mx, my of a ring given as a DuckDB list of {x, y} named ``pts``."""
+    return f"""SELECT vec_id, label, {_fold(CROSS)} AS a2, {_fold(f'({P}.x + {Q}.x) * {CROSS}')} AS mx,
+                  {_fold(f'({P}.y + {Q}.y) * {CROSS}')} AS my
+           FROM ({pts_sql}) r"""
+
+
+def _half(lo: str) -> str:
+    return f"""SELECT vec_id, label,
+       list_transform(range(0, CAST(floor(len(embedding) / 4) AS BIGINT)),
+                      lambda i: {{'x': CAST(embedding[{lo} + 2 * i + 1] AS DOUBLE),
+                                  'y': CAST(embedding[{lo} + 2 * i + 2] AS DOUBLE)}}) AS pts
+FROM embeddings"""
+
+
+FEATURE_CENTROID = f"""
+WITH a AS ({_ring_stats(_half('0'))}),
+b AS ({_ring_stats(_half('CAST(len(embedding) / 2 AS BIGINT)'))}),
+c AS (SELECT a.vec_id, a.label,
+             a.mx / (3.0 * a.a2) AS xa, a.my / (3.0 * a.a2) AS ya, abs(a.a2 / 2) AS wa,
+             b.mx / (3.0 * b.a2) AS xb, b.my / (3.0 * b.a2) AS yb, abs(b.a2 / 2) AS wb
+      FROM a JOIN b ON a.vec_id = b.vec_id)
+SELECT vec_id, label,
+       ((1.0 * wa * xa) + (-1.0 * wb * xb)) / ((1.0 * wa) + (-1.0 * wb)) AS cx,
+       ((1.0 * wa * ya) + (-1.0 * wb * yb)) / ((1.0 * wa) + (-1.0 * wb)) AS cy
+FROM c
+"""
+
+
+def county_collections(max_per_row: int) -> str:
+    return f"""
+WITH f AS (SELECT vec_id, label, CAST(floor(len(embedding) / 2) AS INTEGER) AS vertices FROM embeddings),
+c AS (SELECT *, count(*) OVER (PARTITION BY label) AS n FROM f)
+SELECT label, CAST(((vec_id % greatest(1, CAST(ceil(n / {max_per_row}) AS BIGINT))) +
+                    greatest(1, CAST(ceil(n / {max_per_row}) AS BIGINT))) %
+                   greatest(1, CAST(ceil(n / {max_per_row}) AS BIGINT)) AS BIGINT) AS part,
+       CAST(to_json(list({{'vec_id': vec_id, 'vertices': vertices}} ORDER BY vec_id, vertices)) AS VARCHAR) AS features
+FROM c GROUP BY ALL
+"""

@@ -254,3 +254,14 @@ def region_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select(F.concat(F.col("r_name"), F.lit(" County")).alias("locality"),
                     F.concat_ws("|", F.transform("ns", lambda x: x["n_name"])).alias("names"),
                     F.concat_ws("|", F.transform("ns", lambda x: x["n_nationkey"].cast("string"))).alias("keys"))
+
+
+def two_ring_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One polygon per embedding: values 0-31 are the outer ring, values
+    32-63 a hole (16 vertices each)."""
+    from ..operators.geometry import points_from_flat
+    e = table(spark, sf_dir, "embeddings")
+    n = F.size("embedding")
+    outer = points_from_flat(F.slice("embedding", 1, n / 2))
+    hole = points_from_flat(F.slice("embedding", n / 2 + 1, n / 2))
+    return e.select("vec_id", "label", F.array(F.array(outer, hole)).alias("geometry"))
