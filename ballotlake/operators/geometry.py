@@ -113,13 +113,21 @@ def feature_centroid(multi) -> Column:
     its area, outer rings (index 0 of each polygon) adding and holes
     subtracting, whatever their orientation. Zero total area falls back to
     the mean of all vertices."""
-    rings = F.flatten(F.transform(_col(multi), lambda poly: F.transform(
+    return let(_col(multi), _feature_centroid)
+
+
+def _feature_centroid(m: Column) -> Column:
+    rings = F.flatten(F.transform(m, lambda poly: F.transform(
         poly, lambda ring, k: F.struct(F.when(k == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("sign"),
                                        ring_centroid(ring).alias("c")))))
-    w = F.aggregate(rings, F.lit(0.0), lambda a, r: a + r.sign * r.c.area)
-    sx = F.aggregate(rings, F.lit(0.0), lambda a, r: a + r.sign * r.c.area * r.c.x)
-    sy = F.aggregate(rings, F.lit(0.0), lambda a, r: a + r.sign * r.c.area * r.c.y)
-    pts = F.flatten(F.flatten(_col(multi)))
+    return let(rings, lambda rs: _combine_rings(m, rs))
+
+
+def _combine_rings(m: Column, rs: Column) -> Column:
+    w = F.aggregate(rs, F.lit(0.0), lambda a, r: a + r.sign * r.c.area)
+    sx = F.aggregate(rs, F.lit(0.0), lambda a, r: a + r.sign * r.c.area * r.c.x)
+    sy = F.aggregate(rs, F.lit(0.0), lambda a, r: a + r.sign * r.c.area * r.c.y)
+    pts = F.flatten(F.flatten(m))
     n = F.size(pts)
     mx = F.aggregate(pts, F.lit(0.0), lambda a, p: a + p.x) / n
     my = F.aggregate(pts, F.lit(0.0), lambda a, p: a + p.y) / n

@@ -4,6 +4,7 @@ sources in one read (S4), small lookups with forced string ids (S8)."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -71,12 +72,24 @@ def read_profile_sources(spark: SparkSession, sources: Sequence[tuple[str, float
     df = _positional(spark, PROFILE_SCHEMA, date_format).csv(paths)
     fp = F.col("_metadata.file_path")
     tag = None
-    for p, prio in sources:
-        cond = fp.contains(p.rstrip("/*").rstrip("/") + "/")
+    # Longest prefix first, so ".../2022_runoff/" is not claimed by ".../2022".
+    for prefix, prio in sorted(((_source_prefix(p), prio) for p, prio in sources), key=lambda t: -len(t[0])):
+        cond = fp.contains(prefix)
         tag = F.when(cond, F.lit(float(prio))) if tag is None else tag.when(cond, F.lit(float(prio)))
     return df.withColumn(tag_col, tag)
 
 
+def _source_prefix(path: str) -> str:
+    """The directory part of a path or glob, ending in ``/`` (a plain file
+    path is returned as it is)."""
+    m = re.search(r"[*?\[{]", path)
+    if m:
+        return path[:path.rfind("/", 0, m.start()) + 1]
+    if re.search(r"\.[A-Za-z0-9]+$", path.rsplit("/", 1)[-1]):
+        return path
+    return path.rstrip("/") + "/"
+
+
 def read_history_old(spark: SparkSession, paths, date_format: str = "yyyyMMdd") -> DataFrame:
     return _positional(spark, HISTORY_OLD_SCHEMA, date_format).csv(paths)
 

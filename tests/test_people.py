@@ -113,3 +113,12 @@ def test_catalogue_and_search(spark, tmp_path):
     prof = P.latest_profiles(_profiles(spark, tmp_path))
     hit = P.find_profile(prof, {"lastName": "Tie", "city": "Marietta"}).collect()
     assert [r.firstName for r in hit] in (["Tom", "Thomas"], ["Thomas", "Tom"])
+
+
+def test_profile_source_tags_with_globs(spark, tmp_path):
+    write(str(tmp_path / "absentee/2022/data/a.csv"), HDR + "FULTON,1,A,B,,,1,X,,Y,GA,1,x\n")
+    write(str(tmp_path / "absentee/2022_runoff/data/a.csv"), HDR + "FULTON,2,A,B,,,1,X,,Y,GA,1,x\n")
+    srcs = [(str(tmp_path / "absentee/2022/data/*.csv"), 2022.0),
+            (str(tmp_path / "absentee/2022_runoff/data/*.csv"), 2022.1)]
+    got = {r["Voter Registration #"]: r.absenteeDataYear for r in read_profile_sources(spark, srcs).collect()}
+    assert got == {1: 2022.0, 2: 2022.1}
