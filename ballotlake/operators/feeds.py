@@ -84,7 +84,7 @@ def flatten_xml_feed(doc: DataFrame, phrases: Sequence[str] = CONTEST_PHRASES,
 
 def flatten_feed_a(summary: DataFrame, modes: DataFrame, county: str | Column,
                    phrases: Sequence[str] = CONTEST_PHRASES, keywords=CANDIDATE_PARTY_KEYWORDS,
-                   mode_col: str = "mode") -> DataFrame:
+                   mode_col: str = "mode", mode_labels: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """``summary`` rows ``K, C, CH[]`` (contest id, text, candidate
     names) and ``modes`` rows ``mode, Contests[]{A, C[], V[][]}``.
 
@@ -92,12 +92,15 @@ def flatten_feed_a(summary: DataFrame, modes: DataFrame, county: str | Column,
     their positions, then the candidate is ``CH[position]``. Contests not
     in the (filtered) summary are skipped by the inner join; the summary is
     one small row per contest, so it is broadcast. The hidden total line
-    (``A = '-1'``) is dropped.
+    (``A = '-1'``) is dropped. ``mode_labels`` optionally maps mode names
+    to one vocabulary shared with the other feeds (e.g. ``("Advanced Voting
+    Votes", "Advance Voting Votes")``); by default they are kept as named.
     """
     s = (summary.filter(contains_any(F.col("C"), phrases))
          .select(F.col("K").cast("string").alias("contest_id"), contest_name(F.col("C")).alias("race"),
                  F.col("CH").alias("choices")))
-    p = (modes.select(F.col(mode_col).alias("mode"), F.explode("Contests").alias("p"))
+    mode = normalise_label(F.col(mode_col), mode_labels) if mode_labels else F.col(mode_col)
+    p = (modes.select(mode.alias("mode"), F.explode("Contests").alias("p"))
          .filter(F.col("p.A").cast("string") != F.lit(TOTAL_LINE_ID))
          .select("mode", F.col("p.A").cast("string").alias("precinct"),
                  F.explode(F.arrays_zip(F.col("p.C").alias("cid"), F.col("p.V").alias("votes"))).alias("z"))

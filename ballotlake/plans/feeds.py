@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import strip_first
-from ..operators.feeds import flatten_feed_a, flatten_feed_b, flatten_xml_feed
+from ..operators.feeds import first_per_group, flatten_feed_a, flatten_feed_b, flatten_xml_feed
 from ..sources.feeds import read_feed_a_modes, read_feed_a_summary, read_feed_b, read_xml_feed
 
 
@@ -23,3 +23,18 @@ def results_from_feed_b(spark: SparkSession, paths, race: str, county_name: str)
     removed."""
     county = strip_first(F.lit(county_name), " County")
     return flatten_feed_b(read_feed_b(spark, paths), race, county)
+
+
+def relevant_contests(items: DataFrame, phrase: str, county_col: str = "county", pos_col: str = "pos",
+                      name_col: str = "name") -> DataFrame:
+    """Per county, the first ballot item (lowest list position) whose
+    name contains ``phrase`` -- the contest whose results are then read."""
+    return first_per_group(items, [county_col], pos_col, F.col(name_col).contains(phrase))
+
+
+def ballot_items(doc: DataFrame, county_col: str = "county") -> DataFrame:
+    """Ballot-item listings (``data[]{id, name[]{text}}`` per county) -> one
+    row per item with its list position."""
+    return (doc.select(county_col, F.posexplode("data").alias("pos", "item"))
+            .select(county_col, "pos", F.col("item.id").cast("string").alias("id"),
+                    F.element_at(F.col("item.name"), 1)["text"].alias("name")))

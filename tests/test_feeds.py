@@ -95,3 +95,28 @@ def test_fixed_width(spark, tmp_path):
     assert [r[0] for r in rows] == [99, 1234, 1234]
     assert {r[4] for r in rows} == {"D", "", "NP"}
     assert [r for r in rows if r[0] == 99][0][1] == "1"             # leading zeros dropped by the int
+
+
+def test_relevant_contests(spark, tmp_path):
+    from ballotlake.plans.feeds import ballot_items, relevant_contests
+    docs = [{"county": "fulton", "data": [{"id": 5, "name": [{"text": "Governor"}]},
+                                          {"id": 9, "name": [{"text": "US Senate"}]},
+                                          {"id": 3, "name": [{"text": "US Senate Special"}]}]},
+            {"county": "cobb", "data": [{"id": 1, "name": [{"text": "Mayor"}]}]}]
+    p = write(str(tmp_path / "items.json"), "\n".join(json.dumps(d) for d in docs) + "\n")
+    items = ballot_items(spark.read.schema("county string, data array<struct<id:long, name:array<struct<text:string>>>>")
+                         .json(p))
+    got = [(r.county, r.id, r.name) for r in relevant_contests(items, "US Senate").collect()]
+    assert got == [("fulton", "9", "US Senate")]
+
+
+def test_feed_a_mode_labels(spark, tmp_path):
+    s = write(str(tmp_path / "a/summary.json"), json.dumps([{"K": "1", "C": "Governor", "CH": ["Kemp"]}]))
+    write(str(tmp_path / "a/m/Advanced_Voting_Votes.json"), json.dumps({"Contests": [{"A": "P", "C": ["1"], "V": [[4]]}]}))
+    out = results_from_feed_a(spark, s, str(tmp_path / "a/m/*.json"), "Cobb")
+    assert [r.mode for r in out.collect()] == ["Advanced Voting Votes"]
+    from ballotlake.operators.feeds import flatten_feed_a
+    from ballotlake.sources.feeds import read_feed_a_modes, read_feed_a_summary
+    out2 = flatten_feed_a(read_feed_a_summary(spark, s), read_feed_a_modes(spark, str(tmp_path / "a/m/*.json")),
+                          "Cobb", mode_labels=[("Advanced Voting Votes", "Advance Voting Votes")])
+    assert [(r.mode, r.party) for r in out2.collect()] == [("Advance Voting Votes", "republican")]
