@@ -67,9 +67,12 @@ def best_match(names: DataFrame, labels: DataFrame, block: Sequence[str], name_c
     if token_sorted:
         pair = F.greatest(pair, similarity("__qs", "__ls"))
     score = F.when(F.col("__l").isNull(), F.lit(0)).otherwise(pair)
-    best = (pairs.groupBy(*block, name_col)
-            .agg(F.min(F.struct((-score).alias("neg"), F.col("__label").alias("label"),
-                                F.col("__id").alias("id"))).alias("__b")))
+    # The score is computed in a projection (whole-stage code generation,
+    # common subexpressions shared) before the struct-min aggregate, whose
+    # sort-based implementation would otherwise evaluate it row by row.
+    scored = pairs.select(*block, name_col, F.struct((-score).alias("neg"), F.col("__label").alias("label"),
+                                                     F.col("__id").alias("id")).alias("__c"))
+    best = scored.groupBy(*block, name_col).agg(F.min("__c").alias("__b"))
     return best.select(*block, name_col, F.col("__b.label").alias("label"), F.col("__b.id").alias("id"),
                        (-F.col("__b.neg")).cast("int").alias("score"))
 
