@@ -41,14 +41,18 @@ def nest_bounded(df: DataFrame, keys: Sequence[str], fields: Sequence[str | Colu
     partial aggregation map-side) joined back null-safely; AQE broadcasts
     it when small and splits skewed partitions of the big side.
     """
-    renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    counts = counts.select(*[F.col(k).alias(v) for k, v in renamed.items()], "__n")
-    cond = None
-    for k, v in renamed.items():
-        c = df[k].eqNullSafe(counts[v])
-        cond = c if cond is None else cond & c
-    joined = df.join(counts, cond, "inner") if keys else df.crossJoin(counts)
+    if keys:
+        renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        counts = counts.select(*[F.col(k).alias(v) for k, v in renamed.items()], "__n")
+        cond = None
+        for k, v in renamed.items():
+            c = df[k].eqNullSafe(counts[v])
+            cond = c if cond is None else cond & c
+        joined = df.join(counts, cond, "inner").drop(*renamed.values())
+    else:
+        # One group: its size is a scalar subquery (evaluated once, no join).
+        joined = df.withColumn("__n", df.agg(F.count(F.lit(1))).scalar())
     dtype = df.schema[spread_col].dataType
     spread = F.col(spread_col) if isinstance(dtype, IntegralType) else F.xxhash64(F.col(spread_col))
     parts = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_per_row))).cast("long")

@@ -77,3 +77,12 @@ def test_latest_with_hot_key(spark):
     out = latest_per_key(df, "k", "o")
     hot = out.filter(F.col("k") == 7).collect()
     assert {r.o for r in hot} == {4} and len(hot) == len({i for i in range(0, 20_000, 3) if i % 5 == 4})
+
+
+def test_nest_bounded_without_keys(spark):
+    df = spark.range(2500).select(F.col("id").alias("v"))
+    out = nest_bounded(df, [], ["v"], "vs", "v", max_per_row=1000)
+    rows = out.collect()
+    assert len(rows) == 3 and sum(len(r.vs) for r in rows) == 2500
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
