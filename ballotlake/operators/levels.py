@@ -37,7 +37,13 @@ def by_day_at_level(base: DataFrame, level: Sequence[str], anchor_date: str,
     """Counts per (level, day), the day offset to ``anchor_date`` and the
     running total within the level. Output is one row per (level keys, day),
     bounded by the number of calendar days per group."""
-    agg = (base.groupBy(*level, date_col)
+    # The (already reduced) base is hash-partitioned once by the level keys;
+    # the per-day aggregate and the running-total window both reuse that
+    # partitioning, so only one exchange sits between them. The state level
+    # (no keys) keeps map-side partial aggregation before its single
+    # partition of one row per day.
+    src = base.repartition(*level) if level else base
+    agg = (src.groupBy(*level, date_col)
            .agg(F.sum(count_col).cast("long").alias(count_col))
            .withColumn(days_col, days_from(date_col, anchor_date)))
     return running_total(agg, list(level), days_col, count_col, to_date_col)

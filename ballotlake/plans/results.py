@@ -47,8 +47,11 @@ def cleanse_results(results: DataFrame, name_map: DataFrame | None = None,
 
 
 def results_by_mode(base: DataFrame, level: Sequence[str], parties: Sequence[str] = PARTIES) -> DataFrame:
-    """Flat sums per (race, level keys, mode)."""
-    return base.groupBy("race", *level, "mode").agg(*[F.sum(p).alias(p) for p in parties])
+    """Flat sums per (race, level keys, mode). The reduced base is
+    partitioned once by (race, level keys); this aggregate and the per-race
+    nesting of ``results_nested`` both reuse that partitioning."""
+    return (base.repartition("race", *level)
+            .groupBy("race", *level, "mode").agg(*[F.sum(p).alias(p) for p in parties]))
 
 
 def results_nested(by_mode: DataFrame, level: Sequence[str], parties: Sequence[str] = PARTIES) -> DataFrame:
