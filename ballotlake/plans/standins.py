@@ -29,6 +29,23 @@ BALLOT_COLS = BallotColumns(county="County", precinct="County Precinct", status=
 
 
 _TABLES: dict[tuple[int, str], DataFrame] = {}
+_VIEWS: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def view(fn):
+    """Define a stand-in view once per session and table folder (like a
+    temporary view): the DataFrame is a plan, so reusing it re-reads the
+    data on every action but skips rebuilding the expressions."""
+    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (id(spark), sf_dir, fn.__name__)
+        df = _VIEWS.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = fn(spark, sf_dir)
+            _VIEWS[key] = df
+        return df
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +62,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+@view
 def ballots(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderpriority").alias("County"),
@@ -58,6 +76,7 @@ def _k(props: str = "props"):
     return F.get_json_object(F.col(props), "$.k").cast("int")
 
 
+@view
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_type", "value", "props")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -80,6 +99,7 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def results_name_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return (c.filter(F.col("c_acctbal") >= 0)
@@ -90,6 +110,7 @@ def results_name_map(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(100.0).alias("score")))
 
 
+@view
 def line_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2-shaped rows from lineitem x part for the C8 totals."""
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_quantity")
@@ -117,6 +138,7 @@ def profile_sources(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, f
     return out
 
 
+@view
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -128,6 +150,7 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_mktsegment").alias("city"))
 
 
+@view
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
     code = F.substring("o_orderpriority", 1, 1)
@@ -144,6 +167,7 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def history_old_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7a-shaped rows (text flags Y/N/blank) from lineitem."""
     li = table(spark, sf_dir, "lineitem")
@@ -161,6 +185,7 @@ def history_old_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
 def election_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region")
     return r.select(F.col("r_regionkey").alias("electionType"), F.col("r_name").alias("electionTypeName"))
@@ -171,6 +196,7 @@ def election_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 MATCH_RULES = (("SMALL", "first_token", ""), ("MEDIUM", "first_token", "C"))
 
 
+@view
 def match_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free-text names: part name + brand, blocked by part type."""
     p = table(spark, sf_dir, "part")
@@ -178,6 +204,7 @@ def match_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat_ws(" ", "p_name", "p_brand").alias("name"))
 
 
+@view
 def match_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map labels: distinct part names; id = upper first word."""
     p = table(spark, sf_dir, "part")
@@ -186,6 +213,7 @@ def match_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_name").alias("precinctName")).distinct()
 
 
+@view
 def match_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").filter(F.col("p_size") == 50)
     return p.select(F.upper("p_type").alias("county"),
@@ -198,11 +226,13 @@ def match_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(MATCH_RULES), "county string, rule string, suffix string")
 
 
+@view
 def id_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(F.col("p_type").alias("county"), F.upper("p_brand").alias("precinct")).distinct()
 
 
+@view
 def id_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(F.col("p_type").alias("county"),
@@ -214,6 +244,7 @@ def id_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 THIN_TOLERANCE = 0.05
 
 
+@view
 def rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ring per embedding: consecutive value pairs are (x, y)."""
     from ..operators.geometry import points_from_flat
@@ -227,6 +258,7 @@ KEYWORDS = (("republican", ("RED", "HOT")), ("democratic", ("BLUE", "COLD")))
 FLAG_MODES = {"A": "Absentee by Mail", "N": "Election Day", "R": "Provisional"}
 
 
+@view
 def fixed_width_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History lines in the 3/8/8/3/2/1/1/1 layout, written from orders."""
     o = table(spark, sf_dir, "orders")
@@ -244,6 +276,7 @@ def fixed_width_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(line.alias("value"))
 
 
+@view
 def region_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per region: locality name plus parallel pipe-delimited lists
     of its nations' names and keys (bounded by the nation dimension)."""
@@ -256,6 +289,7 @@ def region_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat_ws("|", F.transform("ns", lambda x: x["n_nationkey"].cast("string"))).alias("keys"))
 
 
+@view
 def two_ring_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One polygon per embedding: values 0-31 are the outer ring, values
     32-63 a hole (16 vertices each)."""
