@@ -44,10 +44,15 @@ def get_session(master: str | None = None, app: str = "ballotlake",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir`` when set; only when it is
-    unset (local tests) fall back to a fresh scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``. Only a local
+    master (tests, a laptop) may fall back to a fresh scratch folder; on a
+    cluster an unset setting is an error, because a machine-local folder
+    would not survive the loss of that machine."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
         d = tempfile.mkdtemp(prefix="ballotlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
