@@ -90,8 +90,9 @@ def flatten_feed_a(summary: DataFrame, modes: DataFrame, county: str | Column,
 
     Contest ids and vote lists are parallel arrays: zipped, exploded with
     their positions, then the candidate is ``CH[position]``. Contests not
-    in the (filtered) summary are skipped by the inner join; the summary is
-    one small row per contest, so it is broadcast. The hidden total line
+    in the (filtered) summary are skipped by the inner join; the summary
+    holds one row per contest and is left to AQE, which broadcasts it when
+    its measured size is small. The hidden total line
     (``A = '-1'``) is dropped. ``mode_labels`` optionally maps mode names
     to one vocabulary shared with the other feeds (e.g. ``("Advanced Voting
     Votes", "Advance Voting Votes")``); by default they are kept as named.
@@ -106,7 +107,7 @@ def flatten_feed_a(summary: DataFrame, modes: DataFrame, county: str | Column,
                  F.explode(F.arrays_zip(F.col("p.C").alias("cid"), F.col("p.V").alias("votes"))).alias("z"))
          .select("mode", "precinct", F.col("z.cid").cast("string").alias("contest_id"),
                  F.posexplode("z.votes").alias("pos", "votes")))
-    j = p.join(F.broadcast(s), "contest_id", "inner")
+    j = p.join(s, "contest_id", "inner")
     cand = F.element_at(F.col("choices"), F.col("pos") + 1)
     cty = county if isinstance(county, Column) else F.lit(county)
     return (j.select("race", cty.alias("county"), "precinct", cand.alias("candidate"),
