@@ -38,3 +38,23 @@ def ballot_items(doc: DataFrame, county_col: str = "county") -> DataFrame:
     return (doc.select(county_col, F.posexplode("data").alias("pos", "item"))
             .select(county_col, "pos", F.col("item.id").cast("string").alias("id"),
                     F.element_at(F.col("item.name"), 1)["text"].alias("name")))
+
+
+def manifest_records(doc: DataFrame, col: str = "participatingcounties") -> DataFrame:
+    """S12, current layout: an array of ``"county|electionId|version|..."``
+    strings -> one row per county with its first three fields."""
+    rec = F.split(F.col("r"), r"\|")
+    return (doc.select(F.explode(col).alias("r"))
+            .select(F.element_at(rec, 1).alias("county"), F.element_at(rec, 2).alias("countyElectionId"),
+                    F.element_at(rec, 3).alias("version")))
+
+
+def manifest_parallel(doc: DataFrame, ids: str = "Eid", names: str = "P") -> DataFrame:
+    """S12, older layout: parallel arrays of county election ids and county
+    names -> one row per position; the name's first blank becomes ``_``
+    (the form used in the feed's paths)."""
+    from ..functions.text import underscore_spaces
+    z = F.arrays_zip(F.col(ids).alias("eid"), F.col(names).alias("name"))
+    return (doc.select(F.posexplode(z).alias("pos", "z"))
+            .select("pos", underscore_spaces(F.col("z.name"), every_whitespace=False).alias("county"),
+                    F.col("z.eid").cast("string").alias("countyElectionId")))

@@ -120,3 +120,14 @@ def test_feed_a_mode_labels(spark, tmp_path):
     out2 = flatten_feed_a(read_feed_a_summary(spark, s), read_feed_a_modes(spark, str(tmp_path / "a/m/*.json")),
                           "Cobb", mode_labels=[("Advanced Voting Votes", "Advance Voting Votes")])
     assert [(r.mode, r.party) for r in out2.collect()] == [("Advance Voting Votes", "republican")]
+
+
+def test_county_manifests(spark, tmp_path):
+    from ballotlake.plans.feeds import manifest_parallel, manifest_records
+    a = spark.createDataFrame([(["Appling|105369|270957|x", "Ben Hill|105370|270958"],)],
+                              "participatingcounties array<string>")
+    assert [tuple(r) for r in manifest_records(a).collect()] == [("Appling", "105369", "270957"),
+                                                                 ("Ben Hill", "105370", "270958")]
+    b = spark.createDataFrame([([11, 12], ["Jeff Davis County", "Cobb"])], "Eid array<long>, P array<string>")
+    assert [(r.pos, r.county, r.countyElectionId) for r in manifest_parallel(b).collect()] == \
+        [(0, "Jeff_Davis County", "11"), (1, "Cobb", "12")]
