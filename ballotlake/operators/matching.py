@@ -34,7 +34,8 @@ def _parallelism(spark) -> int:
 
 def best_match(names: DataFrame, labels: DataFrame, block: Sequence[str], name_col: str,
                label_col: str, id_col: str, token_sorted: bool = True,
-               salt_buckets: int = 1, pair_partitions: int | None = None) -> DataFrame:
+               salt_buckets: int = 1, pair_partitions: int | None = None,
+               names_distinct: bool = False) -> DataFrame:
     """For each distinct (block, name): the best-scoring label of the same
     block, its id and the integer score 0..100 (ties: lower label, then id).
     A name whose block has no label gets a null label and score 0.
@@ -49,8 +50,10 @@ def best_match(names: DataFrame, labels: DataFrame, block: Sequence[str], name_c
     k = pair_partitions or _parallelism(names.sparkSession)
     # Normalised and token-sorted text is computed once per name / label,
     # before the join, so each pair only costs the two distance computations.
-    n = (names.select(*block, name_col).filter(F.col(name_col).isNotNull()).distinct()
-         .repartition(k, *block, name_col)
+    n = names.select(*block, name_col).filter(F.col(name_col).isNotNull())
+    if not names_distinct:
+        n = n.distinct()
+    n = (n.repartition(k, *block, name_col)
          .withColumn("__q", squeeze_upper(name_col)))
     n = n.withColumn("__qs", token_sort("__q") if token_sorted else F.col("__q"))
     lab = (labels.select(*block, F.col(label_col).alias("__label"), F.col(id_col).alias("__id"))
@@ -128,7 +131,8 @@ def resolve_names(names: DataFrame, labels: DataFrame, overrides: DataFrame | No
             F.when(F.col("mapPrecinctName").isNull(), 0).otherwise(100).alias("score"),
             F.lit("rule").alias("rule")))
         rest = j.filter(F.col("rule").isNull()).select("county", "name")
-    fz = best_match(rest, lab, ["county"], "name", "precinctName", "precinct", token_sorted, salt_buckets)
+    fz = best_match(rest, lab, ["county"], "name", "precinctName", "precinct", token_sorted, salt_buckets,
+                    names_distinct=True)
     parts.append(fz.select("county", F.col("id").alias("precinct"), F.col("label").alias("mapPrecinctName"),
                            F.col("name").alias("electionResultsPrecinctName"), "score",
                            F.lit("fuzzy").alias("rule")))
