@@ -23,6 +23,7 @@ XML = """<?xml version="1.0"?>
       <VoteType name="Election Day Votes"><Precinct name="P1" votes="12"/></VoteType>
       <VoteType name="Absentee by Mail Votes"><Precinct name="P1" votes="3"/></VoteType>
     </Choice>
+    <Choice text="Write-in"></Choice>
     <VoteType name="Undervotes"><Precinct name="P1" votes="2"/></VoteType>
   </Contest>
   <Contest text="Governor">
@@ -46,8 +47,8 @@ def test_xml_feed(spark, tmp_path):
         ("US Senate Special", "Fulton", "P1", "Raphael Warnock (Dem)", "democratic", "Absentee by Mail Votes", 3),
         ("US Senate Special", "Fulton", "P1", "Under/Over Votes", "other", "Absentee by Mail Votes", 2),
     ])
-    rj = rejects.collect()
-    assert [(r.race, r.reason) for r in rj] == [("Governor", "no choices")]
+    rj = sorted((r.race, r.candidate, r.reason) for r in rejects.collect())
+    assert rj == [("Governor", None, "no choices"), ("US Senate Special", "Write-in", "no vote types")]
 
 
 def test_feed_a(spark, tmp_path):
