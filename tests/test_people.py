@@ -122,3 +122,13 @@ def test_profile_source_tags_with_globs(spark, tmp_path):
             (str(tmp_path / "absentee/2022_runoff/data/*.csv"), 2022.1)]
     got = {r["Voter Registration #"]: r.absenteeDataYear for r in read_profile_sources(spark, srcs).collect()}
     assert got == {1: 2022.0, 2: 2022.1}
+
+
+def test_union_tagged_drift(spark):
+    a = spark.createDataFrame([(1, "x", 2.5)], "id int, city string, price double")
+    b = spark.createDataFrame([(2, "y")], "id int, city string")
+    u = P.union_tagged([(a, 2022.0), (b, 2024.1)], "absenteeDataYear")
+    got = sorted(map(tuple, u.select("id", "city", "price", "absenteeDataYear").collect()))
+    assert got == [(1, "x", 2.5, 2022.0), (2, "y", None, 2024.1)]
+    plan = u._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan                     # a union of scans, no shuffle
