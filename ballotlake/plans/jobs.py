@@ -54,7 +54,8 @@ def result_summaries(spark: SparkSession, election: Mapping, levels: Sequence[Se
 
 
 def run_elections(spark: SparkSession, config: Sequence[Mapping] | str, out_dir: str,
-                  levels: Sequence[Sequence[str]] = DEFAULT_LEVELS, single_document: bool = False) -> list[str]:
+                  levels: Sequence[Sequence[str]] = DEFAULT_LEVELS, single_document: bool = False,
+                  ballots_dir: str = "ballots_by_day", results_dir: str = "results") -> list[str]:
     """Run every enabled summary of every configured election; returns the
     written paths. Each election's cleansed base is persisted while its
     levels are written and released afterwards. ``single_document`` writes
@@ -63,8 +64,8 @@ def run_elections(spark: SparkSession, config: Sequence[Mapping] | str, out_dir:
     elections = load_config(config) if isinstance(config, str) else list(config)
     written = []
     for e in elections:
-        for flag, build, sub in (("absenteeSummarize", ballot_summaries, "absenteeSummary"),
-                                 ("resultsSummarize", result_summaries, "electionResultsSummary")):
+        for flag, build, sub in (("absenteeSummarize", ballot_summaries, ballots_dir),
+                                 ("resultsSummarize", result_summaries, results_dir)):
             if not e.get(flag):
                 continue
             base, summaries = build(spark, e, levels)

@@ -19,7 +19,7 @@ def test_run_elections(spark, tmp_path):
             "resultsDownloadFile": str(tmp_path / "res.csv"),
             "resultsPrecinctNameToMapFile": str(tmp_path / "map.csv")},
            {"name": "off", "date": "2022-11-08", "absenteeSummarize": False, "resultsSummarize": False}]
-    cpath = write(str(tmp_path / "elections.json"), json.dumps(cfg))
+    cpath = write(str(tmp_path / "config.json"), json.dumps(cfg))
     out = run_elections(spark, cpath, str(tmp_path / "out"), single_document=True)
     assert len(out) == 6
     doc = json.loads(open(glob.glob(out[2] + "/part-*")[0]).read())       # absentee statewide
