@@ -7,13 +7,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import people as P
 from . import sql_ballots as SB
+from . import sql_feeds as SF
+from . import sql_geo as SG
+from . import sql_names as SN
+from . import sql_people as SP
 from . import standins as S
+from ..functions import text as T
+from ..functions.flags import code_map
+from ..functions.text import canonical_prefix, composite_id
+from ..operators import feeds as FD
+from ..operators import geometry as G
+from ..operators import matching as M
+from ..operators.enrich import left_enrich_with_report
+from ..operators.latest import latest_per_key
+from ..operators.levels import by_day_at_level
+from ..operators.nest import json_text, nest_bounded
+from ..sources.fixed_width import parse_fixed_width, type_history_old
 from .ballots import ballots_all_levels, cleanse_ballots, nested_by_day
 from .results import (candidate_totals, cleanse_results, county_totals, results_by_mode,
                       results_nested)
-from ..operators.levels import by_day_at_level
-from ..operators.nest import json_text, nest_bounded
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,10 +126,6 @@ def q_county_totals(spark, d):
 
 # -- C3/C4: people ---------------------------------------------------------
 
-from . import people as P  # noqa: E402
-from . import sql_people as SP  # noqa: E402
-from ..functions.text import canonical_prefix  # noqa: E402
-from ..operators.latest import latest_per_key  # noqa: E402
 
 NEST_MAX = 10_000
 
@@ -198,9 +208,6 @@ def q_profile_search(spark, d):
 
 # -- C5: name resolution ---------------------------------------------------
 
-from . import sql_names as SN  # noqa: E402
-from ..operators import matching as M  # noqa: E402
-
 
 @register("best_match", SN.BEST_MATCH)
 def q_best_match(spark, d):
@@ -230,10 +237,6 @@ def q_match_ids(spark, d):
 
 # -- C6: geography ---------------------------------------------------------
 
-from . import sql_geo as SG  # noqa: E402
-from ..functions.text import composite_id  # noqa: E402
-from ..operators import geometry as G  # noqa: E402
-
 
 @register("ring_centroid", SG.RING_CENTROID)
 def q_ring_centroid(spark, d):
@@ -270,12 +273,6 @@ def q_composite_id(spark, d):
 
 # -- C7: feeds and text functions ----------------------------------------
 
-from . import sql_feeds as SF  # noqa: E402
-from ..functions import text as T  # noqa: E402
-from ..functions.flags import code_map  # noqa: E402
-from ..operators import feeds as FD  # noqa: E402
-from ..sources.fixed_width import parse_fixed_width, type_history_old  # noqa: E402
-
 
 @register("fixed_width", SF.FIXED_WIDTH)
 def q_fixed_width(spark, d):
@@ -341,8 +338,6 @@ def q_label_cleanup(spark, d):
 
 # -- enrichment with an unmatched report (J1/J2/J9) ------------------------
 
-from ..operators.enrich import left_enrich_with_report  # noqa: E402
-
 
 def _enriched(spark, d):
     s = S.table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey")
