@@ -75,3 +75,17 @@ def test_default_rules(spark):
     got = {r.electionResultsPrecinctName: (r.precinct, r.mapPrecinctName, r.score) for r in m.collect()}
     assert got["1-01 Somewhere"] == ("1-01C", "ONE", 100)
     assert got["R7"][0] == "R7" and got["R7"][2] < 95              # 2018: no rule, fuzzy on names
+
+
+def test_id_score_thresholds(spark):
+    from ballotlake.plans.names import absentee_id_map
+    label = "A" * 100
+    labels = spark.createDataFrame([("FULTON", label, "x")], LSCHEMA)
+    # distance d to a 100-character label gives score 100 - d
+    names = {100 - d: "A" * (100 - d) + "B" * d for d in (0, 1, 19, 20, 21)}
+    summary = spark.createDataFrame([("fulton", n) for n in names.values()] + [("fulton", None)],
+                                    "county string, precinct string")
+    kept, review = absentee_id_map(summary, labels)
+    got = {r.absenteePrecinct: r.score for r in kept.collect()}
+    assert sorted(got.values()) == [81, 99, 100]                  # 79 and 80 are not > 80; null skipped
+    assert sorted(r.score for r in review.collect()) == [81, 99]   # review: < 100
