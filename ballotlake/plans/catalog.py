@@ -368,3 +368,9 @@ def q_county_collections(spark, d):
     f = e.select("vec_id", "label", F.floor(F.size("embedding") / 2).cast("int").alias("vertices"))
     out = nest_bounded(f, ["label"], ["vec_id", "vertices"], "features", "vec_id", NEST_MAX)
     return out.withColumn("features", json_text("features"))
+
+
+@register("feed_b_flatten", SF.FEED_B)
+def q_feed_b_flatten(spark, d):
+    county = T.strip_first(F.lit("Fulton County"), " County")
+    return FD.flatten_feed_b(S.feed_b_documents(spark, d), "Feed Race", county)

@@ -70,3 +70,13 @@ SELECT p_partkey,
             ELSE upper(trim(code)) END AS party
 FROM p
 """
+
+FEED_B = """
+WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) AS precinct, 'opt ' || CAST(l_linenumber AS VARCHAR) AS candidate,
+                  CASE l_returnflag WHEN 'R' THEN 'republican' WHEN 'A' THEN 'democratic' ELSE 'unknown' END AS party,
+                  CAST(l_quantity AS BIGINT) AS qty, l_linestatus = 'O' AS open_line
+           FROM lineitem)
+SELECT 'Feed Race' AS race, 'Fulton' AS county, precinct, candidate, party,
+       CASE WHEN open_line AND qty <> 0 THEN 'Election Day Votes' ELSE 'Unknown' END AS mode, qty AS votes
+FROM l WHERE qty > 0
+"""

@@ -299,3 +299,36 @@ def two_ring_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     outer = points_from_flat(F.slice("embedding", 1, n / 2))
     hole = points_from_flat(F.slice("embedding", n / 2 + 1, n / 2))
     return e.select("vec_id", "label", F.array(F.array(outer, hole)).alias("geometry"))
+
+
+@view
+def feed_b_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed-B shaped documents derived from lineitem: one document per order
+    (the order is the precinct), one ballot option per line (party code from
+    the return flag), per-mode results split by line status; lines that are
+    not open report zeros in every mode, so only their total is usable."""
+    li = table(spark, sf_dir, "lineitem")
+    qty = F.col("l_quantity").cast("long")
+    open_ = F.col("l_linestatus") == "O"
+
+    def name(c):
+        return F.array(F.struct(c.alias("text")))
+
+    lines = li.select(
+        "l_orderkey", "l_linenumber",
+        name(F.concat(F.lit("opt "), F.col("l_linenumber").cast("string"))).alias("name"),
+        F.struct(name(F.when(F.col("l_returnflag") == "R", "REP").when(F.col("l_returnflag") == "A", "DEM")
+                      .otherwise("")).alias("name")).alias("party"),
+        qty.alias("voteCount"),
+        F.array(F.struct(name(F.lit("Election Day")).alias("groupName"),
+                         F.when(open_, qty).otherwise(F.lit(0).cast("long")).alias("voteCount")),
+                F.struct(name(F.lit("Absentee by Mail")).alias("groupName"),
+                         F.lit(0).cast("long").alias("voteCount"))).alias("groupResults"))
+    # One document per order; an order with more than 10,000 lines would be
+    # split into several documents for the same precinct (nest_bounded).
+    from ..operators.nest import nest_bounded
+    docs = nest_bounded(lines, ["l_orderkey"], ["name", "party", "voteCount", "groupResults"], "ballotOptions",
+                        "l_linenumber", 10_000)
+    return docs.select(F.array(F.struct(
+        F.struct(name(F.col("l_orderkey").cast("string")).alias("name")).alias("precinct"),
+        F.col("ballotOptions"))).alias("breakdownResults"))

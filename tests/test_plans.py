@@ -58,6 +58,7 @@ EXCHANGE_BUDGET = {
     "enrich_unmatched_report": 0,
     "feature_centroid": 0,
     "county_collections": 2,
+    "feed_b_flatten": 3,
 }
 
 
