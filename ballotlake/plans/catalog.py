@@ -374,3 +374,9 @@ def q_county_collections(spark, d):
 def q_feed_b_flatten(spark, d):
     county = T.strip_first(F.lit("Fulton County"), " County")
     return FD.flatten_feed_b(S.feed_b_documents(spark, d), "Feed Race", county)
+
+
+@register("feed_a_flatten", SF.FEED_A)
+def q_feed_a_flatten(spark, d):
+    return FD.flatten_feed_a(S.feed_a_summary(spark, d), S.feed_a_modes(spark, d), "Cobb",
+                             phrases=S.FEED_A_PHRASES, keywords=S.STATUS_KEYWORDS)

@@ -72,11 +72,21 @@ FROM p
 """
 
 FEED_B = """
-WITH l AS (SELECT CAST(l_orderkey AS VARCHAR) AS precinct, 'opt ' || CAST(l_linenumber AS VARCHAR) AS candidate,
-                  CASE l_returnflag WHEN 'R' THEN 'republican' WHEN 'A' THEN 'democratic' ELSE 'unknown' END AS party,
-                  CAST(l_quantity AS BIGINT) AS qty, l_linestatus = 'O' AS open_line
-           FROM lineitem)
-SELECT 'Feed Race' AS race, 'Fulton' AS county, precinct, candidate, party,
-       CASE WHEN open_line AND qty <> 0 THEN 'Election Day Votes' ELSE 'Unknown' END AS mode, qty AS votes
-FROM l WHERE qty > 0
+SELECT 'Feed Race' AS race, 'Fulton' AS county, CAST(o_custkey AS VARCHAR) AS precinct,
+       'opt ' || o_orderstatus AS candidate,
+       CASE o_orderstatus WHEN 'F' THEN 'republican' WHEN 'O' THEN 'democratic' ELSE 'unknown' END AS party,
+       CASE WHEN o_orderpriority = '1-URGENT' AND CAST(floor(o_totalprice / 1000) AS BIGINT) <> 0
+            THEN 'Election Day Votes' ELSE 'Unknown' END AS mode,
+       CAST(floor(o_totalprice / 1000) AS BIGINT) AS votes
+FROM orders WHERE CAST(floor(o_totalprice / 1000) AS BIGINT) > 0
+"""
+
+FEED_A = """
+SELECT o_orderpriority AS race, 'Cobb' AS county, CAST(o_custkey AS VARCHAR) AS precinct, o_orderstatus AS candidate,
+       CASE WHEN contains(upper(o_orderstatus), 'F') THEN 'republican'
+            WHEN contains(upper(o_orderstatus), 'O') THEN 'democratic' ELSE 'other' END AS party,
+       CASE WHEN o_totalprice < 200000 THEN 'Election Day Votes' ELSE 'Absentee by Mail Votes' END AS mode,
+       CAST(floor(o_totalprice / 1000) AS BIGINT) AS votes
+FROM orders
+WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND CAST(floor(o_totalprice / 1000) AS BIGINT) > 0
 """

@@ -18,7 +18,7 @@ sampling). The mapping is fixed here once and mirrored by the oracle SQL:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .ballots import BallotColumns
 
@@ -303,32 +303,72 @@ def two_ring_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @view
 def feed_b_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed-B shaped documents derived from lineitem: one document per order
-    (the order is the precinct), one ballot option per line (party code from
-    the return flag), per-mode results split by line status; lines that are
-    not open report zeros in every mode, so only their total is usable."""
-    li = table(spark, sf_dir, "lineitem")
-    qty = F.col("l_quantity").cast("long")
-    open_ = F.col("l_linestatus") == "O"
+    """Feed-B shaped documents derived from orders, one per order: the
+    customer is the precinct, the order one ballot option named after its
+    status (party code F -> REP, O -> DEM, P -> empty) with votes =
+    thousands of its price; per-mode results count them on election day
+    for urgent orders and report zeros otherwise (then only the total is
+    usable). Map-only: no grouping is needed to form the documents."""
+    o = table(spark, sf_dir, "orders")
+    votes = F.floor(F.col("o_totalprice") / 1000).cast("long")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
 
     def name(c):
         return F.array(F.struct(c.alias("text")))
 
-    lines = li.select(
-        "l_orderkey", "l_linenumber",
-        name(F.concat(F.lit("opt "), F.col("l_linenumber").cast("string"))).alias("name"),
-        F.struct(name(F.when(F.col("l_returnflag") == "R", "REP").when(F.col("l_returnflag") == "A", "DEM")
+    option = F.struct(
+        name(F.concat(F.lit("opt "), F.col("o_orderstatus"))).alias("name"),
+        F.struct(name(F.when(F.col("o_orderstatus") == "F", "REP").when(F.col("o_orderstatus") == "O", "DEM")
                       .otherwise("")).alias("name")).alias("party"),
-        qty.alias("voteCount"),
+        votes.alias("voteCount"),
         F.array(F.struct(name(F.lit("Election Day")).alias("groupName"),
-                         F.when(open_, qty).otherwise(F.lit(0).cast("long")).alias("voteCount")),
+                         F.when(urgent, votes).otherwise(F.lit(0).cast("long")).alias("voteCount")),
                 F.struct(name(F.lit("Absentee by Mail")).alias("groupName"),
                          F.lit(0).cast("long").alias("voteCount"))).alias("groupResults"))
-    # One document per order; an order with more than 10,000 lines would be
-    # split into several documents for the same precinct (nest_bounded).
-    from ..operators.nest import nest_bounded
-    docs = nest_bounded(lines, ["l_orderkey"], ["name", "party", "voteCount", "groupResults"], "ballotOptions",
-                        "l_linenumber", 10_000)
-    return docs.select(F.array(F.struct(
-        F.struct(name(F.col("l_orderkey").cast("string")).alias("name")).alias("precinct"),
-        F.col("ballotOptions"))).alias("breakdownResults"))
+    return o.select(F.array(F.struct(
+        F.struct(name(F.col("o_custkey").cast("string")).alias("name")).alias("precinct"),
+        F.array(option).alias("ballotOptions"))).alias("breakdownResults"))
+
+
+FEED_A_PHRASES = ("1-URGENT", "2-HIGH", "3-MEDIUM")
+STATUS_KEYWORDS = (("republican", ("F",)), ("democratic", ("O",)))
+
+
+def _order_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    return o.select(F.when(F.col("o_totalprice") < 200000, "Election Day Votes").otherwise("Absentee by Mail Votes")
+                    .alias("mode"), F.col("o_custkey").cast("string").alias("precinct"),
+                    F.col("o_orderpriority").alias("contest"), F.col("o_orderstatus").alias("candidate"),
+                    F.floor(F.col("o_totalprice") / 1000).cast("long").alias("q"))
+
+
+@view
+def feed_a_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed-A contest summary: one row per order priority (contest id K,
+    text C with a '/' suffix, candidate list CH = its order statuses,
+    sorted)."""
+    o = table(spark, sf_dir, "orders")
+    g = o.groupBy("o_orderpriority").agg(F.array_sort(F.collect_set("o_orderstatus")).alias("CH"))
+    return g.select(F.col("o_orderpriority").alias("K"), F.concat(F.col("o_orderpriority"), F.lit("/stand-in"))
+                    .alias("C"), "CH")
+
+
+@view
+def feed_a_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed-A mode documents: one per order (its customer is the precinct)
+    with the parallel arrays C = [contest] and V = [votes per candidate in
+    summary order: the order's votes at its status, zeros elsewhere], plus
+    one '-1' total line per mode (the only aggregate, over mode x contest x
+    status)."""
+    v = _order_votes(spark, sf_dir)
+    ch = feed_a_summary(spark, sf_dir).select(F.col("K").alias("contest"), "CH")
+
+    def doc(df: DataFrame, precinct: Column) -> DataFrame:
+        aligned = F.transform("CH", lambda c: F.when(c == F.col("candidate"), F.col("q"))
+                              .otherwise(F.lit(0).cast("long")))
+        return (df.join(ch, "contest", "inner")
+                .select("mode", F.array(F.struct(precinct.alias("A"), F.array("contest").alias("C"),
+                                                 F.array(aligned).alias("V"))).alias("Contests")))
+
+    totals = v.groupBy("mode", "contest", "candidate").agg(F.sum("q").alias("q"))
+    return doc(v, F.col("precinct")).unionByName(doc(totals, F.lit("-1")))

@@ -58,7 +58,8 @@ EXCHANGE_BUDGET = {
     "enrich_unmatched_report": 0,
     "feature_centroid": 0,
     "county_collections": 2,
-    "feed_b_flatten": 3,
+    "feed_b_flatten": 0,
+    "feed_a_flatten": 5,
 }
 
 
