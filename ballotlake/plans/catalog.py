@@ -380,3 +380,10 @@ def q_feed_b_flatten(spark, d):
 def q_feed_a_flatten(spark, d):
     return FD.flatten_feed_a(S.feed_a_summary(spark, d), S.feed_a_modes(spark, d), "Cobb",
                              phrases=S.FEED_A_PHRASES, keywords=S.STATUS_KEYWORDS)
+
+
+@register("xml_flatten", SF.XML_FEED)
+def q_xml_flatten(spark, d):
+    from ..sources.feeds import XML_SCHEMA
+    doc = S.xml_documents(spark, d).select(F.from_xml("xml", XML_SCHEMA).alias("d")).select("d.*")
+    return FD.flatten_xml_feed(doc)[0]

@@ -90,3 +90,15 @@ SELECT o_orderpriority AS race, 'Cobb' AS county, CAST(o_custkey AS VARCHAR) AS
 FROM orders
 WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND CAST(floor(o_totalprice / 1000) AS BIGINT) > 0
 """
+
+XML_FEED = """
+SELECT 'US Senate Special' AS race, c_mktsegment AS county, CAST(c_custkey AS VARCHAR) AS precinct,
+       CASE WHEN c_acctbal >= 5000 THEN 'Kemp' ELSE 'Ossoff' END AS candidate,
+       CASE WHEN c_acctbal >= 5000 THEN 'republican' ELSE 'democratic' END AS party,
+       'Election Day Votes' AS mode, CAST(floor(c_acctbal / 100) AS BIGINT) AS votes
+FROM customer WHERE CAST(floor(c_acctbal / 100) AS BIGINT) > 0
+UNION ALL
+SELECT 'US Senate Special' AS race, c_mktsegment AS county, CAST(c_custkey AS VARCHAR) AS precinct,
+       'Under/Over Votes' AS candidate, 'other' AS party, 'Absentee by Mail Votes' AS mode, CAST(1 AS BIGINT) AS votes
+FROM customer
+"""

@@ -372,3 +372,36 @@ def feed_a_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     totals = v.groupBy("mode", "contest", "candidate").agg(F.sum("q").alias("q"))
     return doc(v, F.col("precinct")).unionByName(doc(totals, F.lit("-1")))
+
+
+@view
+def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result-feed XML text derived from customer, one document per
+    customer: the market segment is the county, the customer a precinct;
+    a "US Senate Special Election/..." contest with one candidate (Kemp
+    for balances of 5,000 and more, Ossoff otherwise) whose election-day
+    votes are hundreds of the balance (negative -> dropped), one
+    under/over vote, and an unwanted "County Clerk" contest. Serialised
+    with ``to_xml`` (attributes from the ``_``-prefixed fields), so reading
+    it back is a real XML parse."""
+    c = table(spark, sf_dir, "customer")
+    pre = F.col("c_custkey").cast("string")
+    votes = F.floor(F.col("c_acctbal") / 100).cast("long")
+    cand = F.when(F.col("c_acctbal") >= 5000, "Kemp").otherwise("Ossoff")
+
+    def precinct(v):
+        return F.array(F.struct(pre.alias("_name"), v.alias("_votes")))
+
+    def contest(text, candidate):
+        return F.struct(
+            text.alias("_text"),
+            F.array(F.struct(candidate.alias("_text"), F.array(F.struct(
+                F.lit("Election Day Votes").alias("_name"), precinct(votes).alias("Precinct"))).alias("VoteType")))
+            .alias("Choice"),
+            F.array(F.struct(F.lit("Undervotes").alias("_name"), precinct(F.lit(1).cast("long")).alias("Precinct")))
+            .alias("VoteType"))
+
+    senate = contest(F.concat(F.lit("US Senate Special Election/"), F.col("c_nationkey").cast("string")), cand)
+    clerk = contest(F.lit("County Clerk"), F.lit("Someone"))
+    doc = F.struct(F.col("c_mktsegment").alias("Region"), F.array(senate, clerk).alias("Contest"))
+    return c.select(F.to_xml(doc, {"rowTag": "ElectionResult"}).alias("xml"))

@@ -60,6 +60,7 @@ EXCHANGE_BUDGET = {
     "county_collections": 2,
     "feed_b_flatten": 0,
     "feed_a_flatten": 5,
+    "xml_flatten": 0,
 }
 
 
