@@ -387,3 +387,21 @@ def q_xml_flatten(spark, d):
     from ..sources.feeds import XML_SCHEMA
     doc = S.xml_documents(spark, d).select(F.from_xml("xml", XML_SCHEMA).alias("d")).select("d.*")
     return FD.flatten_xml_feed(doc)[0]
+
+
+def _features(spark, d):
+    from ..sources.geojson import parse_features
+    return parse_features(S.geojson_text(spark, d), "feature", S.FEATURE_PROPERTIES)
+
+
+@register("geojson_features", SG.GEOJSON_FEATURES)
+def q_geojson_features(spark, d):
+    from .geography import precinct_features
+    f = precinct_features(_features(spark, d))
+    return f.select("id", "CTYNAME", "PRECINCT_I", F.col("centroid")[0].alias("cx"), F.col("centroid")[1].alias("cy"))
+
+
+@register("county_demographics", SG.COUNTY_DEMOGRAPHICS)
+def q_county_demographics(spark, d):
+    from .geography import county_demographics
+    return county_demographics(_features(spark, d), counts=("REG20", "WMREG20"))

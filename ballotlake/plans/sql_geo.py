@@ -108,3 +108,23 @@ SELECT label, CAST(((vec_id % greatest(1, CAST(ceil(n / {max_per_row}) AS BIGINT
        CAST(to_json(list({{'vec_id': vec_id, 'vertices': vertices}} ORDER BY vec_id, vertices)) AS VARCHAR) AS features
 FROM c GROUP BY ALL
 """
+
+
+GEOJSON_FEATURES = f"""
+WITH m AS ({_ring_stats(RINGS)})
+SELECT CASE WHEN label <> 0 THEN upper('county' || CAST(label AS VARCHAR)) || '##' || upper('p' || CAST(vec_id AS VARCHAR))
+            ELSE upper('county' || CAST(label AS VARCHAR)) END AS id,
+       upper('county' || CAST(label AS VARCHAR)) AS "CTYNAME",
+       CASE WHEN label <> 0 THEN 'p' || CAST(vec_id AS VARCHAR) END AS "PRECINCT_I",
+       (1.0 * abs(a2 / 2) * (mx / (3.0 * a2))) / (1.0 * abs(a2 / 2)) AS cx,
+       (1.0 * abs(a2 / 2) * (my / (3.0 * a2))) / (1.0 * abs(a2 / 2)) AS cy
+FROM m
+"""
+
+COUNTY_DEMOGRAPHICS = """
+SELECT upper('county' || CAST(label AS VARCHAR)) AS "CTYNAME",
+       CAST(sum(vec_id) AS BIGINT) AS "REG20",
+       CAST(sum(CASE WHEN label <> 1 THEN vec_id * 2 ELSE 0 END) AS BIGINT) AS "WMREG20",
+       upper('county' || CAST(label AS VARCHAR)) AS id
+FROM embeddings GROUP BY label
+"""

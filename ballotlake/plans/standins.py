@@ -405,3 +405,28 @@ def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     clerk = contest(F.lit("County Clerk"), F.lit("Someone"))
     doc = F.struct(F.col("c_mktsegment").alias("Region"), F.array(senate, clerk).alias("Contest"))
     return c.select(F.to_xml(doc, {"rowTag": "ElectionResult"}).alias("xml"))
+
+
+FEATURE_PROPERTIES = ("ID string, CNTY string, CTYNAME string, PRECINCT_I string, PRECINCT_N string, "
+                      "REG20 long, WMREG20 long")
+
+
+@view
+def geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON feature text written with ``to_json`` from embeddings: one
+    polygon feature per vector (its 32 (x, y) pairs as the ring), county
+    ``county<label>`` in lower case, no precinct id for label 0, and two
+    registration counts (the second missing for label 1)."""
+    from ..operators.geometry import points_from_flat
+    e = table(spark, sf_dir, "embeddings")
+    ring = F.transform(points_from_flat("embedding"), lambda p: F.array(p.x, p.y))
+    props = F.struct(
+        F.col("vec_id").cast("string").alias("ID"), F.col("label").cast("string").alias("CNTY"),
+        F.concat(F.lit("county"), F.col("label").cast("string")).alias("CTYNAME"),
+        F.when(F.col("label") != 0, F.concat(F.lit("p"), F.col("vec_id").cast("string"))).alias("PRECINCT_I"),
+        F.concat(F.lit("precinct "), F.col("vec_id").cast("string")).alias("PRECINCT_N"),
+        F.col("vec_id").alias("REG20"),
+        F.when(F.col("label") != 1, F.col("vec_id") * 2).alias("WMREG20"))
+    feature = F.struct(F.lit("Feature").alias("type"), props.alias("properties"),
+                       F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
+    return e.select(F.to_json(feature).alias("feature"))

@@ -32,6 +32,14 @@ def read_features(spark: SparkSession, paths, properties: StructType | str | Non
     return _geometry(df.select(F.explode("features").alias("f")).select("f.*"))
 
 
+def parse_features(df: DataFrame, text_col: str, properties: StructType | str | None = None) -> DataFrame:
+    """Features held as GeoJSON text in a column (one feature per row) ->
+    the same rows as the readers return."""
+    schema = (f"properties struct<{_props_fields(properties)}>, "
+              f"geometry struct<type:string, coordinates:string>")
+    return _geometry(df.select(F.from_json(F.col(text_col), schema).alias("f")).select("f.*"))
+
+
 def read_feature_lines(spark: SparkSession, paths, properties: StructType | str | None = None) -> DataFrame:
     schema = (f"properties struct<{_props_fields(properties)}>, "
               f"geometry struct<type:string, coordinates:string>")

@@ -61,6 +61,8 @@ EXCHANGE_BUDGET = {
     "feed_b_flatten": 0,
     "feed_a_flatten": 5,
     "xml_flatten": 0,
+    "geojson_features": 0,
+    "county_demographics": 1,
 }
 
 
