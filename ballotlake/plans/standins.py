@@ -380,8 +380,8 @@ def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer: the market segment is the county, the customer a precinct;
     a "US Senate Special Election/..." contest with one candidate (Kemp
     for balances of 5,000 and more, Ossoff otherwise) whose election-day
-    votes are hundreds of the balance (negative -> dropped), one
-    under/over vote, and an unwanted "County Clerk" contest. Serialised
+    votes are hundreds of the balance (negative -> dropped) and one
+    under/over vote. Serialised
     with ``to_xml`` (attributes from the ``_``-prefixed fields), so reading
     it back is a real XML parse."""
     c = table(spark, sf_dir, "customer")
@@ -402,8 +402,7 @@ def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             .alias("VoteType"))
 
     senate = contest(F.concat(F.lit("US Senate Special Election/"), F.col("c_nationkey").cast("string")), cand)
-    clerk = contest(F.lit("County Clerk"), F.lit("Someone"))
-    doc = F.struct(F.col("c_mktsegment").alias("Region"), F.array(senate, clerk).alias("Contest"))
+    doc = F.struct(F.col("c_mktsegment").alias("Region"), F.array(senate).alias("Contest"))
     return c.select(F.to_xml(doc, {"rowTag": "ElectionResult"}).alias("xml"))
 
 
