@@ -405,3 +405,10 @@ def q_geojson_features(spark, d):
 def q_county_demographics(spark, d):
     from .geography import county_demographics
     return county_demographics(_features(spark, d), counts=("REG20", "WMREG20"))
+
+
+@register("csv_ballots", SB.CSV_BALLOTS_COUNTY)
+def q_csv_ballots(spark, d):
+    raw = S.ballot_csv_lines(spark, d).select(F.from_csv("value", S.BALLOT_TEXT_SCHEMA).alias("r")).select("r.*")
+    base = cleanse_ballots(raw, S.BALLOT_TEXT_COLS).drop("_returned")
+    return by_day_at_level(base, ["county"], S.ELECTION_DATE)

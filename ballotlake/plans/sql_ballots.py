@@ -129,3 +129,16 @@ SELECT s.s_suppkey, s.s_name, s.s_nationkey
 FROM supplier s LEFT JOIN (SELECT n_nationkey FROM nation WHERE n_regionkey <> 4) n
   ON s.s_nationkey = n.n_nationkey WHERE n.n_nationkey IS NULL
 """
+
+TEXT_BALLOT_BASE = """
+SELECT upper(o_orderpriority) AS county, upper(CAST(o_custkey AS VARCHAR)) AS precinct,
+       CASE WHEN o_totalprice > 400000 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS "DateDT",
+       count(o_custkey) AS "votesOnDate"
+FROM orders WHERE o_orderstatus = 'F'
+GROUP BY upper(o_orderpriority), CAST(o_custkey AS VARCHAR),
+         CASE WHEN o_totalprice > 400000 THEN 'bad ' || CAST(year(o_orderdate) AS VARCHAR)
+              ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END,
+         CASE WHEN o_totalprice > 400000 THEN NULL ELSE CAST(o_orderdate AS DATE) END
+"""
+
+CSV_BALLOTS_COUNTY = by_day(["county"]).replace(BALLOT_BASE, TEXT_BALLOT_BASE)

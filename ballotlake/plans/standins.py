@@ -429,3 +429,24 @@ def geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     feature = F.struct(F.lit("Feature").alias("type"), props.alias("properties"),
                        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
     return e.select(F.to_json(feature).alias("feature"))
+
+
+BALLOT_TEXT_COLS = BallotColumns(accepted="F")       # header names, text dates MM/dd/yyyy
+BALLOT_TEXT_SCHEMA = ("`County` string, `Voter Registration #` string, `Ballot Status` string, "
+                      "`Ballot Return Date` string, `County Precinct` string")
+
+
+@view
+def ballot_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ballot-file CSV lines written with ``to_csv`` from orders: return
+    dates as MM/dd/yyyy text, except orders above 400,000 whose date text
+    is not a date (13/45/<year>), as in damaged files."""
+    o = table(spark, sf_dir, "orders")
+    date_text = F.when(F.col("o_totalprice") > 400000,
+                       F.concat(F.lit("13/45/"), F.year("o_orderdate").cast("string"))
+                       ).otherwise(F.date_format("o_orderdate", "MM/dd/yyyy"))
+    rec = F.struct(F.col("o_orderpriority").alias("County"),
+                   F.col("o_custkey").cast("string").alias("Voter Registration #"),
+                   F.col("o_orderstatus").alias("Ballot Status"), date_text.alias("Ballot Return Date"),
+                   F.col("o_custkey").cast("string").alias("County Precinct"))
+    return o.select(F.to_csv(rec).alias("value"))

@@ -63,6 +63,7 @@ EXCHANGE_BUDGET = {
     "xml_flatten": 0,
     "geojson_features": 0,
     "county_demographics": 1,
+    "csv_ballots": 2,
 }
 
 
