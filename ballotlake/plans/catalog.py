@@ -412,3 +412,15 @@ def q_csv_ballots(spark, d):
     raw = S.ballot_csv_lines(spark, d).select(F.from_csv("value", S.BALLOT_TEXT_SCHEMA).alias("r")).select("r.*")
     base = cleanse_ballots(raw, S.BALLOT_TEXT_COLS).drop("_returned")
     return by_day_at_level(base, ["county"], S.ELECTION_DATE)
+
+
+@register("csv_profiles", SP.CSV_PROFILES)
+def q_csv_profiles(spark, d):
+    from ..sources.csv import PROFILE_SCHEMA
+    lines = S.profile_csv_sources(spark, d)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in PROFILE_SCHEMA.fields)
+    parsed = lines.select(F.from_csv("value", ddl).alias("r"), "year")
+    profiles = parsed.select("r.*", F.col("year").alias("absenteeDataYear"))
+    out = P.latest_profiles(profiles)
+    return out.select("id", "firstName", "middleName", "lastName", "Suffix", "streetNumber", "streetName",
+                      "Apt/Unit", "city", "state", "zip", "countyCurrent", "absenteeDataYear")

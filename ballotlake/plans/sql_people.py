@@ -142,3 +142,32 @@ SELECT * FROM ({PROFILES}) p
 WHERE "firstName" = 'Customer' AND city = 'BUILDING' AND "countyCurrent" = 'NATION_3'
 ORDER BY id LIMIT 10
 """
+
+
+def _ic(x: str) -> str:
+    return initcap(x)
+
+
+CSV_PROFILES = f"""
+WITH src AS (
+  SELECT c.c_custkey, c.c_acctbal, n.n_name, c.c_mktsegment, c.c_name, c.c_nationkey, upper(c.c_mktsegment) AS city,
+         2022.0::DOUBLE AS y
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+  UNION ALL
+  SELECT c.c_custkey, c.c_acctbal, n.n_name, c.c_mktsegment, c.c_name, c.c_nationkey, 'NEW TOWN' AS city,
+         2024.1::DOUBLE AS y
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey WHERE c.c_acctbal > 5000),
+p AS (
+  SELECT CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_custkey AS INTEGER) END AS id,
+         {_ic("upper(c_name)")} AS "firstName", CAST(NULL AS VARCHAR) AS "middleName",
+         {_ic("'MC ' || upper(c_mktsegment)")} AS "lastName", CAST(NULL AS VARCHAR) AS "Suffix",
+         CAST(c_custkey AS VARCHAR) AS "streetNumber", {_ic("'MAIN ST'")} AS "streetName",
+         CAST(NULL AS VARCHAR) AS "Apt/Unit", {_ic("city")} AS city, 'ZZ' AS state,
+         {_ic("lpad(CAST(c_nationkey AS VARCHAR), 5, '0')")} AS zip, {_ic("n_name")} AS "countyCurrent",
+         y AS "absenteeDataYear"
+  FROM src),
+r AS (SELECT *, rank() OVER (PARTITION BY id ORDER BY "absenteeDataYear" DESC) AS rk FROM p WHERE id IS NOT NULL)
+SELECT DISTINCT id, "firstName", "middleName", "lastName", "Suffix", "streetNumber", "streetName", "Apt/Unit", city,
+       state, zip, "countyCurrent", "absenteeDataYear"
+FROM r WHERE rk = 1
+"""

@@ -450,3 +450,30 @@ def ballot_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.col("o_orderstatus").alias("Ballot Status"), date_text.alias("Ballot Return Date"),
                    F.col("o_custkey").cast("string").alias("County Precinct"))
     return o.select(F.to_csv(rec).alias("value"))
+
+
+def _profile_line(c: DataFrame, city: Column) -> DataFrame:
+    """One profile-file CSV line per customer, 12 fields in the file's order
+    plus an extra trailing field; the id is not numeric for negative
+    balances (it must become null and drop out)."""
+    rid = F.when(F.col("c_acctbal") < 0, F.concat(F.lit("x"), F.col("c_custkey").cast("string"))) \
+        .otherwise(F.col("c_custkey").cast("string"))
+    rec = F.struct(F.col("n_name").alias("a"), rid.alias("b"),
+                   F.concat(F.lit("MC "), F.upper("c_mktsegment")).alias("c"), F.upper("c_name").alias("d"),
+                   F.lit(None).cast("string").alias("e"), F.lit(None).cast("string").alias("f"),
+                   F.col("c_custkey").cast("string").alias("g"), F.lit("MAIN ST").alias("h"),
+                   F.lit(None).cast("string").alias("i"), city.alias("j"), F.lit("ZZ").alias("k"),
+                   F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("l"), F.lit("extra").alias("m"))
+    return c.select(F.to_csv(rec).alias("value"))
+
+
+@view
+def profile_csv_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two yearly profile files as CSV text: every customer in the older
+    one (city = segment), customers with a balance over 5,000 again in the
+    newer one with another city; a ``year`` column tags the file."""
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"),
+                                             "inner")
+    old = _profile_line(c, F.upper("c_mktsegment")).withColumn("year", F.lit(2022.0))
+    new = _profile_line(c.filter(F.col("c_acctbal") > 5000), F.lit("NEW TOWN")).withColumn("year", F.lit(2024.1))
+    return old.unionByName(new)

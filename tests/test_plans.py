@@ -64,6 +64,7 @@ EXCHANGE_BUDGET = {
     "geojson_features": 0,
     "county_demographics": 1,
     "csv_ballots": 2,
+    "csv_profiles": 1,
 }
 
 
