@@ -424,3 +424,12 @@ def q_csv_profiles(spark, d):
     out = P.latest_profiles(profiles)
     return out.select("id", "firstName", "middleName", "lastName", "Suffix", "streetNumber", "streetName",
                       "Apt/Unit", "city", "state", "zip", "countyCurrent", "absenteeDataYear")
+
+
+@register("csv_history_new", SP.CSV_HISTORY_NEW)
+def q_csv_history_new(spark, d):
+    from ..sources.csv import HISTORY_NEW_SCHEMA
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in HISTORY_NEW_SCHEMA.fields)
+    raw = (S.history_new_csv(spark, d).select(F.from_csv("value", ddl, {"dateFormat": "MM/dd/yyyy"}).alias("r"))
+           .select("r.*"))
+    return P.normalise_history_new(raw)

@@ -171,3 +171,14 @@ SELECT DISTINCT id, "firstName", "middleName", "lastName", "Suffix", "streetNumb
        state, zip, "countyCurrent", "absenteeDataYear"
 FROM r WHERE rk = 1
 """
+
+CSV_HISTORY_NEW = """
+SELECT CAST(o_custkey AS INTEGER) AS id, 'COUNTY ' || substr(o_orderpriority, 1, 1) AS county,
+       CAST(o_orderdate AS DATE) AS election, CAST(NULL AS INTEGER) AS "electionTypeCode",
+       CASE WHEN substr(o_orderpriority, 1, 1) = '1' THEN 'PRIMARY' ELSE 'GENERAL' END AS "electionTypeName",
+       CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'D' WHEN '2' THEN 'R' WHEN '3' THEN 'NP' ELSE '' END AS party,
+       'S' || substr(o_orderpriority, 1, 1) AS "ballotStyle",
+       o_totalprice < 100000 AS absentee, o_totalprice > 400000 AS provisional,
+       substr(o_orderpriority, 1, 1) = '5' AS supplemental
+FROM orders WHERE o_orderstatus = 'F'
+"""

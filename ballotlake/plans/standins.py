@@ -477,3 +477,21 @@ def profile_csv_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = _profile_line(c, F.upper("c_mktsegment")).withColumn("year", F.lit(2022.0))
     new = _profile_line(c.filter(F.col("c_acctbal") > 5000), F.lit("NEW TOWN")).withColumn("year", F.lit(2024.1))
     return old.unionByName(new)
+
+
+@view
+def history_new_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newer-layout history CSV lines from finished orders: county name,
+    id, MM/dd/yyyy date, election type text, party word (DEMOCRAT /
+    REPUBLICAN / NON-PARTISAN / blank by priority), ballot style, Y/N flags."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    code = F.substring("o_orderpriority", 1, 1)
+    party = (F.when(code == "1", "DEMOCRAT").when(code == "2", "REPUBLICAN").when(code == "3", "NON-PARTISAN")
+             .otherwise(F.lit(None).cast("string")))
+    yn = lambda cond: F.when(cond, "Y").otherwise("N")
+    rec = F.struct(F.concat(F.lit("COUNTY "), code).alias("a"), F.col("o_custkey").cast("string").alias("b"),
+                   F.date_format("o_orderdate", "MM/dd/yyyy").alias("c"),
+                   F.when(code == "1", "PRIMARY").otherwise("GENERAL").alias("d"), party.alias("e"),
+                   F.concat(F.lit("S"), code).alias("f"), yn(F.col("o_totalprice") < 100000).alias("g"),
+                   yn(F.col("o_totalprice") > 400000).alias("h"), yn(code == "5").alias("i"))
+    return o.select(F.to_csv(rec).alias("value"))

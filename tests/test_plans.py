@@ -65,6 +65,7 @@ EXCHANGE_BUDGET = {
     "county_demographics": 1,
     "csv_ballots": 2,
     "csv_profiles": 1,
+    "csv_history_new": 0,
 }
 
 
