@@ -86,3 +86,11 @@ def test_nest_bounded_without_keys(spark):
     assert len(rows) == 3 and sum(len(r.vs) for r in rows) == 2500
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_latest_join_method_matches_window(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"),
+                                    (F.col("id") % 5).alias("o"), (F.col("id") % 11).alias("v"))
+    a = sorted(map(tuple, latest_per_key(df, "k", "o").collect()))
+    b = sorted(map(tuple, latest_per_key(df, "k", "o", method="join").collect()))
+    assert a == b and len(a) > 0
