@@ -77,6 +77,7 @@ def test_plan_properties(spark, name):
     assert s["exchanges"] <= EXCHANGE_BUDGET[name]
     if name not in SINGLE_PARTITION_OK:
         assert s["single"] == 0
+    assert s["scans"], "every registered query reads the driver tables"
     for table, cols, _ in s["scans"]:
         assert len(cols) <= 6, (table, cols)          # projections reach the scan
 
