@@ -89,3 +89,10 @@ def ballots_all_levels(base: DataFrame, election_date: str,
                        levels: Sequence[Sequence[str]] = DEFAULT_LEVELS) -> DataFrame:
     """All levels as one flat frame from one GROUPING SETS aggregate."""
     return by_day_grouping_sets(base, levels, election_date)
+
+
+def undated_ballots(base: DataFrame) -> DataFrame:
+    """B10 report: accepted ballots without a usable return date per county
+    (they count in every running total, ordered first)."""
+    return (base.filter(F.col("DateDT").isNull()).groupBy("county")
+            .agg(F.sum("votesOnDate").cast("long").alias("undatedBallots")))

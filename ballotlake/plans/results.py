@@ -84,3 +84,11 @@ def county_totals(results: DataFrame, race: str) -> DataFrame:
     """Votes per county for one race (filter pushed to the scan)."""
     return (results.filter(F.col("race") == F.lit(race))
             .groupBy("county").agg(F.sum("votes").alias("votes")))
+
+
+def unmatched_precincts(base: DataFrame) -> DataFrame:
+    """B4 report: result precinct names the name map did not resolve, with
+    the votes they carry (they stay in every level as a null precinct)."""
+    return (base.filter(F.col("precinct").isNull())
+            .groupBy("county", "electionResultsPrecinctName")
+            .agg(*[F.sum(p).alias(p) for p in PARTIES]))

@@ -93,3 +93,9 @@ def test_id_map_left_join_keeps_unmatched(spark, tmp_path):
     nested = nested_by_day(ballots_by_day(base, DATE, [["county", "precinct"]])["county_precinct"],
                            ["county", "precinct"])
     assert nested.filter(F.col("precinct").isNull()).count() >= 1
+
+
+def test_undated_report(spark, tmp_path):
+    from ballotlake.plans.ballots import undated_ballots
+    base = cleanse_ballots(_ballots(spark, tmp_path))
+    assert {(r.county, r.undatedBallots) for r in undated_ballots(base).collect()} == {("FULTON", 2)}

@@ -66,3 +66,10 @@ def test_totals(spark, tmp_path):
     assert ct[("Senate", "Ann")] == 15
     cty = {r.county: r.votes for r in county_totals(raw, "Senate").collect()}
     assert cty == {"Fulton": 79, "fulton": 3}
+
+
+def test_unmatched_report(spark, tmp_path):
+    from ballotlake.plans.results import unmatched_precincts
+    _, base = _base(spark, tmp_path)
+    rows = [(r.county, r.electionResultsPrecinctName, r.democratic) for r in unmatched_precincts(base).collect()]
+    assert rows == [("FULTON", "Beta", 5)]
