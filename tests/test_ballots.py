@@ -53,6 +53,8 @@ def test_running_totals_nulls_first(spark, tmp_path):
     base = cleanse_ballots(_ballots(spark, tmp_path)).drop("_returned")
     state = ballots_by_day(base, DATE, [[]])["statewide"].orderBy(F.col("DaysFromElection").asc_nulls_first())
     rows = state.collect()
+    # the state window runs in one partition: its input is one row per day
+    assert len(rows) == len({r.DateDT for r in rows})
     assert rows[0].DateDT is None and rows[0].votesToDate == 2   # undated ballots first (B10)
     assert [r.votesToDate for r in rows] == [2, 4, 5, 7]
     assert rows[-1].votesToDate == sum(r.votesOnDate for r in rows)
