@@ -158,3 +158,8 @@ def explode_parallel(df: DataFrame, cols: Sequence[str], sep: str = "|", keep: S
     zipped = F.arrays_zip(*[split_on(c, sep).alias(c) for c in cols])
     return (df.select(*keep, F.posexplode(zipped).alias(pos_col, "__z"))
             .select(*keep, pos_col, *[F.col(f"__z.{c}").alias(c) for c in cols]))
+
+
+flatten_xml = flatten_xml_feed
+flatten_json_a = flatten_feed_a
+flatten_json_b = flatten_feed_b

@@ -92,3 +92,6 @@ def unmatched_precincts(base: DataFrame) -> DataFrame:
     return (base.filter(F.col("precinct").isNull())
             .groupBy("county", "electionResultsPrecinctName")
             .agg(*[F.sum(p).alias(p) for p in PARTIES]))
+
+
+results_summary = summarize_results

@@ -62,9 +62,7 @@ def _history(spark, tmp_path):
                 "FULTON,1,05/21/2024,PRIMARY,NON-PARTISAN,S1,Y,Y,N\n"
                 "COBB,2,05/21/2024,PRIMARY,REPUBLICAN,S2,N,N,N\n"
                 "COBB,2,11/05/2024,GENERAL,,S2,N,N,N\n")
-    h1 = P.normalise_history_old(read_history_old(spark, old))
-    h2 = P.normalise_history_new(read_history_new(spark, new))
-    return h1.unionByName(h2)
+    return P.normalise_history(read_history_old(spark, old), read_history_new(spark, new))
 
 
 def test_history_normalised(spark, tmp_path):
