@@ -53,8 +53,11 @@ def flatten_xml_feed(doc: DataFrame, phrases: Sequence[str] = CONTEST_PHRASES,
     ``(rows, rejects)``. A contest without choices or without its
     under/over block is rejected whole and reported; a choice without
     vote types is reported and skipped. Rows with votes <= 0 are dropped."""
-    c = (doc.select(F.col("Region").alias("county"), F.explode("Contest").alias("c"))
-         .filter(contains_any(F.col("c._text"), phrases))
+    # explode_outer + a null filter: the same rows as explode, without the
+    # inferred size(Contest) > 0 filter that would evaluate a computed
+    # document column (e.g. from_xml over text) a second time.
+    c = (doc.select(F.col("Region").alias("county"), F.explode_outer("Contest").alias("c"))
+         .filter(F.col("c").isNotNull() & contains_any(F.col("c._text"), phrases))
          .withColumn("race", contest_name(F.col("c._text"))))
     no_choice = F.coalesce(F.size("c.Choice"), F.lit(-1)) <= 0
     no_under = F.coalesce(F.size("c.VoteType"), F.lit(-1)) <= 0
@@ -66,19 +69,21 @@ def flatten_xml_feed(doc: DataFrame, phrases: Sequence[str] = CONTEST_PHRASES,
     no_vt = F.coalesce(F.size("ch.VoteType"), F.lit(-1)) <= 0
     rej_choice = ch.filter(no_vt).select("county", "race", F.col("ch._text").alias("candidate"),
                                          F.lit("no vote types").alias("reason"))
-    cand = (ch.filter(~no_vt)
-            .select("county", "race", F.col("ch._text").alias("candidate"), F.explode("ch.VoteType").alias("vt"))
-            .select("county", "race", "candidate", F.col("vt._name").alias("mode"),
-                    F.explode("vt.Precinct").alias("p"))
-            .select("race", "county", F.col("p._name").alias("precinct"), "candidate",
-                    keyword_class("candidate", keywords).alias("party"), "mode",
-                    F.col("p._votes").cast("long").alias("votes")))
-    under = (good.select("county", "race", F.explode("c.VoteType").alias("vt"))
-             .select("county", "race", F.explode("vt.Precinct").alias("p"))
-             .select("race", "county", F.col("p._name").alias("precinct"),
-                     F.lit(UNDER_OVER_CANDIDATE).alias("candidate"), F.lit(UNDER_OVER_PARTY).alias("party"),
-                     F.lit(UNDER_OVER_MODE).alias("mode"), F.col("p._votes").cast("long").alias("votes")))
-    rows = cand.unionByName(under).filter(F.col("votes") > 0)
+    # One pass over the documents: every (candidate, mode, precinct list) of
+    # the choices and of the under/over block goes into one array per
+    # contest, exploded once (no union of two re-reads of the source).
+    per_choice = F.flatten(F.transform(F.col("c.Choice"), lambda chx: F.transform(
+        F.coalesce(chx["VoteType"], F.array().cast("array<struct<_name:string,Precinct:array<struct<_name:string,_votes:long>>>>")),
+        lambda vt: F.struct(chx["_text"].alias("candidate"), keyword_class(chx["_text"], keywords).alias("party"),
+                            vt["_name"].alias("mode"), vt["Precinct"].alias("P")))))
+    under = F.transform(F.col("c.VoteType"), lambda vt: F.struct(
+        F.lit(UNDER_OVER_CANDIDATE).alias("candidate"), F.lit(UNDER_OVER_PARTY).alias("party"),
+        F.lit(UNDER_OVER_MODE).alias("mode"), vt["Precinct"].alias("P")))
+    rows = (good.select("county", "race", F.explode_outer(F.concat(per_choice, under)).alias("g"))
+            .select("county", "race", "g.candidate", "g.party", "g.mode", F.explode_outer("g.P").alias("p"))
+            .select("race", "county", F.col("p._name").alias("precinct"), "candidate", "party", "mode",
+                    F.col("p._votes").cast("long").alias("votes"))
+            .filter(F.col("votes") > 0))
     return rows, rej_contest.unionByName(rej_choice)
 
 
@@ -128,15 +133,19 @@ def flatten_feed_b(doc: DataFrame, race: str | Column, county: str | Column,
     sum to 0, the option's total as mode ``Unknown``; votes > 0 only."""
     r = race if isinstance(race, Column) else F.lit(race)
     cty = county if isinstance(county, Column) else F.lit(county)
-    b = (doc.select(r.alias("race"), cty.alias("county"), F.explode("breakdownResults").alias("b"))
+    # *_outer generators + null filters: same rows, but no inferred
+    # size(...) > 0 filter re-evaluating a computed document column.
+    b = (doc.select(r.alias("race"), cty.alias("county"), F.explode_outer("breakdownResults").alias("b"))
+         .filter(F.col("b").isNotNull())
          .select("race", "county", _text0(F.col("b.precinct.name")).alias("precinct"),
-                 F.explode("b.ballotOptions").alias("o")))
+                 F.explode_outer("b.ballotOptions").alias("o"))
+         .filter(F.col("o").isNotNull()))
     cand = _text0(F.col("o.name"))
     modes = F.transform(F.coalesce(F.col("o.groupResults"), F.array()), lambda g: F.struct(
         normalise_label(_text0(g["groupName"]), mode_labels).alias("mode"), g["voteCount"].alias("votes")))
     o = b.select("race", "county", "precinct", cand.alias("candidate"),
                  party_from_code(F.coalesce(_text0(F.col("o.party.name")), F.lit("")), cand).alias("party"),
-                 F.inline(detail_or_total(modes, F.col("o.voteCount"))))
+                 F.inline_outer(detail_or_total(modes, F.col("o.voteCount"))))
     return o.select(*T2).filter(F.col("votes") > 0)
 
 

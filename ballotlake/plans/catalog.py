@@ -254,7 +254,10 @@ def q_bbox(spark, d):
 @register("thin_ring", SG.thin(0.05))
 def q_thin_ring(spark, d):
     r = S.rings(spark, d).select("vec_id", G.thin_ring("ring", S.THIN_TOLERANCE).alias("thin"))
-    return r.select("vec_id", F.posexplode("thin").alias("pos", "p")).select("vec_id", "pos", "p.x", "p.y")
+    # posexplode_outer + a null filter: no inferred size(thin) > 0 filter
+    # that would thin every ring a second time.
+    return (r.select("vec_id", F.posexplode_outer("thin").alias("pos", "p")).filter(F.col("pos").isNotNull())
+            .select("vec_id", "pos", "p.x", "p.y"))
 
 
 @register("measure_rollup", SG.MEASURE_ROLLUP)
