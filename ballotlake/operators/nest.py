@@ -66,3 +66,15 @@ def json_text(c: str | Column, keep_nulls: bool = True) -> Column:
     text is stable across engines."""
     col = F.col(c) if isinstance(c, str) else c
     return F.to_json(col, {"ignoreNullFields": "false"} if keep_nulls else {})
+
+
+def compute_once(df: DataFrame, expr: Column, name: str) -> DataFrame:
+    """Add ``expr`` as column ``name``, evaluated once per row.
+
+    Catalyst copies a projected expression into every filter pushed below
+    the projection (and may split a parse per extracted field), so an
+    expensive parse (``from_csv``/``from_json`` of a text column) can run
+    several times per row. Producing the value from a generator stops
+    that: filters on generator output stay above it. ``inline_outer`` of a
+    one-element array adds no inferred filter and no rows."""
+    return df.select("*", F.inline_outer(F.array(F.struct(expr.alias(name)))))

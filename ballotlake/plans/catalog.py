@@ -23,7 +23,7 @@ from ..operators import matching as M
 from ..operators.enrich import left_enrich_with_report
 from ..operators.latest import latest_per_key
 from ..operators.levels import by_day_at_level
-from ..operators.nest import json_text, nest_bounded
+from ..operators.nest import compute_once, json_text, nest_bounded
 from ..sources.fixed_width import parse_fixed_width, type_history_old
 from .ballots import ballots_all_levels, cleanse_ballots, nested_by_day
 from .results import (candidate_totals, cleanse_results, county_totals, results_by_mode,
@@ -412,7 +412,8 @@ def q_county_demographics(spark, d):
 
 @register("csv_ballots", SB.CSV_BALLOTS_COUNTY)
 def q_csv_ballots(spark, d):
-    raw = S.ballot_csv_lines(spark, d).select(F.from_csv("value", S.BALLOT_TEXT_SCHEMA).alias("r")).select("r.*")
+    lines = S.ballot_csv_lines(spark, d)
+    raw = compute_once(lines, F.from_csv("value", S.BALLOT_TEXT_SCHEMA), "r").select("r.*")
     base = cleanse_ballots(raw, S.BALLOT_TEXT_COLS).drop("_returned")
     return by_day_at_level(base, ["county"], S.ELECTION_DATE)
 
@@ -422,7 +423,7 @@ def q_csv_profiles(spark, d):
     from ..sources.csv import PROFILE_SCHEMA
     lines = S.profile_csv_sources(spark, d)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in PROFILE_SCHEMA.fields)
-    parsed = lines.select(F.from_csv("value", ddl).alias("r"), "year")
+    parsed = compute_once(lines, F.from_csv("value", ddl), "r")
     profiles = parsed.select("r.*", F.col("year").alias("absenteeDataYear"))
     out = P.latest_profiles(profiles)
     return out.select("id", "firstName", "middleName", "lastName", "Suffix", "streetNumber", "streetName",
@@ -433,6 +434,6 @@ def q_csv_profiles(spark, d):
 def q_csv_history_new(spark, d):
     from ..sources.csv import HISTORY_NEW_SCHEMA
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in HISTORY_NEW_SCHEMA.fields)
-    raw = (S.history_new_csv(spark, d).select(F.from_csv("value", ddl, {"dateFormat": "MM/dd/yyyy"}).alias("r"))
-           .select("r.*"))
+    raw = compute_once(S.history_new_csv(spark, d), F.from_csv("value", ddl, {"dateFormat": "MM/dd/yyyy"}),
+                       "r").select("r.*")
     return P.normalise_history_new(raw)

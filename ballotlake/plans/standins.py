@@ -82,7 +82,8 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     # k is parsed once in its own projection; Catalyst keeps that projection
     # rather than inline the JSON parse into the three uses below.
-    e = e.select("user_id", "event_type", "value", _k().alias("k"))
+    from ..operators.nest import compute_once
+    e = compute_once(e.select("user_id", "event_type", "value", "props"), _k(), "k").drop("props")
     k = F.col("k")
     j = e.join(c, e.user_id == c.c_custkey, "inner")
     return j.select(

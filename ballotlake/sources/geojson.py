@@ -37,7 +37,8 @@ def parse_features(df: DataFrame, text_col: str, properties: StructType | str |
     the same rows as the readers return."""
     schema = (f"properties struct<{_props_fields(properties)}>, "
               f"geometry struct<type:string, coordinates:string>")
-    return _geometry(df.select(F.from_json(F.col(text_col), schema).alias("f")).select("f.*"))
+    from ..operators.nest import compute_once
+    return _geometry(compute_once(df.select(text_col), F.from_json(F.col(text_col), schema), "f").select("f.*"))
 
 
 def read_feature_lines(spark: SparkSession, paths, properties: StructType | str | None = None) -> DataFrame:
