@@ -39,7 +39,11 @@ def nest_bounded(df: DataFrame, keys: Sequence[str], fields: Sequence[str | Colu
 
     The group sizes come from a pre-aggregated count (one row per key,
     partial aggregation map-side) joined back null-safely; AQE broadcasts
-    it when small and splits skewed partitions of the big side.
+    it when small and splits skewed partitions of the big side. The final
+    aggregate is keyed by (keys, part), so the parts of a hot key land on
+    different tasks. Without keys the single group's size is a scalar
+    subquery. Integral spread values are assumed to be spread evenly by
+    ``pmod`` (e.g. ids); other types are hashed.
     """
     if keys:
         renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
