@@ -87,3 +87,13 @@ def test_filters_reach_the_scan(spark):
     (table, cols, pushed), = s["scans"]
     assert table == "orders" and "EqualTo(o_orderstatus,F)" in pushed
     assert sorted(cols) == ["o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"]
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_parses_once(spark, name):
+    import re
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    count = lambda f: len(re.findall(r"\b" + f + r"\(", plan))
+    assert count("from_csv") <= 1 and count("from_xml") <= 1 and count("get_json_object") <= 1
+    # one parse of the feature text plus one per geometry-type branch of a CASE
+    assert count("from_json") <= 3
