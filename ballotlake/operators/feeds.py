@@ -106,12 +106,14 @@ def flatten_feed_a(summary: DataFrame, modes: DataFrame, county: str | Column,
          .select(F.col("K").cast("string").alias("contest_id"), contest_name(F.col("C")).alias("race"),
                  F.col("CH").alias("choices")))
     mode = normalise_label(F.col(mode_col), mode_labels) if mode_labels else F.col(mode_col)
-    p = (modes.select(mode.alias("mode"), F.explode("Contests").alias("p"))
-         .filter(F.col("p.A").cast("string") != F.lit(TOTAL_LINE_ID))
+    p = (modes.select(mode.alias("mode"), F.explode_outer("Contests").alias("p"))
+         .filter(F.col("p").isNotNull() & (F.col("p.A").cast("string") != F.lit(TOTAL_LINE_ID)))
          .select("mode", F.col("p.A").cast("string").alias("precinct"),
-                 F.explode(F.arrays_zip(F.col("p.C").alias("cid"), F.col("p.V").alias("votes"))).alias("z"))
+                 F.explode_outer(F.arrays_zip(F.col("p.C").alias("cid"), F.col("p.V").alias("votes"))).alias("z"))
+         .filter(F.col("z").isNotNull())
          .select("mode", "precinct", F.col("z.cid").cast("string").alias("contest_id"),
-                 F.posexplode("z.votes").alias("pos", "votes")))
+                 F.posexplode_outer("z.votes").alias("pos", "votes"))
+         .filter(F.col("pos").isNotNull()))
     j = p.join(s, "contest_id", "inner")
     cand = F.element_at(F.col("choices"), F.col("pos") + 1)
     cty = county if isinstance(county, Column) else F.lit(county)
@@ -165,7 +167,8 @@ def explode_parallel(df: DataFrame, cols: Sequence[str], sep: str = "|", keep: S
     ``"1|2"``) -> one row per position with the i-th item of each list.
     Lists of unequal length are padded with nulls (``arrays_zip``)."""
     zipped = F.arrays_zip(*[split_on(c, sep).alias(c) for c in cols])
-    return (df.select(*keep, F.posexplode(zipped).alias(pos_col, "__z"))
+    return (df.select(*keep, F.posexplode_outer(zipped).alias(pos_col, "__z"))
+            .filter(F.col(pos_col).isNotNull())
             .select(*keep, pos_col, *[F.col(f"__z.{c}").alias(c) for c in cols]))
 
 
