@@ -94,3 +94,17 @@ def test_latest_join_method_matches_window(spark):
     a = sorted(map(tuple, latest_per_key(df, "k", "o").collect()))
     b = sorted(map(tuple, latest_per_key(df, "k", "o", method="join").collect()))
     assert a == b and len(a) > 0
+
+
+def test_nested_history_hot_id(spark):
+    from ballotlake.plans.people import nested_history
+    hist = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).alias("id"),
+                                    F.col("id").alias("rowId"), F.lit("x").alias("county"))
+    prof = spark.range(50).select(F.col("id"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
+    out = nested_history(prof, hist, fields=("rowId", "county"), spread_col="rowId", max_per_row=500)
+    hot = out.filter(F.col("id") == 7).collect()
+    assert len(hot) == 5 and max(len(r.voterHistory) for r in hot) <= 600       # 2,100 entries in 5 parts
+    assert out.select(F.sum(F.size("voterHistory"))).first()[0] == 6000
+    assert out.filter(F.col("voterHistory").isNull()).count() == 10           # ids 40..49: no history
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "__part" in plan and "CartesianProduct" not in plan
