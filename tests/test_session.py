@@ -17,3 +17,23 @@ def test_checkpoint_dir_and_cut_lineage(spark):
     assert "LogicalRDD" in plan                     # lineage replaced by the checkpointed data
     written = [f for _, _, fs in os.walk(d.replace("file:", "")) for f in fs]
     assert written                                   # files in the shared folder, not executor-local blocks
+
+
+def test_no_local_fallback_on_a_cluster():
+    import pytest
+
+    class _Conf:
+        def __init__(self, values):
+            self.values = values
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+        def set(self, key, value):
+            raise AssertionError("must not set a local checkpoint folder on a cluster")
+
+    class _Session:
+        conf = _Conf({"spark.master": "yarn"})
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_Session())
