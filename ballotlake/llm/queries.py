@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, warc
+from . import chat, langid, mixing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,19 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    model = langid.train(docs.where(~held_out))
+    return (langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    trusted = quality.trusted_documents(docs, _table(spark, sf_dir, "labels"))
+    return quality.classify(docs, trusted).select("doc_id", "lang", "perplexity", "keep")
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix_sources(_table(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", "taken", "source", "copies"))
@@ -42,5 +55,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op4_warc_archive": op4_warc_archive,
+    "op6_language_id": op6_language_id,
+    "op8_quality": op8_quality,
     "op10_source_mix": op10_source_mix,
 }
