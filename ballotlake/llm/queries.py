@@ -6,13 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, quality, warc
+from . import chat, jaccard, langid, mixing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (jaccard.jaccard_components(_table(spark, sf_dir, "documents"), k=3, threshold=(9, 10))
+            .select("doc_id", "n_shingles", "component_id"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql(r"""SELECT -7L AS conv_id, turn, role, r'\### Assistant: </turn> ok' AS text
@@ -53,6 +58,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_chat_format": op3_chat_format,
     "op4_warc_archive": op4_warc_archive,
     "op6_language_id": op6_language_id,
