@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, langid, mixing, quality, warc
+from . import chat, decontaminate, jaccard, langid, mixing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, trusted).select("doc_id", "lang", "perplexity", "keep")
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "item_id", "similarity", "start"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (mixing.mix_sources(_table(spark, sf_dir, "documents"))
             .select("doc_id", "size", "source_size", "target", "taken", "source", "copies"))
@@ -63,5 +68,6 @@ QUERIES = {
     "op4_warc_archive": op4_warc_archive,
     "op6_language_id": op6_language_id,
     "op8_quality": op8_quality,
+    "op9_decontaminate": op9_decontaminate,
     "op10_source_mix": op10_source_mix,
 }
