@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, mixing, quality, warc
+from . import chat, decontaminate, jaccard, langid, mixing, quality, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,11 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (suffixes.remove_repeats(_table(spark, sf_dir, "documents"), n=400)
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
@@ -66,6 +71,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op3_chat_format": op3_chat_format,
     "op4_warc_archive": op4_warc_archive,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_language_id": op6_language_id,
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
