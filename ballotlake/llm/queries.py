@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, langid, mixing, quality, suffixes, warc
+from . import chat, decontaminate, forest, jaccard, langid, mixing, quality, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,11 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score"))
 
 
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (forest.near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.98)
+            .select("vec_id", "n_links", "component_id", "kept"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     trusted = quality.trusted_documents(docs, _table(spark, sf_dir, "labels"))
@@ -73,6 +78,7 @@ QUERIES = {
     "op4_warc_archive": op4_warc_archive,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_language_id": op6_language_id,
+    "op7_vector_dedup": op7_vector_dedup,
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_source_mix": op10_source_mix,
