@@ -67,6 +67,72 @@ def _threshold(rows: DataFrame, seen: DataFrame, bins: str) -> DataFrame:
                     (F.col("_t.left") - F.col("_t._before")).alias("left")))
 
 
+def _ranks(rows: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
+    """``rows`` with the plan of their source, the Pareto rank ``_v`` and its
+    grid cell ``_g`` (null where no fraction is to be drawn)."""
+    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "size"), 11).cast("double") + 0.5) / float(1 << 53)
+    # Pareto rank q = odds(u) / odds(p); q / (1 + q) lies in (0, 1) and keeps the order.
+    odds = (F.col("_u") / (1 - F.col("_u"))) / (F.col("p") / (1 - F.col("p")))
+    return (rows.withColumn("_u", u)
+            .join(plan.withColumnRenamed("source", "_src"), F.col("source").eqNullSafe(F.col("_src")), "left")
+            .drop("_src").withColumn("_v", F.when((F.col("p") > 0) & (F.col("size") > 0), odds / (1 + odds)))
+            .withColumn("_g", F.floor(F.col("_v") * float(BINS) ** 3).cast("long")))
+
+
+def mix_plan(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
+             seed: int = 17) -> DataFrame:
+    """The decisions for ``sizes`` (``doc_id, source, size``), one row per
+    source: ``source, source_size, target, whole, p, cut, last``.
+
+    Every document is taken ``whole`` times, and once more if its rank lies
+    in a grid cell before ``cut``, or in that cell and not after ``last``;
+    without ``cut`` every document with a rank is.
+
+    The cut is found without sorting a source in one task: ranks are binned
+    on a fixed grid, words are summed per (source, bin) before the shuffle,
+    the bin that holds the cut is binned again twice, and only the
+    documents of the last bin are ranked one by one.
+    """
+    goal = source_targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    ratio = F.col("target") / F.col("source_size")
+    some = F.col("source_size") > 0
+    goal = written(goal.withColumn("whole", F.when(some, F.floor(ratio)).otherwise(0).cast("long"))
+                   .withColumn("p", F.when(some, ratio - F.col("whole")).otherwise(F.lit(0.0))), "mix-goal")
+    live = (_ranks(sizes, goal.select("source", "p"), seed).where("_v is not null")
+            .select("doc_id", "source", "size", "_v", F.shiftright("_g", 24).alias("b1"),
+                    F.shiftright("_g", 12).alias("b2"), F.col("_g").alias("g")))
+    left = goal.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("left"))
+    cut = None
+    for bins in ("b1", "b2", "g"):
+        cut = written(_threshold(live, left, bins), "mix-cut")
+        left = cut.select("source", "left")
+        inside = cut.select(F.col("source").alias("_src"), F.col("cut").alias("_cut"))
+        live = (live.join(inside, F.col("source").eqNullSafe(F.col("_src")) & (F.col(bins) == F.col("_cut")))
+                .drop("_src", "_cut"))
+    w = Window.partitionBy("source").orderBy("_v", "doc_id", "size")
+    last = (live.withColumn("_before", F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)),
+                                                  F.lit(0)))
+            .join(left.withColumnRenamed("source", "_src"), F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
+            .where(F.col("_before") + F.col("size") / 2 <= F.col("left"))
+            .groupBy("source").agg(F.max(F.struct("_v", "doc_id", "size")).alias("last")))
+    c = cut.select(F.col("source").alias("_c"), "cut")
+    e = last.select(F.col("source").alias("_e"), "last")
+    return written(goal.join(c, F.col("source").eqNullSafe(F.col("_c")), "left")
+                   .join(e, F.col("source").eqNullSafe(F.col("_e")), "left").drop("_c", "_e"), "mix-plan")
+
+
+def apply_plan(rows: DataFrame, plan: DataFrame, seed: int = 17) -> DataFrame:
+    """``rows`` (``doc_id, source, size`` and any others) with
+    ``source_size, target, copies``. The plan has one row per source, so the
+    join moves no rows as long as the plan is small."""
+    me = F.struct("_v", "doc_id", "size")
+    extra = (F.when(F.col("_v").isNull(), 0).when(F.col("cut").isNull() | (F.col("_g") < F.col("cut")), 1)
+             .when((F.col("_g") == F.col("cut")) & (me <= F.col("last")), 1).otherwise(0))
+    copies = F.when(F.col("size") > 0, F.coalesce(F.col("whole"), F.lit(0)) + extra).otherwise(F.lit(0))
+    return (_ranks(rows, plan, seed).withColumn("copies", copies.cast("long"))
+            .drop("_u", "_v", "_g", "whole", "p", "cut", "last"))
+
+
 def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
                 weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
                 seed: int = 17) -> DataFrame:
@@ -78,65 +144,26 @@ def mix_sources(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     p = r - floor(r) is an inclusion probability, and one more copy goes to
     the documents of smallest Pareto rank ``(u / (1 - u)) / (p / (1 - p))``
     until the source's remaining words are used (fixed size in words), the
-    last one taken if more than half of it fits. ``u`` is a hash of seed,
+    last one taken if at least half of it fits. ``u`` is a hash of seed,
     document id and size, so reruns agree.
 
-    The cut in the ranking is found without sorting a source in one task:
-    ranks are binned on a fixed grid, words are summed per (source, bin)
-    before the shuffle, the bin that holds the cut is binned again twice,
-    and only the documents of the last bin are ranked one by one.
-
     Null or wordless text: size 0, taken 0. Null source: a source of its
-    own, last in order. Null ids and repeated rows: ordinary rows; equal
-    ranks are ordered by id and size, equal rows among themselves in any
-    order (the result is the same). No rows: none. Extra columns are
-    ignored and may have any name.
+    own, last in order. Null ids and repeated rows: ordinary rows; rows of
+    equal rank, id and size are taken alike. No rows: none. Extra columns
+    are ignored and may have any name.
     """
     base = written(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
                                word_count(F.col(text)).alias("size")), "mix-sizes")
-    sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goal = written(source_targets(sizes, weights, share, most)
-                   .withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
-                               .otherwise(F.lit(0)).cast("long"))
-                   .withColumn("p", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")
-                                           - F.col("whole")).otherwise(F.lit(0.0))), "mix-goal")
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "size"), 11).cast("double") + 0.5) / float(1 << 53)
-    # Pareto rank q = odds(u) / odds(p); q / (1 + q) lies in (0, 1) and keeps the order.
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    ranked = (base.withColumn("u", u)
-              .join(goal.withColumnRenamed("source", "_src"), F.col("source").eqNullSafe(F.col("_src")), "left")
-              .drop("_src")
-              .withColumn("v", F.when(F.col("p") > 0, odds / (1 + odds))))
-    grid = F.floor(F.col("v") * float(BINS) ** 3).cast("long")
-    ranked = written(ranked.withColumn("g", grid)
-                     .withColumn("b1", F.shiftright("g", 24)).withColumn("b2", F.shiftright("g", 12)), "mix-ranks")
-    live = ranked.where("v is not null and size > 0")
-    left = goal.select("source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("left"))
-    for bins in ("b1", "b2", "g"):
-        cut = written(_threshold(live, left, bins), "mix-cut")
-        left = cut.select("source", "left")
-        inside = cut.select(F.col("source").alias("_src"), F.col("cut").alias("_cut"))
-        live = (live.join(inside, F.col("source").eqNullSafe(F.col("_src")) & (F.col(bins) == F.col("_cut")))
-                .drop("_src", "_cut"))
-    w = Window.partitionBy("source").orderBy("v", "doc_id", "size")
-    last = (live.withColumn("_rank", F.row_number().over(w))
-            .withColumn("_before", F.coalesce(F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                                              F.lit(0)))
-            .join(left.withColumnRenamed("source", "_src"), F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
-            .where(F.col("_before") + F.col("size") / 2 <= F.col("left")))
-    edge = written(last.groupBy("source").agg(F.max(F.struct("v", "doc_id", "size")).alias("last"),
-                                              F.count(F.lit(1)).alias("n")), "mix-edge")
-    cuts = cut.select(F.col("source").alias("_csrc"), F.col("cut").alias("_g"))
-    edges = edge.select(F.col("source").alias("_esrc"), F.col("last").alias("_last"))
-    full = (ranked.join(cuts, F.col("source").eqNullSafe(F.col("_csrc")), "left")
-            .join(edges, F.col("source").eqNullSafe(F.col("_esrc")), "left"))
-    # No cut: the words run out exactly at, or beyond, the last document.
-    extra = (F.when(F.col("v").isNull() | (F.col("size") == 0), 0)
-             .when(F.col("_g").isNull(), 1)
-             .when(F.col("g") < F.col("_g"), 1)
-             .when((F.col("g") == F.col("_g")) & (F.struct("v", "doc_id", "size") <= F.col("_last")), 1)
-             .otherwise(0))
-    copies = F.when(F.col("size") > 0, F.coalesce(F.col("whole"), F.lit(0)) + extra).otherwise(F.lit(0))
-    return full.select("doc_id", "source", "size", F.coalesce("source_size", F.lit(0)).cast("long").alias("source_size"),
-                       F.coalesce("target", F.lit(0.0)).alias("target"), copies.cast("long").alias("copies"),
-                       (copies * F.col("size")).cast("long").alias("taken"))
+    return (apply_plan(base, mix_plan(base, weights, share, most, seed), seed)
+            .select("doc_id", "source", "size", "source_size", "target", "copies",
+                    (F.col("copies") * F.col("size")).alias("taken")))
+
+
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """``docs`` (``doc_id, text, source`` and any others) that the mix takes,
+    each once, with ``copies``, how many times it is taken. A column of that
+    name is replaced; other columns may have any name."""
+    keep = [c for c in docs.columns if c != "copies"]
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct(*keep).alias("row"))
+    plan = mix_plan(written(rows.select("doc_id", "source", "size"), "mix-sizes"))
+    return apply_plan(rows, plan).where("copies > 0").select("row.*", "copies")

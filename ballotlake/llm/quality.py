@@ -139,8 +139,8 @@ def train(trusted: DataFrame, text: str = "text") -> dict:
 
 
 def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``lm_nll`` (negative log likelihood of
-    the whole text) and ``lm_bytes``. Null text: 0 and 0. No shuffle."""
+    """All columns of ``docs`` with ``__lm_nll`` (negative log likelihood of
+    the whole text) and ``__lm_bytes``. Null text: 0 and 0. No shuffle."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
@@ -153,10 +153,10 @@ def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(i).slice(at, end - at) for i in range(b.num_columns)]
                     + [pa.array(nll[off[1:]] - nll[off[:-1]]), pa.array(np.diff(off))],
-                    [*b.schema.names, "lm_nll", "lm_bytes"])
+                    [*b.schema.names, "__lm_nll", "__lm_bytes"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("lm_nll", T.DoubleType()),
-                                              T.StructField("lm_bytes", T.LongType())]))
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lm_nll", T.DoubleType()),
+                                              T.StructField("__lm_bytes", T.LongType())]))
 
 
 def thresholds(scored: DataFrame, lang: str = "lang", low: float = 0.001, high: float = 0.999,
@@ -168,16 +168,16 @@ def thresholds(scored: DataFrame, lang: str = "lang", low: float = 0.001, high:
     ``lo`` and ``hi`` are the ``low`` and ``high`` quantiles moved outwards
     by ``slack`` times their distance from the median.
     """
-    rows = scored.where("lm_bytes > 0")
-    both = (rows.select(F.col(lang).alias("lang"), F.lit(False).alias("every"), "lm_nll", "lm_bytes")
-            .unionByName(rows.select(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every"), "lm_nll",
-                                     "lm_bytes")))
-    mean = both.groupBy("lang", "every").agg((F.sum("lm_nll") / F.sum("lm_bytes")).alias("mean"))
+    rows = scored.where("__lm_bytes > 0")
+    both = (rows.select(F.col(lang).alias("lang"), F.lit(False).alias("every"), "__lm_nll", "__lm_bytes")
+            .unionByName(rows.select(F.lit(None).cast("string").alias("lang"), F.lit(True).alias("every"), "__lm_nll",
+                                     "__lm_bytes")))
+    mean = both.groupBy("lang", "every").agg((F.sum("__lm_nll") / F.sum("__lm_bytes")).alias("mean"))
     mean = written(mean, "lm-means")
-    m = mean.select(F.col("lang").alias("_l"), F.col("every").alias("_e"), "mean")
-    smooth = both.join(m, F.col("lang").eqNullSafe(F.col("_l")) & (F.col("every") == F.col("_e")))
+    m = mean.select(F.col("lang").alias("__lm_l"), F.col("every").alias("_e"), "mean")
+    smooth = both.join(m, F.col("lang").eqNullSafe(F.col("__lm_l")) & (F.col("every") == F.col("_e")))
     q = smooth.groupBy("lang", "every", "mean").agg(F.percentile_approx(
-        _smoothed(F.col("lm_nll"), F.col("lm_bytes"), F.col("mean"), prior_bytes), [low, 0.5, high], 10000).alias("q"))
+        _smoothed(F.col("__lm_nll"), F.col("__lm_bytes"), F.col("mean"), prior_bytes), [low, 0.5, high], 10000).alias("q"))
     return written(q.select("lang", "every", "mean",
                             (F.col("q")[0] - slack * (F.col("q")[1] - F.col("q")[0])).alias("lo"),
                             (F.col("q")[2] + slack * (F.col("q")[2] - F.col("q")[1])).alias("hi")), "lm-limits")
@@ -211,15 +211,15 @@ def classify(docs: DataFrame, trusted: DataFrame, prior_bytes: int = 200, **quan
     trusted = written(trusted.select("text", "lang"), "lm-trusted")
     model = train(trusted)
     limits = thresholds(score(trusted, model), prior_bytes=prior_bytes, **quantiles)
-    own = limits.where("not every").select(F.col("lang").alias("_l"), F.struct("mean", "lo", "hi").alias("_own"))
+    own = limits.where("not every").select(F.col("lang").alias("__lm_l"), F.struct("mean", "lo", "hi").alias("__lm_own"))
     e = limits.where("every").first()  # one row
     every = F.struct(*[F.lit(e[c] if e else None).cast("double").alias(c) for c in ("mean", "lo", "hi")])
-    keep = [c for c in docs.columns if c not in ("perplexity", "keep")]
+    keep = [c for c in docs.columns if c not in ("perplexity", "keep") and not c.startswith("__lm_")]
     s = score(docs.select(*keep), model)
-    s = (s.join(own, s["lang"].eqNullSafe(F.col("_l")), "left")
-         .withColumn("_lim", F.coalesce(F.col("_own"), every)))
-    value = _smoothed(F.col("lm_nll"), F.col("lm_bytes"), F.coalesce(F.col("_lim.mean"), F.lit(0.0)), prior_bytes)
-    return (s.withColumn("_v", value)
-            .select(*keep, F.exp("_v").alias("perplexity"),
-                    F.coalesce((F.col("lm_bytes") == 0) | F.col("_v").between(F.col("_lim.lo"), F.col("_lim.hi")),
+    s = (s.join(own, s["lang"].eqNullSafe(F.col("__lm_l")), "left")
+         .withColumn("__lm_lim", F.coalesce(F.col("__lm_own"), every)))
+    value = _smoothed(F.col("__lm_nll"), F.col("__lm_bytes"), F.coalesce(F.col("__lm_lim.mean"), F.lit(0.0)), prior_bytes)
+    return (s.withColumn("__lm_v", value)
+            .select(*keep, F.exp("__lm_v").alias("perplexity"),
+                    F.coalesce((F.col("__lm_bytes") == 0) | F.col("__lm_v").between(F.col("__lm_lim.lo"), F.col("__lm_lim.hi")),
                                F.lit(True)).alias("keep")))

@@ -373,7 +373,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumn("_key", F.xxhash64(F.col(doc_id), t)).withColumn("_text", t)
+    return docs.withColumn("__sx_key", F.xxhash64(F.col(doc_id), t)).withColumn("__sx_text", t)
 
 
 def cut_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 400,
@@ -381,7 +381,7 @@ def cut_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: in
     """``key, n_removed, n_spans, kept`` (bytes) of the texts that lose
     something; ``key`` is xxhash64(id, text or "")."""
     keyed = _keyed(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t")), "_id", "_t").select(
-        F.col("_key").alias("key"), F.col("_text").alias("text"))
+        F.col("__sx_key").alias("key"), F.col("__sx_text").alias("text"))
     spans = written(repeated_spans(keyed, n, shard_bytes=shard_bytes), "repeats")
     # Spans of one text: at most one per anchor in it.
     per = spans.groupBy("key").agg(F.collect_list("a").alias("a"), F.collect_list("b").alias("b"))
@@ -402,11 +402,11 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     columns are ignored and may have any name.
     """
     cut = cut_texts(docs, doc_id, text, n, shard_bytes).select(
-        F.col("key").alias("_key"), "n_removed", "n_spans", F.sha2("kept", 256).alias("_sha"))
+        F.col("key").alias("__sx_key"), "n_removed", "n_spans", F.sha2("kept", 256).alias("_sha"))
     rows = _keyed(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("_t")), "doc_id", "_t").select(
-        "doc_id", "_key", F.octet_length("_text").cast("long").alias("n_bytes"),
-        F.sha2(F.col("_text"), 256).alias("_whole"))
-    return rows.join(cut, "_key", "left").select(
+        "doc_id", "__sx_key", F.octet_length("__sx_text").cast("long").alias("n_bytes"),
+        F.sha2(F.col("__sx_text"), 256).alias("_whole"))
+    return rows.join(cut, "__sx_key", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
         F.coalesce("_sha", "_whole").alias("kept_sha256"))
@@ -417,11 +417,11 @@ def without_repeats(docs: DataFrame, n: int = 400) -> DataFrame:
     from ``text``; a character cut in part goes whole. All columns are kept,
     ``n_chars`` is renewed where there is one. Documents left without text stay,
     with empty text; null texts stay null."""
-    cut = cut_texts(docs, n=n).select(F.col("key").alias("_key"), F.col("kept").alias("_kept"))
-    whole = _keyed(docs, "doc_id", "text").drop("_text").join(cut, "_key", "left")
+    cut = cut_texts(docs, n=n).select(F.col("key").alias("__sx_key"), F.col("kept").alias("__sx_kept"))
+    whole = _keyed(docs, "doc_id", "text").drop("__sx_text").join(cut, "__sx_key", "left")
     # Invalid sequences at the cuts decode to U+FFFD; texts rarely hold that character themselves.
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(
-        F.replace(F.make_valid_utf8(F.col("_kept").cast("string")), F.lit("\ufffd"), F.lit("")))
+    text = F.when(F.col("__sx_kept").isNull(), F.col("text")).otherwise(
+        F.replace(F.make_valid_utf8(F.col("__sx_kept").cast("string")), F.lit("\ufffd"), F.lit("")))
     out = whole.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
