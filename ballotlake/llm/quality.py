@@ -191,9 +191,10 @@ def _smoothed(nll: Column, n: Column, mean: Column, prior: int) -> Column:
 
 def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents labelled good and not toxic. Only texts that may match
-    (fixed-size filter) are shuffled to the exact semi-join."""
+    (fixed-size filter) are shuffled to the exact join; ids in ``good`` are
+    distinct. (Catalyst would move a left-semi join below the filter.)"""
     good = labels.where("quality = 1 and coalesce(toxic, 0) <> 1 and doc_id is not null").select("doc_id").distinct()
-    return prefilter(docs.select("doc_id", "text", "lang"), "doc_id", good).join(good, "doc_id", "left_semi")
+    return prefilter(docs.select("doc_id", "text", "lang"), "doc_id", good).join(good, "doc_id")
 
 
 def classify(docs: DataFrame, trusted: DataFrame, prior_bytes: int = 200, **quantiles) -> DataFrame:

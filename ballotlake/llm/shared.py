@@ -55,7 +55,8 @@ def prefilter(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     an exact join must follow; there are no false negatives. It spares the
     shuffle of rows (whole texts) that the exact join would drop. Its size
     does not grow with the data, so it may always be broadcast; when it
-    fills up it merely spares less. Null keys never pass.
+    fills up it merely spares less. Null keys never pass. Let an inner join
+    follow: Catalyst moves left-semi joins below the filter.
     """
     slot = _slot(F.col(key))
     words = (wanted.where(F.col(key).isNotNull())
