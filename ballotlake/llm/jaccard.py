@@ -40,6 +40,9 @@ from .textgrams import mix, shingle_sets, text_slices
 #: frequency; the cells are exact sums over all documents and their number
 #: does not grow.
 SKETCH_BITS = 16
+#: A set's parity map has 64 * MAP_WORDS bits; each shingle flips one. Two
+#: maps differ in at most as many bits as the sets differ in shingles.
+MAP_WORDS = 16
 SETS = "cell boolean, id long, n long, s1 long, s2 long"
 
 
@@ -82,12 +85,13 @@ def _levels(cells: DataFrame) -> np.ndarray:
 
 
 def _prefixes(k: int, num: int, den: int, level: np.ndarray):
-    """The rarest n - ceil(t n) + 1 shingles of each set, in global order."""
+    """The rarest n - ceil(t n) + 1 shingles of each set, in global order,
+    and its parity map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at, end, data, off in text_slices(b, "text"):
-                n, flat, size = [], [], []
+                n, flat, size, maps = [], [], [], []
                 for s in shingle_sets(data, off, k):
                     m = len(s)
                     p = m - (num * m + den - 1) // den + 1 if m else 0
@@ -100,11 +104,15 @@ def _prefixes(k: int, num: int, den: int, level: np.ndarray):
                         flat.append(s[few])
                     n.append(m)
                     size.append(p)
+                    odd = np.bincount((s % np.uint64(64 * MAP_WORDS)).astype(np.int64), minlength=64 * MAP_WORDS) & 1
+                    maps.append(np.packbits(odd.astype(bool)).view(np.int64))
                 flat = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)),
                                                  pa.array(flat.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, end - at), pa.array(n, pa.int64()), lists],
-                                                 ["id", "n", "tokens"])
+                maps = pa.ListArray.from_arrays(pa.array(np.arange(end - at + 1, dtype=np.int32) * MAP_WORDS),
+                                                pa.array(np.concatenate(maps)))
+                yield pa.RecordBatch.from_arrays([b.column("id").slice(at, end - at), pa.array(n, pa.int64()), lists,
+                                                  maps], ["id", "n", "tokens", "map"])
 
     return run
 
@@ -147,12 +155,19 @@ def _possible(num: int, den: int, n1: Column, p1: Column, n2: Column, p2: Column
     return ((F.least(n1, n2) * den >= F.greatest(n1, n2) * num) & (most * (num + den) >= (n1 + n2) * num))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (u, v) that link."""
-    pairs = written(pairs, "pairs")
+def _verified(docs: DataFrame, maps: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs (u, v) that link. Pairs whose parity maps differ in more
+    bits than linked sets may differ in shingles are dropped first; only the
+    sets of the others are formed and moved."""
+    a = maps.select(F.col("id").alias("u"), F.col("n").alias("n1"), F.col("map").alias("m1"))
+    b = maps.select(F.col("id").alias("v"), F.col("n").alias("n2"), F.col("map").alias("m2"))
+    differ = F.aggregate(F.zip_with("m1", "m2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+                         lambda acc, x: acc + x)
+    # |A xor B| = |A| + |B| - 2 |A and B|, and |A and B| >= t (|A| + |B|) / (1 + t)
+    pairs = written(pairs.join(a, "u").join(b, "v").where(
+        differ * (num + den) <= (F.col("n1") + F.col("n2")) * (den - num)).select("u", "v"), "pairs")
     ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
-    some = prefilter(docs, "id", ids).select("id", "text").mapInArrow(_whole(k), "id long, s binary")
-    sets = written(some.join(ids, "id", "left_semi"), "sets")
+    sets = written(prefilter(docs, "id", ids).select("id", "text").mapInArrow(_whole(k), "id long, s binary"), "whole")
     a = sets.select(F.col("id").alias("u"), F.col("s").alias("sa"))
     b = sets.select(F.col("id").alias("v"), F.col("s").alias("sb"))
     return written(pairs.join(a, "u").join(b, "v").select("u", "v", "sa", "sb")
@@ -186,15 +201,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                    "nodes")
     ids = node.select(F.col("node").alias("id"))
     rare = (docs.where("id is not null and text is not null")
-            .mapInArrow(_prefixes(k, num, den, level), "id long, n long, tokens array<bigint>"))
-    post = rare.join(ids, "id", "left_semi").select("id", F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("p", "token"))
+            .mapInArrow(_prefixes(k, num, den, level), "id long, n long, tokens array<bigint>, map array<bigint>"))
+    rare = written(rare.join(ids, "id", "left_semi"), "prefixes")
+    maps = rare.select("id", "n", "map")
+    post = rare.select("id", F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("p", "token"))
     # The short lists with more than one member.
     lists = post.groupBy("token").agg(F.min(F.struct("id", "n", "p")).alias("first"), F.max("id").alias("last"))
     live = written(post.join(lists.where("first.id <> last"), "token").drop("last"), "lists")
     star = (live.where((F.col("id") != F.col("first.id")) & _possible(
         num, den, F.col("n"), F.col("p"), F.col("first.n"), F.col("first.p")))
         .groupBy(F.col("id").alias("u")).agg(F.min("first.id").alias("v")))
-    links = _verified(docs, star, k, num, den)
+    links = _verified(docs, maps, star, k, num, den)
     comp = written(components(links), "star-components")
     named = live.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
@@ -206,7 +223,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                     F.col("component").alias("c2"))
     open_pairs = (a.join(b, "token").where((F.col("u") < F.col("v")) & (F.col("c1") != F.col("c2")) & _possible(
         num, den, F.col("n1"), F.col("p1"), F.col("n2"), F.col("p2"))).select("u", "v").distinct())
-    more = _verified(docs, open_pairs, k, num, den)
+    more = _verified(docs, maps, open_pairs, k, num, den)
     comp = components(links.unionByName(more))
     named = (node.join(comp.withColumnRenamed("component", "c"), "node", "left")
              .select("s1", "s2", "n", "node", F.coalesce("c", "node").alias("component")))
