@@ -40,8 +40,9 @@ from .textgrams import mix, shingle_sets, text_slices
 #: frequency; the cells are exact sums over all documents and their number
 #: does not grow.
 SKETCH_BITS = 16
-#: A set's parity map has 64 * MAP_WORDS bits; each shingle flips one. Two
-#: maps differ in at most as many bits as the sets differ in shingles.
+#: A set's parity map has 64 bits a word, at least MAP_WORDS words and
+#: about two bits a shingle (a power of two); each shingle flips one bit.
+#: Two maps differ in at most as many bits as the sets differ in shingles.
 MAP_WORDS = 16
 SETS = "cell boolean, id long, n long, s1 long, s2 long"
 
@@ -104,12 +105,13 @@ def _prefixes(k: int, num: int, den: int, level: np.ndarray):
                         flat.append(s[few])
                     n.append(m)
                     size.append(p)
-                    odd = np.bincount((s % np.uint64(64 * MAP_WORDS)).astype(np.int64), minlength=64 * MAP_WORDS) & 1
+                    bits = 64 * max(MAP_WORDS, 1 << max(0, (m - 1) // 32).bit_length())
+                    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
                     maps.append(np.packbits(odd.astype(bool)).view(np.int64))
                 flat = np.concatenate(flat) if flat else np.zeros(0, np.uint64)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)),
                                                  pa.array(flat.view(np.int64)))
-                maps = pa.ListArray.from_arrays(pa.array(np.arange(end - at + 1, dtype=np.int32) * MAP_WORDS),
+                maps = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(x) for x in maps])].astype(np.int32)),
                                                 pa.array(np.concatenate(maps)))
                 yield pa.RecordBatch.from_arrays([b.column("id").slice(at, end - at), pa.array(n, pa.int64()), lists,
                                                   maps], ["id", "n", "tokens", "map"])
@@ -155,22 +157,39 @@ def _possible(num: int, den: int, n1: Column, p1: Column, n2: Column, p2: Column
     return ((F.least(n1, n2) * den >= F.greatest(n1, n2) * num) & (most * (num + den) >= (n1 + n2) * num))
 
 
-def _verified(docs: DataFrame, maps: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (u, v) that link. Pairs whose parity maps differ in more
-    bits than linked sets may differ in shingles are dropped first; only the
-    sets of the others are formed and moved."""
+def _differ(m1: Column, m2: Column) -> Column:
+    """Number of bits in which two parity maps differ; the longer one is
+    folded to the length of the other."""
+
+    def fold(m: Column, words: Column) -> Column:
+        # Sizes of sets that may link differ by less than 2, so lengths by a factor of 2 at most.
+        return F.when(F.size(m) <= words, m).otherwise(F.zip_with(
+            F.slice(m, F.lit(1), words), F.slice(m, words + 1, words), lambda x, y: x.bitwiseXOR(y)))
+
+    words = F.least(F.size(m1), F.size(m2))
+    return F.aggregate(F.zip_with(fold(m1, words), fold(m2, words), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                       F.lit(0), lambda acc, x: acc + x)
+
+
+def _pruned(maps: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
+    """``pairs`` (u, v and any others) without those whose sizes or parity
+    maps show that they do not link, with ``d``, the bits that differ."""
     a = maps.select(F.col("id").alias("u"), F.col("n").alias("n1"), F.col("map").alias("m1"))
     b = maps.select(F.col("id").alias("v"), F.col("n").alias("n2"), F.col("map").alias("m2"))
-    differ = F.aggregate(F.zip_with("m1", "m2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
-                         lambda acc, x: acc + x)
+    sized = pairs.join(a, "u").join(b, "v").where(F.least("n1", "n2") * den >= F.greatest("n1", "n2") * num)
     # |A xor B| = |A| + |B| - 2 |A and B|, and |A and B| >= t (|A| + |B|) / (1 + t)
-    pairs = written(pairs.join(a, "u").join(b, "v").where(
-        differ * (num + den) <= (F.col("n1") + F.col("n2")) * (den - num)).select("u", "v"), "pairs")
+    return (sized.withColumn("d", _differ(F.col("m1"), F.col("m2")))
+            .where(F.col("d") * (num + den) <= (F.col("n1") + F.col("n2")) * (den - num)).drop("n1", "n2", "m1", "m2"))
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """The pairs (u, v) that link. Only the sets of these documents are
+    formed and moved."""
     ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
     sets = written(prefilter(docs, "id", ids).select("id", "text").mapInArrow(_whole(k), "id long, s binary"), "whole")
     a = sets.select(F.col("id").alias("u"), F.col("s").alias("sa"))
     b = sets.select(F.col("id").alias("v"), F.col("s").alias("sb"))
-    return written(pairs.join(a, "u").join(b, "v").select("u", "v", "sa", "sb")
+    return written(pairs.select("u", "v").join(a, "u").join(b, "v").select("u", "v", "sa", "sb")
                    .mapInArrow(_probe(num, den), "u long, v long"), "links")
 
 
@@ -206,12 +225,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     maps = rare.select("id", "n", "map")
     post = rare.select("id", F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("p", "token"))
     # The short lists with more than one member.
-    lists = post.groupBy("token").agg(F.min(F.struct("id", "n", "p")).alias("first"), F.max("id").alias("last"))
-    live = written(post.join(lists.where("first.id <> last"), "token").drop("last"), "lists")
-    star = (live.where((F.col("id") != F.col("first.id")) & _possible(
-        num, den, F.col("n"), F.col("p"), F.col("first.n"), F.col("first.p")))
-        .groupBy(F.col("id").alias("u")).agg(F.min("first.id").alias("v")))
-    links = _verified(docs, maps, star, k, num, den)
+    lists = post.groupBy("token").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
+    live = written(post.join(lists, "token").drop("last"), "lists")
+    star = live.where(F.col("id") != F.col("first")).groupBy(F.col("id").alias("u")).agg(F.min("first").alias("v"))
+    links = _verified(docs, written(_pruned(maps, star, num, den), "star-pairs"), k, num, den)
     comp = written(components(links), "star-components")
     named = live.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
@@ -221,10 +238,19 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                     F.col("component").alias("c1"))
     b = rest.select("token", F.col("id").alias("v"), F.col("n").alias("n2"), F.col("p").alias("p2"),
                     F.col("component").alias("c2"))
-    open_pairs = (a.join(b, "token").where((F.col("u") < F.col("v")) & (F.col("c1") != F.col("c2")) & _possible(
-        num, den, F.col("n1"), F.col("p1"), F.col("n2"), F.col("p2"))).select("u", "v").distinct())
-    more = _verified(docs, maps, open_pairs, k, num, den)
-    comp = components(links.unionByName(more))
+    found = (a.join(b, "token").where((F.col("u") < F.col("v")) & (F.col("c1") != F.col("c2")) & _possible(
+        num, den, F.col("n1"), F.col("p1"), F.col("n2"), F.col("p2"))).select("u", "v", "c1", "c2").distinct())
+    found = written(_pruned(maps, found, num, den), "open-pairs")
+    # The likeliest pair of each two components first: a link settles all others of the two.
+    best = found.groupBy(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).agg(
+        F.min(F.struct("d", "u", "v")).alias("x")).select("x.u", "x.v")
+    links = links.unionByName(_verified(docs, written(best, "best-pairs"), k, num, den))
+    comp = written(components(links), "joined-components")
+    side = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    left = (found.join(side("u"), "u", "left").join(side("v"), "v", "left")
+            .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v").join(best, ["u", "v"], "left_anti"))
+    links = links.unionByName(_verified(docs, written(left, "last-pairs"), k, num, den))
+    comp = components(links)
     named = (node.join(comp.withColumnRenamed("component", "c"), "node", "left")
              .select("s1", "s2", "n", "node", F.coalesce("c", "node").alias("component")))
     return (facts.join(named, ["s1", "s2", "n"], "left")
