@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .shared import prefilter, written
 from .textgrams import prefix_hashes, span_hashes, text_slices
 
-GRAM = 64
+GRAM = 256
 #: A text is looked at in blocks of at most this many bytes (overlapping by
 #: n - 1), a shard holds about this many bytes of contexts.
 BLOCK = 1 << 22
@@ -108,30 +108,35 @@ def suffix_array(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     t = np.frombuffer(b"".join(parts) + bytes(8), np.uint8)
     end = np.repeat(start[1:], size)
     left = end - np.arange(n)
+    # Seven bytes and how many of them there are; ended suffixes of equal text stay in order.
     key = np.zeros(n, np.uint64)
-    for i in range(8):
+    for i in range(7):
         key = (key << np.uint64(8)) | np.where(left > i, t[i:n + i], 0).astype(np.uint64)
-    sa = np.lexsort((np.minimum(left, 8), key))
+    key = (key << np.uint64(8)) | np.minimum(left, 7).astype(np.uint64)
+    sa = np.argsort(key)
+    ended = np.flatnonzero(left[sa] < 7)
+    sa[ended] = sa[ended][np.lexsort((sa[ended], key[sa[ended]]))]
     # rank[i]: first place of i's group in the array; suffixes that ended are alone.
     new = np.ones(n, bool)
-    new[1:] = (key[sa[1:]] != key[sa[:-1]]) | (np.minimum(left, 8)[sa[1:]] != np.minimum(left, 8)[sa[:-1]])
-    new |= left[sa] < 8
+    new[1:] = key[sa[1:]] != key[sa[:-1]]
+    new[ended] = True
     rank = np.zeros(n, np.int64)
     rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    h = 8
+    h = 7
     while h < size.max():
-        place = np.arange(n)
-        alone = np.r_[new[1:], True] & new
-        todo = place[~alone]  # only groups still tied are sorted again
+        # Only groups still tied are sorted again.
+        todo = np.flatnonzero(~(new & np.r_[new[1:], True]))
         if not len(todo):
             break
         s = sa[todo]
-        after = np.where(left[s] > h, rank[np.minimum(s + h, n - 1)] + 1, 0)
-        o = np.lexsort((after, rank[s]))
-        s, after, group = s[o], after[o], rank[s][o]
+        # What follows h bytes later; an ended suffix comes first, by its place in the text.
+        after = np.where(left[s] > h, rank[np.minimum(s + h, n - 1)] + n + 1, s)
+        both = rank[s] * (2 * n + 2) + after
+        o = np.argsort(both)
+        s, both = s[o], both[o]
         sa[todo] = s
         fresh = np.ones(len(todo), bool)
-        fresh[1:] = (group[1:] != group[:-1]) | (after[1:] != after[:-1]) | (after[1:] == 0)
+        fresh[1:] = both[1:] != both[:-1]
         new[todo] = fresh
         rank[s] = todo[np.maximum.accumulate(np.where(fresh, np.arange(len(todo)), 0))]
         h *= 2
@@ -141,7 +146,8 @@ def suffix_array(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
 def kasai(sa: np.ndarray, t: np.ndarray, start: np.ndarray, end: np.ndarray, cap: int) -> np.ndarray:
     """Common prefix (up to ``cap``) of each suffix with its predecessor in
     the array, by place. Kasai's carry (a suffix one byte later shares at
-    least one byte less) runs through all parts in step."""
+    least one byte less) runs through all parts in step, as far as suffixes have
+    ``cap`` bytes; other places get 0."""
     n = len(sa)
     before = np.full(n, -1)
     before[sa[1:]] = sa[:-1]
@@ -149,11 +155,11 @@ def kasai(sa: np.ndarray, t: np.ndarray, start: np.ndarray, end: np.ndarray, cap
     for i in range(8):
         word[:n] = (word[:n] << np.uint64(8)) | t[i:n + i].astype(np.uint64)
     lcp = np.zeros(n, np.int64)
-    size = np.diff(start)
+    size = np.diff(start) - cap + 1  # suffixes of cap bytes
     part = np.argsort(-size, kind="stable")
     size = size[part]
     carry = np.zeros(len(part), np.int64)
-    for o in range(int(size[0]) if len(size) else 0):
+    for o in range(max(0, int(size[0]))):
         live = int(np.searchsorted(-size, -o, "left"))  # parts longer than o
         pos = start[part[:live]] + o
         prev = before[pos]
