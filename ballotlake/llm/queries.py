@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, forest, jaccard, langid, mixing, quality, suffixes, warc
+from . import chat, decontaminate, forest, jaccard, langid, licenses, mixing, quality, suffixes, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "n_shingles", "component_id"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (licenses.license_blocks(_table(spark, sf_dir, "documents"))
+            .select("doc_id", "block_no", "license", "n_diff", "n_words", "exact"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql(r"""SELECT -7L AS conv_id, turn, role, r'\### Assistant: </turn> ok' AS text
@@ -74,6 +79,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_license_scan": op2_license_scan,
     "op3_chat_format": op3_chat_format,
     "op4_warc_archive": op4_warc_archive,
     "op5_suffix_dedup": op5_suffix_dedup,

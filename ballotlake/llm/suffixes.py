@@ -17,9 +17,9 @@ can repeat:
    re-sorts only groups still tied), Kasai's common prefixes mark the
    neighbours that share n bytes.
 4. An anchor with more contexts than a shard may hold is dealt over several.
-   Each reports the classes of its array (a 128-bit key for n equal bytes),
-   the keys that more than one shard reports are joined, and each shard
-   finds them in its sorted classes by binary search.
+   Each reports the classes of its array (a 128-bit key for n equal bytes,
+   and where they are); keys that shards report from different places are
+   joined, and each shard finds them in its classes by binary search.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import prefilter, written
-from .textgrams import prefix_hashes, span_hashes, text_slices
+from .textgrams import mix, prefix_hashes, span_hashes, text_slices
 
 GRAM = 256
 #: A text is looked at in blocks of at most this many bytes (overlapping by
@@ -277,13 +277,25 @@ def _search(n: int, most: int):
             twice = _recurs(rows, pos, cls, part, start)
             yield _frame(_spans(rows, part[twice], (pos - start[part])[twice], n))
             if dealt:
-                _, keys = _class_keys(pos, cls, t, n)
-                yield pd.DataFrame({"key": None, "a": None, "b": None, "fp": rows["fp"][0], "part": rows["part"][0],
-                                    "cls": keys}).astype({c: "Int64" for c in ("key", "a", "b")})
+                first, keys = _class_keys(pos, cls, t, n)
+                lo, hi = _places(rows, pos, part, start, first)
+                yield pd.DataFrame({"key": 0, "a": lo, "b": hi, "fp": rows["fp"][0], "part": rows["part"][0],
+                                    "cls": keys})
 
     return run
 
 
+def _places(rows: dict, pos, part, start, first) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest and largest hash of the places (text, offset) of each class;
+    a context that occurs twice has two places."""
+    keys = np.array(rows["key"], np.int64)[part].view(np.uint64)
+    place = mix(keys + mix((np.array(rows["start"], np.int64)[part] + pos - start[part]).astype(np.uint64)))
+    other = np.where(np.array(rows["n"], np.int64)[part] > 1, ~place, place)
+    lo = np.minimum.reduceat(np.minimum(place, other), first)
+    hi = np.maximum.reduceat(np.maximum(place, other), first)
+    return lo.view(np.int64), hi.view(np.int64)
+
+
 def _frame(spans: list[tuple]) -> pd.DataFrame:
     df = pd.DataFrame(spans, columns=["key", "a", "b"]).astype("Int64")
     return df.assign(fp=pd.Series(pd.NA, df.index, "Int64"), part=pd.Series(pd.NA, df.index, "Int32"), cls=None)
@@ -341,13 +353,15 @@ def repeated_spans(docs: DataFrame, n: int = 400, k: int = GRAM, shard_bytes: in
         _search(n, shard_bytes), "key long, a long, b long, fp long, part int, cls binary"), "spans")
     spans = whole.unionByName(one.where("cls is null").select("key", "a", "b"))
     # Anchors dealt over several shards: classes that two shards report go back to those shards.
-    keys = one.where("cls is not null").select("fp", "part", "cls")
-    shared = keys.groupBy("cls").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("cls")
-    null = lambda t: F.lit(None).cast(t)
-    asked = keys.join(shared, "cls", "left_semi").select(
-        "fp", null("long").alias("ctx"), null("long").alias("n"), F.lit(2).alias("parts"), null("long").alias("key"),
-        null("long").alias("start"), null("binary").alias("body"), "part", "cls")
-    both = body.where("parts > 1").withColumn("cls", null("binary")).unionByName(asked)
+    keys = one.where("cls is not null").select("fp", "part", "cls", F.col("a").alias("lo"), F.col("b").alias("hi"))
+    shared = (keys.groupBy("fp", "cls").agg(F.count_distinct("part").alias("c"), F.min(F.least("lo", "hi")).alias("lo"),
+                                            F.max(F.greatest("lo", "hi")).alias("hi"))
+              .where("c > 1 and lo <> hi").select("fp", "cls"))
+    zero = F.lit(0).cast("long")
+    asked = keys.join(shared, ["fp", "cls"], "left_semi").select(
+        "fp", zero.alias("ctx"), zero.alias("n"), F.lit(2).alias("parts"), zero.alias("key"), zero.alias("start"),
+        F.lit(None).cast("binary").alias("body"), "part", "cls")
+    both = body.where("parts > 1").withColumn("cls", F.lit(None).cast("binary")).unionByName(asked)
     more = (both.repartition("fp", "part").sortWithinPartitions("part", "fp", F.col("body").isNotNull(), "ctx")
             .mapInPandas(_probe(n, shard_bytes), SPAN))
     return spans.unionByName(more)
