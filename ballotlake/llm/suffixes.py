@@ -39,8 +39,8 @@ from .textgrams import mix, prefix_hashes, span_hashes, text_slices
 GRAM = 256
 #: A text is looked at in blocks of at most this many bytes (overlapping by
 #: n - 1), a shard holds about this many bytes of contexts.
-BLOCK = 1 << 22
-SHARD_BYTES = 1 << 22
+BLOCK = 1 << 20
+SHARD_BYTES = 1 << 20
 CONTEXT = "fp long, ctx long, key long, start long, len int"
 SPAN = "key long, a long, b long"
 
@@ -63,7 +63,7 @@ def _contexts(n: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("key").to_numpy(zero_copy_only=False)
-            for at, end, data, off in text_slices(batch, "text"):
+            for at, end, data, off in text_slices(batch, "text", BLOCK):
                 if len(data) < n:
                     continue
                 pre = prefix_hashes(data)
