@@ -41,6 +41,8 @@ GRAM = 256
 #: n - 1), a shard holds about this many bytes of contexts.
 BLOCK = 1 << 20
 SHARD_BYTES = 1 << 20
+#: An anchor is dealt over several shards beyond this many times the size.
+DEAL = 8
 CONTEXT = "fp long, ctx long, key long, start long, len int"
 SPAN = "key long, a long, b long"
 
@@ -340,7 +342,7 @@ def repeated_spans(docs: DataFrame, n: int = 400, k: int = GRAM, shard_bytes: in
              .select("key", F.col("start").alias("a"), (F.col("start") + F.col("len")).alias("b")))
     fps = (ctx.groupBy("fp").agg(F.count(F.lit(1)).alias("d"), F.min("n").alias("least"))
            .where("d > 1 and least = 1")
-           .select("fp", F.ceil(F.col("d") * F.lit(float(2 * n - k) / shard_bytes)).cast("int").alias("parts")))
+           .select("fp", F.ceil(F.col("d") * F.lit(float(2 * n - k) / (DEAL * shard_bytes))).cast("int").alias("parts")))
     need = written(ctx.join(fps, "fp").select("fp", "ctx", "n", "parts", "at.*"), "needed-contexts")
     keys = need.select("key").distinct()
     text = prefilter(docs, "key", keys).withColumn("bytes", F.col("text").cast("binary")).select("key", "bytes")

@@ -108,7 +108,7 @@ def test_warc(spark, tmp_path):
         "response"}
 
 
-@pytest.mark.parametrize("shard_bytes", [1 << 22, 2000])
+@pytest.mark.parametrize("shard_bytes", [1 << 22, 250])
 def test_suffixes(spark, shard_bytes):
     rnd = random.Random(4)
     text = lambda n: "".join(rnd.choices("abcdé ", k=n))
