@@ -42,7 +42,7 @@ GRAM = 256
 BLOCK = 1 << 20
 SHARD_BYTES = 1 << 20
 #: An anchor is dealt over several shards beyond this many times the size.
-DEAL = 8
+DEAL = 1
 CONTEXT = "fp long, ctx long, key long, start long, len int"
 SPAN = "key long, a long, b long"
 
