@@ -17,9 +17,13 @@ can repeat:
    re-sorts only groups still tied), Kasai's common prefixes mark the
    neighbours that share n bytes.
 4. An anchor with more contexts than a shard may hold is dealt over several.
-   Each reports the classes of its array (a 128-bit key for n equal bytes,
-   and where they are); keys that shards report from different places are
-   joined, and each shard finds them in its classes by binary search.
+   Two shards can only share a string as far as its text around the anchor
+   recurs: each shard first reports the anchor grown to the left or right by
+   1, 2, 4, ... bytes (two short ladders a context). Where ladders of
+   different shards agree, the shard reports the classes of its array that lie
+   inside (a 128-bit key for n equal bytes, and where they are); keys that
+   shards report from different places are joined, and each shard finds them
+   in its classes by binary search.
 """
 
 from __future__ import annotations
@@ -267,9 +271,9 @@ def _class_keys(pos, cls, t, n: int) -> tuple[np.ndarray, list[bytes]]:
     return first, [hashlib.blake2b(raw[p:p + n], digest_size=16).digest() for p in pos[first]]
 
 
-def _search(n: int, most: int):
+def _search(n: int, k: int, most: int):
     """Spans of single contexts whose n-byte strings recur in their shard,
-    and the class keys of dealt anchors."""
+    and the ladders of dealt anchors."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for dealt, rows in _shards(batches, most):
@@ -279,14 +283,66 @@ def _search(n: int, most: int):
             twice = _recurs(rows, pos, cls, part, start)
             yield _frame(_spans(rows, part[twice], (pos - start[part])[twice], n))
             if dealt:
-                first, keys = _class_keys(pos, cls, t, n)
-                lo, hi = _places(rows, pos, part, start, first)
-                yield pd.DataFrame({"key": 0, "a": lo, "b": hi, "fp": rows["fp"][0], "part": rows["part"][0],
-                                    "cls": keys})
+                q, i, rungs = _ladders(rows, t, start, n, k)
+                hit, key = (np.concatenate(v) for v in zip(*((r[2], r[3]) for r in rungs)))
+                if len(hit):
+                    o = np.argsort(key, kind="stable")
+                    hit, key = hit[o], key[o]
+                    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+                    lo, hi = _places(rows, q[hit], i[hit], start, first)
+                    yield _report(rows, [int(x).to_bytes(8, "big") for x in key[first]], lo, hi)
 
     return run
 
 
+def _ladders(rows: dict, t, start, n: int, k: int) -> tuple[np.ndarray, np.ndarray, list]:
+    """Places of a shard's anchor gram in its contexts, the contexts, and per
+    rung (side, bytes, which places, keys): the key of the gram grown by so
+    many bytes to that side, where the context has them. A gram that stands
+    at several places of a context has ladders at each: equal strings hold
+    it at the same offset, whichever of them chose it."""
+    pre = prefix_hashes(t[:int(start[-1])])
+    s = np.arange(max(0, int(start[-1]) - k + 1))
+    i = np.searchsorted(start, s, "right") - 1
+    q = s[(s + k <= start[i + 1]) & (span_hashes(pre, s, s + k).view(np.int64) == rows["fp"][0])]
+    i = np.searchsorted(start, q, "right") - 1
+    rungs = []
+    for v in _steps(n, k):
+        left = np.flatnonzero(q - v >= start[i])
+        rungs.append((0, v, left, mix(span_hashes(pre, q[left] - v, q[left] + k) + np.uint64(2 * v))))
+        right = np.flatnonzero(q + k + v <= start[i + 1])
+        rungs.append((1, v, right, mix(span_hashes(pre, q[right], q[right] + k + v) + np.uint64(2 * v + 1))))
+    return q, i, rungs
+
+
+def _steps(n: int, k: int) -> list[int]:
+    """1, 2, 4, ... and n - k, the most bytes beside the gram in a window."""
+    return [1 << j for j in range((n - k).bit_length()) if 1 << j < n - k] + [n - k]
+
+
+def _may_recur(rows: dict, t, start, known: np.ndarray, n: int, k: int) -> np.ndarray:
+    """Per byte: can the n-byte string from here stand in another shard?
+    ``known``: sorted ladder keys of other shards."""
+    q, _, rungs = _ladders(rows, t, start, n, k)
+    steps = np.array([*_steps(n, k), n - k + 1])
+    reach = np.zeros((2, len(q)), np.int64)  # below the first rung that no other shard has
+    for side, v, place, key in rungs:
+        if len(place):
+            at = np.minimum(np.searchsorted(known, key), len(known) - 1)
+            place = place[known[at] == key]
+            reach[side, place] = steps[np.searchsorted(steps, v) + 1] - 1
+    least = n - k - reach[1]  # bytes left of the gram
+    ok = least <= reach[0]
+    edge = np.zeros(len(t) + 1, np.int64)
+    np.add.at(edge, np.maximum(q - reach[0], 0)[ok], 1)
+    np.add.at(edge, np.maximum(q - least + 1, 0)[ok], -1)
+    return np.cumsum(edge) > 0
+
+
+def _report(rows: dict, keys: list[bytes], lo: np.ndarray, hi: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"key": 0, "a": lo, "b": hi, "fp": rows["fp"][0], "part": rows["part"][0], "cls": keys})
+
+
 def _places(rows: dict, pos, part, start, first) -> tuple[np.ndarray, np.ndarray]:
     """Smallest and largest hash of the places (text, offset) of each class;
     a context that occurs twice has two places."""
@@ -303,33 +359,79 @@ def _frame(spans: list[tuple]) -> pd.DataFrame:
     return df.assign(fp=pd.Series(pd.NA, df.index, "Int64"), part=pd.Series(pd.NA, df.index, "Int32"), cls=None)
 
 
+def _asked(batches: Iterator[pd.DataFrame], most: int) -> Iterator[tuple[dict, np.ndarray]]:
+    """The rows of each dealt shard with the sorted keys (their first 64
+    bits) that another shard reports too; the keys come before the rows."""
+    keys: dict[tuple[int, int], list[bytes]] = {}
+
+    def bodies():
+        for pdf in batches:
+            asked = pdf["body"].isna()
+            if asked.any():
+                fresh = pdf[asked]
+                group = list(zip(fresh["part"], fresh["fp"]))
+                for g, x in zip(group, fresh["cls"]):
+                    keys.setdefault(g, []).append(x[:8])
+            if not asked.all():
+                yield pdf[~asked]
+
+    for _, rows in _shards(bodies(), most):
+        known = keys.pop((rows["part"][0], rows["fp"][0]), [])
+        if known:
+            yield rows, np.sort(np.frombuffer(b"".join(known), ">u8").astype(np.uint64))
+
+
+def _inside(n: int, k: int, most: int):
+    """Class keys of the dealt shards, as far as other shards' ladders reach."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows, known in _asked(batches, most):
+            pos, cls, part, t, start = _classes(rows, n)
+            if not len(pos):
+                continue
+            may = _may_recur(rows, t, start, known, n, k)[pos]
+            live = np.zeros(int(cls[-1]) + 1, bool)
+            live[cls[may]] = True
+            o = np.flatnonzero(live[cls])
+            if len(o):
+                first, keys = _class_keys(pos[o], cls[o], t, n)
+                yield _report(rows, keys, *_places(rows, pos[o], part[o], start, first))
+
+    return run
+
+
 def _probe(n: int, most: int):
     """Cross-shard merge: the rows of a dealt shard, preceded by the class
     keys that another shard reports too, to spans."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: list[bytes] = []
-
-        def bodies():
-            for pdf in batches:
-                known.extend(pdf.loc[pdf["body"].isna(), "cls"])
-                rest = pdf[pdf["body"].notna()]
-                if len(rest):
-                    yield rest
-
-        for _, rows in _shards(bodies(), most):
+        for rows, known in _asked(batches, most):
             pos, cls, part, t, start = _classes(rows, n)
-            if not len(pos) or not known:
+            if not len(pos):
                 continue
             first, keys = _class_keys(pos, cls, t, n)
-            have, mine = (np.array([int.from_bytes(x, "big") >> 64 for x in v], np.uint64) for v in (sorted(known), keys))
-            at = np.minimum(np.searchsorted(have, mine), len(have) - 1)
-            hit = np.repeat(have[at] == mine, np.diff(np.r_[first, len(cls)]))
+            mine = np.frombuffer(b"".join(x[:8] for x in keys), ">u8").astype(np.uint64)
+            at = np.minimum(np.searchsorted(known, mine), len(known) - 1)
+            hit = np.repeat(known[at] == mine, np.diff(np.r_[first, len(cls)]))
             yield pd.DataFrame(_spans(rows, part[hit], (pos - start[part])[hit], n), columns=["key", "a", "b"])
 
     return run
 
 
+def _with_asked(body: DataFrame, keys: DataFrame) -> DataFrame:
+    """Dealt rows by shard, each shard after its keys that another shard
+    reports from another place."""
+    shared = (keys.groupBy("fp", "cls").agg(F.count_distinct("part").alias("c"), F.min(F.least("lo", "hi")).alias("lo"),
+                                            F.max(F.greatest("lo", "hi")).alias("hi"))
+              .where("c > 1 and lo <> hi").select("fp", "cls"))
+    zero = F.lit(0).cast("long")
+    asked = keys.join(shared, ["fp", "cls"], "left_semi").select(
+        "fp", zero.alias("ctx"), zero.alias("n"), F.lit(2).alias("parts"), zero.alias("key"), zero.alias("start"),
+        F.lit(None).cast("binary").alias("body"), "part", "cls")
+    both = body.where("parts > 1").withColumn("cls", F.lit(None).cast("binary")).unionByName(asked)
+    return both.repartition("fp", "part").sortWithinPartitions("part", "fp", F.col("body").isNotNull(), "ctx")
+
+
 def repeated_spans(docs: DataFrame, n: int = 400, k: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``(key, a, b)``: byte spans of the text with ``key`` that are covered
     by repeated n-byte strings; spans may overlap. ``docs``: ``key, text``."""
@@ -351,21 +453,16 @@ def repeated_spans(docs: DataFrame, n: int = 400, k: int = GRAM, shard_bytes: in
                                                                            F.col("len")).alias("body"))
             .withColumn("part", F.when(F.col("parts") > 1, F.pmod("ctx", F.col("parts"))).otherwise(0).cast("int")))
     body = written(body, "context-bytes")
+    report = "key long, a long, b long, fp long, part int, cls binary"
     one = written(body.repartition("fp", "part").sortWithinPartitions("part", "fp", "ctx").mapInPandas(
-        _search(n, shard_bytes), "key long, a long, b long, fp long, part int, cls binary"), "spans")
+        _search(n, k, shard_bytes), report), "spans")
     spans = whole.unionByName(one.where("cls is null").select("key", "a", "b"))
-    # Anchors dealt over several shards: classes that two shards report go back to those shards.
-    keys = one.where("cls is not null").select("fp", "part", "cls", F.col("a").alias("lo"), F.col("b").alias("hi"))
-    shared = (keys.groupBy("fp", "cls").agg(F.count_distinct("part").alias("c"), F.min(F.least("lo", "hi")).alias("lo"),
-                                            F.max(F.greatest("lo", "hi")).alias("hi"))
-              .where("c > 1 and lo <> hi").select("fp", "cls"))
-    zero = F.lit(0).cast("long")
-    asked = keys.join(shared, ["fp", "cls"], "left_semi").select(
-        "fp", zero.alias("ctx"), zero.alias("n"), F.lit(2).alias("parts"), zero.alias("key"), zero.alias("start"),
-        F.lit(None).cast("binary").alias("body"), "part", "cls")
-    both = body.where("parts > 1").withColumn("cls", F.lit(None).cast("binary")).unionByName(asked)
-    more = (both.repartition("fp", "part").sortWithinPartitions("part", "fp", F.col("body").isNotNull(), "ctx")
-            .mapInPandas(_probe(n, shard_bytes), SPAN))
+    # Anchors dealt over several shards: ladders, then classes that two shards report, go back to those shards.
+    found_keys = [F.col("fp"), F.col("part"), F.col("cls"), F.col("a").alias("lo"), F.col("b").alias("hi")]
+    ladders = one.where("cls is not null").select(*found_keys)
+    keys = written(_with_asked(body, ladders).mapInPandas(_inside(n, k, shard_bytes), report).select(*found_keys),
+                   "class-keys")
+    more = _with_asked(body, keys).mapInPandas(_probe(n, shard_bytes), SPAN)
     return spans.unionByName(more)
 
 
