@@ -4,7 +4,7 @@ feed label clean-up, composite keys."""
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, functions as F
 
@@ -141,10 +141,3 @@ def composite_id(county, precinct, sep: str = "##") -> Column:
     precinct is missing or empty."""
     cty, pre = F.upper(_col(county)), F.upper(_col(precinct))
     return F.when(pre.isNotNull() & (pre != ""), F.concat_ws(sep, cty, pre)).otherwise(cty)
-
-
-def code_lookup(c, mapping: Mapping[str, str], default=None) -> Column:
-    """Small literal dictionary lookup via ``create_map``."""
-    m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
-    out = F.element_at(m, _col(c))
-    return out if default is None else F.coalesce(out, F.lit(default))

@@ -95,16 +95,20 @@ def ring_centroid(ring) -> Column:
 
 
 def _ring_centroid(r: Column) -> Column:
-    return let(ring_moments(r), lambda m: _centroid_from(r, m))
+    # Moments are taken around the first vertex: at real coordinates the raw
+    # products of a small ring cancel to noise.
+    return let(F.get(r, F.lit(0)), lambda o: let(
+        F.transform(r, lambda p: F.struct((p.x - o.x).alias("x"), (p.y - o.y).alias("y"))),
+        lambda moved: let(ring_moments(moved), lambda m: _centroid_from(r, o, m))))
 
 
-def _centroid_from(r: Column, m: Column) -> Column:
-    n = F.size(r)
+def _centroid_from(r: Column, o: Column, m: Column) -> Column:
+    n = F.nullif(F.size(r), F.lit(0))
     mean_x = F.aggregate(r, F.lit(0.0), lambda a, p: a + p.x) / n
     mean_y = F.aggregate(r, F.lit(0.0), lambda a, p: a + p.y) / n
     return F.struct(
-        F.when(m.a2 != 0, m.mx / (F.lit(3.0) * m.a2)).otherwise(mean_x).alias("x"),
-        F.when(m.a2 != 0, m.my / (F.lit(3.0) * m.a2)).otherwise(mean_y).alias("y"),
+        F.when(m.a2 != 0, m.mx / (F.lit(3.0) * m.a2) + o.x).otherwise(mean_x).alias("x"),
+        F.when(m.a2 != 0, m.my / (F.lit(3.0) * m.a2) + o.y).otherwise(mean_y).alias("y"),
         F.abs(m.a2 / 2).alias("area"))
 
 
@@ -135,6 +139,15 @@ def _combine_rings(m: Column, rs: Column) -> Column:
                     F.when(w != 0, sy / w).otherwise(my).alias("y"))
 
 
+def geojson_geometry(multi) -> Column:
+    """GeoJSON text of a geometry: ``Polygon`` for one polygon, else
+    ``MultiPolygon``."""
+    return let(F.transform(_col(multi), lambda poly: F.transform(poly, lambda ring: F.transform(
+        ring, lambda p: F.array(p.x, p.y)))), lambda m: F.when(
+            F.size(m) == 1, F.to_json(F.struct(F.lit("Polygon").alias("type"), F.get(m, F.lit(0)).alias("coordinates"))))
+        .otherwise(F.to_json(F.struct(F.lit("MultiPolygon").alias("type"), m.alias("coordinates")))))
+
+
 def vertices(multi) -> Column:
     return F.flatten(F.flatten(_col(multi)))
 
@@ -162,25 +175,38 @@ def boxes(df: DataFrame, key: str, bbox_col: str = "bbox", total_key: str = "STA
 
 
 def thin_ring(ring, tolerance: float, min_vertices: int = 4) -> Column:
-    """Grid thinning: snap to cells of ``tolerance``; drop a vertex in the
-    same cell as its predecessor, always keep the first and last vertex;
-    if fewer than ``min_vertices`` remain, keep the ring as it was. Error
-    is at most one cell diagonal and shared borders thin identically."""
+    """Grid thinning: of each run of neighbouring vertices in one cell of
+    ``tolerance`` the smallest (x, y) stays. The ring is cyclic, so neither
+    its start nor its direction matters and a border walked by two
+    neighbours thins to the same vertices. A closed ring stays closed; one
+    that would keep fewer than ``min_vertices`` stays as it was. Error is at
+    most one cell diagonal."""
     return let(_col(ring), lambda r: _thin(r, tolerance, min_vertices))
 
 
 def _thin(r: Column, tolerance: float, min_vertices: int) -> Column:
     n = F.size(r)
-    inv = F.lit(float(tolerance))
+    closed = (n > 1) & (F.get(r, F.lit(0)) == F.get(r, n - 1))
+    kept = let(F.when(closed, F.slice(r, 1, F.greatest(n - 1, F.lit(0)))).otherwise(r),
+               lambda o: _run_minima(o, tolerance))
+    whole = let(kept, lambda k: F.when(closed, F.concat(k, F.slice(k, 1, 1))).otherwise(k))
+    return let(whole, lambda k: F.when(F.size(k) < F.least(n, F.lit(min_vertices)), r).otherwise(k))
+
+
+def _run_minima(o: Column, tolerance: float) -> Column:
+    n, unit = F.size(o), F.lit(float(tolerance))
 
     def cell(p):
-        return F.struct(F.floor(p.x / inv), F.floor(p.y / inv))
+        return F.struct(F.floor(p.x / unit), F.floor(p.y / unit))
 
-    prev = F.concat(F.array(F.lit(None).cast(POINT)), F.slice(r, 1, F.greatest(n - 1, F.lit(1))))
-    z = F.arrays_zip(r.alias("p"), prev.alias("q"))
-    kept = F.transform(F.filter(z, lambda e, i: (i == 0) | (i == n - 1) | (cell(e["p"]) != cell(e["q"]))),
-                       lambda e: e["p"])
-    return F.when(F.size(kept) < F.least(n, F.lit(min_vertices)), r).otherwise(kept)
+    before = F.concat(F.slice(o, -1, 1), F.slice(o, 1, F.greatest(n - 1, F.lit(0))))
+    marked = F.transform(F.arrays_zip(o.alias("p"), before.alias("q")),
+                         lambda e, i: F.when(cell(e["p"]) != cell(e["q"]), i))
+    starts = F.filter(marked, lambda i: i.isNotNull())
+    return let(starts, lambda s: let(F.concat(o, o), lambda twice: F.transform(
+        F.arrays_zip(s.alias("a"), F.concat(F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0))),
+                                            F.transform(F.slice(s, 1, 1), lambda i: i + n)).alias("b")),
+        lambda e: F.array_min(F.slice(twice, e["a"] + 1, e["b"] - e["a"])))))
 
 
 def thin_feature(multi, tolerance: float, min_vertices: int = 4) -> Column:
@@ -190,6 +216,9 @@ def thin_feature(multi, tolerance: float, min_vertices: int = 4) -> Column:
 
 def measure_rollup(df: DataFrame, key: str | Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Per-key sums of measures with missing values as 0 (uniformly,
-    first row of a key included)."""
+    first row of a key included). Floating measures are summed as decimals
+    of six places, so the sum does not depend on the order of the rows."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).agg(*[F.sum(F.coalesce(F.col(m), F.lit(0))).alias(m) for m in measures])
+    kind = dict(df.dtypes)
+    exact = {m: F.col(m).cast("decimal(28,6)") if kind[m] in ("double", "float") else F.col(m) for m in measures}
+    return df.groupBy(*keys).agg(*[F.sum(F.coalesce(c, F.lit(0))).alias(m) for m, c in exact.items()])

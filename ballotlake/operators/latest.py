@@ -8,37 +8,25 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def latest_per_key(df: DataFrame, key: str | Sequence[str], order_col: str,
-                   keep_ties: bool = True, tiebreak: Sequence[str] = (), distinct: bool = True,
-                   method: str = "window") -> DataFrame:
-    """Rows whose ``order_col`` is the maximum of their key.
+                   keep_ties: bool = True, tiebreak: Sequence[str] = (), distinct: bool = True) -> DataFrame:
+    """Rows whose ``order_col`` is the maximum of their key (null counts as
+    lowest). Null keys are dropped: they can never identify a person.
 
-    ``rank() = 1`` plans as a partial ``WindowGroupLimit`` before the
-    shuffle, so each map task forwards only its own top rows per key.
+    With ties: rows are made distinct first (hashed by the whole row, so a
+    hot key spreads), the maximum per key is a partially aggregated ``max``
+    joined back on the key, which AQE splits when it is skewed. No task
+    receives all rows of a key.
     ``keep_ties=False`` keeps exactly one row per key using ``tiebreak``
-    columns (which must make the order total). Null keys are dropped: they
-    can never identify a person.
-
-    ``method="join"`` (ties kept) is for inputs where one key may hold a
-    large share of rows tied at its maximum: the maximum per key is a
-    partially aggregated ``max`` (one small row per key), joined back on
-    (key, value) -- AQE splits a skewed key's partition over several tasks
-    or broadcasts the maxima when small -- and ``distinct`` hashes whole
-    rows, so no single task receives the hot key's rows. It reads the input
-    twice; the default window plan reads it once.
+    columns (which must make the order total): a window, whose partial group
+    limit forwards one row per key and map task.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if method == "join" and keep_ties:
-        present = df
-        for k in keys:
-            present = present.filter(F.col(k).isNotNull())
-        best = present.groupBy(*keys).agg(F.max(order_col).alias(order_col))
-        out = present.join(best, [*keys, order_col], "inner").select(*df.columns)
-        return out.distinct() if distinct else out
-    order = [F.col(order_col).desc()] + [F.col(c).asc() for c in tiebreak]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    fn = F.rank() if keep_ties else F.row_number()
-    cond = None
-    for k in keys:
-        cond = F.col(k).isNotNull() if cond is None else cond & F.col(k).isNotNull()
-    out = df.filter(cond).withColumn("__r", fn.over(w)).filter(F.col("__r") == 1).drop("__r")
-    return out.distinct() if distinct else out
+    rows = df.dropna(subset=keys)
+    if not keep_ties:
+        w = Window.partitionBy(*keys).orderBy(F.col(order_col).desc(), *[F.col(c).asc() for c in tiebreak])
+        return rows.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") == 1).drop("__r")
+    if distinct:
+        rows = rows.distinct()
+    best = rows.groupBy(*keys).agg(F.max(order_col).alias("__best"))
+    return (rows.join(best, keys).filter(F.col(order_col).eqNullSafe(F.col("__best")))
+            .select(*df.columns))

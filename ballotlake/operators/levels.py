@@ -3,18 +3,13 @@ running totals (W1/W2), the empty level (A22) and GROUPING SETS (A6)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.dates import days_from
 
 
-def level_name(level: Sequence[str]) -> str:
-    """``county_precinct`` / ``county`` / ``statewide`` (empty level)."""
-    return "_".join(level).replace(" ", "-").lower() if level else "statewide"
-
-
 def running_total(df: DataFrame, partition_cols: Sequence[str], order_col: str,
                   value_col: str, out_col: str) -> DataFrame:
     """``sum(value) OVER (PARTITION BY p ORDER BY o NULLS FIRST RANGE
@@ -37,46 +32,42 @@ def by_day_at_level(base: DataFrame, level: Sequence[str], anchor_date: str,
     """Counts per (level, day), the day offset to ``anchor_date`` and the
     running total within the level. Output is one row per (level keys, day),
     bounded by the number of calendar days per group."""
-    # The (already reduced) base is hash-partitioned once by the level keys;
-    # the per-day aggregate and the running-total window both reuse that
-    # partitioning, so only one exchange sits between them. The state level
-    # (no keys) keeps map-side partial aggregation before its single
-    # partition of one row per day.
-    src = base.repartition(*level) if level else base
-    agg = (src.groupBy(*level, date_col)
+    # Map-side partial sums reach the exchange (days x groups), never the
+    # rows of a county; the window then moves one row per group and day.
+    agg = (base.groupBy(*level, date_col)
            .agg(F.sum(count_col).cast("long").alias(count_col))
            .withColumn(days_col, days_from(date_col, anchor_date)))
     return running_total(agg, list(level), days_col, count_col, to_date_col)
 
 
-def by_day_grouping_sets(base: DataFrame, levels: Sequence[Sequence[str]], anchor_date: str,
+def by_day_grouping_sets(base: DataFrame, levels: Mapping[str, Sequence[str]], anchor_date: str,
                          date_col: str = "DateDT", count_col: str = "votesOnDate",
                          days_col: str = "DaysFromElection", to_date_col: str = "votesToDate",
                          level_col: str = "level") -> DataFrame:
-    """All levels in one aggregate: ``GROUP BY GROUPING SETS`` over the union
-    of level keys, then one window partitioned by (grouping id, keys).
+    """All levels (name -> keys) in one aggregate: ``GROUP BY GROUPING SETS``
+    over the union of level keys, then one window partitioned by (grouping id, keys).
 
     A rolled-up key is null; ``grouping_id`` tells it apart from a genuine
     null group (e.g. an unmatched precinct), so both survive.
     """
     keys: list[str] = []
-    for lv in levels:
+    for lv in levels.values():
         for k in lv:
             if k not in keys:
                 keys.append(k)
-    sets = [[*lv, date_col] for lv in levels]
+    sets = [[*lv, date_col] for lv in levels.values()]
     agg = (base.groupingSets(sets, *keys, date_col)
            .agg(F.sum(count_col).cast("long").alias(count_col),
                 F.grouping_id(*keys, date_col).alias("_gid")))
     # Level label from the grouping id (bit i set <=> key i rolled up).
     label = None
-    for lv in levels:
+    for name, lv in levels.items():
         gid = 0
         for i, k in enumerate([*keys, date_col]):
             if k not in lv and k != date_col:
                 gid |= 1 << (len(keys) - i)
         cond = F.col("_gid") == gid
-        label = F.when(cond, level_name(lv)) if label is None else label.when(cond, level_name(lv))
+        label = F.when(cond, name) if label is None else label.when(cond, name)
     agg = agg.withColumn(level_col, label).withColumn(days_col, days_from(date_col, anchor_date))
     out = running_total(agg, ["_gid", *keys], days_col, count_col, to_date_col)
     return out.drop("_gid")

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.similarity import similarity, token_sort
 from ..functions.text import first_token, squeeze_upper
@@ -23,49 +23,43 @@ from ..operators.enrich import first_per_key
 UNKNOWN_LABEL = "??"
 
 
-def _parallelism(spark) -> int:
-    """Cores of the cluster (one wave of tasks); sessions without a
-    SparkContext (Spark Connect) fall back to the shuffle partition count."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+#: Tasks that share one block's names; labels are copied to each.
+SALT_BUCKETS = 16
 
 
 def best_match(names: DataFrame, labels: DataFrame, block: Sequence[str], name_col: str,
                label_col: str, id_col: str, token_sorted: bool = True,
-               salt_buckets: int = 1, pair_partitions: int | None = None,
-               names_distinct: bool = False) -> DataFrame:
+               salt_buckets: int = SALT_BUCKETS, names_distinct: bool = False,
+               settled: Column | None = None) -> DataFrame:
     """For each distinct (block, name): the best-scoring label of the same
     block, its id and the integer score 0..100 (ties: lower label, then id).
     A name whose block has no label gets a null label and score 0.
 
-    The distinct names are a small shuffle, which AQE would coalesce into
-    very few partitions although the join multiplies each name by its
-    block's labels; ``pair_partitions`` (default: the cluster's default
-    parallelism) fixes the partition count of the scoring stage instead.
-    The best-label aggregate reuses that partitioning (no extra shuffle).
+    Names of a block are hashed into ``salt_buckets`` and join that copy of
+    the labels, so a block with most of the names is many tasks; the
+    best-label aggregate reuses the (block, salt) partitioning. The stage has
+    ``spark.sql.shuffle.partitions`` tasks, as AQE would coalesce the small
+    shuffle of names right before the join multiplies them.
+    With ``names_distinct`` further columns of ``names`` are kept; rows where
+    ``settled`` holds are passed through without being scored.
     """
     block = list(block)
-    k = pair_partitions or _parallelism(names.sparkSession)
-    # Normalised and token-sorted text is computed once per name / label,
-    # before the join, so each pair only costs the two distance computations.
-    n = names.select(*block, name_col).filter(F.col(name_col).isNotNull())
+    n = names.filter(F.col(name_col).isNotNull())
     if not names_distinct:
-        n = n.distinct()
-    n = (n.repartition(k, *block, name_col)
-         .withColumn("__q", squeeze_upper(name_col)))
+        n = n.select(*block, name_col).distinct()
+    carried = [c for c in n.columns if c not in (*block, name_col)]
+    done = F.lit(False) if settled is None else settled
+    n = n.withColumns({"__salt": F.pmod(F.xxhash64(name_col), F.lit(salt_buckets)).cast("int"),
+                       # Normalised text once per name, not per pair; a settled name asks for no label.
+                       "__q": F.when(~done, squeeze_upper(name_col)), "__open": ~done})
+    n = n.repartition(int(n.sparkSession.conf.get("spark.sql.shuffle.partitions")), *block, "__salt")
     n = n.withColumn("__qs", token_sort("__q") if token_sorted else F.col("__q"))
     lab = (labels.select(*block, F.col(label_col).alias("__label"), F.col(id_col).alias("__id"))
            .filter(F.col("__label").isNotNull())
            .withColumn("__l", squeeze_upper("__label")))
     lab = lab.withColumn("__ls", token_sort("__l") if token_sorted else F.col("__l"))
-    keys = block
-    if salt_buckets > 1:
-        n = n.withColumn("__salt", F.pmod(F.xxhash64(name_col), F.lit(salt_buckets)))
-        lab = lab.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)).cast("array<long>")))
-        keys = block + ["__salt"]
-    pairs = n.join(lab, keys, "left")
+    lab = lab.withColumns({"__salt": F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))), "__open": F.lit(True)})
+    pairs = n.join(lab, [*block, "__salt", "__open"], "left")
     pair = similarity("__q", "__l")
     if token_sorted:
         pair = F.greatest(pair, similarity("__qs", "__ls"))
@@ -73,17 +67,18 @@ def best_match(names: DataFrame, labels: DataFrame, block: Sequence[str], name_c
     # The score is computed in a projection (whole-stage code generation,
     # common subexpressions shared) before the struct-min aggregate, whose
     # sort-based implementation would otherwise evaluate it row by row.
-    scored = pairs.select(*block, name_col, F.struct((-score).alias("neg"), F.col("__label").alias("label"),
-                                                     F.col("__id").alias("id")).alias("__c"))
-    best = scored.groupBy(*block, name_col).agg(F.min("__c").alias("__b"))
-    return best.select(*block, name_col, F.col("__b.label").alias("label"), F.col("__b.id").alias("id"),
+    keys = [*block, "__salt", name_col, *carried]
+    scored = pairs.select(*keys, F.struct((-score).alias("neg"), F.col("__label").alias("label"),
+                                          F.col("__id").alias("id")).alias("__c"))
+    best = scored.groupBy(*keys).agg(F.min("__c").alias("__b"))
+    return best.select(*block, name_col, *carried, F.col("__b.label").alias("label"), F.col("__b.id").alias("id"),
                        (-F.col("__b.neg")).cast("int").alias("score"))
 
 
 def resolve_names(names: DataFrame, labels: DataFrame, overrides: DataFrame | None = None,
                   rules: DataFrame | None = None, county_col: str = "county", name_col: str = "name",
                   label_id_col: str = "precinct", label_name_col: str = "precinctName",
-                  token_sorted: bool = True, salt_buckets: int = 1) -> DataFrame:
+                  token_sorted: bool = True, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """M2 cascade, first hit wins:
 
     1. override row for (county, name) -> its id and label, score 100
@@ -94,61 +89,56 @@ def resolve_names(names: DataFrame, labels: DataFrame, overrides: DataFrame | No
        id repeats), score 100; no such id -> label ``??``, score 0;
     3. fuzzy ``best_match`` against the county's labels.
 
+    One pass over the names: each table joins from the left, only names that
+    neither an override nor a rule settled are scored, and the columns are
+    coalesced in this order.
     Output: county, precinct, mapPrecinctName, electionResultsPrecinctName,
     score (int), rule. Every distinct input name appears exactly once.
     """
+    none = F.lit(None).cast("string")
     n = names.select(F.upper(F.col(county_col)).alias("county"), F.col(name_col).alias("name")) \
         .filter(F.col("name").isNotNull()).distinct()
     lab = labels.select(F.upper(F.col(county_col)).alias("county"), F.col(label_id_col).alias("precinct"),
                         F.col(label_name_col).alias("precinctName"))
-    out_cols = ["county", "precinct", "mapPrecinctName", "electionResultsPrecinctName", "score", "rule"]
-    parts = []
-    rest = n
-    if overrides is not None:
+    if overrides is None:
+        n = n.withColumns({"__oid": none, "__olabel": none, "__over": F.lit(False)})
+    else:
         ov = overrides.select(F.upper(F.col("county")).alias("county"),
                               F.col("electionResultsPrecinctName").alias("name"),
-                              F.col("precinct").alias("ov_precinct"),
-                              F.col("mapPrecinctName").alias("ov_label"))
-        ov = first_per_key(ov, ["county", "name"], "ov_precinct").withColumn("__ov", F.lit(True))
-        j = rest.join(ov, ["county", "name"], "left")
-        parts.append(j.filter(F.col("__ov")).select(
-            "county", F.col("ov_precinct").alias("precinct"), F.col("ov_label").alias("mapPrecinctName"),
-            F.col("name").alias("electionResultsPrecinctName"), F.lit(100).alias("score"),
-            F.lit("override").alias("rule")))
-        rest = j.filter(F.col("__ov").isNull()).select("county", "name")
-    if rules is not None:
-        r = F.broadcast(rules.select(F.upper(F.col("county")).alias("county"), "rule",
-                                     F.coalesce(F.col("suffix"), F.lit("")).alias("suffix")))
-        j = rest.join(r, "county", "left")
-        ruled = j.filter(F.col("rule").isNotNull()).withColumn(
-            "precinct", F.when(F.col("rule") == "first_token", first_token("name", F.col("suffix")))
-            .otherwise(F.col("name")))
-        by_id = lab.groupBy("county", "precinct").agg(F.min("precinctName").alias("mapPrecinctName"))
-        hit = ruled.join(by_id, ["county", "precinct"], "left")
-        parts.append(hit.select(
-            "county", "precinct", F.coalesce("mapPrecinctName", F.lit(UNKNOWN_LABEL)).alias("mapPrecinctName"),
-            F.col("name").alias("electionResultsPrecinctName"),
-            F.when(F.col("mapPrecinctName").isNull(), 0).otherwise(100).alias("score"),
-            F.lit("rule").alias("rule")))
-        rest = j.filter(F.col("rule").isNull()).select("county", "name")
-    fz = best_match(rest, lab, ["county"], "name", "precinctName", "precinct", token_sorted, salt_buckets,
-                    names_distinct=True)
-    parts.append(fz.select("county", F.col("id").alias("precinct"), F.col("label").alias("mapPrecinctName"),
-                           F.col("name").alias("electionResultsPrecinctName"), "score",
-                           F.lit("fuzzy").alias("rule")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select(*out_cols)
+                              F.col("precinct").alias("__oid"), F.col("mapPrecinctName").alias("__olabel"))
+        ov = first_per_key(ov, ["county", "name"], "__oid").withColumn("__over", F.lit(True))
+        n = n.join(ov, ["county", "name"], "left").fillna(False, ["__over"])
+    if rules is None:
+        n = n.withColumns({"__rid": none, "__rlabel": none})
+    else:
+        r = rules.select(F.upper(F.col("county")).alias("county"), "rule",
+                         F.coalesce(F.col("suffix"), F.lit("")).alias("suffix"))
+        n = n.join(r, "county", "left").withColumn("__rid", F.when(
+            F.col("rule").isNotNull() & ~F.col("__over"),
+            F.when(F.col("rule") == "first_token", first_token("name", F.col("suffix"))).otherwise(F.col("name"))))
+        by_id = lab.groupBy("county", F.col("precinct").alias("__rid")).agg(F.min("precinctName").alias("__rlabel"))
+        n = n.drop("rule", "suffix").join(by_id, ["county", "__rid"], "left")
+    over, ruled = F.col("__over"), F.col("__rid").isNotNull()
+    m = best_match(n, lab, ["county"], "name", "precinctName", "precinct", token_sorted, salt_buckets,
+                   names_distinct=True, settled=over | ruled)
+    return m.select(
+        "county", F.when(over, F.col("__oid")).when(ruled, F.col("__rid")).otherwise(F.col("id")).alias("precinct"),
+        F.when(over, F.col("__olabel")).when(ruled, F.coalesce("__rlabel", F.lit(UNKNOWN_LABEL)))
+        .otherwise(F.col("label")).alias("mapPrecinctName"),
+        F.col("name").alias("electionResultsPrecinctName"),
+        F.when(over, 100).when(ruled, F.when(F.col("__rlabel").isNull(), 0).otherwise(100))
+        .otherwise(F.col("score")).alias("score"),
+        F.when(over, "override").when(ruled, "rule").otherwise("fuzzy").alias("rule"))
 
 
 def resolve_ids(names: DataFrame, labels: DataFrame, county_col: str = "county", name_col: str = "precinct",
-                id_col: str = "precinct", min_score: int = 80, token_sorted: bool = True) -> DataFrame:
+                id_col: str = "precinct", min_score: int = 80, token_sorted: bool = True,
+                salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """M3: match names directly against map ids; keep score > ``min_score``.
     Output: county, precinct (map id), absenteePrecinct (input), score."""
     n = names.select(F.upper(F.col(county_col)).alias("county"), F.col(name_col).alias("absenteePrecinct"))
     lab = labels.select(F.upper(F.col(county_col)).alias("county"), F.col(id_col).alias("__mid"))
-    m = best_match(n, lab, ["county"], "absenteePrecinct", "__mid", "__mid", token_sorted)
+    m = best_match(n, lab, ["county"], "absenteePrecinct", "__mid", "__mid", token_sorted, salt_buckets)
     return (m.filter(F.col("score") > min_score)
             .select("county", F.col("id").alias("precinct"), "absenteePrecinct", "score"))
 

@@ -1,11 +1,9 @@
 """Nesting rows into arrays of structs.
 
 ``nest`` is for groups whose size is bounded by construction (days per
-precinct, modes per race). ``nest_bounded`` is for groups that may be
-arbitrarily large (voters on a street, history of one id): a group larger
-than ``max_per_row`` is spread over several output rows (``part``), each
-holding at most about ``max_per_row`` elements, so no task or row ever has
-to hold an unbounded group. Nothing is dropped.
+precinct, modes per race). ``nest_parts`` is for groups that grow with the
+data (voters on a street, history of one id): a column of the row says which
+part of its group it belongs to. Nothing is dropped.
 """
 
 from __future__ import annotations
@@ -13,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import IntegralType
 
 
 def struct_of(fields: Sequence[str | Column]) -> Column:
@@ -30,41 +27,24 @@ def nest(df: DataFrame, keys: Sequence[str], fields: Sequence[str | Column], nam
     return df.groupBy(*keys).agg(*extra_aggs, F.sort_array(F.collect_list(struct_of(fields))).alias(name))
 
 
-def nest_bounded(df: DataFrame, keys: Sequence[str], fields: Sequence[str | Column], name: str,
-                 spread_col: str, max_per_row: int = 10_000, part_col: str = "part") -> DataFrame:
-    """Like ``nest`` but a group of ``n`` rows becomes ``ceil(n/max_per_row)``
-    rows, split by ``pmod(spread_col, parts)`` (the value itself when it is
-    integral, its 64-bit hash otherwise). Groups up to ``max_per_row`` give
-    exactly one row with ``part = 0``.
-
-    The group sizes come from a pre-aggregated count (one row per key,
-    partial aggregation map-side) joined back null-safely; AQE broadcasts
-    it when small and splits skewed partitions of the big side. The final
-    aggregate is keyed by (keys, part), so the parts of a hot key land on
-    different tasks. Without keys the single group's size is a scalar
-    subquery. Integral spread values are assumed to be spread evenly by
-    ``pmod`` (e.g. ids); other types are hashed.
+def nest_parts(df: DataFrame, keys: Sequence[str], fields: Sequence[str | Column], name: str,
+               part: Column, part_col: str = "part") -> DataFrame:
+    """Like ``nest`` with one output row per (keys, ``part``).
+
+    ``part`` is a column of the row itself (an election year, a block of
+    house numbers, ``row_bucket``), so the shape of the output does not
+    depend on how many rows a key has, no count is needed first, and the
+    parts of a hot key land on different tasks.
     """
-    if keys:
-        renamed = {k: f"__k{i}" for i, k in enumerate(keys)}
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-        counts = counts.select(*[F.col(k).alias(v) for k, v in renamed.items()], "__n")
-        cond = None
-        for k, v in renamed.items():
-            c = df[k].eqNullSafe(counts[v])
-            cond = c if cond is None else cond & c
-        joined = df.join(counts, cond, "inner").drop(*renamed.values())
-    else:
-        # One group: its size is a scalar subquery (evaluated once, no join).
-        joined = df.withColumn("__n", df.agg(F.count(F.lit(1))).scalar())
-    dtype = df.schema[spread_col].dataType
-    spread = F.col(spread_col) if isinstance(dtype, IntegralType) else F.xxhash64(F.col(spread_col))
-    parts = F.greatest(F.lit(1), F.ceil(F.col("__n") / F.lit(max_per_row))).cast("long")
-    joined = joined.withColumn(part_col, F.pmod(spread.cast("long"), parts))
-    return (joined.groupBy(*keys, part_col)
+    return (df.withColumn(part_col, part).groupBy(*keys, part_col)
             .agg(F.sort_array(F.collect_list(struct_of(fields))).alias(name)))
 
 
+def row_bucket(cols: Sequence[str], buckets: int = 64) -> Column:
+    """One of a fixed number of hash buckets of the given columns."""
+    return F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int")
+
+
 def json_text(c: str | Column, keep_nulls: bool = True) -> Column:
     """``to_json`` that writes null fields (``"x":null``) when asked, so the
     text is stable across engines."""

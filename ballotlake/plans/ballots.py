@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.dates import parse_date
 from ..functions.text import COUNTY_PREFIXES, canonical_prefix
-from ..operators.enrich import left_enrich
-from ..operators.levels import by_day_at_level, by_day_grouping_sets, level_name
+from ..operators.enrich import first_per_key, left_enrich
+from ..operators.levels import by_day_at_level, by_day_grouping_sets
 from ..operators.nest import nest
 
-DEFAULT_LEVELS: tuple[tuple[str, ...], ...] = (("county", "precinct"), ("county",), ())
+#: Name -> keys.
+DEFAULT_LEVELS: dict[str, tuple[str, ...]] = {"county_precinct": ("county", "precinct"), "county": ("county",),
+                                              "statewide": ()}
 
 
 @dataclass(frozen=True)
@@ -49,8 +51,10 @@ def cleanse_ballots(ballots: DataFrame, cols: BallotColumns = BallotColumns(),
             .withColumn("DateDT", parse_date("_returned", cols.date_format, dtype)))
     if id_map is not None:
         base = base.withColumnRenamed("precinct", "absenteePrecinct")
-        base = left_enrich(base, id_map.select("county", "absenteePrecinct", "precinct"),
-                           ["county", "absenteePrecinct"])
+        # A repeated map key would multiply ballots: the smallest id wins.
+        one = first_per_key(id_map.select("county", "absenteePrecinct", "precinct"),
+                            ["county", "absenteePrecinct"], "precinct")
+        base = left_enrich(base, one, ["county", "absenteePrecinct"])
     return (base.withColumn("precinct", F.upper(F.col("precinct")))
             .select("county", "precinct", "_returned", "DateDT", "votesOnDate"))
 
@@ -61,11 +65,11 @@ def rejected_dates(base: DataFrame) -> DataFrame:
 
 
 def ballots_by_day(base: DataFrame, election_date: str,
-                   levels: Sequence[Sequence[str]] = DEFAULT_LEVELS) -> dict[str, DataFrame]:
+                   levels: Mapping[str, Sequence[str]] = DEFAULT_LEVELS) -> dict[str, DataFrame]:
     """Flat per-level frames: level keys, DateDT, DaysFromElection,
     votesOnDate, votesToDate. Persist ``base`` around the call when several
     levels are computed (each level re-reads it)."""
-    return {level_name(lv): by_day_at_level(base, list(lv), election_date) for lv in levels}
+    return {name: by_day_at_level(base, list(lv), election_date) for name, lv in levels.items()}
 
 
 def nested_by_day(by_day: DataFrame, level: Sequence[str]) -> DataFrame:
@@ -78,15 +82,15 @@ def nested_by_day(by_day: DataFrame, level: Sequence[str]) -> DataFrame:
 
 def summarize_ballots(ballots: DataFrame, election_date: str, cols: BallotColumns = BallotColumns(),
                       id_map: DataFrame | None = None,
-                      levels: Sequence[Sequence[str]] = DEFAULT_LEVELS) -> dict[str, DataFrame]:
+                      levels: Mapping[str, Sequence[str]] = DEFAULT_LEVELS) -> dict[str, DataFrame]:
     """Whole C1: nested summaries per level, keyed by level name."""
     base = cleanse_ballots(ballots, cols, id_map).drop("_returned")
     flat = ballots_by_day(base, election_date, levels)
-    return {name: nested_by_day(df, lv) for (name, df), lv in zip(flat.items(), levels)}
+    return {name: nested_by_day(df, levels[name]) for name, df in flat.items()}
 
 
 def ballots_all_levels(base: DataFrame, election_date: str,
-                       levels: Sequence[Sequence[str]] = DEFAULT_LEVELS) -> DataFrame:
+                       levels: Mapping[str, Sequence[str]] = DEFAULT_LEVELS) -> DataFrame:
     """All levels as one flat frame from one GROUPING SETS aggregate."""
     return by_day_grouping_sets(base, levels, election_date)
 

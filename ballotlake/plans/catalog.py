@@ -23,7 +23,7 @@ from ..operators import matching as M
 from ..operators.enrich import left_enrich_with_report
 from ..operators.latest import latest_per_key
 from ..operators.levels import by_day_at_level
-from ..operators.nest import compute_once, json_text, nest_bounded
+from ..operators.nest import compute_once, json_text
 from ..sources.fixed_width import parse_fixed_width, type_history_old
 from .ballots import ballots_all_levels, cleanse_ballots, nested_by_day
 from .results import (candidate_totals, cleanse_results, county_totals, results_by_mode,
@@ -127,9 +127,6 @@ def q_county_totals(spark, d):
 # -- C3/C4: people ---------------------------------------------------------
 
 
-NEST_MAX = 10_000
-
-
 @register("union_tagged_sources", SP.UNION_TAGGED)
 def q_union_tagged_sources(spark, d):
     return P.union_tagged(S.profile_sources(spark, d), "absenteeDataYear")
@@ -161,10 +158,20 @@ def q_canonical_names(spark, d):
                     F.initcap("n_name").alias("title"))
 
 
-@register("nested_history", SP.nested_history(NEST_MAX))
+@register("nested_history", SP.nested_history())
 def q_nested_history(spark, d):
-    out = P.nested_history(S.profiles(spark, d), S.history(spark, d), spread_col="rowId",
-                           max_per_row=NEST_MAX)
+    out = P.nested_history(S.profiles(spark, d), S.history(spark, d))
+    return out.withColumn("voterHistory", json_text("voterHistory"))
+
+
+@register("nested_history_hot", SP.nested_history(SP.HOT_HISTORY, 'CAST(floor("rowId" / 1000) AS BIGINT)'))
+def q_nested_history_hot(spark, d):
+    """A third of all history belongs to one voter, all on one date."""
+    hot = F.col("rowId") % 3 == 0
+    h = S.history(spark, d).withColumns({"id": F.when(hot, F.lit(1)).otherwise(F.col("id")),
+                                         "election": F.when(hot, F.to_date(F.lit("1998-11-03")))
+                                         .otherwise(F.col("election"))})
+    out = P.nested_history(S.profiles(spark, d), h, part=F.floor(F.col("rowId") / 1000))
     return out.withColumn("voterHistory", json_text("voterHistory"))
 
 
@@ -173,10 +180,10 @@ def q_last_seen(spark, d):
     return P.with_last_voted(S.profiles(spark, d), S.history(spark, d))
 
 
-@register("street_directory", SP.street_directory(NEST_MAX))
+@register("street_directory", SP.STREET_DIRECTORY)
 def q_street_directory(spark, d):
     out = P.street_directory(S.profiles(spark, d), S.history(spark, d), keys=("countyCurrent", "city"),
-                             max_per_row=NEST_MAX)
+                             part=F.floor(F.col("id") / 1000))
     return out.withColumn("voters", json_text("voters"))
 
 
@@ -238,9 +245,21 @@ def q_match_ids(spark, d):
 # -- C6: geography ---------------------------------------------------------
 
 
-@register("ring_centroid", SG.RING_CENTROID)
+@register("ring_centroid", SG.ring_centroid())
 def q_ring_centroid(spark, d):
-    c = S.rings(spark, d).select("vec_id", "label", G.ring_centroid("ring").alias("c"))
+    return _centres(S.rings(spark, d))
+
+
+@register("ring_centroid_small", SG.ring_centroid(SG.SMALL_RINGS))
+def q_ring_centroid_small(spark, d):
+    """Rings of about 1e-4 degrees at real coordinates."""
+    moved = F.transform("ring", lambda p: F.struct((p.x * F.lit(1e-4) + F.lit(-84.39)).alias("x"),
+                                                   (p.y * F.lit(1e-4) + F.lit(33.75)).alias("y")))
+    return _centres(S.rings(spark, d).withColumn("ring", moved))
+
+
+def _centres(rings):
+    c = rings.select("vec_id", "label", G.ring_centroid("ring").alias("c"))
     return c.select("vec_id", "label", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"),
                     F.col("c.area").alias("area"))
 
@@ -264,7 +283,7 @@ def q_thin_ring(spark, d):
 def q_measure_rollup(spark, d):
     c = S.table(spark, d, "customer").withColumnRenamed("c_mktsegment", "county")
     out = G.measure_rollup(c, "county", ["c_acctbal", "c_nationkey"])
-    return out.withColumn("c_acctbal", F.round("c_acctbal", 2))
+    return out.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(20,2)"))
 
 
 @register("composite_id", SG.COMPOSITE_ID)
@@ -365,12 +384,14 @@ def q_feature_centroid(spark, d):
     return f.select("vec_id", "label", F.col("c.x").alias("cx"), F.col("c.y").alias("cy"))
 
 
-@register("county_collections", SG.county_collections(NEST_MAX))
+@register("county_collections", SG.county_collections(S.THIN_TOLERANCE))
 def q_county_collections(spark, d):
-    e = S.table(spark, d, "embeddings")
-    f = e.select("vec_id", "label", F.floor(F.size("embedding") / 2).cast("int").alias("vertices"))
-    out = nest_bounded(f, ["label"], ["vec_id", "vertices"], "features", "vec_id", NEST_MAX)
-    return out.withColumn("features", json_text("features"))
+    from .geography import county_collections, precinct_features
+    out = county_collections(precinct_features(_features(spark, d)), S.THIN_TOLERANCE,
+                             part=F.ascii(F.substring(F.md5("id"), 1, 1)))
+    short = F.transform("features", lambda f: F.struct(f["id"].alias("id"), f["PRECINCT_I"].alias("PRECINCT_I"),
+                                                       F.size(G.vertices(f["geometry"])).alias("vertices")))
+    return out.withColumn("features", json_text(short))
 
 
 @register("feed_b_flatten", SF.FEED_B)

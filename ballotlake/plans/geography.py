@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import composite_id
 from ..operators import geometry as G
-from ..operators.nest import nest_bounded
+from ..operators.nest import nest_parts, row_bucket
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the source system's for identical results.
@@ -73,16 +73,20 @@ def county_boxes(features: DataFrame, county: str = "CTYNAME", total_key: str =
     return out.select("county", F.array("minX", "minY", "maxX", "maxY").alias("bbox"))
 
 
-def thinned(features: DataFrame, tolerance: float = STATE_TOLERANCE) -> DataFrame:
-    """Geometry replaced by its grid-thinned version."""
-    return features.withColumn("geometry", G.thin_feature("geometry", tolerance))
-
-
 def county_collections(precincts: DataFrame, tolerance: float = COUNTY_TOLERANCE,
-                       max_per_row: int = 10_000) -> DataFrame:
-    """One feature collection per county (thinned at the county
-    tolerance). Write with ``write_split_by(..., "CTYNAME")`` for one
-    directory per county; big counties are split into parts."""
+                       part: Column | None = None) -> DataFrame:
+    """The features of each county (thinned at the county tolerance),
+    one row per ``part`` (default: one of 64 hash buckets of the id)."""
     t = precincts.withColumn("geometry", G.thin_feature("geometry", tolerance))
     feat = ["id", "CNTY", "PRECINCT_I", "PRECINCT_N", "centroid", "geometry"]
-    return nest_bounded(t, ["CTYNAME"], feat, "features", "id", max_per_row)
+    return nest_parts(t, ["CTYNAME"], feat, "features", row_bucket(["id"]) if part is None else part)
+
+
+def geojson_lines(features: DataFrame, geometry: str = "geometry") -> DataFrame:
+    """One GeoJSON Feature text (``value``) per row, all other
+    columns as its properties; write with ``df.write.text`` or, per county,
+    next to ``CTYNAME`` with ``write_split_by``."""
+    props = F.to_json(F.struct(*[c for c in features.columns if c != geometry]), {"ignoreNullFields": "false"})
+    text = F.concat(F.lit('{"type":"Feature","properties":'), props, F.lit(',"geometry":'),
+                    G.geojson_geometry(geometry), F.lit("}"))
+    return features.select(*[c for c in ("CTYNAME",) if c in features.columns], text.alias("value"))

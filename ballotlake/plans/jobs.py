@@ -11,11 +11,11 @@ from collections.abc import Mapping, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.levels import level_name
-from ..sinks.writers import write_csv, write_json_lines, write_single_document
+from ..operators.enrich import duplicate_keys
+from ..sinks.writers import write_csv, write_json_lines
 from ..sources.csv import read_ballots, read_lookup, read_results
-from .ballots import DEFAULT_LEVELS, BallotColumns, ballots_by_day, cleanse_ballots, nested_by_day
-from .results import cleanse_results, results_by_mode, results_nested
+from .ballots import DEFAULT_LEVELS, BallotColumns, ballots_by_day, cleanse_ballots, nested_by_day, rejected_dates, undated_ballots
+from .results import cleanse_results, results_by_mode, results_nested, unmatched_precincts
 
 ID_MAP_SCHEMA = "county string, precinct string, absenteePrecinct string, score double"
 NAME_MAP_SCHEMA = ("county string, precinct string, mapPrecinctName string, electionResultsPrecinctName string, "
@@ -27,40 +27,44 @@ def load_config(path: str) -> list[dict]:
         return json.load(f)
 
 
-def _write(df: DataFrame, path: str, single_document: bool) -> None:
-    (write_single_document if single_document else write_json_lines)(df, path)
-
-
-def ballot_summaries(spark: SparkSession, election: Mapping, levels: Sequence[Sequence[str]] = DEFAULT_LEVELS,
+def ballot_summaries(spark: SparkSession, election: Mapping, levels: Mapping[str, Sequence[str]] = DEFAULT_LEVELS,
                      cols: BallotColumns = BallotColumns()) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """(persisted base, nested summary per level) for one election."""
+    """(persisted base, nested summary per level and reports) for one election."""
     id_map = None
     if election.get("absenteeFilesIDMap"):
         id_map = read_lookup(spark, election["absenteeFilesIDMap"], ID_MAP_SCHEMA)
-    base = cleanse_ballots(read_ballots(spark, election["absenteeFiles"]), cols, id_map).drop("_returned")
+    base = cleanse_ballots(read_ballots(spark, election["absenteeFiles"]), cols, id_map)
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
     flat = ballots_by_day(base, election["date"], levels)
-    return base, {name: nested_by_day(df, lv) for (name, df), lv in zip(flat.items(), levels)}
+    out = {name: nested_by_day(df, levels[name]) for name, df in flat.items()}
+    out |= {"report_rejected_dates": rejected_dates(base), "report_undated": undated_ballots(base)}
+    if id_map is not None:
+        out["report_duplicate_map_keys"] = duplicate_keys(id_map, ["county", "absenteePrecinct"])
+    return base, out
 
 
-def result_summaries(spark: SparkSession, election: Mapping, levels: Sequence[Sequence[str]] = DEFAULT_LEVELS
+def result_summaries(spark: SparkSession, election: Mapping, levels: Mapping[str, Sequence[str]] = DEFAULT_LEVELS
                      ) -> tuple[DataFrame, dict[str, DataFrame]]:
     name_map = None
     if election.get("resultsPrecinctNameToMapFile"):
         name_map = read_lookup(spark, election["resultsPrecinctNameToMapFile"], NAME_MAP_SCHEMA)
     base = cleanse_results(read_results(spark, election["resultsDownloadFile"]), name_map)
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    return base, {level_name(lv): results_nested(results_by_mode(base, lv), lv) for lv in levels}
+    out = {name: results_nested(results_by_mode(base, lv), lv) for name, lv in levels.items()}
+    out["report_unmatched"] = unmatched_precincts(base)
+    if name_map is not None:
+        out["report_duplicate_map_keys"] = duplicate_keys(name_map, ["county", "electionResultsPrecinctName"])
+    return base, out
 
 
 def run_elections(spark: SparkSession, config: Sequence[Mapping] | str, out_dir: str,
-                  levels: Sequence[Sequence[str]] = DEFAULT_LEVELS, single_document: bool = False,
+                  levels: Mapping[str, Sequence[str]] = DEFAULT_LEVELS,
                   ballots_dir: str = "ballots_by_day", results_dir: str = "results") -> list[str]:
     """Run every enabled summary of every configured election; returns the
     written paths. Each election's cleansed base is persisted while its
-    levels are written and released afterwards. ``single_document`` writes
-    each summary as one JSON array (front-end format; outputs are bounded
-    by the number of counties / precincts)."""
+    levels and review reports (rejected and missing dates, unmatched
+    precincts, repeated map keys) are written as JSON lines, and released
+    afterwards."""
     elections = load_config(config) if isinstance(config, str) else list(config)
     written = []
     for e in elections:
@@ -72,7 +76,7 @@ def run_elections(spark: SparkSession, config: Sequence[Mapping] | str, out_dir:
             try:
                 for name, df in summaries.items():
                     path = os.path.join(out_dir, sub, e["name"], f"{name}.json")
-                    _write(df, path, single_document)
+                    write_json_lines(df, path)
                     written.append(path)
             finally:
                 base.unpersist()

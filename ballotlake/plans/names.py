@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.matching import resolve_ids, resolve_names, review_queue
+from ..operators.matching import SALT_BUCKETS, resolve_ids, resolve_names, review_queue
 
 
 # ---------------------------------------------------------------------------
@@ -30,7 +30,7 @@ def default_rules(spark: SparkSession, race: str) -> DataFrame:
 
 def results_name_map(results: DataFrame, labels: DataFrame, overrides: DataFrame | None = None,
                      rules: DataFrame | None = None, county: str | None = None,
-                     salt_buckets: int = 1) -> tuple[DataFrame, DataFrame]:
+                     salt_buckets: int = SALT_BUCKETS) -> tuple[DataFrame, DataFrame]:
     """Distinct (county, precinct) of the results, upper-cased county first
     (then distinct, so case variants collapse), optional county filter,
     then the cascade. Returns (map T4, review queue score < 95)."""

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.enrich import left_enrich
-from ..operators.levels import level_name
+from ..operators.enrich import first_per_key, left_enrich
 from ..operators.nest import nest
 from ..operators.pivot import pivot_sum
 
 PARTIES: tuple[str, ...] = ("democratic", "republican", "other")
 UNDER_OVER = "Under/Over Votes"
-DEFAULT_LEVELS: tuple[tuple[str, ...], ...] = (("county", "precinct"), ("county",), ())
+#: Name -> keys.
+DEFAULT_LEVELS: dict[str, tuple[str, ...]] = {"county_precinct": ("county", "precinct"), "county": ("county",),
+                                              "statewide": ()}
 
 
 def cleanse_results(results: DataFrame, name_map: DataFrame | None = None,
@@ -39,7 +40,10 @@ def cleanse_results(results: DataFrame, name_map: DataFrame | None = None,
     piv = pivot_sum(df, ["race", "county", "precinct", "mode"], "party", "votes", parties, fold_into)
     piv = piv.withColumnRenamed("precinct", "electionResultsPrecinctName")
     if name_map is not None:
-        m = name_map.select("county", "electionResultsPrecinctName", "precinct")
+        # A repeated map key would multiply votes: the smallest id wins
+        # (``enrich.duplicate_keys`` lists such keys).
+        m = first_per_key(name_map.select("county", "electionResultsPrecinctName", "precinct"),
+                          ["county", "electionResultsPrecinctName"], "precinct")
         piv = left_enrich(piv, m, ["county", "electionResultsPrecinctName"])
     else:
         piv = piv.withColumn("precinct", F.col("electionResultsPrecinctName"))
@@ -47,11 +51,8 @@ def cleanse_results(results: DataFrame, name_map: DataFrame | None = None,
 
 
 def results_by_mode(base: DataFrame, level: Sequence[str], parties: Sequence[str] = PARTIES) -> DataFrame:
-    """Flat sums per (race, level keys, mode). The reduced base is
-    partitioned once by (race, level keys); this aggregate and the per-race
-    nesting of ``results_nested`` both reuse that partitioning."""
-    return (base.repartition("race", *level)
-            .groupBy("race", *level, "mode").agg(*[F.sum(p).alias(p) for p in parties]))
+    """Flat sums per (race, level keys, mode), summed map-side first."""
+    return base.groupBy("race", *level, "mode").agg(*[F.sum(p).alias(p) for p in parties])
 
 
 def results_nested(by_mode: DataFrame, level: Sequence[str], parties: Sequence[str] = PARTIES) -> DataFrame:
@@ -68,11 +69,11 @@ def results_nested(by_mode: DataFrame, level: Sequence[str], parties: Sequence[s
 
 
 def summarize_results(results: DataFrame, name_map: DataFrame | None = None,
-                      levels: Sequence[Sequence[str]] = DEFAULT_LEVELS,
+                      levels: Mapping[str, Sequence[str]] = DEFAULT_LEVELS,
                       parties: Sequence[str] = PARTIES) -> dict[str, DataFrame]:
     base = cleanse_results(results, name_map, parties)
-    return {level_name(lv): results_nested(results_by_mode(base, lv, parties), lv, parties)
-            for lv in levels}
+    return {name: results_nested(results_by_mode(base, lv, parties), lv, parties)
+            for name, lv in levels.items()}
 
 
 def candidate_totals(results: DataFrame) -> DataFrame:

@@ -14,19 +14,33 @@ def _fold(expr: str) -> str:
             f"lambda a, b: a + b, 0.0)")
 
 
-P = "pts[i]"
-Q = "pts[(i % len(pts)) + 1]"
-CROSS = f"({P}.x * {Q}.y - {Q}.x * {P}.y)"
-
-RING_CENTROID = f"""
-WITH m AS (SELECT vec_id, label, {_fold(CROSS)} AS a2,
-                  {_fold(f'({P}.x + {Q}.x) * {CROSS}')} AS mx,
-                  {_fold(f'({P}.y + {Q}.y) * {CROSS}')} AS my
-           FROM ({RINGS}) r)
-SELECT vec_id, label, mx / (3.0 * a2) AS cx, my / (3.0 * a2) AS cy, abs(a2 / 2) AS area
+# Vertices as seen from the ring's first vertex.
+PX, PY = (f"(pts[i].{c} - pts[1].{c})" for c in "xy")
+QX, QY = (f"(pts[(i % len(pts)) + 1].{c} - pts[1].{c})" for c in "xy")
+CROSS = f"({PX} * {QY} - {QX} * {PY})"
+
+def _ring_stats(pts_sql: str) -> str:
+    """a2, mx, my of a ring given as a DuckDB list of {x, y} named ``pts``."""
+    return f"""SELECT vec_id, label, pts[1].x AS ox, pts[1].y AS oy, {_fold(CROSS)} AS a2, {_fold(f'({PX} + {QX}) * {CROSS}')} AS mx,
+                  {_fold(f'({PY} + {QY}) * {CROSS}')} AS my
+           FROM ({pts_sql}) r"""
+
+
+def ring_centroid(rings: str = RINGS) -> str:
+    return f"""
+WITH m AS ({_ring_stats(rings)})
+SELECT vec_id, label, mx / (3.0 * a2) + ox AS cx, my / (3.0 * a2) + oy AS cy, abs(a2 / 2) AS area
 FROM m
 """
 
+
+SMALL_RINGS = f"""
+SELECT vec_id, label, list_transform(pts, lambda p: {{'x': p.x * 1e-4 + CAST(-84.39 AS DOUBLE),
+                                                     'y': p.y * 1e-4 + CAST(33.75 AS DOUBLE)}}) AS pts
+FROM ({RINGS}) r0
+"""
+
+
 BBOX = f"""
 WITH b AS (SELECT label, list_min(list_transform(pts, lambda p: p.x)) AS mnx, list_min(list_transform(pts, lambda p: p.y)) AS mny,
                   list_max(list_transform(pts, lambda p: p.x)) AS mxx, list_max(list_transform(pts, lambda p: p.y)) AS mxy
@@ -37,27 +51,31 @@ FROM b GROUP BY GROUPING SETS ((label), ())
 """
 
 
+def _thinned(tol: float) -> str:
+    """Kept vertices (vec_id, ord, x, y); rings here are open."""
+    return f"""
+SELECT vec_id, ord, x, y FROM (
+  WITH v AS (SELECT vec_id, len(pts) AS n, pts, unnest(range(0, len(pts))) AS i FROM ({RINGS}) r),
+  c AS (SELECT vec_id, n, i, pts[i + 1].x AS x, pts[i + 1].y AS y,
+               CASE WHEN floor(pts[i + 1].x / {tol}) <> floor(pts[(i + n - 1) % n + 1].x / {tol})
+                      OR floor(pts[i + 1].y / {tol}) <> floor(pts[(i + n - 1) % n + 1].y / {tol}) THEN 1 ELSE 0 END AS ch
+        FROM v),
+  s AS (SELECT *, sum(ch) OVER (PARTITION BY vec_id ORDER BY i) AS run, sum(ch) OVER (PARTITION BY vec_id) AS runs FROM c),
+  k AS (SELECT vec_id, CASE WHEN run = 0 THEN runs ELSE run END AS ord, min({{'x': x, 'y': y}}) AS p
+        FROM s WHERE runs >= least(n, 4) GROUP BY ALL)
+  SELECT vec_id, ord, p.x AS x, p.y AS y FROM k
+  UNION ALL SELECT vec_id, i AS ord, x, y FROM s WHERE runs < least(n, 4)) t"""
+
+
 def thin(tol: float) -> str:
     return f"""
-WITH r AS ({RINGS}),
-v AS (SELECT vec_id, len(pts) AS n, pts, unnest(range(0, len(pts))) AS i FROM r),
-c AS (SELECT vec_id, n, i, pts[i + 1].x AS x, pts[i + 1].y AS y,
-             floor(pts[i + 1].x / {tol}) AS cx, floor(pts[i + 1].y / {tol}) AS cy FROM v),
-l AS (SELECT *, lag(cx) OVER (PARTITION BY vec_id ORDER BY i) AS pcx,
-                lag(cy) OVER (PARTITION BY vec_id ORDER BY i) AS pcy FROM c),
-k AS (SELECT * FROM l WHERE i = 0 OR i = n - 1 OR cx <> pcx OR cy <> pcy),
-kc AS (SELECT vec_id, count(*) AS kept FROM k GROUP BY vec_id),
-sel AS (SELECT l.vec_id, l.i, l.x, l.y FROM l JOIN kc ON l.vec_id = kc.vec_id
-        WHERE kc.kept < least(l.n, 4)
-        UNION ALL
-        SELECT k.vec_id, k.i, k.x, k.y FROM k JOIN kc ON k.vec_id = kc.vec_id
-        WHERE NOT (kc.kept < least(k.n, 4)))
-SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY i) - 1 AS INTEGER) AS pos, x, y FROM sel
+SELECT vec_id, CAST(row_number() OVER (PARTITION BY vec_id ORDER BY ord) - 1 AS INTEGER) AS pos, x, y
+FROM ({_thinned(tol)}) z
 """
 
 
 MEASURE_ROLLUP = """
-SELECT c_mktsegment AS county, round(sum(coalesce(c_acctbal, 0)), 2) AS c_acctbal,
+SELECT c_mktsegment AS county, CAST(sum(CAST(coalesce(c_acctbal, 0) AS DECIMAL(28,6))) AS DECIMAL(20,2)) AS c_acctbal,
        CAST(sum(coalesce(c_nationkey, 0)) AS BIGINT) AS c_nationkey
 FROM customer GROUP BY c_mktsegment
 """
@@ -69,13 +87,6 @@ FROM part
 """
 
 
-def _ring_stats(pts_sql: str) -> str:
-    """a2, mx, my of a ring given as a DuckDB list of {x, y} named ``pts``."""
-    return f"""SELECT vec_id, label, {_fold(CROSS)} AS a2, {_fold(f'({P}.x + {Q}.x) * {CROSS}')} AS mx,
-                  {_fold(f'({P}.y + {Q}.y) * {CROSS}')} AS my
-           FROM ({pts_sql}) r"""
-
-
 def _half(lo: str) -> str:
     return f"""SELECT vec_id, label,
        list_transform(range(0, CAST(floor(len(embedding) / 4) AS BIGINT)),
@@ -88,8 +99,8 @@ FEATURE_CENTROID = f"""
 WITH a AS ({_ring_stats(_half('0'))}),
 b AS ({_ring_stats(_half('CAST(len(embedding) / 2 AS BIGINT)'))}),
 c AS (SELECT a.vec_id, a.label,
-             a.mx / (3.0 * a.a2) AS xa, a.my / (3.0 * a.a2) AS ya, abs(a.a2 / 2) AS wa,
-             b.mx / (3.0 * b.a2) AS xb, b.my / (3.0 * b.a2) AS yb, abs(b.a2 / 2) AS wb
+             a.mx / (3.0 * a.a2) + a.ox AS xa, a.my / (3.0 * a.a2) + a.oy AS ya, abs(a.a2 / 2) AS wa,
+             b.mx / (3.0 * b.a2) + b.ox AS xb, b.my / (3.0 * b.a2) + b.oy AS yb, abs(b.a2 / 2) AS wb
       FROM a JOIN b ON a.vec_id = b.vec_id)
 SELECT vec_id, label,
        ((1.0 * wa * xa) + (-1.0 * wb * xb)) / ((1.0 * wa) + (-1.0 * wb)) AS cx,
@@ -98,15 +109,25 @@ FROM c
 """
 
 
-def county_collections(max_per_row: int) -> str:
+_FEATURE_IDS = """
+SELECT vec_id,
+       CASE WHEN label <> 0 THEN upper('county' || CAST(label AS VARCHAR)) || '##' || upper('p' || CAST(vec_id AS VARCHAR))
+            ELSE upper('county' || CAST(label AS VARCHAR)) END AS id,
+       upper('county' || CAST(label AS VARCHAR)) AS "CTYNAME",
+       CASE WHEN label <> 0 THEN 'p' || CAST(vec_id AS VARCHAR) END AS "PRECINCT_I"
+FROM embeddings
+"""
+
+
+def county_collections(tol: float) -> str:
     return f"""
-WITH f AS (SELECT vec_id, label, CAST(floor(len(embedding) / 2) AS INTEGER) AS vertices FROM embeddings),
-c AS (SELECT *, count(*) OVER (PARTITION BY label) AS n FROM f)
-SELECT label, CAST(((vec_id % greatest(1, CAST(ceil(n / {max_per_row}) AS BIGINT))) +
-                    greatest(1, CAST(ceil(n / {max_per_row}) AS BIGINT))) %
-                   greatest(1, CAST(ceil(n / {max_per_row}) AS BIGINT)) AS BIGINT) AS part,
-       CAST(to_json(list({{'vec_id': vec_id, 'vertices': vertices}} ORDER BY vec_id, vertices)) AS VARCHAR) AS features
-FROM c GROUP BY ALL
+WITH v AS (SELECT vec_id, count(*) AS vertices FROM ({_thinned(tol)}) z GROUP BY vec_id),
+f AS (SELECT f.vec_id, f.id, f."CTYNAME", f."PRECINCT_I", CAST(v.vertices AS INTEGER) AS vertices
+      FROM ({_FEATURE_IDS}) f JOIN v ON f.vec_id = v.vec_id)
+SELECT "CTYNAME", CAST(ascii(substr(md5(id), 1, 1)) AS INTEGER) AS part,
+       CAST(to_json(list({{'id': id, 'PRECINCT_I': "PRECINCT_I", 'vertices': vertices}}
+                         ORDER BY id, CAST(vec_id AS VARCHAR))) AS VARCHAR) AS features
+FROM f GROUP BY ALL
 """
 
 
@@ -116,8 +137,8 @@ SELECT CASE WHEN label <> 0 THEN upper('county' || CAST(label AS VARCHAR)) || '#
             ELSE upper('county' || CAST(label AS VARCHAR)) END AS id,
        upper('county' || CAST(label AS VARCHAR)) AS "CTYNAME",
        CASE WHEN label <> 0 THEN 'p' || CAST(vec_id AS VARCHAR) END AS "PRECINCT_I",
-       (1.0 * abs(a2 / 2) * (mx / (3.0 * a2))) / (1.0 * abs(a2 / 2)) AS cx,
-       (1.0 * abs(a2 / 2) * (my / (3.0 * a2))) / (1.0 * abs(a2 / 2)) AS cy
+       (1.0 * abs(a2 / 2) * (mx / (3.0 * a2) + ox)) / (1.0 * abs(a2 / 2)) AS cx,
+       (1.0 * abs(a2 / 2) * (my / (3.0 * a2) + oy)) / (1.0 * abs(a2 / 2)) AS cy
 FROM m
 """
 

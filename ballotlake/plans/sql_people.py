@@ -60,43 +60,41 @@ SELECT o_orderkey AS "rowId", o_custkey AS id, o_orderpriority AS county, CAST(o
        CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'D' WHEN '2' THEN 'R' WHEN '3' THEN 'NP' ELSE '' END AS party,
        o_totalprice < 100000 AS absentee, o_totalprice > 400000 AS provisional,
        o_orderpriority = '5-LOW' AS supplemental
-FROM orders WHERE o_orderstatus = 'F'
+FROM orders
 """
 
 
-def parts(n: str, spread: str, max_per_row: int) -> str:
-    k = f"greatest(1, CAST(ceil({n} / {max_per_row}) AS BIGINT))"
-    return f"CAST((({spread} % {k}) + {k}) % {k} AS BIGINT)"
-
-
-def nested_history(max_per_row: int) -> str:
+def nested_history(history: str = HISTORY, part: str = "CAST(year(election) AS INTEGER)") -> str:
     return f"""
-WITH h AS ({HISTORY}),
-c AS (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM h WHERE id IS NOT NULL),
-g AS (SELECT id, {parts('n', '"rowId"', max_per_row)} AS part,
+WITH h AS ({history}),
+g AS (SELECT id, {part} AS part,
              CAST(to_json(list({{'election': election, 'county': county, 'party': party, 'absentee': absentee,
                            'provisional': provisional, 'supplemental': supplemental}}
                           ORDER BY election, county, party, absentee, provisional, supplemental)) AS VARCHAR) AS "voterHistory"
-      FROM c GROUP BY ALL)
+      FROM h WHERE id IS NOT NULL GROUP BY ALL)
 SELECT p.*, g.part, g."voterHistory" FROM ({PROFILES}) p LEFT JOIN g ON p.id = g.id
 """
 
 
+HOT_HISTORY = f"""
+SELECT "rowId", CASE WHEN "rowId" % 3 = 0 THEN 1 ELSE id END AS id, county,
+       CASE WHEN "rowId" % 3 = 0 THEN DATE '1998-11-03' ELSE election END AS election, party, absentee, provisional, supplemental
+FROM ({HISTORY}) x
+"""
+
+
 LAST_SEEN = f"""
 WITH h AS ({HISTORY}), l AS (SELECT id, max(election) AS "electionLastVoted" FROM h GROUP BY id)
 SELECT p.*, l."electionLastVoted" FROM ({PROFILES}) p LEFT JOIN l ON p.id = l.id
 """
 
 
-def street_directory(max_per_row: int) -> str:
-    return f"""
-WITH s AS ({LAST_SEEN}),
-c AS (SELECT *, count(*) OVER (PARTITION BY "countyCurrent", city) AS n FROM s)
-SELECT "countyCurrent", city, {parts('n', 'id', max_per_row)} AS part,
+STREET_DIRECTORY = f"""
+SELECT "countyCurrent", city, CAST(floor(id / 1000) AS BIGINT) AS part,
        CAST(to_json(list({{'id': id, 'firstName': "firstName", 'lastName': "lastName",
                      'electionLastVoted': "electionLastVoted"}}
                     ORDER BY id, "firstName", "lastName", "electionLastVoted")) AS VARCHAR) AS voters
-FROM c GROUP BY ALL
+FROM ({LAST_SEEN}) s GROUP BY ALL
 """
 
 
@@ -133,7 +131,7 @@ SELECT * FROM ({PARTICIPATION}) s WHERE "lastElection" > DATE '2000-01-01'
 ELECTION_CATALOGUE = f"""
 WITH h AS ({HISTORY}),
 e AS (SELECT election, count(id) AS voters, CAST(min("electionTypeCode") AS INTEGER) AS "electionType" FROM h GROUP BY election)
-SELECT e."electionType", e.election, e.voters, r.r_name AS "electionTypeName"
+SELECT e."electionType", e.election, e.voters, e.election AS id, e.election AS name, r.r_name AS "electionTypeName"
 FROM e LEFT JOIN region r ON e."electionType" = r.r_regionkey
 """
 
@@ -180,5 +178,5 @@ SELECT CAST(o_custkey AS INTEGER) AS id, 'COUNTY ' || substr(o_orderpriority, 1,
        'S' || substr(o_orderpriority, 1, 1) AS "ballotStyle",
        o_totalprice < 100000 AS absentee, o_totalprice > 400000 AS provisional,
        substr(o_orderpriority, 1, 1) = '5' AS supplemental
-FROM orders WHERE o_orderstatus = 'F'
+FROM orders
 """

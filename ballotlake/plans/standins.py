@@ -11,7 +11,7 @@ sampling). The mapping is fixed here once and mirrored by the oracle SQL:
                     democratic/republican, rest folded into other)
 * name map (T4)  <- customer with a non-negative balance (others unmatched)
 * profiles (T6') <- customer joined to nation
-* history (T7)   <- finished orders
+* history (T7)   <- orders
 * names/labels   <- distinct part names blocked by part type
 * polygons (T9)  <- each embedding = one ring of 32 (x, y) vertices
 """
@@ -28,41 +28,11 @@ BALLOT_COLS = BallotColumns(county="County", precinct="County Precinct", status=
                             accepted="F", date_format=None)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-_VIEWS: dict[tuple[int, str, str], DataFrame] = {}
-
-
-def view(fn):
-    """Define a stand-in view once per session and table folder (like a
-    temporary view): the DataFrame is a plan, so reusing it re-reads the
-    data on every action but skips rebuilding the expressions."""
-    def wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
-        key = (id(spark), sf_dir, fn.__name__)
-        df = _VIEWS.get(key)
-        if df is None or df.sparkSession is not spark:
-            df = fn(spark, sf_dir)
-            _VIEWS[key] = df
-        return df
-    wrapper.__name__ = fn.__name__
-    wrapper.__doc__ = fn.__doc__
-    return wrapper
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The driver table as it is now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The driver table as a DataFrame. Reading Parquet runs a small job to
-    infer the schema from the footers; the DataFrame (a plan, not data) is
-    kept per session and path so that job runs once, like an application
-    that reads a table once and reuses it."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
-
-
-@view
 def ballots(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(F.col("o_orderpriority").alias("County"),
@@ -76,7 +46,6 @@ def _k(props: str = "props"):
     return F.get_json_object(F.col(props), "$.k").cast("int")
 
 
-@view
 def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("user_id", "event_type", "value", "props")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -100,7 +69,6 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@view
 def results_name_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return (c.filter(F.col("c_acctbal") >= 0)
@@ -111,7 +79,6 @@ def results_name_map(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(100.0).alias("score")))
 
 
-@view
 def line_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2-shaped rows from lineitem x part for the C8 totals."""
     li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_returnflag", "l_quantity")
@@ -139,7 +106,6 @@ def profile_sources(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, f
     return out
 
 
-@view
 def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
@@ -151,9 +117,8 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_mktsegment").alias("city"))
 
 
-@view
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    o = table(spark, sf_dir, "orders")
     code = F.substring("o_orderpriority", 1, 1)
     return o.select(
         F.col("o_orderkey").alias("rowId"),
@@ -168,7 +133,6 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@view
 def history_old_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7a-shaped rows (text flags Y/N/blank) from lineitem."""
     li = table(spark, sf_dir, "lineitem")
@@ -186,7 +150,6 @@ def history_old_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@view
 def election_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "region")
     return r.select(F.col("r_regionkey").alias("electionType"), F.col("r_name").alias("electionTypeName"))
@@ -197,7 +160,6 @@ def election_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 MATCH_RULES = (("SMALL", "first_token", ""), ("MEDIUM", "first_token", "C"))
 
 
-@view
 def match_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Free-text names: part name + brand, blocked by part type."""
     p = table(spark, sf_dir, "part")
@@ -205,7 +167,6 @@ def match_names(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat_ws(" ", "p_name", "p_brand").alias("name"))
 
 
-@view
 def match_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map labels: distinct part names; id = upper first word."""
     p = table(spark, sf_dir, "part")
@@ -214,7 +175,6 @@ def match_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("p_name").alias("precinctName")).distinct()
 
 
-@view
 def match_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").filter(F.col("p_size") == 50)
     return p.select(F.upper("p_type").alias("county"),
@@ -227,13 +187,11 @@ def match_rules(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(MATCH_RULES), "county string, rule string, suffix string")
 
 
-@view
 def id_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(F.col("p_type").alias("county"), F.upper("p_brand").alias("precinct")).distinct()
 
 
-@view
 def id_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.select(F.col("p_type").alias("county"),
@@ -245,7 +203,6 @@ def id_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 THIN_TOLERANCE = 0.05
 
 
-@view
 def rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ring per embedding: consecutive value pairs are (x, y)."""
     from ..operators.geometry import points_from_flat
@@ -259,7 +216,6 @@ KEYWORDS = (("republican", ("RED", "HOT")), ("democratic", ("BLUE", "COLD")))
 FLAG_MODES = {"A": "Absentee by Mail", "N": "Election Day", "R": "Provisional"}
 
 
-@view
 def fixed_width_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History lines in the 3/8/8/3/2/1/1/1 layout, written from orders."""
     o = table(spark, sf_dir, "orders")
@@ -277,7 +233,6 @@ def fixed_width_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(line.alias("value"))
 
 
-@view
 def region_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per region: locality name plus parallel pipe-delimited lists
     of its nations' names and keys (bounded by the nation dimension)."""
@@ -290,7 +245,6 @@ def region_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat_ws("|", F.transform("ns", lambda x: x["n_nationkey"].cast("string"))).alias("keys"))
 
 
-@view
 def two_ring_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One polygon per embedding: values 0-31 are the outer ring, values
     32-63 a hole (16 vertices each)."""
@@ -302,7 +256,6 @@ def two_ring_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id", "label", F.array(F.array(outer, hole)).alias("geometry"))
 
 
-@view
 def feed_b_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed-B shaped documents derived from orders, one per order: the
     customer is the precinct, the order one ballot option named after its
@@ -343,7 +296,6 @@ def _order_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.floor(F.col("o_totalprice") / 1000).cast("long").alias("q"))
 
 
-@view
 def feed_a_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed-A contest summary: one row per order priority (contest id K,
     text C with a '/' suffix, candidate list CH = its order statuses,
@@ -354,7 +306,6 @@ def feed_a_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .alias("C"), "CH")
 
 
-@view
 def feed_a_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed-A mode documents: one per order (its customer is the precinct)
     with the parallel arrays C = [contest] and V = [votes per candidate in
@@ -375,7 +326,6 @@ def feed_a_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc(v, F.col("precinct")).unionByName(doc(totals, F.lit("-1")))
 
 
-@view
 def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result-feed XML text derived from customer, one document per
     customer: the market segment is the county, the customer a precinct;
@@ -411,7 +361,6 @@ FEATURE_PROPERTIES = ("ID string, CNTY string, CTYNAME string, PRECINCT_I string
                       "REG20 long, WMREG20 long")
 
 
-@view
 def geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GeoJSON feature text written with ``to_json`` from embeddings: one
     polygon feature per vector (its 32 (x, y) pairs as the ring), county
@@ -437,7 +386,6 @@ BALLOT_TEXT_SCHEMA = ("`County` string, `Voter Registration #` string, `Ballot S
                       "`Ballot Return Date` string, `County Precinct` string")
 
 
-@view
 def ballot_csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ballot-file CSV lines written with ``to_csv`` from orders: return
     dates as MM/dd/yyyy text, except orders above 400,000 whose date text
@@ -468,7 +416,6 @@ def _profile_line(c: DataFrame, city: Column) -> DataFrame:
     return c.select(F.to_csv(rec).alias("value"))
 
 
-@view
 def profile_csv_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two yearly profile files as CSV text: every customer in the older
     one (city = segment), customers with a balance over 5,000 again in the
@@ -480,12 +427,11 @@ def profile_csv_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return old.unionByName(new)
 
 
-@view
 def history_new_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Newer-layout history CSV lines from finished orders: county name,
+    """Newer-layout history CSV lines from orders: county name,
     id, MM/dd/yyyy date, election type text, party word (DEMOCRAT /
     REPUBLICAN / NON-PARTISAN / blank by priority), ballot style, Y/N flags."""
-    o = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    o = table(spark, sf_dir, "orders")
     code = F.substring("o_orderpriority", 1, 1)
     party = (F.when(code == "1", "DEMOCRAT").when(code == "2", "REPUBLICAN").when(code == "3", "NON-PARTISAN")
              .otherwise(F.lit(None).cast("string")))

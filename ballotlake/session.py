@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -39,32 +37,4 @@ def get_session(master: str | None = None, app: str = "ballotlake",
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``. Only a local
-    master (tests, a laptop) may fall back to a fresh scratch folder; on a
-    cluster an unset setting is an error, because a machine-local folder
-    would not survive the loss of that machine."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        master = spark.conf.get("spark.master", "") or ""
-        if not master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
-        d = tempfile.mkdtemp(prefix="ballotlake-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
-
-
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Used between long stages so a lost executor replays from the written
-    files, not from the first scan. Never ``localCheckpoint``: that keeps
-    blocks on executors that may disappear.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)

@@ -10,37 +10,17 @@ from pyspark.sql import DataFrame, functions as F
 
 
 def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4 (and K1's default): JSON lines, one part file per task."""
+    """K4 (K1 too): JSON lines, one part file per task."""
     df.write.mode(mode).json(path)
 
 
-SINGLE_DOCUMENT_MAX_ROWS = 200_000
-
-
-def write_single_document(df: DataFrame, path: str, mode: str = "overwrite",
-                          max_rows: int = SINGLE_DOCUMENT_MAX_ROWS) -> None:
-    """K1 for small summaries: the whole frame as ONE JSON array text
-    (``[{...},{...}]``) in one part file, readable back by
-    ``read_json_array``. Meant for outputs bounded by construction (one row
-    per county or precinct); the bound is checked first (one count, a
-    single number to the driver) and larger frames are refused -- write
-    them with ``write_json_lines``. Rows are serialised in parallel; only
-    the final text is assembled by one task."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows exceed the single-document bound {max_rows}; use write_json_lines")
-    rows = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("j"))
-    one = rows.agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
-    one.coalesce(1).write.mode(mode).text(path)
-
-
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """K2/K3: partitioned Parquet; ``mode="append"`` adds a new layout's
     rows after they were normalised to the common schema."""
-    w = df.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        # A few files per value instead of one per task and value; AQE splits hot values.
+        df = df.hint("rebalance", *partition_by)
+    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", quote_all: bool = True) -> None:
@@ -50,7 +30,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", quote_all: bool
 
 def write_split_by(df: DataFrame, path: str, key: str, mode: str = "overwrite", fmt: str = "json") -> None:
     """K6: one output directory per key value (``key=VALUE/part-*``)."""
-    df.write.mode(mode).partitionBy(key).format(fmt).save(path)
+    df.hint("rebalance", key).write.mode(mode).partitionBy(key).format(fmt).save(path)
 
 
 @contextmanager

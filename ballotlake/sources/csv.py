@@ -70,24 +70,23 @@ def read_profile_sources(spark: SparkSession, sources: Sequence[tuple[str, float
     """
     paths = [p for p, _ in sources]
     df = _positional(spark, PROFILE_SCHEMA, date_format).csv(paths)
-    fp = F.col("_metadata.file_path")
-    tag = None
-    # Longest prefix first, so ".../2022_runoff/" is not claimed by ".../2022".
-    for prefix, prio in sorted(((_source_prefix(p), prio) for p, prio in sources), key=lambda t: -len(t[0])):
-        cond = fp.contains(prefix)
-        tag = F.when(cond, F.lit(float(prio))) if tag is None else tag.when(cond, F.lit(float(prio)))
+    # File paths come URL-encoded and with a scheme; "+" is not a blank in a path.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    path = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    tag = F.raise_error(F.concat(F.lit("no profile source for "), path)).cast("double")
+    # Longest first, so the more exact of two sources claims a file.
+    for source, prio in sorted(sources, key=lambda t: len(t[0])):
+        tag = F.when(path.rlike(_source_pattern(source)), F.lit(float(prio))).otherwise(tag)
     return df.withColumn(tag_col, tag)
 
 
-def _source_prefix(path: str) -> str:
-    """The directory part of a path or glob, ending in ``/`` (a plain file
-    path is returned as it is)."""
-    m = re.search(r"[*?\[{]", path)
-    if m:
-        return path[:path.rfind("/", 0, m.start()) + 1]
-    if re.search(r"\.[A-Za-z0-9]+$", path.rsplit("/", 1)[-1]):
-        return path
-    return path.rstrip("/") + "/"
+def _source_pattern(source: str) -> str:
+    """Regular expression of the file paths that a path, folder or glob
+    reads. Relative sources are matched from a folder boundary on."""
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", source).rstrip("/")
+    glob = {"*": "[^/]*", "?": "[^/]", "{": "(", "}": ")", ",": "|", "[": "[", "]": "]"}
+    rx = "".join(glob.get(c) or re.escape(c) for c in bare)
+    return ("^" if bare.startswith("/") else "(^|/)") + rx + "(/.*)?$"
 
 
 def read_history_old(spark: SparkSession, paths, date_format: str = "yyyyMMdd") -> DataFrame:

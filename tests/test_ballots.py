@@ -51,7 +51,7 @@ def test_cleanse_counts_and_dates(spark, tmp_path):
 
 def test_running_totals_nulls_first(spark, tmp_path):
     base = cleanse_ballots(_ballots(spark, tmp_path)).drop("_returned")
-    state = ballots_by_day(base, DATE, [[]])["statewide"].orderBy(F.col("DaysFromElection").asc_nulls_first())
+    state = ballots_by_day(base, DATE, {"statewide": ()})["statewide"].orderBy(F.col("DaysFromElection").asc_nulls_first())
     rows = state.collect()
     # the state window runs in one partition: its input is one row per day
     assert len(rows) == len({r.DateDT for r in rows})
@@ -92,7 +92,7 @@ def test_id_map_left_join_keeps_unmatched(spark, tmp_path):
     base = cleanse_ballots(_ballots(spark, tmp_path), id_map=m).drop("_returned")
     pre = {r.precinct for r in base.filter(F.col("county") == "BEN HILL").collect()}
     assert pre == {"BH-01", None}            # 'P1' (upper) spelling had no map row
-    nested = nested_by_day(ballots_by_day(base, DATE, [["county", "precinct"]])["county_precinct"],
+    nested = nested_by_day(ballots_by_day(base, DATE, {"county_precinct": ("county", "precinct")})["county_precinct"],
                            ["county", "precinct"])
     assert nested.filter(F.col("precinct").isNull()).count() >= 1
 

@@ -50,7 +50,7 @@ def test_running_totals_bruteforce(spark, rows):
     for level in (["county", "precinct"], ["county"], []):
         got = {}
         name = "_".join(level) or "statewide"
-        for r in ballots_by_day(base, ANCHOR.isoformat(), [level])[name].collect():
+        for r in ballots_by_day(base, ANCHOR.isoformat(), {name: level})[name].collect():
             got[(tuple(r[k] for k in level), r.DateDT)] = (r.votesOnDate, r.votesToDate, r.DaysFromElection)
         exp = _expected(rows, level)
         # a group with zero accepted ballots on a date never appears (counts only accepted, non-null ids)

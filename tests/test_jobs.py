@@ -20,9 +20,9 @@ def test_run_elections(spark, tmp_path):
             "resultsPrecinctNameToMapFile": str(tmp_path / "map.csv")},
            {"name": "off", "date": "2022-11-08", "absenteeSummarize": False, "resultsSummarize": False}]
     cpath = write(str(tmp_path / "config.json"), json.dumps(cfg))
-    out = run_elections(spark, cpath, str(tmp_path / "out"), single_document=True)
-    assert len(out) == 6
-    doc = json.loads(open(glob.glob(out[2] + "/part-*")[0]).read())       # absentee statewide
+    out = run_elections(spark, cpath, str(tmp_path / "out"))
+    assert len(out) == 10            # three levels each, and the reports
+    doc = [json.loads(ln) for f in glob.glob(out[2] + "/part-*") for ln in open(f)]       # absentee statewide
     assert len(doc) == 1 and doc[0]["votesByDay"][-1]["votesToDate"] == 7
     m = spark.createDataFrame([("FULTON", "A-1", "Alpha", "Alpha", 87)], "county string, precinct string, "
                               "mapPrecinctName string, electionResultsPrecinctName string, score int")

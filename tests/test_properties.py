@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ballotlake.functions.similarity import similarity
 from ballotlake.operators import geometry as G
-from ballotlake.operators.nest import nest_bounded
+from ballotlake.operators.nest import nest_parts, row_bucket
 from ballotlake.operators.latest import latest_per_key
 
 
@@ -40,7 +40,7 @@ def test_thinning_error_bound(spark, k, tol):
     df = spark.createDataFrame([([{"x": x, "y": y} for x, y in pts],)], f"ring {G.RING}")
     out = df.select(G.thin_ring("ring", tol).alias("t")).first().t
     kept = [(p.x, p.y) for p in out]
-    assert kept[0] == pts[0] and kept[-1] == pts[-1]
+    assert (kept[0] == kept[-1]) == (pts[0] == pts[-1])
     assert len(kept) >= min(4, len(pts))
     assert set(kept) <= set(pts)
     # every dropped vertex shares a grid cell with a kept vertex (error <= cell diagonal)
@@ -64,11 +64,10 @@ def test_hot_key_is_split_and_whole(spark):
     n = 30_000
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
                                F.col("id").alias("v"))
-    out = nest_bounded(df, ["k"], ["v"], "vs", "v", max_per_row=1000)
+    out = nest_parts(df, ["k"], ["v"], "vs", row_bucket(["v"], 16))
     sizes = out.filter(F.col("k") == 0).select(F.size("vs").alias("s")).collect()
-    assert len(sizes) == 10 and max(r.s for r in sizes) <= 1000 * 1.2
+    assert len(sizes) == 16 and max(r.s for r in sizes) <= 10_000 / 16 * 1.3
     assert out.select(F.sum(F.size("vs"))).first()[0] == n
-    assert out.filter(F.col("k") != 0).select(F.max("part")).first()[0] == 0
 
 
 def test_latest_with_hot_key(spark):
@@ -79,32 +78,50 @@ def test_latest_with_hot_key(spark):
     assert {r.o for r in hot} == {4} and len(hot) == len({i for i in range(0, 20_000, 3) if i % 5 == 4})
 
 
-def test_nest_bounded_without_keys(spark):
-    df = spark.range(2500).select(F.col("id").alias("v"))
-    out = nest_bounded(df, [], ["v"], "vs", "v", max_per_row=1000)
-    rows = out.collect()
-    assert len(rows) == 3 and sum(len(r.vs) for r in rows) == 2500
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-
-
-def test_latest_join_method_matches_window(spark):
+def test_latest_agrees_with_rank(spark):
     df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"),
-                                    (F.col("id") % 5).alias("o"), (F.col("id") % 11).alias("v"))
-    a = sorted(map(tuple, latest_per_key(df, "k", "o").collect()))
-    b = sorted(map(tuple, latest_per_key(df, "k", "o", method="join").collect()))
+                                    F.when(F.col("id") % 50 != 8, F.col("id") % 5).alias("o"), (F.col("id") % 11).alias("v"))
+    a = sorted(map(str, latest_per_key(df, "k", "o").collect()))
+    df.createOrReplaceTempView("lpk")
+    b = sorted(map(str, spark.sql("SELECT DISTINCT k, o, v FROM (SELECT *, rank() OVER (PARTITION BY k ORDER BY o DESC) r"
+                                  " FROM lpk) WHERE r = 1").collect()))
     assert a == b and len(a) > 0
 
 
 def test_nested_history_hot_id(spark):
     from ballotlake.plans.people import nested_history
+    # a third of the rows: one id, one date, ids with the same residue
     hist = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).alias("id"),
-                                    F.col("id").alias("rowId"), F.lit("x").alias("county"))
+                                    F.col("id").alias("rowId"), F.to_date(F.lit("2024-11-05")).alias("election"))
     prof = spark.range(50).select(F.col("id"), F.concat(F.lit("n"), F.col("id").cast("string")).alias("name"))
-    out = nested_history(prof, hist, fields=("rowId", "county"), spread_col="rowId", max_per_row=500)
-    hot = out.filter(F.col("id") == 7).collect()
-    assert len(hot) == 5 and max(len(r.voterHistory) for r in hot) <= 600       # 2,100 entries in 5 parts
-    assert out.select(F.sum(F.size("voterHistory"))).first()[0] == 6000
-    assert out.filter(F.col("voterHistory").isNull()).count() == 10           # ids 40..49: no history
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "__part" in plan and "CartesianProduct" not in plan
+    for part in (None, F.floor(F.col("rowId") / 500)):
+        out = nested_history(prof, hist, fields=("rowId", "election"), part=part)
+        assert out.select(F.sum(F.size("voterHistory"))).first()[0] == 6000
+        none = out.filter(F.col("voterHistory").isNull()).collect()
+        assert sorted(r.id for r in none) == list(range(40, 50))                  # no history, one row each
+    assert out.filter(F.col("id") == 7).agg(F.max(F.size("voterHistory"))).first()[0] <= 500
+
+
+def test_small_ring_centre_at_real_coordinates(spark):
+    x, y, d = -84.39, 33.75, 1e-4
+    ring = [{"x": x + a * d, "y": y + b * d} for a, b in ((0, 0), (1, 0), (1, 1), (0, 1))]
+    c = spark.createDataFrame([(ring,)], f"ring {G.RING}").select(G.ring_centroid("ring").alias("c")).first().c
+    assert abs(c.x - (x + d / 2)) < 1e-6 * d and abs(c.y - (y + d / 2)) < 1e-6 * d
+
+
+def test_shared_border_thins_alike(spark):
+    border = [(10 + 0.07 * i, math.sin(i / 5)) for i in range(60)]
+    a, b = border + [(30.0, 40.0), (-5.0, 40.0)], border[::-1] + [(-5.0, -40.0), (30.0, -40.0)]
+    a, b = a[17:] + a[:17], b[5:] + b[:5]
+    df = spark.createDataFrame([([{"x": x, "y": y} for x, y in r],) for r in (a, b)], f"ring {G.RING}")
+    one, two = ({(p.x, p.y) for p in r.t} & set(border) for r in df.select(G.thin_ring("ring", 0.3).alias("t")).collect())
+    assert one == two and 4 < len(one) < 60
+
+
+def test_geojson_geometry(spark):
+    import json
+    df = spark.createDataFrame([([[[{"x": 0.0, "y": 1.0}]]],), ([[[{"x": 0.0, "y": 1.0}]], [[{"x": 2.0, "y": 3.0}]]],)],
+                               f"g {G.MULTI}")
+    got = [json.loads(r[0]) for r in df.select(G.geojson_geometry("g")).collect()]
+    assert got == [{"type": "Polygon", "coordinates": [[[0.0, 1.0]]]},
+                   {"type": "MultiPolygon", "coordinates": [[[[0.0, 1.0]]], [[[2.0, 3.0]]]]}]
