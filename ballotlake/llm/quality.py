@@ -1,31 +1,48 @@
-"""Operator 8: quality by perplexity under an interpolated modified
-Kneser-Ney n-gram model trained on trusted text.
-
-Symbols are byte classes: the ``CLASSES - 2`` most frequent bytes of the
-trusted text have one each, the others share one, and one marks the start
-of a text. The model has order 3, so it has at most CLASSES ** 3 entries
-whatever the corpus: counts are gathered from all trusted text in sharded
-aggregations and joins, and the finished table has a proven size (8 MB)
-and goes to every task, which makes scoring one pass without a shuffle.
+"""Operator 8: quality by perplexity under interpolated modified
+Kneser-Ney models trained on trusted text.
+
+Two models are nested. The word model has order 3; its n-grams of all
+trusted text are counted into tables that grow with the corpus and stay
+sharded by n-gram. Its unknown words are spelled by the second model, of
+byte classes: the ``CLASSES - 2`` most frequent bytes of the trusted text
+have one class each, the others share one, and one marks the start of a
+word. That one has at most CLASSES ** 3 entries (8 MB) and goes to every
+task.
+
+A text's negative log likelihood is a sum over its n-grams: the spelling of
+all words, and for every n-gram that the trusted text holds a correction
+that the tables give. Documents' distinct n-grams are gathered per block of
+texts, joined with the tables by key and summed per document.
+
+Trusted texts are halved by a hash, each half has a word model, and every
+text, trusted or not, has the worse of its two scores: the one of a model
+that doesn't hold the text itself or a near copy. Otherwise limits set by
+trusted texts, which would know their own n-grams, would condemn all others.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import prefilter, written
-from .textgrams import text_slices
+from .textgrams import mix, prefix_hashes, span_hashes, text_slices, words
 
 CLASSES = 128
 START, OTHER = 0, 1
 #: Bytes are shifted by one in raw trigram codes, 0 being the start mark.
 RAW = 257
+#: Hashes of the marks before and after a text in the word model.
+BEGIN, END = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0876A9A47)
+#: Documents' n-grams are gathered over blocks of about this many bytes.
+BLOCK_BYTES = 8 << 20
 
 
 def _trigrams(data: np.ndarray, off: np.ndarray, symbol: np.ndarray, base: int) -> np.ndarray:
@@ -42,6 +59,15 @@ def _trigrams(data: np.ndarray, off: np.ndarray, symbol: np.ndarray, base: int)
     return (two * base + one) * base + s
 
 
+def _spelled(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words [start, end) with one blank after each: (bytes, offsets)."""
+    off = np.r_[0, np.cumsum(end - start + 1)]
+    at = np.repeat(start - off[:-1], end - start + 1) + np.arange(off[-1])
+    out = data[np.minimum(at, len(data) - 1)] if len(data) else data
+    out[off[1:] - 1] = 0x20
+    return out, off
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(RAW ** 3, np.int32)
     held = 0
@@ -55,6 +81,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shift = np.arange(1, 257)
     for b in batches:
         for _, _, data, off in text_slices(b, "text"):
+            data, off = _spelled(data, *words(data, off)[:2])
             if held + len(data) >= 1 << 31:
                 yield from rows()
                 total[:] = 0
@@ -65,6 +92,80 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows()
 
 
+def _spelling(model: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """nll of each spelled word."""
+    nll = np.zeros(len(data) + 1)
+    np.cumsum(model["nll"][_trigrams(data, off, model["classes"], CLASSES)], out=nll[1:])
+    return nll[off[1:]] - nll[off[:-1]]
+
+
+def _sequences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+    """All texts with a word as one sequence of word hashes, two marks
+    before and one after each text: (hashes, text of each, position in the
+    text, start and end of the words, index of each text's hash)."""
+    start, end, first = words(data, off)
+    h = prefix_hashes(data)
+    whole = span_hashes(h, off[:-1], off[1:])
+    n = np.diff(first)
+    size = np.where(n > 0, n + 3, 0)
+    to = np.r_[0, np.cumsum(size)]
+    text = np.repeat(np.arange(len(n)), size)
+    pos = np.arange(to[-1]) - to[text]
+    x = np.full(to[-1], BEGIN, np.uint64)
+    last = pos == size[text] - 1
+    x[last] = END
+    x[(pos >= 2) & ~last] = span_hashes(h, start, end) if len(start) else np.zeros(0, np.uint64)
+    return x, text, pos, start, end, whole
+
+
+def _key(order: int, *gram: np.ndarray) -> np.ndarray:
+    """64-bit key of the n-gram."""
+    k = np.full(len(gram[0]), order, np.uint64)
+    for w in gram:
+        k = mix(k ^ w) * np.uint64(0x9E3779B97F4A7C15)
+    return mix(k)
+
+
+def _fold(whole: np.ndarray) -> np.ndarray:
+    return (whole >> np.uint64(17)) & np.uint64(1)
+
+
+def _word_counts(model: dict):
+    """Trusted texts -> their word trigrams with fold, count and spelling
+    nll of the last word, added up per slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, _, data, off in text_slices(b, "text"):
+                x, text, pos, start, end, whole = _sequences(data, off)
+                at = np.flatnonzero(pos >= 2)
+                if not len(at):
+                    continue
+                spell = np.zeros(len(x))
+                spell[x == END] = _spelling(model, np.array([0x20], np.uint8), np.array([0, 1]))[0]
+                spell[(pos >= 2) & (x != END)] = _spelling(model, *_spelled(data, start, end))
+                f = _fold(whole)[text[at]]
+                _, i, n = np.unique(_key(3, x[at - 2], x[at - 1], x[at]) ^ f, return_index=True, return_counts=True)
+                at, f = at[i], f[i]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(f.astype(np.int32)), *(pa.array(x[at - j].view(np.int64)) for j in (2, 1, 0)),
+                     pa.array(n.astype(np.int64)), pa.array(spell[at].astype(np.float32))], ["f", "a", "b", "c", "n", "s"])
+
+    return run
+
+
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(order, f, a, b, c, v) -> (key, f, v); shorter n-grams end at ``c``."""
+    for batch in batches:
+        o, f, a, b, c, v = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
+        g = [np.ascontiguousarray(x).view(np.uint64) for x in (a, b, c)]
+        key = np.zeros(len(o), np.uint64)
+        for order in (1, 2, 3):
+            m = o == order
+            key[m] = _key(order, *(x[m] for x in g[3 - order:]))
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(f), pa.array(v)], ["key", "f", "v"])
+
+
 def _discounts(counts: DataFrame, c: str) -> tuple[float, float, float]:
     """D1, D2, D3+ from the numbers of n-grams seen 1 to 4 times."""
     n = dict(counts.where(F.col(c) <= 4).groupBy(c).count().collect())
@@ -138,25 +239,151 @@ def train(trusted: DataFrame, text: str = "text") -> dict:
     return {"classes": cls, "nll": (-np.log(p3)).astype(np.float32).reshape(-1)}
 
 
-def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
+def train_words(trusted: DataFrame, model: dict, text: str = "text") -> tuple[DataFrame, list[float]]:
+    """The word models of both halves of ``trusted``: the corrections
+    ``v0, v1`` of each n-gram ``key``, and per half the nll of taking an unknown word.
+
+    In the sum over a text's n-grams each one has two parts, as the words
+    predicted (-log p less what the shorter n-gram gives) and as the context
+    of the next word (-log of the mass left to shorter n-grams).
+    """
+    grams = trusted.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).mapInArrow(
+        _word_counts(model), "f int, a long, b long, c long, n long, s float")
+    tri = written(grams.groupBy("f", "a", "b", "c").agg(F.sum("n").alias("n"), F.min("s").alias("s")), "lm-words3")
+    bi = written(tri.groupBy("f", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("s")), "lm-words2")
+    uni = bi.groupBy("f", "c").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("s"))
+    p1 = _order(uni, ["f"], "n").select("f", "c", "gamma", (F.col("alpha") + F.col("gamma") * F.exp(-F.col("s"))).alias("p1"),
+                                        "s")
+    p1 = written(p1, "lm-p1")
+    unknown = {r["f"]: -float(np.log(r["g"])) for r in p1.groupBy("f").agg(F.max("gamma").alias("g")).collect()}
+    p2 = _order(bi.drop("s"), ["f", "b"], "n").join(p1.select("f", "c", "p1"), ["f", "c"])
+    p2 = written(p2.select("f", "b", "c", "gamma", "p1", (F.col("alpha") + F.col("gamma") * F.col("p1")).alias("p2")), "lm-p2")
+    p3 = _order(tri.drop("s"), ["f", "a", "b"], "n").join(p2.select("f", "b", "c", "p2"), ["f", "b", "c"])
+    p3 = written(p3.select("f", "a", "b", "c", "gamma", "p2", (F.col("alpha") + F.col("gamma") * F.col("p2")).alias("p3")),
+                 "lm-p3")
+
+    def rows(df: DataFrame, order: int, *gram, v: Column) -> DataFrame:
+        gram = [F.lit(0).cast("long")] * (3 - order) + [F.col(g) for g in gram]
+        return df.select(F.lit(order).alias("o"), "f", *(g.alias(n) for g, n in zip(gram, "abc")), v.alias("v"))
+
+    all_rows = [rows(p1, 1, "c", v=F.log("gamma") - F.col("s") - F.log("p1")),
+                rows(p2, 2, "b", "c", v=F.log(F.col("gamma") * F.col("p1") / F.col("p2"))),
+                rows(p3, 3, "a", "b", "c", v=F.log(F.col("gamma") * F.col("p2") / F.col("p3"))),
+                rows(p2.groupBy("f", "b").agg(F.max("gamma").alias("g")), 1, "b", v=-F.log("g")),
+                rows(p3.groupBy("f", "a", "b").agg(F.max("gamma").alias("g")), 2, "a", "b", v=-F.log("g"))]
+    table = all_rows[0]
+    for r in all_rows[1:]:
+        table = table.unionByName(r)
+    table = table.mapInArrow(_keys, "key long, f int, v double").groupBy("key").agg(
+        *[F.sum(F.when(F.col("f") == f, F.col("v")).otherwise(0.0)).alias(f"v{f}") for f in (0, 1)])
+    return written(table, "lm-table"), [unknown.get(f, 0.0) for f in (0, 1)]
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts -> per block its distinct n-grams with the texts they occur in
+    (place in the block << 32 | count), and, key null, the texts' hashes."""
+    names = ["block", "key", "post"]
+
+    def rows(keys: list, texts: list, wholes: list):
+        block = uuid.uuid4().int >> 65
+        key, text, whole = np.concatenate(keys), np.concatenate(texts), np.concatenate(wholes)
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([None], pa.int64()), pa.array(
+            [whole.view(np.int64)], pa.list_(pa.int64()))], names)
+        if not len(key):
+            return
+        by = np.lexsort((text, key))
+        key, text = key[by], text[by]
+        new = np.r_[True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])]
+        at = np.flatnonzero(new)
+        post = (text[at] << 32) | np.diff(np.r_[at, len(key)])
+        key = key[at]
+        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        for i in range(0, len(head), 1 << 16):
+            h = head[i:i + (1 << 16)]
+            stop = head[i + (1 << 16)] if i + (1 << 16) < len(head) else len(key)
+            lists = pa.ListArray.from_arrays(pa.array((np.r_[h, stop] - h[0]).astype(np.int32)), pa.array(post[h[0]:stop]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), block)), pa.array(key[h].view(np.int64)), lists],
+                                             names)
+
+    keys, texts, wholes, held, n = [], [], [], 0, 0
+    for b in batches:
+        for _, _, data, off in text_slices(b, "text"):
+            x, text, pos, _, _, whole = _sequences(data, off)
+            for order in (1, 2, 3):
+                # The marks before a text count as contexts only: one word of them, or both.
+                at = np.flatnonzero(pos >= (1, 1, 2)[order - 1])
+                keys.append(_key(order, *(x[at - j] for j in range(order - 1, -1, -1))))
+                texts.append(text[at] + n)
+            wholes.append(whole)
+            held, n = held + len(data), n + len(whole)
+            if held >= BLOCK_BYTES:
+                yield from rows(keys, texts, wholes)
+                keys, texts, wholes, held, n = [], [], [], 0, 0
+    if wholes:
+        yield from rows(keys, texts, wholes)
+
+
+def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, v0, v1, post) -> (block, place, sums of count * v)."""
+    for b in batches:
+        block = b.column("block").to_numpy()
+        size = pa.compute.list_value_length(b.column("post")).to_numpy()
+        post = b.column("post").flatten().to_numpy()
+        own, block = np.unique(block, return_inverse=True)
+        code, at = np.unique((np.repeat(block, size) << 32) | (post >> 32), return_inverse=True)
+        total = [np.bincount(at, weights=np.repeat(b.column(v).to_numpy(), size) * (post & 0xFFFFFFFF), minlength=len(code))
+                 for v in ("v0", "v1")]
+        yield pa.RecordBatch.from_arrays([pa.array(own[code >> 32]), pa.array(code & 0xFFFFFFFF), *map(pa.array, total)],
+                                         ["block", "place", "v0", "v1"])
+
+
+def word_scores(docs: DataFrame, table: DataFrame, text: str = "text") -> DataFrame:
+    """``whole, v0, v1``: the corrections of all n-grams of each distinct text
+    (by its hash) that the tables know."""
+    grams = written(docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
+                    .mapInArrow(_gather, "block long, key long, post array<bigint>"), "lm-grams")
+    known = grams.where("key is not null").join(table, "key").select("block", "v0", "v1", "post")
+    sums = known.mapInArrow(_add, "block long, place long, v0 double, v1 double").groupBy("block", "place").agg(
+        F.sum("v0").alias("v0"), F.sum("v1").alias("v1"))
+    ids = grams.where("key is null").select("block", F.posexplode("post").alias("place", "whole"))
+    # Copies of a text have the same sum.
+    return written(ids.join(sums, ["block", "place"]).groupBy("whole").agg(
+        F.max("v0").alias("v0"), F.max("v1").alias("v1")), "lm-scores")
+
+
+def score(docs: DataFrame, model: dict, table: DataFrame, unknown: list[float], text: str = "text") -> DataFrame:
     """All columns of ``docs`` with ``__lm_nll`` (negative log likelihood of
-    the whole text) and ``__lm_bytes``. Null text: 0 and 0. No shuffle."""
+    the whole text) and ``__lm_bytes`` (of its words, with a blank each).
+    Null text: 0 and 0. Texts are not shuffled to be scored."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        end_nll = _spelling(m, np.array([0x20], np.uint8), np.array([0, 1]))[0]
         for b in batches:
             for at, end, data, off in text_slices(b, text):
-                nll = np.zeros(len(data) + 1)
-                np.cumsum(m["nll"][_trigrams(data, off, m["classes"], CLASSES)], out=nll[1:])
+                start, stop, first = words(data, off)
+                whole = span_hashes(prefix_hashes(data), off[:-1], off[1:])
+                n = np.diff(first)
+                nll = np.r_[0, np.cumsum(_spelling(m, *_spelled(data, start, stop)))]
+                size = np.r_[0, np.cumsum(stop - start + 1)]
+                base = np.where(n > 0, nll[first[1:]] - nll[first[:-1]] + end_nll, 0.0)
+                base = [base + np.where(n > 0, u * (n + 1), 0.0) for u in unknown]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(i).slice(at, end - at) for i in range(b.num_columns)]
-                    + [pa.array(nll[off[1:]] - nll[off[:-1]]), pa.array(np.diff(off))],
-                    [*b.schema.names, "__lm_nll", "__lm_bytes"])
+                    + [*map(pa.array, base), pa.array(size[first[1:]] - size[first[:-1]]), pa.array(whole.view(np.int64))],
+                    [*b.schema.names, "__lm_b0", "__lm_b1", "__lm_bytes", "__lm_whole"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lm_nll", T.DoubleType()),
-                                              T.StructField("__lm_bytes", T.LongType())]))
+    rows = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lm_b0", T.DoubleType()),
+                                              T.StructField("__lm_b1", T.DoubleType()),
+                                              T.StructField("__lm_bytes", T.LongType()),
+                                              T.StructField("__lm_whole", T.LongType())]))
+    known = word_scores(docs, table, text).select(F.col("whole").alias("__lm_whole"), F.col("v0").alias("__lm_v0"),
+                                                 F.col("v1").alias("__lm_v1"))
+    return (rows.join(known, "__lm_whole", "left")
+            .select(*docs.columns, F.greatest(*[F.col(f"__lm_b{f}") + F.coalesce(f"__lm_v{f}", F.lit(0.0)) for f in (0, 1)])
+                    .alias("__lm_nll"), "__lm_bytes"))
 
 
 def thresholds(scored: DataFrame, lang: str = "lang", low: float = 0.001, high: float = 0.999,
@@ -165,8 +392,10 @@ def thresholds(scored: DataFrame, lang: str = "lang", low: float = 0.001, high:
     true for all together): ``mean`` nll per byte and the limits ``lo`` and
     ``hi`` of the smoothed nll per byte of trusted documents.
 
-    ``lo`` and ``hi`` are the ``low`` and ``high`` quantiles moved outwards
-    by ``slack`` times their distance from the median.
+    ``lo`` and ``hi`` are the ``low`` and ``high`` quantiles. Fewer than
+    1 / ``low`` documents cannot show them; the extremes seen are then moved
+    outwards by up to ``slack`` times their distance from the median, less
+    the more documents there are.
     """
     rows = scored.where("__lm_bytes > 0")
     both = (rows.select(F.col(lang).alias("lang"), F.lit(False).alias("every"), "__lm_nll", "__lm_bytes")
@@ -177,7 +406,9 @@ def thresholds(scored: DataFrame, lang: str = "lang", low: float = 0.001, high:
     m = mean.select(F.col("lang").alias("__lm_l"), F.col("every").alias("_e"), "mean")
     smooth = both.join(m, F.col("lang").eqNullSafe(F.col("__lm_l")) & (F.col("every") == F.col("_e")))
     q = smooth.groupBy("lang", "every", "mean").agg(F.percentile_approx(
-        _smoothed(F.col("__lm_nll"), F.col("__lm_bytes"), F.col("mean"), prior_bytes), [low, 0.5, high], 10000).alias("q"))
+        _smoothed(F.col("__lm_nll"), F.col("__lm_bytes"), F.col("mean"), prior_bytes), [low, 0.5, high], 10000).alias("q"),
+        F.greatest(F.lit(0.0), 1 - F.count(F.lit(1)) * low).alias("_few"))
+    slack = F.col("_few") * slack
     return written(q.select("lang", "every", "mean",
                             (F.col("q")[0] - slack * (F.col("q")[1] - F.col("q")[0])).alias("lo"),
                             (F.col("q")[2] + slack * (F.col("q")[2] - F.col("q")[1])).alias("hi")), "lm-limits")
@@ -211,12 +442,13 @@ def classify(docs: DataFrame, trusted: DataFrame, prior_bytes: int = 200, **quan
     """
     trusted = written(trusted.select("text", "lang"), "lm-trusted")
     model = train(trusted)
-    limits = thresholds(score(trusted, model), prior_bytes=prior_bytes, **quantiles)
+    table, unknown = train_words(trusted, model)
+    limits = thresholds(written(score(trusted, model, table, unknown).drop("text"), "lm-held-out"), prior_bytes=prior_bytes, **quantiles)
     own = limits.where("not every").select(F.col("lang").alias("__lm_l"), F.struct("mean", "lo", "hi").alias("__lm_own"))
     e = limits.where("every").first()  # one row
     every = F.struct(*[F.lit(e[c] if e else None).cast("double").alias(c) for c in ("mean", "lo", "hi")])
     keep = [c for c in docs.columns if c not in ("perplexity", "keep") and not c.startswith("__lm_")]
-    s = score(docs.select(*keep), model)
+    s = score(docs.select(*keep), model, table, unknown)
     s = (s.join(own, s["lang"].eqNullSafe(F.col("__lm_l")), "left")
          .withColumn("__lm_lim", F.coalesce(F.col("__lm_own"), every)))
     value = _smoothed(F.col("__lm_nll"), F.col("__lm_bytes"), F.coalesce(F.col("__lm_lim.mean"), F.lit(0.0)), prior_bytes)

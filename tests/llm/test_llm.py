@@ -277,3 +277,73 @@ def test_licenses(spark):
                    (8, "GPL-3.0", 1)]
     assert licenses.license_blocks(docs(spark, [])).count() == 0
     assert licenses.wording("a b c d", "a x c d e") == (2, 5)
+
+
+def test_quality_words(spark):
+    """Scores are those of a direct computation; order and repetition count."""
+    import math
+
+    rnd = random.Random(11)
+    vocab = ["".join(rnd.choices("etaoinshr", k=rnd.randint(2, 7))) for _ in range(300)]
+    after = {w: rnd.choices(vocab, k=4) for w in vocab}
+
+    def chain(n):
+        out = [rnd.choice(vocab)]
+        while len(out) < n:
+            out.append(rnd.choice(after[out[-1]]))
+        return out
+
+    good = [chain(100) for _ in range(400)]
+    mixed = [rnd.sample(t, len(t)) for t in good[300:340]]
+    once = [[rnd.choice(vocab)] * 100 for _ in range(20)]
+    texts = [" ".join(t) for t in [*good, *mixed, *once]] + ["a", "zz  q\n", "", None, " ".join(good[0])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "'en' lang")
+    trusted = df.where("doc_id < 300")
+    got = {r["doc_id"]: r["keep"] for r in quality.classify(df, trusted).collect()}
+    assert sum(not got[i] for i in range(400, 440)) >= 38 and sum(not got[i] for i in range(440, 460)) >= 18
+    assert sum(got[i] for i in range(400)) >= 396
+
+    model = quality.train(trusted)
+    table, unknown = quality.train_words(trusted, model)
+    scored = {r["doc_id"]: r for r in quality.score(df, model, table, unknown).collect()}
+    raw = lambda t: (np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())]))
+    half = {t: int(quality._fold(quality._sequences(*raw(t))[5])[0]) for t in texts}
+    spell = lambda w: float(quality._spelling(model, *(lambda d: (d, np.array([0, len(d)])))(
+        np.frombuffer((w + " ").encode(), np.uint8)))[0])
+    S, E = "<", ""  # marks; the end is spelled as a blank
+    all3 = [collections.Counter(), collections.Counter()]
+    for t in texts[:300]:
+        x = [S, S, *t.split(), E]
+        all3[half[t]].update(zip(x, x[1:], x[2:]))
+    counts = [[collections.Counter(), collections.Counter(), c] for c in all3]
+    for c in counts:
+        c[1].update(g[1:] for g in c[2])
+        c[0].update(g[1:] for g in c[1])
+    cuts = []
+    for o in range(3):
+        n = collections.Counter(v for c in counts for v in c[o].values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] and n[3] else None
+        cuts.append((0.5, 0.75, 0.9) if y is None else tuple(
+            min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.05), i) for i in (1, 2, 3)))
+
+    sums = [[collections.defaultdict(lambda: [0, 0.0]) for _ in range(3)] for _ in range(2)]
+    for f in range(2):
+        for o in range(3):
+            for g, v in counts[f][o].items():
+                sums[f][o][g[:-1]][0] += v
+                sums[f][o][g[:-1]][1] += min(cuts[o][min(v, 3) - 1], v)
+
+    def p(f, g):
+        low = p(f, g[1:]) if len(g) > 1 else math.exp(-spell(g[0]))
+        o = len(g) - 1
+        if g[:-1] not in sums[f][o]:
+            return low
+        total, left = sums[f][o][g[:-1]]
+        v = counts[f][o].get(g, 0)
+        return ((v - min(cuts[o][min(v, 3) - 1], v)) / total if v else 0) + left / total * low
+
+    for i in [0, 5, 301, 405, 445, 460, 461, 462, 463, 464]:
+        w = (texts[i] or "").split()
+        x = [S, S, *w, E] if w else []
+        exp = max(-sum(math.log(p(f, g)) for g in zip(x, x[1:], x[2:])) for f in (0, 1))
+        assert scored[i]["__lm_nll"] == pytest.approx(exp, rel=1e-4)
