@@ -347,3 +347,24 @@ def test_quality_words(spark):
         x = [S, S, *w, E] if w else []
         exp = max(-sum(math.log(p(f, g)) for g in zip(x, x[1:], x[2:])) for f in (0, 1))
         assert scored[i]["__lm_nll"] == pytest.approx(exp, rel=1e-4)
+
+
+def test_license_texts(spark):
+    """Real headers: wrapped, in comments, going on after the template."""
+    import textwrap
+
+    texts = {n: " ".join(t.split()) for n, t in licenses.TEMPLATES if len(t) > 180}
+    rows, exp = [], set()
+    for i, (name, t) in enumerate(sorted(texts.items())):
+        for j, mark in enumerate(["", " * ", "# ", "// "]):
+            lines = "".join(mark + x + "\n" for x in textwrap.wrap(t, (72, 60, 50, 40)[j]))
+            rows.append((10 * i + j, "import os\n" + lines + "\ndef main(): pass\n" * 5, "s"))
+            exp.add((10 * i + j, name))
+        rows.append((10 * i + 5, f"Notes on the program. {t} And a last word about other things that follow here.", "s"))
+        exp.add((10 * i + 5, name))
+    rows += [(900, "MIT License\n\nCopyright (c) 2020 Someone\n", "s"), (901, "x\n\tMIT License", "s"), (None, "MIT License", "s"),
+             (902, "All about the license of a driver, and how people get permission to redistribute old maps of towns.", "s")]
+    got = licenses.license_blocks(docs(spark, rows)).collect()
+    assert exp <= {(r["doc_id"], r["license"]) for r in got}
+    assert {(r["doc_id"], r["license"]) for r in got} - exp == {(900, "MIT"), (901, "MIT"), (None, "MIT")}
+    assert len({(r["doc_id"], r["block_no"]) for r in got}) == len(got)
