@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import row_key, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Anchors are broadcast up to this many (about 40 MB); beyond it the lookup
@@ -192,6 +192,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` (all columns) without contaminated documents."""
-    bad = written(contaminated(docs, benchmark).select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` (all columns) without contaminated documents. Rows are told
+    apart by id and text, null ids included."""
+    keyed = docs.withColumn("__k", row_key())
+    bad = written(contaminated(keyed.select("__k", "text"), benchmark, doc_id="__k").select(F.col("doc_id").alias("__k"))
+                  .distinct(), "contaminated")
+    return keyed.join(bad, "__k", "left_anti").select(*docs.columns)

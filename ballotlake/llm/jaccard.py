@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import prefilter, written
+from .shared import prefilter, row_key, written
 from .textgrams import mix, shingle_sets, text_slices
 
 #: Shingles are counted in 2 ** SKETCH_BITS cells (by hash) to order them by
@@ -260,9 +260,22 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def keep_one(docs: DataFrame, k: int = 5, threshold: tuple[int, int] = (4, 5)) -> DataFrame:
-    """``docs`` (with ``doc_id`` and ``text``) without the documents whose
-    component has a smaller id; all columns are kept. Ids are unique; rows
-    without id stay."""
-    comp = jaccard_components(docs, k=k, threshold=threshold)
-    drop = written(comp.where("component_id < doc_id").select("doc_id").distinct(), "duplicates")
-    return docs.join(drop, "doc_id", "left_anti").select(*docs.columns)
+    """One document of each component of ``docs``, the one with the smallest
+    id (ties: by a key of id and text); all columns are kept.
+
+    Rows are told apart by id and text, null ids included: a row without id
+    is compared like all others and goes when its component has one with an
+    id. Of repeated rows (same id, same text) one stays, also without words.
+    """
+    keyed = docs.withColumn("__k", row_key())
+    comp = jaccard_components(keyed.select("__k", "text"), "__k", k=k, threshold=threshold)
+    # A key is one id and one text.
+    ids = keyed.groupBy("__k").agg(F.first("doc_id").alias("id"), F.count(F.lit(1)).alias("rows"))
+    ids = written(ids.join(comp.select(F.col("doc_id").alias("__k"), "component_id").distinct(), "__k"), "keys")
+    best = ids.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "__k")).alias("best"))
+    best = best.select(F.col("best.__k").alias("__k"))
+    drop = written(ids.join(best, "__k", "left_anti").select("__k"), "duplicates")
+    again = written(ids.where("rows > 1").join(best, "__k", "left_semi").select("__k"), "repeated-rows")
+    single = keyed.join(drop.unionByName(again), "__k", "left_anti")
+    one = prefilter(keyed, "__k", again).join(again, "__k").dropDuplicates(["__k"])
+    return single.select(*docs.columns).unionByName(one.select(*docs.columns))

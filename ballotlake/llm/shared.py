@@ -39,6 +39,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """64-bit key of a row's id and text; nulls are values of their own."""
+    i, t = F.col(doc_id), F.col(text)
+    return F.xxhash64(i.isNull(), i, t.isNull(), t)
+
+
 #: The filter has 2 ** FILTER_BITS bits in words of 64 bits, whatever the
 #: input: 65,536 words of 16 bytes, 1 MB when broadcast.
 FILTER_BITS = 22

@@ -45,6 +45,26 @@ def test_stages_take_effect(spark, tmp_path):
     assert {r["doc_id"] for r in mixed} <= set(left[3]) and all(r["copies"] in (1, 2) for r in mixed)
 
 
+def test_repeated_rows_and_null_ids(spark):
+    rnd = random.Random(2)
+    words = ["".join(rnd.choices("etaoin", k=rnd.randint(3, 8))) for _ in range(3000)]
+    text = [" ".join(rnd.choices(words, k=120)) for _ in range(7)]
+    item = " ".join(rnd.choices(words, k=30))
+    rows = [(1, text[0]), (1, text[0]), (2, text[1]), (None, text[1]), (None, text[2]), (None, text[2]), (3, text[3]),
+            (3, text[4]), (4, text[5]), (5, text[5] + " tail"), (None, text[6][:200] + " " + item), (6, None), (6, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    stages = dict(corpus_pipeline.STAGES)
+    one = stages["near_duplicates"](spark, df, "")
+    order = lambda rows: sorted(rows, key=repr)
+    exp = order([(1, text[0]), (2, text[1]), (None, text[2]), (3, text[3]), (3, text[4]), (4, text[5]), rows[10], (6, None),
+                 (7, "")])
+    assert order(map(tuple, one.collect())) == exp
+    left = stages["repeated_passages"](spark, one, "")
+    assert order(map(tuple, left.collect())) == exp
+    clean = corpus_pipeline.decontaminate.drop_contaminated(left, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert order(map(tuple, clean.collect())) == [r for r in exp if r != rows[10]]
+
+
 @pytest.mark.parametrize("name", [q for q in entry.queries() if q.startswith("op")])
 def test_query_runs(spark, name):
     df = entry.queries()[name](spark, SF)
