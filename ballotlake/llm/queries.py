@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, forest, jaccard, langid, licenses, mixing, quality, suffixes, warc
+from . import (chat, decontaminate, forest, frames, jaccard, langid, licenses, mixing, ppm, quality, suffixes, warc,
+               whitening)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +78,22 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken", "source", "copies"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (frames.digests(frames.fill_in_middle(_table(spark, sf_dir, "documents"), seed=42, rate=50, spm=80))
+            .select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (whitening.whiten(_table(spark, sf_dir, "embeddings"), k=8)
+            .select("vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"))
+
+
+def op13_ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 1
+    return (ppm.score_texts(_table(spark, sf_dir, "documents"), held_out)
+            .select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_license_scan": op2_license_scan,
@@ -88,4 +105,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_decontaminate": op9_decontaminate,
     "op10_source_mix": op10_source_mix,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_whitening": op12_whitening,
+    "op13_ppm_score": op13_ppm_score,
 }

@@ -24,3 +24,28 @@ SELECT conv_id, count(*) AS n_turns,
        sum(opens)::BIGINT AS n_blocks
 FROM marked GROUP BY conv_id
 """
+
+# Units are cut by the pattern itself; sha256() of DuckDB gives lower-case hex.
+ORACLE["op11_fill_in_middle"] = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS unit
+  FROM documents
+), planned AS (
+  SELECT *, len(unit)::BIGINT AS n,
+         ('0x' || h[1:8])::BIGINT % (len(unit) + 1) AS c1, ('0x' || h[9:16])::BIGINT % (len(unit) + 1) AS c2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM cut
+), parts AS (
+  SELECT doc_id, n, form, text, array_to_string(unit[1:least(c1, c2)], '') AS prefix,
+         array_to_string(unit[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+         array_to_string(unit[greatest(c1, c2) + 1:], '') AS suffix FROM planned
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
