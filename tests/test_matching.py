@@ -89,3 +89,90 @@ def test_id_score_thresholds(spark):
     got = {r.absenteePrecinct: r.score for r in kept.collect()}
     assert sorted(got.values()) == [81, 99, 100]                  # 79 and 80 are not > 80; null skipped
     assert sorted(r.score for r in review.collect()) == [81, 99]   # review: < 100
+
+
+def _all_pairs(names, labels):
+    """Every name against every label of its block, in plain Python."""
+    def lev(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            prev, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                prev, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, prev + (x != y))
+        return row[-1]
+
+    def score(a, b):
+        n = max(len(a), len(b))
+        return 100 if n == 0 else (200 * (n - lev(a, b)) + n) // (2 * n)
+
+    def text(t):
+        return " ".join(t.upper().split())
+
+    out = {}
+    for block, name in set(names):
+        best = (0, None, None)
+        for lb, label, i in labels:
+            if lb == block and label is not None:
+                q, w = text(name), text(label)
+                s = max(score(q, w), score(" ".join(sorted(q.split(" "))), " ".join(sorted(w.split(" ")))))
+                best = min(best if best[1] is not None else (1, None, None), (-s, label, i))
+        out[block, name] = (best[1], best[2], -min(best[0], 0))
+    return out
+
+
+def _random_names(seed, n_labels, n_names, noise):
+    import random
+    rnd = random.Random(seed)
+    words = ["".join(rnd.choices("ABCDEFGHILMNOPRSTU", k=rnd.randint(2, 9))) for _ in range(60)] + ["1", "02", "3A"]
+    labels = [(rnd.choice("XYZ"), " ".join(rnd.choices(words, k=rnd.randint(1, 4))), f"{i:03}") for i in range(n_labels)]
+    labels += [("X", "", "blank"), ("X", None, "none"), labels[0][:2] + ("zzz",)]
+    names = []
+    for _ in range(n_names):
+        b, t, _ = rnd.choice(labels[:n_labels])
+        w = t.split()
+        rnd.shuffle(w)
+        t = list(" ".join(w))
+        for _ in range(rnd.randint(0, noise)):
+            i = rnd.randrange(len(t) + 1)
+            t[i:i + rnd.randint(0, 1)] = rnd.choice(["", "q", "E", " ", "TT"])
+        names.append((b, "".join(t)))
+    return names + [("X", ""), ("X", "  "), ("Y", "00000"), ("W", "no labels here")], labels
+
+
+def test_best_match_equals_all_pairs(spark):
+    for seed, noise in ((1, 2), (2, 6), (3, 14)):
+        names, labels = _random_names(seed, 250, 300, noise)
+        got = best_match(spark.createDataFrame(names, "county string, name string"),
+                         spark.createDataFrame(labels, "county string, label string, id string"),
+                         ["county"], "name", "label", "id")
+        rows = {(r.county, r.name): (r.label, r.id, r.score) for r in got.collect()}
+        assert rows == _all_pairs(names, labels)
+
+
+def test_few_pairs_are_scored(spark):
+    """Near copies in one large block."""
+    from ballotlake.operators.matching import candidate_pairs
+    names, labels = _random_names(5, 3000, 2000, 2)
+    names = [("X", t) for _, t in set(names) if len(t) > 8]
+    labels = [("X", t, i) for _, t, i in labels]
+    n = spark.createDataFrame(names, "county string, name string").distinct()
+    pairs = candidate_pairs(n, spark.createDataFrame(labels, "county string, label string, id string"),
+                            ["county"], "name", "label", "id")
+    assert pairs.count() < n.count() * len(labels) / 20
+
+
+def test_few_pairs_are_scored_on_the_stand_in(spark):
+    from ballotlake.operators.matching import candidate_pairs
+    from ballotlake.plans import standins as S
+    d = "/root/testdata/sf0.1"
+    n = S.match_names(spark, d).withColumn("county", F.upper("county")).distinct()
+    lab = S.match_labels(spark, d)
+    formed = n.join(lab, "county").count()
+    assert candidate_pairs(n, lab, ["county"], "name", "precinctName", "precinct").count() <= formed / 10
+
+
+def test_lookup_is_no_cross_join(spark):
+    names = spark.createDataFrame([("FULTON", "ALPHA PARK")], "county string, name string")
+    plan = best_match(names, spark.createDataFrame(LABELS, LSCHEMA), ["county"], "name", "precinctName", "precinct"
+                      )._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan and "Python" not in plan
