@@ -87,11 +87,14 @@ def flatten_xml_feed(doc: DataFrame, phrases: Sequence[str] = CONTEST_PHRASES,
     return rows, rej_contest.unionByName(rej_choice)
 
 
-def flatten_feed_a(summary: DataFrame, modes: DataFrame, county: str | Column,
+def flatten_feed_a(summary: DataFrame, modes: DataFrame, keys: Sequence[str] = ("county",),
                    phrases: Sequence[str] = CONTEST_PHRASES, keywords=CANDIDATE_PARTY_KEYWORDS,
                    mode_col: str = "mode", mode_labels: Sequence[tuple[str, str]] = ()) -> DataFrame:
-    """``summary`` rows ``K, C, CH[]`` (contest id, text, candidate
-    names) and ``modes`` rows ``mode, Contests[]{A, C[], V[][]}``.
+    """``summary`` rows ``county, K, C, CH[]`` (contest id, text, candidate
+    names) and ``modes`` rows ``county, mode, Contests[]{A, C[], V[][]}`` of any
+    number of counties. Counties use the same contest ids for different
+    contests, so both sides meet on ``keys`` (columns that say whose feed it is,
+    ``county`` among them) and the contest id.
 
     Contest ids and vote lists are parallel arrays: zipped, exploded with
     their positions, then the candidate is ``CH[position]``. Contests not
@@ -102,22 +105,22 @@ def flatten_feed_a(summary: DataFrame, modes: DataFrame, county: str | Column,
     to one vocabulary shared with the other feeds (e.g. ``("Advanced Voting
     Votes", "Advance Voting Votes")``); by default they are kept as named.
     """
+    keys = list(keys)
     s = (summary.filter(contains_any(F.col("C"), phrases))
-         .select(F.col("K").cast("string").alias("contest_id"), contest_name(F.col("C")).alias("race"),
+         .select(*keys, F.col("K").cast("string").alias("contest_id"), contest_name(F.col("C")).alias("race"),
                  F.col("CH").alias("choices")))
     mode = normalise_label(F.col(mode_col), mode_labels) if mode_labels else F.col(mode_col)
-    p = (modes.select(mode.alias("mode"), F.explode_outer("Contests").alias("p"))
+    p = (modes.select(*keys, mode.alias("mode"), F.explode_outer("Contests").alias("p"))
          .filter(F.col("p").isNotNull() & (F.col("p.A").cast("string") != F.lit(TOTAL_LINE_ID)))
-         .select("mode", F.col("p.A").cast("string").alias("precinct"),
+         .select(*keys, "mode", F.col("p.A").cast("string").alias("precinct"),
                  F.explode_outer(F.arrays_zip(F.col("p.C").alias("cid"), F.col("p.V").alias("votes"))).alias("z"))
          .filter(F.col("z").isNotNull())
-         .select("mode", "precinct", F.col("z.cid").cast("string").alias("contest_id"),
+         .select(*keys, "mode", "precinct", F.col("z.cid").cast("string").alias("contest_id"),
                  F.posexplode_outer("z.votes").alias("pos", "votes"))
          .filter(F.col("pos").isNotNull()))
-    j = p.join(s, "contest_id", "inner")
+    j = p.join(s, [*keys, "contest_id"], "inner")
     cand = F.element_at(F.col("choices"), F.col("pos") + 1)
-    cty = county if isinstance(county, Column) else F.lit(county)
-    return (j.select("race", cty.alias("county"), "precinct", cand.alias("candidate"),
+    return (j.select("race", "county", "precinct", cand.alias("candidate"),
                      keyword_class(cand, keywords).alias("party"), "mode", F.col("votes").cast("long").alias("votes"))
             .filter(F.col("votes") > 0))
 
@@ -127,17 +130,14 @@ def _text0(c: Column) -> Column:
     return F.element_at(c, 1)["text"]
 
 
-def flatten_feed_b(doc: DataFrame, race: str | Column, county: str | Column,
-                   mode_labels=MODE_LABELS) -> DataFrame:
-    """``breakdownResults[]{precinct.name[].text, ballotOptions[]{
+def flatten_feed_b(doc: DataFrame, mode_labels=MODE_LABELS) -> DataFrame:
+    """Rows ``race, county, breakdownResults[]{precinct.name[].text, ballotOptions[]{
     name[].text, party.name[].text, voteCount, groupResults[]{groupName[].
     text, voteCount}}}`` -> T2 rows, with per-mode detail or, when the modes
     sum to 0, the option's total as mode ``Unknown``; votes > 0 only."""
-    r = race if isinstance(race, Column) else F.lit(race)
-    cty = county if isinstance(county, Column) else F.lit(county)
     # *_outer generators + null filters: same rows, but no inferred
     # size(...) > 0 filter re-evaluating a computed document column.
-    b = (doc.select(r.alias("race"), cty.alias("county"), F.explode_outer("breakdownResults").alias("b"))
+    b = (doc.select("race", "county", F.explode_outer("breakdownResults").alias("b"))
          .filter(F.col("b").isNotNull())
          .select("race", "county", _text0(F.col("b.precinct.name")).alias("precinct"),
                  F.explode_outer("b.ballotOptions").alias("o"))

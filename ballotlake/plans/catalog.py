@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import feeds as FP
 from . import people as P
 from . import sql_ballots as SB
 from . import sql_feeds as SF
@@ -24,6 +25,7 @@ from ..operators.enrich import left_enrich_with_report
 from ..operators.latest import latest_per_key
 from ..operators.levels import by_day_at_level
 from ..operators.nest import compute_once, json_text
+from ..sources.feeds import FEED_A_FOLDERS, FEED_B_FOLDERS, feed_a_mode, path_columns
 from ..sources.fixed_width import parse_fixed_width, type_history_old
 from .ballots import ballots_all_levels, cleanse_ballots, nested_by_day
 from .results import (candidate_totals, cleanse_results, county_totals, results_by_mode,
@@ -394,16 +396,37 @@ def q_county_collections(spark, d):
     return out.withColumn("features", json_text(short))
 
 
+def _feed_b(spark, d):
+    docs = path_columns(S.feed_b_documents(spark, d), FEED_B_FOLDERS + "/{contestId}.json", "path")
+    return FP.feed_b_results(docs, FP.ballot_items(S.feed_b_items(spark, d)),
+                             FP.locality_records(S.feed_b_localities(spark, d)), S.FEED_B_RACES)
+
+
 @register("feed_b_flatten", SF.FEED_B)
 def q_feed_b_flatten(spark, d):
-    county = T.strip_first(F.lit("Fulton County"), " County")
-    return FD.flatten_feed_b(S.feed_b_documents(spark, d), "Feed Race", county)
+    return _feed_b(spark, d)[0]
+
+
+@register("feed_b_report", SF.FEED_B_REPORT)
+def q_feed_b_report(spark, d):
+    return _feed_b(spark, d)[1]
+
+
+def _feed_a(spark, d):
+    summary = path_columns(S.feed_a_summary(spark, d), FEED_A_FOLDERS + "/en/summary.json", "path")
+    return FP.feed_a_results(summary, feed_a_mode(S.feed_a_modes(spark, d), "path"),
+                             FP.manifest_records(S.feed_a_manifest(spark, d)),
+                             phrases=S.FEED_A_PHRASES, keywords=S.STATUS_KEYWORDS)
 
 
 @register("feed_a_flatten", SF.FEED_A)
 def q_feed_a_flatten(spark, d):
-    return FD.flatten_feed_a(S.feed_a_summary(spark, d), S.feed_a_modes(spark, d), "Cobb",
-                             phrases=S.FEED_A_PHRASES, keywords=S.STATUS_KEYWORDS)
+    return _feed_a(spark, d)[0]
+
+
+@register("feed_a_report", SF.FEED_A_REPORT)
+def q_feed_a_report(spark, d):
+    return _feed_a(spark, d)[1]
 
 
 @register("xml_flatten", SF.XML_FEED)

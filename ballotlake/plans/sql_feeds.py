@@ -71,18 +71,22 @@ SELECT p_partkey,
 FROM p
 """
 
-FEED_B = """
-SELECT 'Feed Race' AS race, 'Fulton' AS county, CAST(o_custkey AS VARCHAR) AS precinct,
+COUNTY = "(['Cobb', 'Fulton', 'Ben_Hill', 'Jeff Davis'])[o_custkey % 4 + 1]"
+
+FEED_B = f"""
+SELECT 'US Senate' AS race, {COUNTY} AS county, CAST(o_custkey AS VARCHAR) AS precinct,
        'opt ' || o_orderstatus AS candidate,
        CASE o_orderstatus WHEN 'F' THEN 'republican' WHEN 'O' THEN 'democratic' ELSE 'unknown' END AS party,
        CASE WHEN o_orderpriority = '1-URGENT' AND CAST(floor(o_totalprice / 1000) AS BIGINT) <> 0
             THEN 'Election Day Votes' ELSE 'Unknown' END AS mode,
        CAST(floor(o_totalprice / 1000) AS BIGINT) AS votes
-FROM orders WHERE CAST(floor(o_totalprice / 1000) AS BIGINT) > 0
+FROM orders WHERE CAST(floor(o_totalprice / 1000) AS BIGINT) > 0 AND o_orderkey % 3 = (o_custkey % 4 + 1) % 3
 """
 
-FEED_A = """
-SELECT o_orderpriority AS race, 'Cobb' AS county, CAST(o_custkey AS VARCHAR) AS precinct, o_orderstatus AS candidate,
+FEED_B_REPORT = f"SELECT DISTINCT lower({COUNTY}) AS locality, 'Governor' AS race, 'no contest' AS problem FROM orders"
+
+FEED_A = f"""
+SELECT o_orderpriority AS race, {COUNTY} AS county, CAST(o_custkey AS VARCHAR) AS precinct, o_orderstatus AS candidate,
        CASE WHEN contains(upper(o_orderstatus), 'F') THEN 'republican'
             WHEN contains(upper(o_orderstatus), 'O') THEN 'democratic' ELSE 'other' END AS party,
        CASE WHEN o_totalprice < 200000 THEN 'Election Day Votes' ELSE 'Absentee by Mail Votes' END AS mode,
@@ -91,6 +95,11 @@ FROM orders
 WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM') AND CAST(floor(o_totalprice / 1000) AS BIGINT) > 0
 """
 
+FEED_A_REPORT = f"""
+SELECT DISTINCT {COUNTY} AS county, CAST(o_custkey % 4 + 100 AS VARCHAR) AS "countyElectionId", '1' AS version,
+       'modes not in manifest' AS problem FROM orders WHERE o_custkey % 5 = 0
+"""
+
 XML_FEED = """
 SELECT 'US Senate Special' AS race, c_mktsegment AS county, CAST(c_custkey AS VARCHAR) AS precinct,
        CASE WHEN c_acctbal >= 5000 THEN 'Kemp' ELSE 'Ossoff' END AS candidate,

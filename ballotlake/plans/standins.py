@@ -256,8 +256,50 @@ def two_ring_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id", "label", F.array(F.array(outer, hole)).alias("geometry"))
 
 
+#: Counties of the feed documents; an order belongs to that of its customer's number.
+FEED_COUNTIES = ("Cobb", "Fulton", "Ben_Hill", "Jeff Davis")
+
+
+def _feed_county(number: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(c) for c in FEED_COUNTIES]), (F.pmod(number, F.lit(len(FEED_COUNTIES))) + 1).cast("int"))
+
+
+def _in_path(name: Column) -> Column:
+    """As it stands in a file path."""
+    return F.replace(name, F.lit(" "), F.lit("%20"))
+
+
+def feed_counties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counties that have orders: their number and name."""
+    n = F.pmod("o_custkey", F.lit(len(FEED_COUNTIES)))
+    return table(spark, sf_dir, "orders").select(n.alias("number")).distinct().withColumn("county", _feed_county(F.col("number")))
+
+
+FEED_B_RACES = ("US Senate", "Governor")
+
+
+def feed_b_localities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of feed B: one document that lists all localities."""
+    one = F.struct(F.lower("county").alias("shortName"),
+                   F.array(F.struct(F.concat("county", F.lit(" County")).alias("text"))).alias("name"))
+    return feed_counties(spark, sf_dir).agg(F.collect_list(one).alias("childLocalities"))
+
+
+def feed_b_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ballot items of each locality. The ids 0 to 2 mean another contest in
+    each: county number + 1 is the first Senate contest, + 2 the second."""
+    def item(i, name):
+        return F.struct(F.pmod(F.col("number") + i, F.lit(3)).cast("string").alias("id"),
+                        F.array(F.struct(F.lit(name).alias("text"))).alias("name"))
+
+    return feed_counties(spark, sf_dir).select(F.lower("county").alias("locality"), F.array(
+        item(0, "County Sheriff"), item(1, "US Senate (Rep)"), item(2, "US Senate Special")).alias("data"))
+
+
 def feed_b_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed-B shaped documents derived from orders, one per order: the
+    """Feed-B shaped documents derived from orders, one per order, with the
+    path that they would land under (its folder tells the locality, its name
+    the contest: the order key modulo 3): the
     customer is the precinct, the order one ballot option named after its
     status (party code F -> REP, O -> DEM, P -> empty) with votes =
     thousands of its price; per-mode results count them on election day
@@ -279,7 +321,9 @@ def feed_b_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(urgent, votes).otherwise(F.lit(0).cast("long")).alias("voteCount")),
                 F.struct(name(F.lit("Absentee by Mail")).alias("groupName"),
                          F.lit(0).cast("long").alias("voteCount"))).alias("groupResults"))
-    return o.select(F.array(F.struct(
+    path = F.concat(F.lit("file:/landed/b/"), _in_path(F.lower(_feed_county(F.col("o_custkey")))), F.lit("/E1/ballot-items/"),
+                    F.pmod("o_orderkey", F.lit(3)).cast("string"), F.lit(".json"))
+    return o.select(path.alias("path"), F.array(F.struct(
         F.struct(name(F.col("o_custkey").cast("string")).alias("name")).alias("precinct"),
         F.array(option).alias("ballotOptions"))).alias("breakdownResults"))
 
@@ -292,38 +336,62 @@ def _order_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(F.when(F.col("o_totalprice") < 200000, "Election Day Votes").otherwise("Absentee by Mail Votes")
                     .alias("mode"), F.col("o_custkey").cast("string").alias("precinct"),
+                    _feed_county(F.col("o_custkey")).alias("county"),
                     F.col("o_orderpriority").alias("contest"), F.col("o_orderstatus").alias("candidate"),
                     F.floor(F.col("o_totalprice") / 1000).cast("long").alias("q"))
 
 
+def feed_a_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of feed A: one document with a string per county; version 2 is
+    the current one everywhere."""
+    return feed_counties(spark, sf_dir).agg(F.collect_list(F.concat(
+        F.col("county"), F.lit("|"), F.col("number") + 100, F.lit("|2|x"))).alias("participatingcounties"))
+
+
+def _feed_a_path(county: Column, version: Column, file: Column) -> Column:
+    eid = (F.array_position(F.array(*[F.lit(c) for c in FEED_COUNTIES]), county) + 99).cast("string")
+    return F.concat(F.lit("file:/landed/a/"), _in_path(county), F.lit("/"), eid, F.lit("/"), version, F.lit("/json/"), file)
+
+
 def feed_a_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed-A contest summary: one row per order priority (contest id K,
-    text C with a '/' suffix, candidate list CH = its order statuses,
-    sorted)."""
-    o = table(spark, sf_dir, "orders")
-    g = o.groupBy("o_orderpriority").agg(F.array_sort(F.collect_set("o_orderstatus")).alias("CH"))
-    return g.select(F.col("o_orderpriority").alias("K"), F.concat(F.col("o_orderpriority"), F.lit("/stand-in"))
-                    .alias("C"), "CH")
+    """Feed-A contest summaries with their paths: one row per county and order
+    priority (contest id K = its first digit, text C with a '/' suffix,
+    candidate list CH = its order statuses, in falling order in the counties
+    whose name has a blank or underscore, so that a lookup in another county's
+    list would go wrong)."""
+    v = _order_votes(spark, sf_dir)
+    g = v.groupBy("county", "contest").agg(F.array_sort(F.collect_set("candidate")).alias("CH"))
+    ch = F.when(F.col("county").rlike("[ _]"), F.reverse("CH")).otherwise(F.col("CH"))
+    return g.select(_feed_a_path(F.col("county"), F.lit("2"), F.lit("en/summary.json")).alias("path"),
+                    F.substring("contest", 1, 1).alias("K"), F.concat(F.col("contest"), F.lit("/stand-in")).alias("C"),
+                    ch.alias("CH"))
 
 
 def feed_a_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feed-A mode documents: one per order (its customer is the precinct)
-    with the parallel arrays C = [contest] and V = [votes per candidate in
-    summary order: the order's votes at its status, zeros elsewhere], plus
-    one '-1' total line per mode (the only aggregate, over mode x contest x
-    status)."""
+    """Feed-A mode documents with their paths: one per order (its customer is
+    the precinct) with the parallel arrays C = [contest id] and V = [votes per
+    candidate in the county's summary order: the order's votes at its status,
+    zeros elsewhere], plus one '-1' total line per county and mode (the only
+    aggregate, over county x mode x contest x status). Customers whose number
+    5 divides also have documents of an older version, which don't count."""
     v = _order_votes(spark, sf_dir)
-    ch = feed_a_summary(spark, sf_dir).select(F.col("K").alias("contest"), "CH")
+    s = feed_a_summary(spark, sf_dir)
+    county = F.replace(F.split_part("path", F.lit("/"), F.lit(4)), F.lit("%20"), F.lit(" "))
+    ch = s.select(county.alias("county"), F.substring_index("C", "/", 1).alias("contest"), "K", "CH")
 
-    def doc(df: DataFrame, precinct: Column) -> DataFrame:
+    def doc(df: DataFrame, precinct: Column, version: str = "2") -> DataFrame:
         aligned = F.transform("CH", lambda c: F.when(c == F.col("candidate"), F.col("q"))
                               .otherwise(F.lit(0).cast("long")))
-        return (df.join(ch, "contest", "inner")
-                .select("mode", F.array(F.struct(precinct.alias("A"), F.array("contest").alias("C"),
-                                                 F.array(aligned).alias("V"))).alias("Contests")))
-
-    totals = v.groupBy("mode", "contest", "candidate").agg(F.sum("q").alias("q"))
-    return doc(v, F.col("precinct")).unionByName(doc(totals, F.lit("-1")))
+        file = F.concat(F.replace("mode", F.lit(" "), F.lit("_")), F.lit(".json"))
+        return (df.join(ch, ["county", "contest"], "inner")
+                .select(_feed_a_path(F.col("county"), F.lit(version), file).alias("path"),
+                        F.array(F.struct(precinct.alias("A"), F.array("K").alias("C"),
+                                         F.array(aligned).alias("V"))).alias("Contests")))
+
+    totals = v.groupBy("county", "mode", "contest", "candidate").agg(F.sum("q").alias("q"))
+    old = v.where(F.pmod(F.col("precinct").cast("long"), F.lit(5)) == 0)
+    return (doc(v, F.col("precinct")).unionByName(doc(totals, F.lit("-1")))
+            .unionByName(doc(old, F.col("precinct"), "1")))
 
 
 def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
