@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from .records import json_records
 
 
 def read_parquet(spark: SparkSession, paths, merge_schema: bool = True) -> DataFrame:
@@ -19,3 +21,12 @@ def read_json_array(spark: SparkSession, paths, schema=None) -> DataFrame:
     if schema is not None:
         r = r.schema(schema)
     return r.json(paths)
+
+
+def read_large_json_array(spark: SparkSession, paths, schema) -> DataFrame:
+    """S6 for files of any size: the objects of each array are cut by many
+    tasks. An object that the file's end cuts off fails the job."""
+    r = json_records(spark, paths, depth=0)
+    whole = F.when(F.col("complete"), F.col("record")).otherwise(F.raise_error(F.concat(
+        F.lit("object cut off by the end of "), "file")))
+    return r.select(F.from_json(whole, schema).alias("r")).select("r.*")
