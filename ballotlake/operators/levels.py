@@ -4,6 +4,7 @@ running totals (W1/W2), the empty level (A22) and GROUPING SETS (A6)."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -17,8 +18,8 @@ def running_total(df: DataFrame, partition_cols: Sequence[str], order_col: str,
 
     The frame is written out: peers (equal order values) share a total and
     rows with a null order value come first, so they count in every later
-    total. With an empty partition list all rows meet in one task: callers
-    only do that after reducing the input to one row per day.
+    total. All rows of a group meet in one task; ``running_total_by_range`` is
+    for large groups and for an empty partition list.
     """
     order = F.col(order_col).asc_nulls_first()
     w = (Window.partitionBy(*partition_cols) if partition_cols else Window).orderBy(order)
@@ -26,6 +27,35 @@ def running_total(df: DataFrame, partition_cols: Sequence[str], order_col: str,
     return df.withColumn(out_col, F.sum(value_col).over(w))
 
 
+#: Days of a range in ``running_total_by_range``.
+RANGE_DAYS = 64
+
+
+def running_total_by_range(df: DataFrame, partition_cols: Sequence[str], order_col: str, value_col: str,
+                           out_col: str, width: int = RANGE_DAYS) -> DataFrame:
+    """:func:`running_total` in two passes, for groups too large for one task
+    (no partition columns: everything is one group).
+
+    The order axis (a number) is cut into ranges of ``width``. Pass one adds up
+    each range and gives it the sum of all earlier ones; only these sums, a row
+    per range, meet by group. Pass two adds up inside each range, a task each.
+    Peers are in one range; null order values are a range of their own, before
+    all others.
+    """
+    keys = [*partition_cols, "__range"]
+    rows = df.withColumn("__range", F.floor(F.col(order_col) / F.lit(width)))
+    sums = rows.groupBy(*keys).agg(F.sum(value_col).alias("__sum"))
+    group = Window.partitionBy(*partition_cols) if partition_cols else Window
+    earlier = group.orderBy(F.col("__range").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.sum("__sum").over(earlier).alias("__before"))
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)])
+    joined = rows.join(before, same).drop(*[f"__k{i}" for i in range(len(keys))])
+    inside = running_total(joined, keys, order_col, value_col, "__inside")
+    total = F.when(F.col("__before").isNull(), F.col("__inside")).otherwise(
+        F.col("__before") + F.coalesce("__inside", F.lit(0)))
+    return inside.withColumn(out_col, total).drop("__range", "__before", "__inside")
+
+
 def by_day_at_level(base: DataFrame, level: Sequence[str], anchor_date: str,
                     date_col: str = "DateDT", count_col: str = "votesOnDate",
                     days_col: str = "DaysFromElection", to_date_col: str = "votesToDate") -> DataFrame:
@@ -37,7 +67,8 @@ def by_day_at_level(base: DataFrame, level: Sequence[str], anchor_date: str,
     agg = (base.groupBy(*level, date_col)
            .agg(F.sum(count_col).cast("long").alias(count_col))
            .withColumn(days_col, days_from(date_col, anchor_date)))
-    return running_total(agg, list(level), days_col, count_col, to_date_col)
+    total = running_total if level else running_total_by_range
+    return total(agg, list(level), days_col, count_col, to_date_col)
 
 
 def by_day_grouping_sets(base: DataFrame, levels: Mapping[str, Sequence[str]], anchor_date: str,

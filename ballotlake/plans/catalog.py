@@ -16,7 +16,7 @@ from . import sql_names as SN
 from . import sql_people as SP
 from . import standins as S
 from ..functions import text as T
-from ..functions.flags import code_map
+from ..functions.flags import code_map, yes_flag
 from ..functions.text import canonical_prefix, composite_id
 from ..operators import feeds as FD
 from ..operators import geometry as G
@@ -27,6 +27,7 @@ from ..operators.levels import by_day_at_level
 from ..operators.nest import compute_once, json_text
 from ..sources.feeds import FEED_A_FOLDERS, FEED_B_FOLDERS, feed_a_mode, path_columns
 from ..sources.fixed_width import parse_fixed_width, type_history_old
+from ..sources.rejects import count_records
 from .ballots import ballots_all_levels, cleanse_ballots, nested_by_day
 from .results import (candidate_totals, cleanse_results, county_totals, results_by_mode,
                       results_nested)
@@ -436,6 +437,23 @@ def q_xml_flatten(spark, d):
     return FD.flatten_xml_feed(doc)[0]
 
 
+@register("history_rows_and_rejects", SP.HISTORY_ROWS_AND_REJECTS)
+def q_history_rows_and_rejects(spark, d):
+    """Both outputs in one pass over the lines: ``rows_of`` and ``rejects_of``
+    side by side, told apart by ``kind``."""
+    parsed = P.history_new_records(S.history_new_damaged(spark, d))
+    row = F.col("reason").isNull()
+    return parsed.select(
+        F.when(row, "row").otherwise("reject").alias("kind"), F.when(row, F.col("r.Voter Registration Number")).alias("id"),
+        F.when(row, F.col("r.County Name")).alias("county"), F.when(row, F.col("r.Election Date")).alias("election"),
+        F.when(row, yes_flag("r.Absentee")).alias("absentee"), F.when(~row, F.col("value")).alias("record"), "reason")
+
+
+@register("history_record_counts", SP.HISTORY_RECORD_COUNTS)
+def q_history_record_counts(spark, d):
+    return count_records(P.history_new_records(S.history_new_damaged(spark, d)))
+
+
 def _features(spark, d):
     from ..sources.geojson import parse_features
     return parse_features(S.geojson_text(spark, d), "feature", S.FEATURE_PROPERTIES)

@@ -180,3 +180,28 @@ SELECT CAST(o_custkey AS INTEGER) AS id, 'COUNTY ' || substr(o_orderpriority, 1,
        substr(o_orderpriority, 1, 1) = '5' AS supplemental
 FROM orders
 """
+
+DAMAGED = """
+SELECT o_custkey, o_orderpriority, o_orderdate, CASE WHEN o_orderkey % 19 = 0 THEN '' ELSE value END AS value,
+       CASE WHEN o_orderkey % 19 = 0 THEN 'no text'
+            WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 THEN 'malformed csv'
+            WHEN o_orderkey % 17 = 0 THEN 'no voter id' END AS reason
+FROM (SELECT *, 'COUNTY ' || substr(o_orderpriority, 1, 1) || ',' ||
+             CASE WHEN o_orderkey % 11 = 0 THEN 'R' || o_custkey WHEN o_orderkey % 17 = 0 THEN ''
+                  ELSE CAST(o_custkey AS VARCHAR) END || ',' ||
+             CASE WHEN o_orderkey % 13 = 0 THEN strftime(CAST(o_orderdate AS DATE), '%Y.%m.%d')
+                  ELSE strftime(CAST(o_orderdate AS DATE), '%m/%d/%Y') END || ',' ||
+             CASE WHEN o_orderkey % 7 = 0 THEN 'GENERAL' ELSE 'GENERAL,,S1,Y,N,N' END AS value FROM orders) o
+"""
+
+HISTORY_ROWS_AND_REJECTS = f"""
+SELECT 'row' AS kind, CAST(o_custkey AS INTEGER) AS id, 'COUNTY ' || substr(o_orderpriority, 1, 1) AS county,
+       CAST(o_orderdate AS DATE) AS election, true AS absentee, CAST(NULL AS VARCHAR) AS record, CAST(NULL AS VARCHAR) AS reason
+FROM ({DAMAGED}) d WHERE reason IS NULL
+UNION ALL
+SELECT 'reject', NULL, NULL, NULL, NULL, value, reason FROM ({DAMAGED}) d WHERE reason IS NOT NULL
+"""
+
+HISTORY_RECORD_COUNTS = f"""
+SELECT coalesce(reason, 'accepted') AS reason, count(*) AS records FROM ({DAMAGED}) d GROUP BY 1
+"""

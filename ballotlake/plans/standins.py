@@ -510,3 +510,17 @@ def history_new_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.concat(F.lit("S"), code).alias("f"), yn(F.col("o_totalprice") < 100000).alias("g"),
                    yn(F.col("o_totalprice") > 400000).alias("h"), yn(code == "5").alias("i"))
     return o.select(F.to_csv(rec).alias("value"))
+
+
+def history_new_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``history_new_csv`` as it may arrive, damaged by order key: every 7th
+    line lacks its last fields, every 11th has letters in the id, every 13th
+    a date of another form, every 17th no id, every 19th is empty."""
+    o = table(spark, sf_dir, "orders")
+    code = F.substring("o_orderpriority", 1, 1)
+    bad = lambda n: F.pmod("o_orderkey", F.lit(n)) == 0
+    ident = F.when(bad(11), F.concat(F.lit("R"), F.col("o_custkey"))).when(bad(17), "").otherwise(F.col("o_custkey").cast("string"))
+    date = F.when(bad(13), F.date_format("o_orderdate", "yyyy.MM.dd")).otherwise(F.date_format("o_orderdate", "MM/dd/yyyy"))
+    line = F.concat_ws(",", F.concat(F.lit("COUNTY "), code), ident, date,
+                       F.when(bad(7), "GENERAL").otherwise("GENERAL,,S1,Y,N,N"))
+    return o.select(F.when(bad(19), "").otherwise(line).alias("value"))

@@ -1,5 +1,5 @@
 """Writers (K1-K6) and caching helpers (K8)."""
 
 from .writers import (  # noqa: F401
-    persisted, write_csv, write_json_lines, write_parquet, write_split_by,
+    persisted, write_csv, write_json_lines, refresh_parquet, write_parquet, write_split_by,
 )

@@ -79,3 +79,29 @@ def test_results_bruteforce(spark, rows):
         cell = exp[(race, county.upper(), mode)]
         cell[i] = (cell[i] or 0) + votes
     assert got == {k: tuple(v) for k, v in exp.items()}
+
+
+def test_running_total_by_range(spark):
+    """Two passes equal the one-window total, whatever the range width; peers,
+    nulls and negative order values included."""
+    import random
+    from ballotlake.operators.levels import running_total, running_total_by_range
+    rnd = random.Random(6)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, *range(-40, 40)]), rnd.choice([None, 1, 2, 5])) for _ in range(400)]
+    df = spark.createDataFrame(rows, "k string, o int, v int")
+    for keys in (["k"], []):
+        want = sorted(map(tuple, running_total(df, keys, "o", "v", "t").collect()), key=repr)
+        for width in (1, 7, 64, 1000):
+            got = running_total_by_range(df, keys, "o", "v", "t", width)
+            assert sorted(map(tuple, got.select("k", "o", "v", "t").collect()), key=repr) == want
+
+
+def test_state_total_moves_no_day_rows_to_one_task(spark):
+    """The only single-partition exchange is over the sums per range."""
+    from ballotlake.plans.catalog import QUERIES
+    plan = QUERIES["running_state"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    at = [i for i, x in enumerate(lines) if "SinglePartition" in x]
+    assert len(at) == 1
+    below = next(x for x in lines[at[0] + 1:] if "HashAggregate" in x or "Scan" in x)
+    assert "HashAggregate" in below and "__range" in below

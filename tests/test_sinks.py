@@ -43,3 +43,40 @@ def test_json_csv_split(spark, tmp_path):
     with persisted(df) as p:
         assert p.count() == 3 and p.is_cached
     assert not df.is_cached
+
+
+def test_refresh_replaces_only_its_elections(spark, tmp_path):
+    from ballotlake.plans.people import HISTORY_SCHEMA, refresh_history
+    out = str(tmp_path / "history")
+
+    def history(*rows):
+        return spark.createDataFrame([(i, "c", e, 1, None, p, None, True, False, False) for i, e, p in rows], HISTORY_SCHEMA)
+
+    a, b = dt.date(2020, 11, 3), dt.date(2022, 5, 24)
+    refresh_history(history((1, a, "D"), (2, a, "R")), out)
+    refresh_history(history((1, b, "D")), out)
+    once = sorted((r.id, r.election, r.party) for r in read_parquet(spark, out).collect())
+    refresh_history(history((1, b, "D")), out)                               # a rerun doubles nothing
+    assert sorted((r.id, r.election, r.party) for r in read_parquet(spark, out).collect()) == once
+    refresh_history(history((1, b, "NP"), (7, b, "R")), out)                  # a correction leaves the others
+    got = sorted((r.id, r.election, r.party) for r in read_parquet(spark, out).collect())
+    assert got == [(1, a, "D"), (1, b, "NP"), (2, a, "R"), (7, b, "R")]
+
+
+def test_refresh_refuses_drift_by_name(spark, tmp_path):
+    import pytest
+    from ballotlake.plans.people import HISTORY_SCHEMA, refresh_history
+    from ballotlake.sinks import refresh_parquet
+    out = str(tmp_path / "history")
+    empty = spark.createDataFrame([], HISTORY_SCHEMA)
+    with pytest.raises(ValueError, match="missing column party string; unexpected column Party string"):
+        refresh_history(empty.withColumnRenamed("party", "Party__").withColumnRenamed("Party__", "Party"), out)
+    with pytest.raises(ValueError, match="column id is bigint, not int"):
+        refresh_history(empty.withColumn("id", F.col("id").cast("long")), out)
+    # Without a declared contract the stored dataset is it.
+    df = spark.createDataFrame([(1, "x", "A")], "n int, s string, k string")
+    refresh_parquet(df, out + "2", ["k"])
+    refresh_parquet(df.select("k", "s", "n"), out + "2", ["k"])
+    with pytest.raises(ValueError, match="unexpected column t int"):
+        refresh_parquet(df.withColumn("t", F.lit(1)), out + "2", ["k"])
+    assert [tuple(r) for r in read_parquet(spark, out + "2").collect()] == [(1, "x", "A")]
