@@ -61,14 +61,19 @@ def flatten_xml_feed(doc: DataFrame, phrases: Sequence[str] = CONTEST_PHRASES,
          .withColumn("race", contest_name(F.col("c._text"))))
     no_choice = F.coalesce(F.size("c.Choice"), F.lit(-1)) <= 0
     no_under = F.coalesce(F.size("c.VoteType"), F.lit(-1)) <= 0
-    rej_contest = c.filter(no_choice | no_under).select(
-        "county", "race", F.lit(None).cast("string").alias("candidate"),
-        F.when(no_choice, "no choices").otherwise("no under/over votes").alias("reason"))
     good = c.filter(~(no_choice | no_under))
-    ch = good.select("county", "race", F.explode("c.Choice").alias("ch"))
-    no_vt = F.coalesce(F.size("ch.VoteType"), F.lit(-1)) <= 0
-    rej_choice = ch.filter(no_vt).select("county", "race", F.col("ch._text").alias("candidate"),
-                                         F.lit("no vote types").alias("reason"))
+    # One pass for the rejects as well: what is wrong with the contest, or else with each of its choices.
+    none = F.lit(None).cast("string")
+
+    def wrong(candidate: Column, reason: str) -> Column:
+        return F.struct(candidate.alias("candidate"), F.lit(reason).alias("reason"))
+
+    bad_choices = F.transform(F.filter("c.Choice", lambda x: F.coalesce(F.size(x["VoteType"]), F.lit(-1)) <= 0),
+                              lambda x: wrong(x["_text"], "no vote types"))
+    problems = (F.when(no_choice, F.array(wrong(none, "no choices"))).when(no_under, F.array(wrong(none, "no under/over votes")))
+                .otherwise(bad_choices))
+    rejects = (c.select("county", "race", F.explode_outer(problems).alias("p")).filter(F.col("p").isNotNull())
+               .select("county", "race", "p.*"))
     # One pass over the documents: every (candidate, mode, precinct list) of
     # the choices and of the under/over block goes into one array per
     # contest, exploded once (no union of two re-reads of the source).
@@ -84,7 +89,7 @@ def flatten_xml_feed(doc: DataFrame, phrases: Sequence[str] = CONTEST_PHRASES,
             .select("race", "county", F.col("p._name").alias("precinct"), "candidate", "party", "mode",
                     F.col("p._votes").cast("long").alias("votes"))
             .filter(F.col("votes") > 0))
-    return rows, rej_contest.unionByName(rej_choice)
+    return rows, rejects
 
 
 def flatten_feed_a(summary: DataFrame, modes: DataFrame, keys: Sequence[str] = ("county",),

@@ -469,7 +469,41 @@ def q_geojson_features(spark, d):
 @register("county_demographics", SG.COUNTY_DEMOGRAPHICS)
 def q_county_demographics(spark, d):
     from .geography import county_demographics
-    return county_demographics(_features(spark, d), counts=("REG20", "WMREG20"))
+    return county_demographics(_features(spark, d))
+
+
+@register("precinct_demographics", SG.PRECINCT_DEMOGRAPHICS)
+def q_precinct_demographics(spark, d):
+    from .geography import precinct_demographics
+    return precinct_demographics(_features(spark, d))
+
+
+@register("id_to_name", SG.ID_TO_NAME)
+def q_id_to_name(spark, d):
+    from .geography import id_to_name
+    return id_to_name(_features(spark, d))
+
+
+@register("xml_rejects", SF.XML_REJECTS)
+def q_xml_rejects(spark, d):
+    from ..sources.feeds import XML_SCHEMA
+    doc = S.xml_documents(spark, d).select(F.from_xml("xml", XML_SCHEMA).alias("d")).select("d.*")
+    return FD.flatten_xml_feed(doc)[1]
+
+
+@register("ballots_id_map", SB.BALLOTS_ID_MAP)
+def q_ballots_id_map(spark, d):
+    """C1's base with the optional id map (J1): unmapped precincts are null."""
+    return cleanse_ballots(S.ballots(spark, d), S.BALLOT_COLS, S.ballot_id_map(spark, d)).drop("_returned")
+
+
+@register("county_name_map", SN.COUNTY_NAME_MAP)
+def q_county_name_map(spark, d):
+    """The names of one county (P12), null names skipped (P11), scores printed."""
+    from .jobs import printed_scores
+    from .names import results_name_map
+    names = S.match_names(spark, d).select("county", F.when(~F.col("name").startswith("blue"), F.col("name")).alias("precinct"))
+    return printed_scores(results_name_map(names, S.match_labels(spark, d), county="promo")[0])
 
 
 @register("csv_ballots", SB.CSV_BALLOTS_COUNTY)

@@ -83,6 +83,11 @@ def run_elections(spark: SparkSession, config: Sequence[Mapping] | str, out_dir:
     return written
 
 
+def printed_scores(df: DataFrame) -> DataFrame:
+    """scores as text with two decimals."""
+    return df.withColumn("score", F.format_string("%.2f", F.col("score").cast("double")))
+
+
 def write_name_map(df: DataFrame, path: str) -> None:
     """K5 for the name map: scores printed with two decimals."""
-    write_csv(df.withColumn("score", F.format_string("%.2f", F.col("score").cast("double"))), path)
+    write_csv(printed_scores(df), path)

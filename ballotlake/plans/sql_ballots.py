@@ -142,3 +142,8 @@ GROUP BY upper(o_orderpriority), CAST(o_custkey AS VARCHAR),
 """
 
 CSV_BALLOTS_COUNTY = by_day(["county"]).replace(BALLOT_BASE, TEXT_BALLOT_BASE)
+
+BALLOTS_ID_MAP = f"""
+SELECT county, CASE WHEN CAST(precinct AS BIGINT) % 3 <> 0 THEN 'M' || precinct END AS precinct, "DateDT", "votesOnDate"
+FROM ({BALLOT_BASE}) b
+"""

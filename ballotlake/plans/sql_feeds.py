@@ -110,4 +110,15 @@ UNION ALL
 SELECT 'US Senate Special' AS race, c_mktsegment AS county, CAST(c_custkey AS VARCHAR) AS precinct,
        'Under/Over Votes' AS candidate, 'other' AS party, 'Absentee by Mail Votes' AS mode, CAST(1 AS BIGINT) AS votes
 FROM customer
+UNION ALL
+SELECT 'Governor' AS race, c_mktsegment AS county, CAST(c_custkey AS VARCHAR) AS precinct,
+       'Under/Over Votes' AS candidate, 'other' AS party, 'Absentee by Mail Votes' AS mode, CAST(1 AS BIGINT) AS votes
+FROM customer WHERE c_custkey % 10 = 2
+"""
+
+XML_REJECTS = """
+SELECT c_mktsegment AS county, 'Governor' AS race,
+       CASE WHEN c_custkey % 10 = 2 THEN CASE WHEN c_acctbal >= 5000 THEN 'Kemp' ELSE 'Ossoff' END END AS candidate,
+       CASE c_custkey % 10 WHEN 0 THEN 'no choices' WHEN 1 THEN 'no under/over votes' ELSE 'no vote types' END AS reason
+FROM customer WHERE c_custkey % 10 < 3
 """

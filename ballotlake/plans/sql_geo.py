@@ -1,6 +1,8 @@
 """Oracle SQL (DuckDB dialect) for the geometry stand-ins. Sums are folded
 left to right over the ring, the same order as the Spark expressions."""
 
+from .geography import REGISTRATION_COUNTS
+
 RINGS = """
 SELECT vec_id, label,
        list_transform(range(0, CAST(floor(len(embedding) / 2) AS BIGINT)),
@@ -142,10 +144,25 @@ SELECT CASE WHEN label <> 0 THEN upper('county' || CAST(label AS VARCHAR)) || '#
 FROM m
 """
 
-COUNTY_DEMOGRAPHICS = """
-SELECT upper('county' || CAST(label AS VARCHAR)) AS "CTYNAME",
-       CAST(sum(vec_id) AS BIGINT) AS "REG20",
-       CAST(sum(CASE WHEN label <> 1 THEN vec_id * 2 ELSE 0 END) AS BIGINT) AS "WMREG20",
-       upper('county' || CAST(label AS VARCHAR)) AS id
-FROM embeddings GROUP BY label
+_COUNTS = [(c, f"CASE WHEN label <> {i % 10} OR {i} = 0 THEN vec_id * {i + 1} END") for i, c in enumerate(REGISTRATION_COUNTS)]
+_COUNTY = "upper('county' || CAST(label AS VARCHAR))"
+_PRECINCT = "CASE WHEN label <> 0 THEN 'p' || CAST(vec_id AS VARCHAR) END"
+
+COUNTY_DEMOGRAPHICS = f"""
+SELECT {_COUNTY} AS "CTYNAME",
+       {", ".join(f'CAST(coalesce(sum({e}), 0) AS BIGINT) AS "{c}"' for c, e in _COUNTS)},
+       {_COUNTY} AS id
+FROM embeddings GROUP BY 1
+"""
+
+PRECINCT_DEMOGRAPHICS = f"""
+SELECT {_COUNTY} || coalesce('##' || upper({_PRECINCT}), '') AS id,
+       {", ".join(f'CAST({e} AS BIGINT) AS "{c}"' for c, e in _COUNTS)}
+FROM embeddings
 """
+
+ID_TO_NAME = f"""
+SELECT {_COUNTY} AS county, {_PRECINCT} AS precinct, 'precinct ' || CAST(vec_id AS VARCHAR) AS "precinctName"
+FROM embeddings
+"""
+

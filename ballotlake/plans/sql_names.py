@@ -77,3 +77,10 @@ MATCH_IDS = f"""
 SELECT county, id AS precinct, name AS "absenteePrecinct", score
 FROM ({fuzzy(ID_NAMES, ID_LABELS)}) f WHERE score > 80
 """
+
+_COUNTY_NAMES = "SELECT county, CASE WHEN name LIKE 'blue%' THEN NULL ELSE name END AS name FROM (" + NAMES + ") n0 WHERE county = 'PROMO'"
+COUNTY_NAME_MAP = f"""
+SELECT county, id AS precinct, label AS "mapPrecinctName", name AS "electionResultsPrecinctName",
+       printf('%.2f', CAST(score AS DOUBLE)) AS score, 'fuzzy' AS rule
+FROM ({fuzzy(f"SELECT DISTINCT * FROM ({_COUNTY_NAMES}) n1", LABELS)}) f
+"""

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .ballots import BallotColumns
+from .geography import REGISTRATION_COUNTS
 
 ELECTION_DATE = "1998-11-03"
 BALLOT_COLS = BallotColumns(county="County", precinct="County Precinct", status="Ballot Status",
@@ -69,6 +70,16 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def ballot_id_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Absentee precinct -> map id, for customers whose number 3 doesn't divide;
+    where 5 does, there are two entries (the smaller id counts)."""
+    o = table(spark, sf_dir, "orders").select(F.upper("o_orderpriority").alias("county"), F.col("o_custkey").alias("c")).distinct()
+    ids = F.when(F.pmod("c", F.lit(5)) == 0, F.array(F.lit("z"), F.lit("m"))).otherwise(F.array(F.lit("m")))
+    return (o.filter(F.pmod("c", F.lit(3)) != 0).withColumn("k", F.explode(ids))
+            .select("county", F.col("c").cast("string").alias("absenteePrecinct"),
+                    F.concat("k", F.col("c").cast("string")).alias("precinct")))
+
+
 def results_name_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return (c.filter(F.col("c_acctbal") >= 0)
@@ -400,7 +411,9 @@ def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     a "US Senate Special Election/..." contest with one candidate (Kemp
     for balances of 5,000 and more, Ossoff otherwise) whose election-day
     votes are hundreds of the balance (negative -> dropped) and one
-    under/over vote. Serialised
+    under/over vote. Customers 0 modulo 10 also have a contest without
+    choices, those 1 modulo 10 one without under/over votes, those 2 modulo 10
+    one whose choice has no vote types (all rejects). Serialised
     with ``to_xml`` (attributes from the ``_``-prefixed fields), so reading
     it back is a real XML parse."""
     c = table(spark, sf_dir, "customer")
@@ -411,29 +424,34 @@ def xml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     def precinct(v):
         return F.array(F.struct(pre.alias("_name"), v.alias("_votes")))
 
-    def contest(text, candidate):
+    def vote_type(name, v):
+        return F.array(F.struct(F.lit(name).alias("_name"), precinct(v).alias("Precinct")))
+
+    def contest(text, candidate, choices=F.lit(True), modes=F.lit(True), under=F.lit(True)):
         return F.struct(
             text.alias("_text"),
-            F.array(F.struct(candidate.alias("_text"), F.array(F.struct(
-                F.lit("Election Day Votes").alias("_name"), precinct(votes).alias("Precinct"))).alias("VoteType")))
-            .alias("Choice"),
-            F.array(F.struct(F.lit("Undervotes").alias("_name"), precinct(F.lit(1).cast("long")).alias("Precinct")))
-            .alias("VoteType"))
+            F.when(choices, F.array(F.struct(candidate.alias("_text"), F.when(modes, vote_type("Election Day Votes", votes))
+                                             .alias("VoteType")))).alias("Choice"),
+            F.when(under, vote_type("Undervotes", F.lit(1).cast("long"))).alias("VoteType"))
 
     senate = contest(F.concat(F.lit("US Senate Special Election/"), F.col("c_nationkey").cast("string")), cand)
-    doc = F.struct(F.col("c_mktsegment").alias("Region"), F.array(senate).alias("Contest"))
+    kind = F.pmod("c_custkey", F.lit(10))
+    broken = contest(F.lit("Governor"), cand, kind != 0, kind != 2, kind != 1)
+    contests = F.when(kind < 3, F.array(senate, broken)).otherwise(F.array(senate))
+    doc = F.struct(F.col("c_mktsegment").alias("Region"), contests.alias("Contest"))
     return c.select(F.to_xml(doc, {"rowTag": "ElectionResult"}).alias("xml"))
 
 
 FEATURE_PROPERTIES = ("ID string, CNTY string, CTYNAME string, PRECINCT_I string, PRECINCT_N string, "
-                      "REG20 long, WMREG20 long")
+                      + ", ".join(f"{c} long" for c in REGISTRATION_COUNTS))
 
 
 def geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GeoJSON feature text written with ``to_json`` from embeddings: one
     polygon feature per vector (its 32 (x, y) pairs as the ring), county
-    ``county<label>`` in lower case, no precinct id for label 0, and two
-    registration counts (the second missing for label 1)."""
+    ``county<label>`` in lower case, no precinct id for label 0, and all
+    registration counts: the i-th is i + 1 times the vector's number, missing
+    where the label is i modulo 10 (but the first, which is never missing)."""
     from ..operators.geometry import points_from_flat
     e = table(spark, sf_dir, "embeddings")
     ring = F.transform(points_from_flat("embedding"), lambda p: F.array(p.x, p.y))
@@ -442,8 +460,8 @@ def geojson_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("county"), F.col("label").cast("string")).alias("CTYNAME"),
         F.when(F.col("label") != 0, F.concat(F.lit("p"), F.col("vec_id").cast("string"))).alias("PRECINCT_I"),
         F.concat(F.lit("precinct "), F.col("vec_id").cast("string")).alias("PRECINCT_N"),
-        F.col("vec_id").alias("REG20"),
-        F.when(F.col("label") != 1, F.col("vec_id") * 2).alias("WMREG20"))
+        *[F.when((F.col("label") != i % 10) | F.lit(i == 0), F.col("vec_id") * (i + 1)).alias(c)
+          for i, c in enumerate(REGISTRATION_COUNTS)])
     feature = F.struct(F.lit("Feature").alias("type"), props.alias("properties"),
                        F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).alias("geometry"))
     return e.select(F.to_json(feature).alias("feature"))

@@ -71,6 +71,11 @@ EXCHANGE_BUDGET = {
     "csv_ballots": 3,
     "csv_profiles": 2,
     "csv_history_new": 0,
+    "precinct_demographics": 0,
+    "id_to_name": 0,
+    "xml_rejects": 0,
+    "ballots_id_map": 4,
+    "county_name_map": 13,
     "feed_a_report": 27,
     "feed_b_report": 8,
     "history_rows_and_rejects": 0,
