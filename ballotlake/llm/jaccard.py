@@ -182,11 +182,19 @@ def _pruned(maps: DataFrame, pairs: DataFrame, num: int, den: int) -> DataFrame:
             .where(F.col("d") * (num + den) <= (F.col("n1") + F.col("n2")) * (den - num)).drop("n1", "n2", "m1", "m2"))
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The pairs (u, v) that link. Only the sets of these documents are
-    formed and moved."""
+def _once(rows: DataFrame, again: DataFrame) -> DataFrame:
+    """``rows`` with equal rows of the ids in ``again`` (distinct, the ids that
+    occur more than once) taken once. Other rows are not shuffled for it;
+    equal rows meet after a map-side distinct."""
+    return rows.join(again, "id", "left_anti").unionByName(rows.join(again, "id", "left_semi").distinct())
+
+
+def _verified(docs: DataFrame, pairs: DataFrame, k: int, num: int, den: int, again: DataFrame) -> DataFrame:
+    """The distinct pairs (u, v) that link. Only the sets of these documents
+    are formed and moved; repeated rows (ids ``again``) have one set."""
     ids = pairs.select(F.col("u").alias("id")).unionByName(pairs.select(F.col("v").alias("id"))).distinct()
     sets = written(prefilter(docs, "id", ids).select("id", "text").mapInArrow(_whole(k), "id long, s binary"), "whole")
+    sets = _once(sets, again)
     a = sets.select(F.col("id").alias("u"), F.col("s").alias("sa"))
     b = sets.select(F.col("id").alias("v"), F.col("s").alias("sb"))
     return written(pairs.select("u", "v").join(a, "u").join(b, "v").select("u", "v", "sa", "sb")
@@ -221,14 +229,16 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     ids = node.select(F.col("node").alias("id"))
     rare = (docs.where("id is not null and text is not null")
             .mapInArrow(_prefixes(k, num, den, level), "id long, n long, tokens array<bigint>, map array<bigint>"))
-    rare = written(rare.join(ids, "id", "left_semi"), "prefixes")
+    again = written(facts.where("id is not null").groupBy("id").count().where("count > 1").select("id"), "repeated-ids")
+    # Of repeated rows one is in the lists; more would meet each other and all others in each list.
+    rare = _once(written(rare.join(ids, "id", "left_semi"), "prefixes"), again)
     maps = rare.select("id", "n", "map")
     post = rare.select("id", F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("p", "token"))
     # The short lists with more than one member.
     lists = post.groupBy("token").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last")
     live = written(post.join(lists, "token").drop("last"), "lists")
     star = live.where(F.col("id") != F.col("first")).groupBy(F.col("id").alias("u")).agg(F.min("first").alias("v"))
-    links = _verified(docs, written(_pruned(maps, star, num, den), "star-pairs"), k, num, den)
+    links = _verified(docs, written(_pruned(maps, star, num, den), "star-pairs"), k, num, den, again)
     comp = written(components(links), "star-components")
     named = live.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
@@ -244,12 +254,12 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # The likeliest pair of each two components first: a link settles all others of the two.
     best = found.groupBy(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).agg(
         F.min(F.struct("d", "u", "v")).alias("x")).select("x.u", "x.v")
-    links = links.unionByName(_verified(docs, written(best, "best-pairs"), k, num, den))
+    links = links.unionByName(_verified(docs, written(best, "best-pairs"), k, num, den, again))
     comp = written(components(links), "joined-components")
     side = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
     left = (found.join(side("u"), "u", "left").join(side("v"), "v", "left")
             .where(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v").join(best, ["u", "v"], "left_anti"))
-    links = links.unionByName(_verified(docs, written(left, "last-pairs"), k, num, den))
+    links = links.unionByName(_verified(docs, written(left, "last-pairs"), k, num, den, again))
     comp = components(links)
     named = (node.join(comp.withColumnRenamed("component", "c"), "node", "left")
              .select("s1", "s2", "n", "node", F.coalesce("c", "node").alias("component")))

@@ -368,3 +368,28 @@ def test_license_texts(spark):
     assert exp <= {(r["doc_id"], r["license"]) for r in got}
     assert {(r["doc_id"], r["license"]) for r in got} - exp == {(900, "MIT"), (901, "MIT"), (None, "MIT")}
     assert len({(r["doc_id"], r["block_no"]) for r in got}) == len(got)
+
+
+def test_repeated_rows_are_linear(spark, monkeypatch):
+    """2,000 copies of a row and a near copy of it: as many links and rows in
+    the lists as for one copy."""
+    base = some_texts(seed=21, n=6)[:6]
+    near = base[0].split()
+    near[3] = "changed"
+    seen = {}
+
+    def watch(df, name):
+        out = jaccard_written(df, name)
+        seen.setdefault(name, []).append(out.count())
+        return out
+
+    jaccard_written = jaccard.written
+    monkeypatch.setattr(jaccard, "written", watch)
+    counts = []
+    for copies in (1, 2000):
+        seen.clear()
+        rows = [(0, base[0])] * copies + [(1, " ".join(near))] + list(enumerate(base[1:], 2))
+        out = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), k=2, threshold=(1, 2))
+        assert out.count() == len(rows) and out.where("doc_id < 2 and component_id <> 0").count() == 0
+        counts.append((sum(seen["links"]), sum(seen["lists"]), sum(seen["star-pairs"]), sum(seen["mixed-lists"])))
+    assert counts[0] == counts[1] and counts[0][0] >= 1
