@@ -264,6 +264,28 @@ def test_mixing(spark):
     assert {r["doc_id"]: r["copies"] for r in mixed.collect()} == {r["doc_id"]: r["copies"] for r in got if r["copies"]}
 
 
+def test_mixing_equal_rows(spark):
+    """Rows without id and repeated rows are drawn one by one: a source's
+    taken words stay within one document of its target."""
+    words = " ".join(["w"] * 10)
+    for rows in ([(None, words, "a")] * 2000, [(None, f"{words[2:]} {i}", "a") for i in range(2000)],
+                 [(7, words, "a")] * 1000 + [(i, words, "a") for i in range(8, 1008)],
+                 [(None, words, None)] * 900 + [(None, None, "b")] * 300 + [(5, words, "b")] * 800):
+        once = docs(spark, rows)
+        got = mixing.mix_sources(once).collect()
+        assert len(got) == len(rows) and all(r["taken"] <= 2 * r["size"] for r in got)
+        taken = collections.Counter()
+        for r in got:
+            taken[r["source"]] += r["taken"]
+        assert all(abs(taken[r["source"]] - r["target"]) <= 10 for r in got)
+        key = lambda d: sorted(map(str, d))
+        assert key(mixing.mix_sources(once.repartition(5)).collect()) == key(got)
+        mixed = mixing.mixed_documents(once).collect()
+        assert sum(r["copies"] for r in mixed) == sum(r["copies"] for r in got)
+        assert collections.Counter((r["doc_id"], r["source"], r["copies"]) for r in mixed) == collections.Counter(
+            (r["doc_id"], r["source"], r["copies"]) for r in got if r["copies"])
+
+
 def test_licenses(spark):
     rows = [(1, "Some text. Licensed under the Apache License, Version 2.0. More text here.", "s"),
             (2, "a\nReleased under the MIT license\nAll Rights Reserved.", "s"),
