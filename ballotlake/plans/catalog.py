@@ -282,6 +282,21 @@ def q_thin_ring(spark, d):
             .select("vec_id", "pos", "p.x", "p.y"))
 
 
+@register("simplify_shared", SG.simplify_shared(S.BORDER_AREA))
+def q_simplify_shared(spark, d):
+    from ..operators.arcs import simplify_shared
+    thin = simplify_shared(S.border_strips(spark, d), S.BORDER_AREA)
+    point = F.transform(F.col("geometry")[0][0], lambda p: F.concat_ws(" ", p.x.cast("long"), p.y.cast("long")))
+    return thin.select("vec_id", F.size(point).alias("vertices"), F.array_join(point, ",").alias("ring"))
+
+
+@register("arc_table", SG.ARC_TABLE)
+def q_arc_table(spark, d):
+    from ..operators.arcs import arc_table
+    point = F.transform("arc", lambda p: F.concat_ws(" ", p.x.cast("long"), p.y.cast("long")))
+    return arc_table(S.border_strips(spark, d)).select(F.array_join(point, ",").alias("arc"), "n_rings")
+
+
 @register("measure_rollup", SG.MEASURE_ROLLUP)
 def q_measure_rollup(spark, d):
     c = S.table(spark, d, "customer").withColumnRenamed("c_mktsegment", "county")

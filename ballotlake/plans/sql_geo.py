@@ -166,3 +166,64 @@ SELECT {_COUNTY} AS county, {_PRECINCT} AS precinct, 'precinct ' || CAST(vec_id
 FROM embeddings
 """
 
+
+#: Strips between the border lines of neighbouring vectors, cut at vertices whose edges differ between rings. ``arcs``
+#: has one row per arc and ring; ``arc`` runs in the smaller direction.
+_BORDER_ARCS = """
+line AS (
+  SELECT vec_id, list_transform(range(0, len(embedding)), lambda j:
+           {'x': vec_id * 4000.0::DOUBLE + floor(CAST(embedding[j + 1] AS DOUBLE) * 1000),
+            'y': CAST(j * 1000 AS DOUBLE)}) AS pts
+  FROM embeddings WHERE len(embedding) >= 2),
+strip AS (
+  SELECT a.vec_id, list_concat(a.pts, list_reverse(b.pts)) AS ring
+  FROM line a JOIN line b ON b.vec_id = a.vec_id + 1),
+place AS (SELECT vec_id, ring, len(ring) AS n, unnest(range(1, len(ring) + 1)) AS pos FROM strip),
+edge AS (
+  SELECT vec_id, pos, ring[pos] AS p, ring[CASE WHEN pos = 1 THEN n ELSE pos - 1 END] AS a, ring[pos % n + 1] AS b
+  FROM place),
+ends AS (
+  SELECT p FROM (SELECT p, CASE WHEN a < b THEN a ELSE b END AS lo, CASE WHEN a < b THEN b ELSE a END AS hi FROM edge) e
+  GROUP BY p HAVING count(DISTINCT lo) > 1 OR count(DISTINCT hi) > 1),
+cut AS (SELECT vec_id, list(pos ORDER BY pos) AS cuts FROM edge JOIN ends USING (p) GROUP BY vec_id),
+walk AS (
+  SELECT vec_id, ring, coalesce(cuts, [list_position(ring, list_min(ring))]) AS cuts FROM strip LEFT JOIN cut USING (vec_id)),
+piece AS (
+  SELECT vec_id, k, list_concat(ring, ring, ring[1:1])[cuts[k]:(CASE WHEN k = len(cuts) THEN cuts[1] + len(ring)
+                                                                  ELSE cuts[k + 1] END)] AS arc
+  FROM (SELECT *, unnest(range(1, len(cuts) + 1)) AS k FROM walk) w),
+arcs AS (
+  SELECT vec_id, k, list_reverse(arc) < arc AS flipped,
+         CASE WHEN list_reverse(arc) < arc THEN list_reverse(arc) ELSE arc END AS arc
+  FROM piece)"""
+
+_POINTS = ("array_to_string(list_transform({}, lambda p: CAST(CAST(p.x AS BIGINT) AS VARCHAR) || ' ' || "
+           "CAST(CAST(p.y AS BIGINT) AS VARCHAR)), ',')")
+
+ARC_TABLE = f"""
+WITH {_BORDER_ARCS}
+SELECT {_POINTS.format('arc')} AS arc, count(*) AS n_rings FROM arcs GROUP BY arcs.arc
+"""
+
+
+def simplify_shared(area: float) -> str:
+    return f"""
+WITH RECURSIVE {_BORDER_ARCS},
+thin AS (
+  SELECT DISTINCT arc, arc AS a, 0 AS step FROM arcs
+  UNION ALL
+  SELECT arc, kept, step + 1 FROM (
+    SELECT arc, a, step, list_filter(a, lambda p, i: NOT coalesce(
+             m[i].area < {area} AND coalesce(m[i] < m[i - 1], true) AND coalesce(m[i] < m[i + 1], true), false)) AS kept
+    FROM (SELECT arc, a, step, list_transform(a, lambda p, i: CASE WHEN i > 1 AND i < len(a) THEN
+            {{'area': abs((a[i].x - a[i - 1].x) * (a[i + 1].y - a[i - 1].y)
+                          - (a[i + 1].x - a[i - 1].x) * (a[i].y - a[i - 1].y)) / 2, 'x': p.x, 'y': p.y}} END) AS m
+          FROM thin) t) r
+  WHERE len(kept) < len(a) AND len(kept) >= CASE WHEN a[1] = a[len(a)] THEN 4 ELSE 3 END),
+last AS (SELECT arc, arg_max(a, step) AS a FROM thin GROUP BY arc),
+back AS (
+  SELECT vec_id, k, CASE WHEN flipped THEN list_reverse(a) ELSE a END AS a FROM arcs JOIN last USING (arc)),
+whole AS (SELECT vec_id, flatten(list(a[1:len(a) - 1] ORDER BY k)) AS pts FROM back GROUP BY vec_id),
+closed AS (SELECT vec_id, list_concat(pts, pts[1:1]) AS pts FROM whole)
+SELECT vec_id, CAST(len(pts) AS INTEGER) AS vertices, {_POINTS.format('pts')} AS ring FROM closed
+"""

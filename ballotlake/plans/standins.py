@@ -267,6 +267,24 @@ def two_ring_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("vec_id", "label", F.array(F.array(outer, hole)).alias("geometry"))
 
 
+#: Effective area below which a vertex of a border goes (units of ``border_strips``).
+BORDER_AREA = 100000.0
+
+
+def border_strips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One strip per embedding that has a successor by vec_id, between the
+    border lines of both: value j of embedding i is the vertex
+    (4000 i + floor(1000 value), 1000 j). Neighbouring strips share a line."""
+    e = table(spark, sf_dir, "embeddings").where(F.size("embedding") >= 2)
+    line = F.transform("embedding", lambda v, j: F.struct(
+        (F.col("vec_id") * 4000.0 + F.floor(v.cast("double") * 1000)).cast("double").alias("x"),
+        (j * 1000.0).cast("double").alias("y")))
+    left = e.select("vec_id", line.alias("_left"))
+    right = left.select((F.col("vec_id") - 1).alias("vec_id"), F.col("_left").alias("_right"))
+    ring = F.concat("_left", F.reverse("_right"), F.slice("_left", 1, 1))
+    return left.join(right, "vec_id").select("vec_id", F.array(F.array(ring)).alias("geometry"))
+
+
 #: Counties of the feed documents; an order belongs to that of its customer's number.
 FEED_COUNTIES = ("Cobb", "Fulton", "Ben_Hill", "Jeff Davis")
 
