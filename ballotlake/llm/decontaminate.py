@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from .shared import row_key, written
 
 SPACE = r"[\x20\x09-\x0D]+"
-#: Anchors are broadcast up to this many (about 40 MB); beyond it the lookup
-#: is a shuffled join on shingle hashes.
-MAX_BROADCAST_ANCHORS = 200_000
+#: Anchors are broadcast up to this many bytes of their rows; beyond it the
+#: lookup is a shuffled join on shingle hashes.
+MAX_BROADCAST = 32 << 20
+#: Shingles that fit the 16-bit lanes of a fingerprint.
+MOST_SHINGLES = 65_535
 #: With similarity s >= 0.8 about 64 * acos(s') / pi = 9.6 of 64 bits differ
 #: (s' = 8/9 the cosine), standard deviation 2.9: 24 is five of them away.
 RADIUS = 24
@@ -100,28 +102,39 @@ def weighted_jaccard(a: Column, b: Column) -> Column:
     return bound(both, lambda m: m / (F.size(a) + F.size(b) - m))
 
 
-def _anchors(items: DataFrame, threshold: float) -> DataFrame:
-    """item_id, words_n, k, hashes, fp and one row per anchor: ``gram`` (its
-    words), ``first`` (its first word), ``before`` (hashes of the item's
-    anchors of smaller rank)."""
-    w = items.select("item_id", split_words(F.col("text")).alias("words")).where(F.array_join("words", "") != "")
+def _items(benchmark: DataFrame, threshold: float) -> DataFrame:
+    """One row per distinct item: ``item`` (hash of id and words), item_id,
+    words_n, k, hashes, fp, ``grams`` (the words of its anchors by rank) and
+    ``anchors`` (their hashes)."""
+    w = (benchmark.select("item_id", split_words(F.col("text")).alias("words")).where(F.array_join("words", "") != "")
+         .withColumn("item", F.xxhash64(F.col("item_id").isNull(), "item_id", "words")).dropDuplicates(["item"]))
     w = w.withColumn("k", F.least(F.lit(5), F.size("words")))
-    w = w.select("item_id", "k", F.size("words").alias("words_n"), "words",
+    w = w.select("item", "item_id", "k", F.size("words").alias("words_n"), "words",
                  shingles(F.col("words"), F.col("k")).alias("hashes"))
-    w = w.withColumn("fp", simhash(F.col("hashes")))
+    w = w.withColumn("fp", F.when(F.size("hashes") <= MOST_SHINGLES, simhash(F.col("hashes"))))
     need = F.size("hashes") - F.ceil(F.size("hashes") * threshold).cast("int") + 1
     by_length = F.transform(F.sequence(F.lit(1), F.size("hashes")), lambda i: F.struct(
         (-F.char_length(F.element_at("words", i))).alias("l"), i.alias("j")))
     picked = F.slice(F.sort_array(by_length), 1, need)
     grams = F.array_distinct(F.transform(picked, lambda s: F.slice("words", s["j"], F.col("k"))))
-    w = w.withColumn("grams", grams)
-    ranked = F.transform("grams", lambda g: F.xxhash64(F.array_join(g, " ")))
-    return (w.select("item_id", "k", "words_n", "hashes", "fp", ranked.alias("anchors"),
-                     F.posexplode_outer("grams").alias("rank", "gram"))
-            .withColumn("before", F.slice("anchors", 1, F.col("rank"))).drop("anchors", "rank")
+    w = w.withColumn("grams", grams).drop("words")
+    return w.withColumn("anchors", F.transform("grams", lambda g: F.xxhash64(F.array_join(g, " "))))
+
+
+def _anchors(items: DataFrame) -> DataFrame:
+    """One row per anchor, as long as its words: item, words_n, k, ``rank``,
+    ``gram`` (its words) and ``first`` (its first word)."""
+    return (items.select("item", "k", "words_n", F.posexplode_outer("grams").alias("rank", "gram"))
             .withColumn("first", F.element_at("gram", 1)))
 
 
+def _bytes(anchors: DataFrame) -> int:
+    """Size of all anchors as rows: words twice at most, 24 bytes for each
+    word and 96 for the rest of a row."""
+    size = 2 * F.octet_length(F.array_join("gram", " ")) + 24 * F.size("gram") + 96
+    return anchors.agg(F.sum(size.cast("long"))).first()[0] or 0
+
+
 def _hits_by_word(docs: DataFrame, anchors: DataFrame) -> DataFrame:
     """doc_id, words, position and anchor of every hit (anchors broadcast)."""
     at = docs.select("doc_id", "words", F.posexplode_outer("words").alias("p", "w"))
@@ -150,7 +163,7 @@ def _hits_by_hash(docs: DataFrame, anchors: DataFrame) -> DataFrame:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  item_id: str = "item_id", item_text: str = "text", threshold: float = 0.8, radius: int = RADIUS,
-                 max_broadcast: int = MAX_BROADCAST_ANCHORS) -> DataFrame:
+                 max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """``doc_id, item_id, similarity, start`` of every contaminated pair:
     the best window of the document and its first word (from 0).
 
@@ -161,27 +174,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     Null, empty or wordless texts and items: no pair. Repeated rows or ids:
     one pair per distinct (doc_id, item_id), null ids included. Ties: the
     first window. No rows on either side: no pair. Extra columns are ignored
-    and may have any name. Whole texts; no shuffle but the final grouping of
-    verified pairs while the anchors are few enough to broadcast (checked by
-    counting them), otherwise a join on shingle hashes.
+    and may have any name. Whole texts. Anchors (words only) are broadcast if
+    their rows have at most ``max_broadcast`` bytes, which is measured;
+    otherwise a join on shingle hashes finds the hits. Items join the hits
+    afterwards. Items of more than 65,535 shingles have no fingerprint: all
+    their windows around hits are verified exactly.
     """
-    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
-    anchors = written(_anchors(items, threshold), "anchors")
+    benchmark = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text"))
+    items = written(_items(benchmark, threshold), "items")
+    anchors = written(_anchors(items), "anchors")
     d = docs.select(F.col(doc_id).alias("doc_id"), split_words(F.col(text)).alias("words"))
-    hits = (_hits_by_word if anchors.count() <= max_broadcast else _hits_by_hash)(d, anchors)
+    hits = (_hits_by_word if _bytes(anchors) <= max_broadcast else _hits_by_hash)(d, anchors)
     # All windows that contain the hit start at p - (L - k) .. p; their words are written, so that
     # Catalyst cannot move the costly tests below the lookup.
     lo = F.greatest(F.lit(0), F.col("p") - (F.col("words_n") - F.col("k")))
     hits = written(hits.withColumn("lo", lo).select(
-        "doc_id", "item_id", "k", "hashes", "fp", "before", "lo", (F.col("p") - F.col("lo")).alias("last"),
+        "doc_id", "item", "rank", "lo", (F.col("p") - F.col("lo")).alias("last"),
         F.slice("words", F.col("lo") + 1, F.col("p") - F.col("lo") + F.col("words_n")).alias("around")), "hits")
+    hits = (hits.join(items.select("item", "item_id", "k", "hashes", "fp", "anchors"), "item")
+            .withColumn("before", F.slice("anchors", F.lit(1), F.col("rank"))))
 
     def tested(grams: Column) -> Column:
         return F.transform(F.sequence(F.lit(0), F.col("last")), lambda s: bound(
             F.slice(grams, s + 1, F.size("hashes")), lambda w: F.struct(
                 # A window that holds an anchor of smaller rank is tested at that one.
                 F.when(F.arrays_overlap("before", w), F.lit(0.0))
-                .when(near(simhash(w), F.col("fp"), radius), weighted_jaccard(w, F.col("hashes")))
+                .when(F.col("fp").isNull() | near(simhash(w), F.col("fp"), radius), weighted_jaccard(w, F.col("hashes")))
                 .otherwise(F.lit(0.0)).alias("similarity"), (-(F.col("lo") + s)).alias("at"))))
 
     best = bound(shingles(F.col("around"), F.col("k")), lambda g: F.array_max(tested(g)))

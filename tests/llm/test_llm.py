@@ -232,6 +232,23 @@ def test_decontaminate(spark):
     assert decontaminate.drop_contaminated(d, bench).count() == len(rows) - len({i for i, _ in exp})
 
 
+def test_decontaminate_rows(spark, monkeypatch):
+    """Anchors grow like their item, not like its square; items without a
+    fingerprint, of null or equal ids, are verified all the same."""
+    rnd = random.Random(8)
+    text = [" ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(3, 8))) for _ in range(n)) for n in (1500, 3000, 12, 14)]
+    bench = lambda rows: spark.createDataFrame(rows, "item_id long, text string")
+    size = [decontaminate._bytes(decontaminate._anchors(decontaminate._items(bench([(1, t)]), 0.8))) for t in text[:2]]
+    assert size[0] < size[1] < 2.2 * size[0]
+    items = bench([(None, text[2]), (4, text[2]), (4, text[3]), (4, text[3])])
+    d = docs(spark, [(1, f"so {text[2]} it", "s"), (None, text[3] + " x", "s"), (3, "nothing here", "s"), (1, f"so {text[2]} it", "s")])
+    found = lambda: sorted(map(str, decontaminate.contaminated(d, items).collect()))
+    first = found()
+    assert len(first) == 3
+    monkeypatch.setattr(decontaminate, "MOST_SHINGLES", 3)
+    assert found() == first
+
+
 def test_mixing(spark):
     rnd = random.Random(5)
     rows = [(i, " ".join("w" * rnd.randint(1, 3) for _ in range(rnd.randint(1, 30))), rnd.choice(["b", "a", "é", None]))
