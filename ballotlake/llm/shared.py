@@ -4,7 +4,9 @@ fixed-size membership filter.
 Intermediate results are Parquet tables under ``spark.checkpoint.dir``: they
 cut lineage, every executor can read them, and a lost executor costs only
 its own unfinished tasks. The folder is read from the session; a folder of
-our own is set only where none is configured (tests).
+our own is set only in local mode and where none is configured (tests). A
+cluster without one is refused: its executors could not read each other's
+local files.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the session (``spark.checkpoint.dir``)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = "file://" + tempfile.mkdtemp(prefix="ballotlake-shared-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")
