@@ -40,10 +40,11 @@ def open_ring(ring: Column) -> Column:
 def _steps(ring: Column) -> Column:
     """Each vertex of an open ring with its smaller and larger neighbour."""
     def step(r, n):
-        return F.transform(r, lambda p, i: let(
-            F.array_sort(F.array(F.get(r, F.pmod(i - 1, n)), F.get(r, F.pmod(i + 1, n)))),
-            lambda e: F.struct(p.alias("p"), F.get(e, F.lit(0)).alias("lo"), F.get(e, F.lit(1)).alias("hi"))))
-    return F.when(F.size(ring) >= 3, let(ring, lambda r: let(F.size(r), lambda n: step(r, n))))
+        def at(i):
+            before, after = F.get(r, F.when(i == 0, n - 1).otherwise(i - 1)), F.get(r, F.when(i == n - 1, 0).otherwise(i + 1))
+            return F.least(before, after).alias("lo"), F.greatest(before, after).alias("hi")
+        return F.transform(r, lambda p, i: F.struct(p.alias("p"), *at(i)))
+    return let(ring, lambda r: F.when(F.size(r) >= 3, let(F.size(r), lambda n: step(r, n))))
 
 
 def _geometry_key(geometry: str) -> list[Column]:
