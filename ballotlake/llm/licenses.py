@@ -3,9 +3,11 @@
 A statement is a sentence or line that reads like a template, or a passage
 of any lines that holds one: comment marks are taken off, wrapped lines are
 read as one sequence of words, and a template is aligned with the best part
-of the words around each license word. Every template whose length and
-words allow it is confirmed by the exact differences in wording; the
-reduction in size with the template as zstandard raw dictionary breaks ties.
+of the words around each license word. Every candidate is compressed with
+each template as zstandard raw dictionary, the templates are ranked by the
+reduction in size, and the exact differences in wording confirm them in that
+order. The ranking cuts nothing: only lengths and distinct words, which
+bound the differences from below, rule a template out.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from __future__ import annotations
 import difflib
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import zstandard
@@ -171,52 +173,60 @@ class _Scan:
             t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)) for _, t in templates]
         self.words = [_WORD.findall(t.lower()) for _, t in templates]
         self.sets = [set(w) for w in self.words]
+        self.long = [i for i, w in enumerate(self.words) if len(w) >= PASSAGE_WORDS]
         self.held: dict = {}
 
-    def gain(self, i: int, block: str) -> float:
+    def ranked(self, block: str, among: Iterable[int]) -> list[tuple[float, int]]:
+        """(reduction, template) of the block under each template, the
+        largest reduction first, ties by order."""
         raw = block.lower().encode()
-        return 1 - len(self.primed[i].compress(raw)) / len(self.plain.compress(raw))
+        alone = len(self.plain.compress(raw))
+        return sorted(((1 - len(self.primed[i].compress(raw)) / alone, i) for i in among), key=lambda r: (-r[0], r[1]))
 
     def block(self, block: str):
         """(share, -reduction, template, differences, words) of the template
-        the whole block reads most like."""
+        the whole block reads most like, of those that reduce it."""
         if block not in self.held:
             if len(self.held) >= HELD:
                 self.held.clear()
             w = _WORD.findall(block.lower())
-            n, own, found = len(w), set(w), []
-            for i, t in enumerate(self.words):
+            n, own, best = len(w), set(w), None
+            for gain, i in self.ranked(block, range(len(self.templates))):
+                if gain <= 0:
+                    break
+                t = self.words[i]
                 longer = max(n, len(t))
-                # Lengths or distinct words alone may rule the wording out.
-                if abs(n - len(t)) <= self.most * longer and len(self.sets[i] - own) <= self.most * longer:
-                    diff, longer = wording(self.templates[i][1], block)
-                    if diff <= self.most * longer and (gain := self.gain(i, block)) > 0:
-                        found.append((diff / longer, -gain, i, diff, longer))
-            self.held[block] = min(found) if found else None
+                # Lengths or distinct words alone may rule the wording out, or leave no way to read more alike.
+                least = max(abs(n - len(t)), len(self.sets[i] - own))
+                if least > self.most * longer or best and least / longer >= best[0]:
+                    continue
+                diff, longer = wording(self.templates[i][1], block)
+                if diff <= self.most * longer and (not best or diff / longer < best[0]):
+                    best = (diff / longer, -gain, i, diff, longer)
+            self.held[block] = best
         return self.held[block]
 
     def passages(self, words: list[str], cues: list[int]):
         """(template, differences, words, start, end) of templates inside
-        ``words`` near the words ``cues``."""
-        for i, t in enumerate(self.words):
-            if len(t) < PASSAGE_WORDS:
-                continue
-            reach = int(len(t) / (1 - self.most)) + 1
-            done = 0
-            for c in cues:
-                if c < done:
-                    continue
-                todo = [(max(done, c - reach), min(len(words), c + reach + 1))]
+        ``words`` near the words ``cues``: the words around a cue are
+        compressed with each template, then aligned in order of reduction."""
+        reach = {i: int(len(self.words[i]) / (1 - self.most)) + 1 for i in self.long}
+        done = dict.fromkeys(self.long, 0)
+        for c in cues:
+            among = [i for i in self.long if c >= done[i]]
+            far = max((reach[i] for i in among), default=0)
+            for _, i in self.ranked(" ".join(words[max(0, c - far):c + far + 1]), among):
+                todo = [(max(done[i], c - reach[i]), min(len(words), c + reach[i] + 1))]
                 while todo:
                     lo, hi = todo.pop()
                     part = words[lo:hi]
-                    if len(self.sets[i].difference(part)) > self.most * reach:
+                    if len(self.sets[i].difference(part)) > self.most * reach[i]:
                         continue
-                    found = aligned(t, part)
+                    found = aligned(self.words[i], part)
                     if found and found[0] <= self.most * found[1]:
                         diff, longer, x, y = found
                         yield i, diff, longer, lo + x, lo + y
-                        done = max(done, lo + y)
+                        done[i] = max(done[i], lo + y)
                         todo += [(lo, lo + x), (lo + y, hi)]
 
     def statements(self, text: str) -> list[tuple]:
@@ -234,7 +244,7 @@ class _Scan:
         cues = sorted({max(0, bisect_right(starts, m.start()) - 1) for m in _CUE.finditer(clean)}) if words else []
         for i, diff, longer, x, y in self.passages(words, cues):
             no = bisect_right(blocks, (starts[x], len(text))) - 1
-            gain = self.gain(i, " ".join(words[x:y]))
+            gain = self.ranked(" ".join(words[x:y]), [i])[0][0]
             if gain > 0:
                 found.append((longer - diff, -diff / longer, gain, -i, x, y, no, diff, longer))
         # Of statements that overlap the one with most words in common stays, and one per block.
@@ -265,8 +275,9 @@ def license_blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     every statement of a license, at most one row per block.
 
     A block is a sentence (cut at line ends too). A statement is a block
-    with a license word of whose words, against a template, at most
-    ``most_different`` differ (the least different template wins, ties by
+    with a license word of whose words, against a template that reduces its
+    compressed size, at most ``most_different`` differ (templates are
+    confirmed by falling reduction; the least different wins, ties by
     reduction, then by order), or a passage that a template of
     ``PASSAGE_WORDS`` words or more is aligned with in the same measure; it
     may run over many lines, start inside one and go on after it, and

@@ -409,6 +409,48 @@ def test_license_texts(spark):
     assert len({(r["doc_id"], r["block_no"]) for r in got}) == len(got)
 
 
+def test_license_ranking(monkeypatch):
+    """Every template's reduction is known before a wording is compared, and
+    wordings are confirmed by falling reduction; the choice is that of a
+    search through all templates."""
+    rnd = random.Random(3)
+    scan = licenses._Scan(licenses.TEMPLATES, 0.25)
+    blocks = []
+    for _, t in licenses.TEMPLATES:
+        w = t.split()
+        for edits in (0, 1, 3, len(w) // 4 + 1):
+            x = list(w)
+            for _ in range(edits):
+                x[rnd.randrange(len(x))] = rnd.choice(["license", "or", "copyright", *w])
+            blocks += [" ".join(x), " ".join([*x, "and", "so", "on"])]
+    blocks += ["copyright is a word", "license", "", "licensed " * 3000]
+    number = {t: i for i, (_, t) in enumerate(licenses.TEMPLATES)}
+    wording, compared = licenses.wording, []
+    monkeypatch.setattr(licenses, "wording", lambda t, b: (compared.append(number[t]), wording(t, b))[1])
+    hits = confirmed = 0
+    for block in blocks:
+        order = [i for gain, i in scan.ranked(block, range(len(number))) if gain > 0]
+        gains = dict((i, gain) for gain, i in scan.ranked(block, range(len(number))))
+        compared.clear()
+        got = scan.block(block)
+        assert [i for i in order if i in compared] == compared
+        confirmed += len(compared)
+        found = [(d / n, -gains[i], i, d, n) for i in order for d, n in [wording(licenses.TEMPLATES[i][1], block)]
+                 if d <= 0.25 * n]
+        assert got == (min(found) if found else None)
+        hits += got is not None
+    assert hits > len(number) and confirmed >= hits
+    # A passage's templates are aligned by falling reduction, too.
+    tried = []
+    aligned = licenses.aligned
+    monkeypatch.setattr(licenses, "aligned", lambda t, p: (tried.append(scan.words.index(t)), aligned(t, p))[1])
+    words = "x y z this program is free software ; you can".split() + scan.words[scan.long[-1]] + ["the", "end"]
+    cue = words.index("license") if "license" in words else 12
+    first = [i for _, i in scan.ranked(" ".join(words), scan.long)]
+    assert list(scan.passages(words, [cue])) and tried
+    assert [i for i in first if i in tried][0] == tried[0]
+
+
 def test_repeated_rows_are_linear(spark, monkeypatch):
     """2,000 copies of a row and a near copy of it: as many links and rows in
     the lists as for one copy."""
