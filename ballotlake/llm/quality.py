@@ -27,12 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import prefilter, written
+from .shared import prefilter, remove, written, written_once
 from .textgrams import mix, prefix_hashes, span_hashes, text_slices, words
 
 CLASSES = 128
@@ -43,6 +43,13 @@ RAW = 257
 BEGIN, END = np.uint64(0x2545F4914F6CDD1D), np.uint64(0x9E6C63D0876A9A47)
 #: Documents' n-grams are gathered over blocks of about this many bytes.
 BLOCK_BYTES = 8 << 20
+#: n-grams are moved in up to ROUNDS parts, of at least this many bytes of
+#: trusted text each; a bucket has about this many.
+ROUNDS, ROUND_BYTES, BUCKET_BYTES = 8, 2 << 20, 2 << 20
+#: Bytes of a word's hash that trigrams carry for the first and last word
+#: (the middle word has all 8).
+A_BYTES, C_BYTES = 6, 7
+A_MASK, C_MASK = np.uint64((1 << 48) - 1), np.uint64((1 << 56) - 1)
 
 
 def _trigrams(data: np.ndarray, off: np.ndarray, symbol: np.ndarray, base: int) -> np.ndarray:
@@ -99,13 +106,28 @@ def _spelling(model: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return nll[off[1:]] - nll[off[:-1]]
 
 
-def _sequences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte spans, eight bytes at a time."""
+    eight = np.ndarray(len(data) + 1, "<u8", np.r_[data, np.zeros(8, np.uint8)], strides=(1,))
+    size = end - start
+    h = mix(size.astype(np.uint64) + END)
+    some, at, left = slice(None), start, size
+    while len(at):
+        few = np.minimum(left, 8)
+        x = eight[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> ((8 - few) * 8).astype(np.uint64))
+        h[some] = mix((h[some] ^ x) * np.uint64(0x9E3779B97F4A7C15))
+        more = np.flatnonzero(left > 8)
+        some = more if isinstance(some, slice) else some[more]
+        at, left = at[more] + 8, left[more] - 8
+    return h
+
+
+def _sequences(data: np.ndarray, off: np.ndarray, ids: bool = True) -> tuple[np.ndarray, ...]:
     """All texts with a word as one sequence of word hashes, two marks
     before and one after each text: (hashes, text of each, position in the
-    text, start and end of the words, index of each text's hash)."""
+    text, start and end of the words, each text's hash if ``ids``)."""
     start, end, first = words(data, off)
-    h = prefix_hashes(data)
-    whole = span_hashes(h, off[:-1], off[1:])
+    whole = span_hashes(prefix_hashes(data), off[:-1], off[1:]) if ids else None
     n = np.diff(first)
     size = np.where(n > 0, n + 3, 0)
     to = np.r_[0, np.cumsum(size)]
@@ -114,7 +136,7 @@ def _sequences(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     x = np.full(to[-1], BEGIN, np.uint64)
     last = pos == size[text] - 1
     x[last] = END
-    x[(pos >= 2) & ~last] = span_hashes(h, start, end) if len(start) else np.zeros(0, np.uint64)
+    x[(pos >= 2) & ~last] = _word_hashes(data, start, end)
     return x, text, pos, start, end, whole
 
 
@@ -130,45 +152,8 @@ def _fold(whole: np.ndarray) -> np.ndarray:
     return (whole >> np.uint64(17)) & np.uint64(1)
 
 
-def _word_counts(model: dict):
-    """Trusted texts -> their word trigrams with fold, count and spelling
-    nll of the last word, added up per slice."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for _, _, data, off in text_slices(b, "text"):
-                x, text, pos, start, end, whole = _sequences(data, off)
-                at = np.flatnonzero(pos >= 2)
-                if not len(at):
-                    continue
-                spell = np.zeros(len(x))
-                spell[x == END] = _spelling(model, np.array([0x20], np.uint8), np.array([0, 1]))[0]
-                spell[(pos >= 2) & (x != END)] = _spelling(model, *_spelled(data, start, end))
-                f = _fold(whole)[text[at]]
-                _, i, n = np.unique(_key(3, x[at - 2], x[at - 1], x[at]) ^ f, return_index=True, return_counts=True)
-                at, f = at[i], f[i]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(f.astype(np.int32)), *(pa.array(x[at - j].view(np.int64)) for j in (2, 1, 0)),
-                     pa.array(n.astype(np.int64)), pa.array(spell[at].astype(np.float32))], ["f", "a", "b", "c", "n", "s"])
-
-    return run
-
-
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(order, f, a, b, c, v) -> (key, f, v); shorter n-grams end at ``c``."""
-    for batch in batches:
-        o, f, a, b, c, v = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(6))
-        g = [np.ascontiguousarray(x).view(np.uint64) for x in (a, b, c)]
-        key = np.zeros(len(o), np.uint64)
-        for order in (1, 2, 3):
-            m = o == order
-            key[m] = _key(order, *(x[m] for x in g[3 - order:]))
-        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(f), pa.array(v)], ["key", "f", "v"])
-
-
-def _discounts(counts: DataFrame, c: str) -> tuple[float, float, float]:
+def _discount(n: dict) -> tuple[float, float, float]:
     """D1, D2, D3+ from the numbers of n-grams seen 1 to 4 times."""
-    n = dict(counts.where(F.col(c) <= 4).groupBy(c).count().collect())
     n1, n2, n3, n4 = (n.get(i, 0) for i in (1, 2, 3, 4))
     if not (n1 and n2 and n3):
         return 0.5, 0.75, 0.9
@@ -177,6 +162,10 @@ def _discounts(counts: DataFrame, c: str) -> tuple[float, float, float]:
                                                             3 - 4 * y * n4 / n3), 1))
 
 
+def _discounts(counts: DataFrame, c: str) -> tuple[float, float, float]:
+    return _discount(dict(counts.where(F.col(c) <= 4).groupBy(c).count().collect()))
+
+
 def _discounted(c: Column, d: tuple[float, float, float]) -> Column:
     return F.when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
 
@@ -239,122 +228,481 @@ def train(trusted: DataFrame, text: str = "text") -> dict:
     return {"classes": cls, "nll": (-np.log(p3)).astype(np.float32).reshape(-1)}
 
 
-def train_words(trusted: DataFrame, model: dict, text: str = "text") -> tuple[DataFrame, list[float]]:
-    """The word models of both halves of ``trusted``: the corrections
-    ``v0, v1`` of each n-gram ``key``, and per half the nll of taking an unknown word.
+def _planes(x: np.ndarray, n: int) -> bytes:
+    """The lowest ``n`` bytes of unsigned integers, all first bytes first."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1)[:, :n].T).tobytes()
+
+
+def _packed(b: np.ndarray, a: np.ndarray, c: np.ndarray, *more: np.ndarray) -> bytes:
+    """Distinct trigrams, sorted by (b, a, c), with further 4-byte columns."""
+    hb = np.flatnonzero(np.r_[True, b[1:] != b[:-1]])
+    ha = np.flatnonzero(np.r_[True, (b[1:] != b[:-1]) | (a[1:] != a[:-1])])
+    size = lambda head: np.diff(np.r_[head, len(b)]).astype(np.uint32)
+    parts = [np.array([len(hb), len(ha), len(b), *map(len, more)], np.int64).tobytes(), b[hb].tobytes(), _planes(size(hb), 4),
+             _planes(a[ha], A_BYTES), _planes(size(ha), 4), _planes(c, C_BYTES), *(_planes(m, 4) for m in more)]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))
+
+
+def _unpacked(data: bytes, types: list) -> list[np.ndarray]:
+    """[b, a, c, further columns] of ``_packed``."""
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    n = raw[:8 * (3 + len(types))].view(np.int64)
+    at = 8 * len(n)
+
+    def take(count: int, width: int, kind) -> np.ndarray:
+        nonlocal at
+        out = np.zeros((count, np.dtype(kind).itemsize), np.uint8)
+        out[:, :width] = raw[at:at + count * width].reshape(width, count).T
+        at += count * width
+        return out.reshape(-1).view(kind)
+
+    b = raw[at:at + 8 * n[0]].copy().view(np.uint64)
+    at += 8 * int(n[0])
+    b = np.repeat(b, take(int(n[0]), 4, np.uint32))
+    a = take(int(n[1]), A_BYTES, np.uint64)
+    a = np.repeat(a, take(int(n[1]), 4, np.uint32))
+    return [b, a, take(int(n[2]), C_BYTES, np.uint64), *(take(int(m), 4, t) for m, t in zip(n[3:], types))]
+
+
+def _bucket(b: np.ndarray, buckets: int) -> np.ndarray:
+    """Buckets rise with the hash of the middle word."""
+    return ((b >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
+
+
+def _runs_of(x: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(value, start, end) of the runs of equal values."""
+    head = np.flatnonzero(np.r_[True, x[1:] != x[:-1]]) if len(x) else np.zeros(0, int)
+    for i, j in zip(head, np.r_[head[1:], len(x)]):
+        yield int(x[i]), int(i), int(j)
+
+
+def _picked(data: np.ndarray, off: np.ndarray, buckets: int, rounds: int, now: int, ids: bool = True):
+    """The trigrams (a, b, c) of texts whose middle word is in a bucket of
+    this round: (a, b, c, text, index of c, sequences)."""
+    seq = _sequences(data, off, ids)
+    x, text, pos = seq[:3]
+    at = np.flatnonzero(pos >= 2)
+    at = at[_bucket(x[at - 1], buckets) % np.uint64(rounds) == now]
+    return x[at - 2] & A_MASK, x[at - 1], x[at] & C_MASK, text[at], at, seq
+
+
+BLOBS = "bucket int, kind int, block long, data binary, whole array<bigint>"
+
+
+def _blobs(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int64())))],
+        ["bucket", "kind", "block", "data", "whole"])
+
+
+def _trusted_grams(buckets: int, rounds: int, now: int, model: dict | None = None):
+    """Trusted texts -> per slice, half and bucket the trigrams with their
+    counts (kind 1 and 2 for the halves), with ``model`` also the spelling
+    nll of the last word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, data, off in text_slices(batch, "text"):
+                a, b, c, text, at, (x, _, pos, start, end, whole) = _picked(data, off, buckets, rounds, now)
+                if not len(b):
+                    continue
+                spell = np.zeros(len(x), np.float32)
+                if model:
+                    spell[x == END] = _spelling(model, np.array([0x20], np.uint8), np.array([0, 1]))[0]
+                    spell[(pos >= 2) & (x != END)] = _spelling(model, *_spelled(data, start, end))
+                f = _fold(whole)[text]
+                o = np.lexsort((c, a, b, f))
+                a, b, c, f, at = a[o], b[o], c[o], f[o], at[o]
+                new = np.r_[True, (f[1:] != f[:-1]) | (b[1:] != b[:-1]) | (a[1:] != a[:-1]) | (c[1:] != c[:-1])]
+                head = np.flatnonzero(new)
+                n = np.diff(np.r_[head, len(b)]).astype(np.uint32)
+                a, b, c, f, s = a[head], b[head], c[head], f[head], spell[at[head]]
+                rows = []
+                for g, i, j in _runs_of(f * np.uint64(buckets) + _bucket(b, buckets)):
+                    more = [n[i:j], s[i:j]] if model else [n[i:j]]
+                    rows.append((g % buckets, 1 + g // buckets, 0, _packed(b[i:j], a[i:j], c[i:j], *more), None))
+                yield _blobs(rows)
+
+    return run
+
+
+def _text_grams(buckets: int, rounds: int, now: int):
+    """Texts -> per block of texts and bucket the distinct trigrams with the
+    texts they occur in (kind 3); copies of a text in a block count once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, seen, wholes, parts = 0, set(), [], []
+
+        def rows():
+            nonlocal held
+            block = uuid.uuid4().int >> 65
+            a, b, c, place = (np.concatenate(p) for p in zip(*parts))
+            whole = np.array(wholes, np.int64)
+            o = np.lexsort((place, c, a, b))
+            a, b, c, place = a[o], b[o], c[o], place[o]
+            out = []
+            for g, i, j in _runs_of(_bucket(b, buckets)):
+                x, y, z, p = a[i:j], b[i:j], c[i:j], place[i:j]
+                new = np.r_[True, (y[1:] != y[:-1]) | (x[1:] != x[:-1]) | (z[1:] != z[:-1])]
+                post = np.flatnonzero(new | np.r_[True, p[1:] != p[:-1]])
+                own, at = np.unique(p[post], return_inverse=True)
+                head = np.flatnonzero(new)
+                texts = np.diff(np.searchsorted(post, np.r_[head, len(p)])).astype(np.uint32)
+                out.append((g, 3, block, _packed(y[head], x[head], z[head], texts, at.astype(np.uint32),
+                                                 np.diff(np.r_[post, len(p)]).astype(np.uint32)), whole[own]))
+            held = 0
+            for keep in (seen, wholes, parts):
+                keep.clear()
+            for i in range(0, len(out), 16):
+                yield _blobs(out[i:i + 16])
+
+        for batch in batches:
+            for first, end, data, off in text_slices(batch, "text"):
+                a, b, c, text, _, _ = _picked(data, off, buckets, rounds, now, ids=False)
+                ids = np.full(len(off) - 1, -1)
+                for i, w in enumerate(batch.column("whole").slice(first, end - first).to_pylist()):
+                    if w not in seen:
+                        seen.add(w)
+                        ids[i] = len(wholes)
+                        wholes.append(w)
+                ok = ids[text] >= 0
+                parts.append((a[ok], b[ok], c[ok], ids[text][ok]))
+                held += len(data)
+                if held >= BLOCK_BYTES:
+                    yield from rows()
+        if parts:
+            yield from rows()
+
+    return run
+
+
+def _sum_by(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(distinct keys, index of one row each, row's key, sums of the values)."""
+    own, first, at = np.unique(key, return_index=True, return_inverse=True)
+    return own, first, at, *(np.bincount(at, weights=v, minlength=len(own)) for v in values)
+
+
+def _grams_of(blobs: list[bytes], types: list) -> list[np.ndarray]:
+    """All trigrams of the blobs, added up: [b, a, c, count, further columns]."""
+    cols = [np.concatenate(x) for x in zip(*(_unpacked(d, types) for d in blobs))]
+    _, first, _, n = _sum_by(_key(3, *(cols[i] for i in (1, 0, 2))), cols[3])
+    return [*(x[first] for x in cols[:3]), n, *(x[first] for x in cols[4:])]
+
+
+def _seen(n: np.ndarray) -> np.ndarray:
+    """How many are 1, 2, 3 and 4."""
+    return np.bincount(np.minimum(n, 5).astype(np.int64), minlength=6)[1:5]
+
+
+WORDS = "shard int, bucket int, data binary, stat array<bigint>"
+
+
+def _word_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.int64())))],
+        ["shard", "bucket", "data", "stat"])
+
+
+def _vocabulary(w: np.ndarray, n: list[np.ndarray], s: np.ndarray) -> bytes:
+    """Words sorted by hash with a count in each half and the spelling nll."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(
+        [np.array([len(w)], np.int64).tobytes(), _planes(w, C_BYTES), *(_planes(x.astype(np.uint64), 6) for x in n),
+         s.astype(np.float32).tobytes()]))
+
+
+def _vocabulary_of(data: bytes) -> list[np.ndarray]:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    n = int(raw[:8].view(np.int64)[0])
+    at, out = 8, []
+    for width in (C_BYTES, 6, 6):
+        x = np.zeros((n, 8), np.uint8)
+        x[:, :width] = raw[at:at + n * width].reshape(width, n).T
+        out.append(x.reshape(-1).view(np.uint64))
+        at += n * width
+    return [*out, raw[at:].copy().view(np.float32)]
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, dict[int, list]]]:
+    """(bucket, blobs by kind) of sorted rows."""
+    now, held = None, {}
+    for batch in batches:
+        for bucket, kind, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "kind", "data"))):
+            if bucket != now and held:
+                yield now, held
+                held = {}
+            now = bucket
+            held.setdefault(kind, []).append(data)
+    if held:
+        yield now, held
+
+
+def _continuations(buckets: int):
+    """A bucket's trusted trigrams -> how many trigrams and continuation
+    counts are 1 to 4, and per shard of words: how many of the bucket's words
+    each follows, also (count 0) the bucket's own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bucket, blobs in _by_bucket(batches):
+            seen3, seen2, words, counts, spells = np.zeros(4, int), np.zeros(4, int), [], [], []
+            for f in (0, 1):
+                if f + 1 not in blobs:
+                    continue
+                b, _, c, n, s = _grams_of(blobs[f + 1], [np.uint32, np.float32])
+                _, first, _, n2 = _sum_by(_key(2, b, c), np.ones(len(b)))
+                seen3, seen2 = seen3 + _seen(n), seen2 + _seen(n2)
+                w = np.unique(b) & C_MASK
+                words += [c[first], w]
+                counts += [np.full((len(first), 2), [1 - f, f]), np.zeros((len(w), 2), int)]
+                spells += [s[first], np.full(len(w), np.inf, np.float32)]
+            w, n, s = map(np.concatenate, (words, counts, spells))
+            own, _, at, n0, n1 = _sum_by(w, n[:, 0], n[:, 1])
+            least = np.full(len(own), np.inf, np.float32)
+            np.minimum.at(least, at, s)
+            shard = (own % np.uint64(buckets)).astype(np.int64)
+            o = np.argsort(shard, kind="stable")
+            rows = [(-1, bucket, None, [*seen3.tolist(), *seen2.tolist()])]
+            rows += [(g, bucket, _vocabulary(own[o[i:j]], [n0[o[i:j]], n1[o[i:j]]], least[o[i:j]]), None)
+                     for g, i, j in _runs_of(shard[o])]
+            yield _word_rows(rows)
+
+    return run
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A shard's words from all buckets -> each bucket's words with the sums
+    of all buckets; and, bucket -1, the sums that the discounts need."""
+
+    def rows(held: list[tuple]):
+        parts = [_vocabulary_of(d) for _, d in held]
+        w, n0, n1, s = (np.concatenate(x) for x in zip(*parts))
+        own, _, at, n0, n1 = _sum_by(w, n0, n1)
+        least = np.full(len(own), np.inf, np.float32)
+        np.minimum.at(least, at, s)
+        stat = []
+        for n in (n0, n1):
+            end = n[own == END & C_MASK].sum()
+            stat += [n.sum(), (n == 1).sum(), (n == 2).sum(), (n > 2).sum(), (n == 3).sum(), (n == 4).sum(), end]
+        out = [(0, -1, None, [int(x) for x in stat])]
+        for (bucket, _), p in zip(held, parts):
+            i = np.searchsorted(own, p[0])
+            out.append((0, bucket, _vocabulary(p[0], [n0[i], n1[i]], least[i]), None))
+        yield _word_rows(out)
+
+    now, held = None, []
+    for batch in batches:
+        for shard, bucket, data in zip(*(batch.column(c).to_pylist() for c in ("shard", "bucket", "data"))):
+            if shard != now and held:
+                yield from rows(held)
+                held = []
+            now = shard
+            held.append((bucket, data))
+    if held:
+        yield from rows(held)
+
+
+def _summed(stats: DataFrame, size: int) -> list[int]:
+    rows = stats.where("stat is not null").select(F.posexplode("stat").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x"))
+    got = {r["i"]: r["x"] for r in rows.collect()}
+    return [got.get(i, 0) for i in range(size)]
+
+
+def train_words(trusted: DataFrame, model: dict, text: str = "text") -> tuple[dict, list[float]]:
+    """The word models of both halves of ``trusted``, and per half the nll of
+    taking an unknown word.
+
+    A model is what its tables need that no bucket of middle words has by
+    itself: the discounts of the three orders, and for each bucket its words
+    with their continuation counts (a table). The tables of a bucket are
+    built from ``trusted`` when texts are scored, some buckets at a time, so
+    they are never on disk as a whole; see ``word_scores``.
+    """
+    trusted = trusted.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
+    size = trusted.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rounds = max(1, min(ROUNDS, -(-size // ROUND_BYTES)))
+    buckets = max(8 * rounds, size // BUCKET_BYTES)
+    passes = -(-rounds // 4)
+    parts = []
+    for i in range(passes):
+        grams = trusted.mapInArrow(_trusted_grams(buckets, passes, i, model), BLOBS)
+        parts.append(written_once(grams.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+            _continuations(buckets), WORDS), "lm-follow"))
+    follow = parts[0]
+    for p in parts[1:]:
+        follow = follow.unionByName(p)
+    stat = _summed(follow, 8)
+    d3, d2 = (_discount(dict(enumerate(x, 1))) for x in (stat[:4], stat[4:]))
+    words = written_once(follow.where("shard >= 0").repartition("shard").sortWithinPartitions("shard").mapInArrow(
+        _totals, WORDS), "lm-words")
+    for p in parts:
+        remove(p)
+    stat = _summed(words, 14)
+    d1 = _discount({1: stat[1] + stat[8], 2: stat[2] + stat[9], 3: stat[4] + stat[11], 4: stat[5] + stat[12]})
+    half, unknown = [], []
+    spell = float(np.float32(_spelling(model, np.array([0x20], np.uint8), np.array([0, 1]))[0]))
+    for f in (0, 1):
+        total, one, two, more, _, _, end = stat[7 * f:7 * f + 7]
+        gamma = (one * d1[0] + two * d1[1] + more * d1[2]) / total if total else 1.0
+        half.append({"total": total, "gamma": gamma})
+        unknown.append(-float(np.log(gamma)))
+        half[f]["end"] = float(np.log(gamma) - spell - np.log(_first(np.array([end]), spell, d1, half[f])[0])) if end else 0.0
+    return {"trusted": trusted, "rounds": rounds, "buckets": buckets, "d": (d1, d2, d3), "half": half,
+            "words": words.where("bucket >= 0").select("bucket", "data")}, unknown
+
+
+def _cut_of(n: np.ndarray, d: tuple[float, float, float]) -> np.ndarray:
+    return np.minimum(np.array(d)[np.clip(n, 1, 3).astype(np.int64) - 1], n)
+
+
+def _first(n: np.ndarray, spell, d: tuple[float, float, float], half: dict) -> np.ndarray:
+    """Unigram probabilities of words with these continuation counts."""
+    return (n - _cut_of(n, d)) / max(half["total"], 1) + half["gamma"] * np.exp(-np.asarray(spell, float))
+
+
+def _tables(blobs: dict[int, list], words: dict) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The corrections that a bucket's trigrams, their first two words, their
+    last two and their middle word add to a text's nll: (sorted keys, values
+    in both halves) each.
 
     In the sum over a text's n-grams each one has two parts, as the words
     predicted (-log p less what the shorter n-gram gives) and as the context
     of the next word (-log of the mass left to shorter n-grams).
     """
-    grams = trusted.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).mapInArrow(
-        _word_counts(model), "f int, a long, b long, c long, n long, s float")
-    tri = written(grams.groupBy("f", "a", "b", "c").agg(F.sum("n").alias("n"), F.min("s").alias("s")), "lm-words3")
-    bi = written(tri.groupBy("f", "b", "c").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("s")), "lm-words2")
-    uni = bi.groupBy("f", "c").agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("s"))
-    p1 = _order(uni, ["f"], "n").select("f", "c", "gamma", (F.col("alpha") + F.col("gamma") * F.exp(-F.col("s"))).alias("p1"),
-                                        "s")
-    p1 = written(p1, "lm-p1")
-    unknown = {r["f"]: -float(np.log(r["g"])) for r in p1.groupBy("f").agg(F.max("gamma").alias("g")).collect()}
-    p2 = _order(bi.drop("s"), ["f", "b"], "n").join(p1.select("f", "c", "p1"), ["f", "c"])
-    p2 = written(p2.select("f", "b", "c", "gamma", "p1", (F.col("alpha") + F.col("gamma") * F.col("p1")).alias("p2")), "lm-p2")
-    p3 = _order(tri.drop("s"), ["f", "a", "b"], "n").join(p2.select("f", "b", "c", "p2"), ["f", "b", "c"])
-    p3 = written(p3.select("f", "a", "b", "c", "gamma", "p2", (F.col("alpha") + F.col("gamma") * F.col("p2")).alias("p3")),
-                 "lm-p3")
-
-    def rows(df: DataFrame, order: int, *gram, v: Column) -> DataFrame:
-        gram = [F.lit(0).cast("long")] * (3 - order) + [F.col(g) for g in gram]
-        return df.select(F.lit(order).alias("o"), "f", *(g.alias(n) for g, n in zip(gram, "abc")), v.alias("v"))
-
-    all_rows = [rows(p1, 1, "c", v=F.log("gamma") - F.col("s") - F.log("p1")),
-                rows(p2, 2, "b", "c", v=F.log(F.col("gamma") * F.col("p1") / F.col("p2"))),
-                rows(p3, 3, "a", "b", "c", v=F.log(F.col("gamma") * F.col("p2") / F.col("p3"))),
-                rows(p2.groupBy("f", "b").agg(F.max("gamma").alias("g")), 1, "b", v=-F.log("g")),
-                rows(p3.groupBy("f", "a", "b").agg(F.max("gamma").alias("g")), 2, "a", "b", v=-F.log("g"))]
-    table = all_rows[0]
-    for r in all_rows[1:]:
-        table = table.unionByName(r)
-    table = table.mapInArrow(_keys, "key long, f int, v double").groupBy("key").agg(
-        *[F.sum(F.when(F.col("f") == f, F.col("v")).otherwise(0.0)).alias(f"v{f}") for f in (0, 1)])
-    return written(table, "lm-table"), [unknown.get(f, 0.0) for f in (0, 1)]
-
-
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts -> per block its distinct n-grams with the texts they occur in
-    (place in the block << 32 | count), and, key null, the texts' hashes."""
-    names = ["block", "key", "post"]
-
-    def rows(keys: list, texts: list, wholes: list):
-        block = uuid.uuid4().int >> 65
-        key, text, whole = np.concatenate(keys), np.concatenate(texts), np.concatenate(wholes)
-        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([None], pa.int64()), pa.array(
-            [whole.view(np.int64)], pa.list_(pa.int64()))], names)
-        if not len(key):
-            return
-        by = np.lexsort((text, key))
-        key, text = key[by], text[by]
-        new = np.r_[True, (key[1:] != key[:-1]) | (text[1:] != text[:-1])]
-        at = np.flatnonzero(new)
-        post = (text[at] << 32) | np.diff(np.r_[at, len(key)])
-        key = key[at]
-        head = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        for i in range(0, len(head), 1 << 16):
-            h = head[i:i + (1 << 16)]
-            stop = head[i + (1 << 16)] if i + (1 << 16) < len(head) else len(key)
-            lists = pa.ListArray.from_arrays(pa.array((np.r_[h, stop] - h[0]).astype(np.int32)), pa.array(post[h[0]:stop]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), block)), pa.array(key[h].view(np.int64)), lists],
-                                             names)
-
-    keys, texts, wholes, held, n = [], [], [], 0, 0
-    for b in batches:
-        for _, _, data, off in text_slices(b, "text"):
-            x, text, pos, _, _, whole = _sequences(data, off)
-            for order in (1, 2, 3):
-                # The marks before a text count as contexts only: one word of them, or both.
-                at = np.flatnonzero(pos >= (1, 1, 2)[order - 1])
-                keys.append(_key(order, *(x[at - j] for j in range(order - 1, -1, -1))))
-                texts.append(text[at] + n)
-            wholes.append(whole)
-            held, n = held + len(data), n + len(whole)
-            if held >= BLOCK_BYTES:
-                yield from rows(keys, texts, wholes)
-                keys, texts, wholes, held, n = [], [], [], 0, 0
-    if wholes:
-        yield from rows(keys, texts, wholes)
-
-
-def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, v0, v1, post) -> (block, place, sums of count * v)."""
-    for b in batches:
-        block = b.column("block").to_numpy()
-        size = pa.compute.list_value_length(b.column("post")).to_numpy()
-        post = b.column("post").flatten().to_numpy()
-        own, block = np.unique(block, return_inverse=True)
-        code, at = np.unique((np.repeat(block, size) << 32) | (post >> 32), return_inverse=True)
-        total = [np.bincount(at, weights=np.repeat(b.column(v).to_numpy(), size) * (post & 0xFFFFFFFF), minlength=len(code))
-                 for v in ("v0", "v1")]
-        yield pa.RecordBatch.from_arrays([pa.array(own[code >> 32]), pa.array(code & 0xFFFFFFFF), *map(pa.array, total)],
-                                         ["block", "place", "v0", "v1"])
-
-
-def word_scores(docs: DataFrame, table: DataFrame, text: str = "text") -> DataFrame:
+    d1, d2, d3 = words["d"]
+    vocab = [np.concatenate(x) for x in zip(*map(_vocabulary_of, blobs.get(0, [])))]
+    if vocab:
+        o = np.argsort(vocab[0])
+        vocab = [x[o] for x in vocab]
+    found: list[list] = [[], [], [], []]
+    for f, half in enumerate(words["half"]):
+        if f + 1 not in blobs:
+            continue
+        b, a, c, n = _grams_of(blobs[f + 1], [np.uint32])
+        ab, _, at_ab, t3, m3 = _sum_by(_key(2, a, b), n, _cut_of(n, d3))
+        bc, first, at_bc, n2 = _sum_by(_key(4, b, c), np.ones(len(b)))
+        cut2 = _cut_of(n2, d2)
+        own, _, at_b, t2, m2 = _sum_by(b[first], n2, cut2)
+        at = np.searchsorted(vocab[0], c[first])
+        p1 = _first(vocab[1 + f][at].astype(float), vocab[3][at], d1, half)
+        g2, g3 = m2 / t2, m3 / t3
+        p2 = (n2 - cut2) / t2[at_b] + g2[at_b] * p1
+        p3 = (n - _cut_of(n, d3)) / t3[at_ab] + g3[at_ab] * p2[at_bc]
+        v1 = -np.log(g2)
+        at = np.minimum(np.searchsorted(vocab[0], own & C_MASK), len(vocab[0]) - 1)
+        nf = np.where(vocab[0][at] == own & C_MASK, vocab[1 + f][at].astype(float), 0.0)
+        known = (nf > 0) & (own != BEGIN)
+        s = vocab[3][at][known].astype(float)
+        v1[known] += np.log(half["gamma"]) - s - np.log(_first(nf[known], s, d1, half))
+        for t, (key, v) in enumerate([(_key(3, a, b, c), np.log(g3[at_ab] * p2[at_bc] / p3)), (ab, -np.log(g3)),
+                                      (bc, np.log(g2[at_b] * p1 / p2)), (own, v1)]):
+            found[t].append((f, key, v))
+    out = []
+    for t in found:
+        keys = np.unique(np.concatenate([k for _, k, _ in t])) if t else np.zeros(0, np.uint64)
+        values = np.zeros((len(keys), 2))
+        for f, k, v in t:
+            values[np.searchsorted(keys, k), f] = v
+        out.append((keys, values))
+    return out
+
+
+def _at(table: tuple[np.ndarray, np.ndarray], key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(values, which are known) of the keys."""
+    keys, values = table
+    if not len(keys):
+        return np.zeros((len(key), 2)), np.zeros(len(key), bool)
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    hit = keys[at] == key
+    return np.where(hit[:, None], values[at], 0.0), hit
+
+
+def _corrections(tables: list, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Both halves' sums of the corrections of each trigram, sorted by (b, a,
+    c). A trigram is known only where all of its parts are."""
+    new_b = np.r_[True, b[1:] != b[:-1]]
+    new_a = new_b | np.r_[True, a[1:] != a[:-1]]
+    hb, ha = np.flatnonzero(new_b), np.flatnonzero(new_a)
+    of_b, of_a = np.cumsum(new_b) - 1, np.cumsum(new_a) - 1
+    v_b, known_b = _at(tables[3], b[hb])
+    v_a, known_a = np.zeros((len(ha), 2)), np.zeros(len(ha), bool)
+    i = np.flatnonzero(known_b[of_b[ha]])
+    v_a[i], known_a[i] = _at(tables[1], _key(2, a[ha[i]], b[ha[i]]))
+    v = v_b[of_b] + v_a[of_a]
+    i = np.flatnonzero(known_b[of_b])
+    more, known = _at(tables[2], _key(4, b[i], c[i]))
+    v[i] += more
+    i = i[known & known_a[of_a[i]]]
+    v[i] += _at(tables[0], _key(3, a[i], b[i], c[i]))[0]
+    return v
+
+
+def _scores(words: dict):
+    """A bucket's words, trusted trigrams and texts' trigrams, in this order
+    -> (block, whole, v0, v1), the corrections of the bucket per text."""
+    fixed = {k: words[k] for k in ("d", "half")}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, blobs, tables = None, {}, None
+        for batch in batches:
+            for i, (bucket, kind, block, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in
+                                                                  ("bucket", "kind", "block", "data")))):
+                if bucket != now:
+                    now, blobs, tables = bucket, {}, None
+                if kind < 3:
+                    blobs.setdefault(kind, []).append(data)
+                    continue
+                if tables is None:
+                    tables, blobs = _tables(blobs, fixed), {}
+                b, a, c, texts, place, n = _unpacked(data, [np.uint32] * 3)
+                v = _corrections(tables, a, b, c)
+                whole = batch.column("whole")[i].values
+                gram = np.repeat(np.arange(len(b)), texts)
+                total = [np.bincount(place, weights=v[gram, f] * n, minlength=len(whole)) for f in (0, 1)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(whole), block)), whole, *map(pa.array, total)],
+                                                 ["block", "whole", "v0", "v1"])
+
+    return run
+
+
+def word_scores(docs: DataFrame, words: dict, text: str = "text") -> DataFrame:
     """``whole, v0, v1``: the corrections of all n-grams of each distinct text
-    (by its hash) that the tables know."""
-    grams = written(docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"))
-                    .mapInArrow(_gather, "block long, key long, post array<bigint>"), "lm-grams")
-    known = grams.where("key is not null").join(table, "key").select("block", "v0", "v1", "post")
-    sums = known.mapInArrow(_add, "block long, place long, v0 double, v1 double").groupBy("block", "place").agg(
-        F.sum("v0").alias("v0"), F.sum("v1").alias("v1"))
-    ids = grams.where("key is null").select("block", F.posexplode("post").alias("place", "whole"))
-    # Copies of a text have the same sum.
-    return written(ids.join(sums, ["block", "place"]).groupBy("whole").agg(
-        F.max("v0").alias("v0"), F.max("v1").alias("v1")), "lm-scores")
-
-
-def score(docs: DataFrame, model: dict, table: DataFrame, unknown: list[float], text: str = "text") -> DataFrame:
+    (by its hash).
+
+    All that a trigram needs is known where its middle word is: the counts
+    of the trigram, of its first two words and of its last two. Trusted and
+    scored texts send each trigram once to the bucket of that word. This is
+    done in rounds of buckets, each with a part of all n-grams; only
+    sums per text outlast a round. Whole texts are read in every round.
+    """
+    docs = docs.where(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(text).alias("whole"))
+    rounds, buckets = words["rounds"], words["buckets"]
+    empty = F.lit(None).cast("array<bigint>").alias("whole")
+    sums = []
+    for i in range(rounds):
+        rows = (words["words"].where(F.col("bucket") % rounds == i)
+                .select("bucket", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("block"), "data", empty)
+                .unionByName(words["trusted"].mapInArrow(_trusted_grams(buckets, rounds, i), BLOBS))
+                .unionByName(docs.mapInArrow(_text_grams(buckets, rounds, i), BLOBS)))
+        part = rows.repartition("bucket").sortWithinPartitions("bucket", "kind").mapInArrow(
+            _scores(words), "block long, whole long, v0 double, v1 double")
+        # Copies of a text have the same sum.
+        sums.append(written_once(part.groupBy("block", "whole").agg(F.sum("v0").alias("v0"), F.sum("v1").alias("v1"))
+                                 .groupBy("whole").agg(F.max("v0").alias("v0"), F.max("v1").alias("v1")), "lm-part"))
+    total = sums[0]
+    for p in sums[1:]:
+        total = total.unionByName(p)
+    end = [h["end"] for h in words["half"]]
+    out = written_once(total.groupBy("whole").agg(*[(F.sum(f"v{f}") + end[f]).alias(f"v{f}") for f in (0, 1)]), "lm-scores")
+    for p in sums:
+        remove(p)
+    return out
+
+
+def score(docs: DataFrame, model: dict, table: dict, unknown: list[float], text: str = "text",
+          known: DataFrame | None = None) -> DataFrame:
     """All columns of ``docs`` with ``__lm_nll`` (negative log likelihood of
     the whole text) and ``__lm_bytes`` (of its words, with a blank each).
-    Null text: 0 and 0. Texts are not shuffled to be scored."""
+    Null text: 0 and 0. ``known``: ``word_scores`` of these texts, if they
+    are there already."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
@@ -364,7 +712,6 @@ def score(docs: DataFrame, model: dict, table: DataFrame, unknown: list[float],
         for b in batches:
             for at, end, data, off in text_slices(b, text):
                 start, stop, first = words(data, off)
-                whole = span_hashes(prefix_hashes(data), off[:-1], off[1:])
                 n = np.diff(first)
                 nll = np.r_[0, np.cumsum(_spelling(m, *_spelled(data, start, stop)))]
                 size = np.r_[0, np.cumsum(stop - start + 1)]
@@ -372,14 +719,14 @@ def score(docs: DataFrame, model: dict, table: DataFrame, unknown: list[float],
                 base = [base + np.where(n > 0, u * (n + 1), 0.0) for u in unknown]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(i).slice(at, end - at) for i in range(b.num_columns)]
-                    + [*map(pa.array, base), pa.array(size[first[1:]] - size[first[:-1]]), pa.array(whole.view(np.int64))],
-                    [*b.schema.names, "__lm_b0", "__lm_b1", "__lm_bytes", "__lm_whole"])
+                    + [*map(pa.array, base), pa.array(size[first[1:]] - size[first[:-1]])],
+                    [*b.schema.names, "__lm_b0", "__lm_b1", "__lm_bytes"])
 
-    rows = docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__lm_b0", T.DoubleType()),
+    rows = docs.withColumn("__lm_whole", F.xxhash64(text))
+    rows = rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("__lm_b0", T.DoubleType()),
                                               T.StructField("__lm_b1", T.DoubleType()),
-                                              T.StructField("__lm_bytes", T.LongType()),
-                                              T.StructField("__lm_whole", T.LongType())]))
-    known = word_scores(docs, table, text).select(F.col("whole").alias("__lm_whole"), F.col("v0").alias("__lm_v0"),
+                                              T.StructField("__lm_bytes", T.LongType())]))
+    known = (word_scores(docs, table, text) if known is None else known).select(F.col("whole").alias("__lm_whole"), F.col("v0").alias("__lm_v0"),
                                                  F.col("v1").alias("__lm_v1"))
     return (rows.join(known, "__lm_whole", "left")
             .select(*docs.columns, F.greatest(*[F.col(f"__lm_b{f}") + F.coalesce(f"__lm_v{f}", F.lit(0.0)) for f in (0, 1)])
@@ -440,15 +787,23 @@ def classify(docs: DataFrame, trusted: DataFrame, prior_bytes: int = 200, **quan
     Repeated rows are scored alike. A column of ``docs`` named like one of
     the results is replaced.
     """
-    trusted = written(trusted.select("text", "lang"), "lm-trusted")
+    trusted = written_once(trusted.select("text", "lang"), "lm-trusted")
     model = train(trusted)
     table, unknown = train_words(trusted, model)
-    limits = thresholds(written(score(trusted, model, table, unknown).drop("text"), "lm-held-out"), prior_bytes=prior_bytes, **quantiles)
+    # Each text is scored once: the documents, and trusted texts that are not among them.
+    same = F.xxhash64("text").alias("_h")
+    others = written_once(trusted.select("text", same).join(docs.where("text is not null").select(same).distinct(), "_h",
+                                                            "left_anti").select("text"), "lm-others")
+    known = word_scores(docs.select("text").unionByName(others), table)
+    remove(others)
+    limits = thresholds(written(score(trusted, model, table, unknown, known=known).drop("text"), "lm-held-out"),
+                        prior_bytes=prior_bytes, **quantiles)
     own = limits.where("not every").select(F.col("lang").alias("__lm_l"), F.struct("mean", "lo", "hi").alias("__lm_own"))
     e = limits.where("every").first()  # one row
     every = F.struct(*[F.lit(e[c] if e else None).cast("double").alias(c) for c in ("mean", "lo", "hi")])
     keep = [c for c in docs.columns if c not in ("perplexity", "keep") and not c.startswith("__lm_")]
-    s = score(docs.select(*keep), model, table, unknown)
+    s = score(docs.select(*keep), model, table, unknown, known=known)
+    remove(trusted)
     s = (s.join(own, s["lang"].eqNullSafe(F.col("__lm_l")), "left")
          .withColumn("__lm_lim", F.coalesce(F.col("__lm_own"), every)))
     value = _smoothed(F.col("__lm_nll"), F.col("__lm_bytes"), F.coalesce(F.col("__lm_lim.mean"), F.lit(0.0)), prior_bytes)
