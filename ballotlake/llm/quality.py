@@ -11,8 +11,8 @@ task.
 
 A text's negative log likelihood is a sum over its n-grams: the spelling of
 all words, and for every n-gram that the trusted text holds a correction
-that the tables give. Documents' distinct n-grams are gathered per block of
-texts, joined with the tables by key and summed per document.
+that the tables give. Trigrams of trusted and scored texts meet in the bucket
+of their middle word, some buckets at a time, and are summed per document.
 
 Trusted texts are halved by a hash, each half has a word model, and every
 text, trusted or not, has the worse of its two scores: the one of a model

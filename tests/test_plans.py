@@ -80,6 +80,8 @@ EXCHANGE_BUDGET = {
     "feed_b_report": 8,
     "history_rows_and_rejects": 0,
     "history_record_counts": 1,
+    "arc_table": 6,
+    "simplify_shared": 5,
 }
 
 
