@@ -9,10 +9,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ballotlake.llm import chat, decontaminate, forest, jaccard, langid, licenses, mixing, quality, suffixes, warc
+from ballotlake.llm import chat, decontaminate, forest, jaccard, langid, licenses, mixing, quality, suffixes, textgrams, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, first string, token string"
@@ -146,6 +147,38 @@ def test_suffix_array_and_kasai():
             assert lcp[i] == min(same, 10)
 
 
+@pytest.mark.parametrize("n", [1, 3, 8, 10, 17, 24, 60])
+def test_window_array_is_the_part_of_the_suffix_array_with_n_bytes(n):
+    rnd = random.Random(2)
+    parts = [bytes(rnd.choices(b"ab\0\xff", k=rnd.randint(0, 70))) for _ in range(200)] + [b"a" * 65, b"ab" * 33] * 2
+    sa, t, start, end = suffixes.suffix_array(parts)
+    lcp, full, raw = suffixes.kasai(sa, t, start, end, n), end[sa] - sa >= n, t.tobytes()
+    pos, cls, _, _ = suffixes.window_array(parts, n)
+    assert sorted(pos) == sorted(sa[full])
+    windows = [raw[p:p + n] for p in pos]
+    assert windows == sorted(windows)
+    assert (np.diff(cls) == [x != y for x, y in zip(windows, windows[1:])]).all()
+    assert cls[-1] + 1 == np.count_nonzero(full & (lcp < n))  # Kasai's neighbours
+    assert [len(x) for x in suffixes.window_array([b"abc"], 4)[:2]] == [0, 0]
+
+
+def test_anchors_of_whole_texts_come_once():
+    rnd = random.Random(5)
+    texts = ["z" * i for i in range(380, 560, 7)] + ["ab" * rnd.randint(190, 300) for _ in range(20)]
+    texts += ["".join(rnd.choices("abcdé ", k=k)) for k in (70_000, 900, 400, 10)] + ["", None]
+    batch = pa.RecordBatch.from_pydict({"key": list(range(len(texts))), "text": texts})
+    got = pa.Table.from_batches(suffixes._contexts(400, 256)(iter([batch]))).to_pylist()
+    assert len({tuple(r.values()) for r in got}) == len(got)
+    for i, text in enumerate(texts):
+        raw = (text or "").encode()
+        h = textgrams.span_hashes(textgrams.prefix_hashes(np.frombuffer(raw, np.uint8)), np.arange(max(0, len(raw) - 255)),
+                                  np.arange(max(0, len(raw) - 255)) + 256)
+        low = (h >> np.uint64(24)).tolist()
+        first = {min(range(w, w + 145), key=lambda j: (low[j], j)) for w in range(len(raw) - 399)}
+        assert {(int(h[p].view(np.int64)), max(0, p - 144), min(len(raw), p + 400)) for p in first} == {
+            (r["fp"], r["start"], r["start"] + r["len"]) for r in got if r["key"] == i}
+
+
 def test_langid(spark):
     rnd = random.Random(3)
     make = lambda a: " ".join("".join(rnd.choices(a, k=rnd.randint(2, 7))) for _ in range(30))
