@@ -28,7 +28,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,8 +56,8 @@ A_MASK, C_MASK = np.uint64((1 << 48) - 1), np.uint64((1 << 56) - 1)
 def _trigrams(data: np.ndarray, off: np.ndarray, symbol: np.ndarray, base: int) -> np.ndarray:
     """The code of (two symbols before, symbol) of every byte, text by text."""
     n = len(data)
-    s = symbol[data].astype(np.int64)
-    one, two = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    s = symbol.astype(np.int32)[data]  # codes are under RAW ** 3
+    one, two = np.zeros(n, np.int32), np.zeros(n, np.int32)
     one[1:], two[2:] = s[:-1], s[:-2]
     first = off[:-1][np.diff(off) > 0]
     one[first], two[first] = START, START
@@ -69,8 +70,10 @@ def _trigrams(data: np.ndarray, off: np.ndarray, symbol: np.ndarray, base: int)
 def _spelled(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The words [start, end) with one blank after each: (bytes, offsets)."""
     off = np.r_[0, np.cumsum(end - start + 1)]
-    at = np.repeat(start - off[:-1], end - start + 1) + np.arange(off[-1])
-    out = data[np.minimum(at, len(data) - 1)] if len(data) else data
+    kind = np.int32 if off[-1] + len(data) < 1 << 31 else np.int64
+    at = np.repeat((start - off[:-1]).astype(kind), end - start + 1)
+    at += np.arange(off[-1], dtype=kind)
+    out = data[np.minimum(at, len(data) - 1, out=at)] if len(data) else data
     out[off[1:] - 1] = 0x20
     return out, off
 
@@ -99,6 +102,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from rows()
 
 
+def _shared(spark: SparkSession, model: dict) -> Broadcast:
+    """The model's classes and table, broadcast once for all jobs."""
+    if "shared" not in model:
+        model["shared"] = spark.sparkContext.broadcast({k: model[k] for k in ("classes", "nll")})
+    return model["shared"]
+
+
 def _spelling(model: dict, data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """nll of each spelled word."""
     nll = np.zeros(len(data) + 1)
@@ -295,12 +305,13 @@ def _blobs(rows: list[tuple]) -> pa.RecordBatch:
         ["bucket", "kind", "block", "data", "whole"])
 
 
-def _trusted_grams(buckets: int, rounds: int, now: int, model: dict | None = None):
+def _trusted_grams(buckets: int, rounds: int, now: int, shared: Broadcast | None = None):
     """Trusted texts -> per slice, half and bucket the trigrams with their
-    counts (kind 1 and 2 for the halves), with ``model`` also the spelling
-    nll of the last word."""
+    counts (kind 1 and 2 for the halves), with a ``shared`` model also the
+    spelling nll of the last word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value if shared else None
         for batch in batches:
             for _, _, data, off in text_slices(batch, "text"):
                 a, b, c, text, at, (x, _, pos, start, end, whole) = _picked(data, off, buckets, rounds, now)
@@ -521,9 +532,10 @@ def train_words(trusted: DataFrame, model: dict, text: str = "text") -> tuple[di
     rounds = max(1, min(ROUNDS, -(-size // ROUND_BYTES)))
     buckets = max(8 * rounds, size // BUCKET_BYTES)
     passes = -(-rounds // 4)
+    shared = _shared(trusted.sparkSession, model)
     parts = []
     for i in range(passes):
-        grams = trusted.mapInArrow(_trusted_grams(buckets, passes, i, model), BLOBS)
+        grams = trusted.mapInArrow(_trusted_grams(buckets, passes, i, shared), BLOBS)
         parts.append(written_once(grams.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
             _continuations(buckets), WORDS), "lm-follow"))
     follow = parts[0]
@@ -703,8 +715,7 @@ def score(docs: DataFrame, model: dict, table: dict, unknown: list[float], text:
     the whole text) and ``__lm_bytes`` (of its words, with a blank each).
     Null text: 0 and 0. ``known``: ``word_scores`` of these texts, if they
     are there already."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+    shared = _shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value

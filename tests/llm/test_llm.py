@@ -228,6 +228,25 @@ def test_quality(spark):
     assert np.allclose(total, 1, atol=1e-3)  # every context is a distribution
 
 
+def test_quality_broadcasts_its_spelling_model_once(spark, monkeypatch):
+    sent, real = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, value: sent.append(value) or real(sc, value))
+    df = spark.createDataFrame([(i, f"some words {i} and " * 9, "en") for i in range(30)], "doc_id long, text string, lang string")
+    assert quality.classify(df, df.where("doc_id < 20")).count() == 30
+    assert len(sent) == 1  # 8 MB each, on the driver too
+
+
+def test_spelled_words_and_their_codes():
+    text = [b"ab  c\n", b"", b"d", b"\t", b"ef g"]
+    data, off = np.frombuffer(b"".join(text), np.uint8), np.cumsum([0, *map(len, text)])
+    out, at = quality._spelled(data, *textgrams.words(data, off)[:2])
+    assert out.tobytes() == b"ab c d ef g " and at.tolist() == [0, 3, 5, 7, 10, 12]
+    code = quality._trigrams(out, at, np.arange(1, 257), quality.RAW)
+    raw = [[0, 0, *(b + 1 for b in w), 33] for w in (b"ab", b"c", b"d", b"ef", b"g")]
+    assert code.tolist() == [(w[i] * 257 + w[i + 1]) * 257 + w[i + 2] for w in raw for i in range(len(w) - 2)]
+    assert code.dtype == np.int32  # half the bytes to move
+
+
 def test_decontaminate(spark):
     rnd = random.Random(9)
     w = lambda n: [rnd.choice("abcdefgh") + str(rnd.randrange(60)) for _ in range(n)]
