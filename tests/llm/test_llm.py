@@ -233,7 +233,9 @@ def test_quality_broadcasts_its_spelling_model_once(spark, monkeypatch):
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda sc, value: sent.append(value) or real(sc, value))
     df = spark.createDataFrame([(i, f"some words {i} and " * 9, "en") for i in range(30)], "doc_id long, text string, lang string")
     assert quality.classify(df, df.where("doc_id < 20")).count() == 30
-    assert len(sent) == 1  # 8 MB each, on the driver too
+    # 8 MB each, on the driver too: one model, and no task code (bytes) that holds one.
+    assert [len(v["nll"]) for v in sent if isinstance(v, dict)] == [quality.CLASSES ** 3]
+    assert all(len(v) < 8 << 20 for v in sent if isinstance(v, bytes))
 
 
 def test_spelled_words_and_their_codes():
